@@ -17,10 +17,12 @@ Without keys every difference is ``new`` or ``removed``.
 
 Plan: both sides are tagged and unioned, then aggregated per (key, hash)
 with map-side partial aggregation, so duplicated rows or hot keys collapse
-before the shuffle and no pairs are ever formed (no join of the snapshots
-with each other). Key presence is a second aggregate over that result
-(one row per key); joining it back cannot fan out. Adaptive execution
-broadcasts it when it turns out small and splits skewed partitions.
+before the shuffle and no pairs are ever formed (the snapshots are never
+joined with each other). Key presence is a second aggregate over a
+key-only projection of both sides (column-pruned scans, no hashing), one
+row per key; joining the differences to it cannot fan out. Adaptive
+execution broadcasts it only when its measured size is small, and splits
+skewed partitions of the sort-merge join otherwise.
 """
 
 from __future__ import annotations
@@ -59,9 +61,12 @@ def detect_changes(prev: DataFrame, cur: DataFrame, hash_column: str,
     )
     diff = per_row.where(F.col("_in_prev") != F.col("_in_cur"))
     if keys:
-        presence = per_row.groupBy(*keys).agg(
-            F.max("_in_prev").alias("_key_in_prev"),
-            F.max("_in_cur").alias("_key_in_cur"),
+        # Key presence needs only the key columns: a pruned scan, no hashing.
+        slim = (prev.select(*[qcol(k) for k in keys], F.lit(0).alias("_side"))
+                .unionByName(cur.select(*[qcol(k) for k in keys], F.lit(1).alias("_side"))))
+        presence = slim.groupBy(*keys).agg(
+            F.max(F.col("_side") == 0).alias("_key_in_prev"),
+            F.max(F.col("_side") == 1).alias("_key_in_cur"),
         ).select(*[qcol(k).alias(f"_k{i}") for i, k in enumerate(keys)],
                  "_key_in_prev", "_key_in_cur")
         cond = [qcol(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]

@@ -107,9 +107,12 @@ def count_target(spark: SparkSession, target, batch_id: str | None = None,
     """Rows in the target, or in one batch of it. The batch filter is a
     partition filter (files) or a pushed-down WHERE (databases)."""
     if target.kind in ("path", "table"):
-        if target.kind == "path":
+        if target.kind == "path" and target.partition_by:
             from tidewater.sources.lake import read_lake
-            df = read_lake(spark, target.name, target.format)
+            return read_lake(spark, target.name, target.format, batch_id=batch_id,
+                             batch_column=batch_column).count()
+        if target.kind == "path":
+            df = spark.read.format(target.format).load(target.name)
         else:
             df = spark.table(target.name)
         if batch_id is not None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+import re
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,16 +30,31 @@ def _string_partitions(spark: SparkSession):
             spark.conf.set(_INFER, old)
 
 
+_PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
+
+
 def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
               batch_id: str | None = None, options: Mapping[str, str] | None = None,
-              batch_column: str = BATCH_ID) -> DataFrame:
-    """``batch_id`` becomes a partition filter: only that directory is listed
-    for reading. Parquet reads merge schemas so appended columns show up."""
+              batch_column: str = BATCH_ID, merge_schema: bool = False) -> DataFrame:
+    """Read the landed table, or one batch of it.
+
+    A batch is read straight from its own directory (``basePath`` keeps the
+    batch column), so only that directory is listed - the cost does not grow
+    with the number of batches already landed. ``merge_schema`` reconciles
+    footers of all files (needed only after columns were added), which reads
+    every footer and is therefore off by default.
+    """
     opts = dict(options or {})
-    if fmt == "parquet":
+    if fmt == "parquet" and merge_schema:
         opts.setdefault("mergeSchema", "true")
+    direct = batch_id is not None and _PLAIN_VALUE.match(batch_id) is not None
     with _string_partitions(spark):
-        df = spark.read.format(fmt).options(**opts).load(path)
+        if direct:
+            root = path.rstrip("/")
+            df = (spark.read.format(fmt).options(**opts).option("basePath", root)
+                  .load(f"{root}/{batch_column}={batch_id}"))
+        else:
+            df = spark.read.format(fmt).options(**opts).load(path)
     if batch_id is not None:
         df = df.where(qcol(batch_column) == F.lit(batch_id))
     return df
