@@ -28,6 +28,7 @@ from tidewater.plans.prepare import prepare
 from tidewater.plans.session import scratch_dir
 from tidewater.sinks import resolve_load, write_lake, write_target
 from tidewater.sources import read_lake, target_exists
+from tidewater.streaming import epoch_batch_id, ingest_stream
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -288,6 +289,24 @@ def q_changed_orders(spark, sf_dir):
                                    ["O_ORDERKEY"])
 
 
+def q_stream_orders(spark, sf_dir):
+    """Orders arrive as a file stream; each micro-batch is one incremental
+    load batch (here: one epoch, since the source is one file)."""
+    root = scratch_dir(spark, "stream")
+    schema = _read(spark, sf_dir, "orders").schema
+    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "orders.parquet")
+              .parquet(sf_dir))
+    spec = TableSpec(name="orders", source=Source(kind="path", name=f"{sf_dir}/orders.parquet"),
+                     hash_column=hash_key("orders"), lake_path=f"{root}/lake",
+                     target=Target(kind="path", name=f"{root}/target"))
+    config = RunConfig(mode="incremental", created_by=CREATED_BY, source_system=SOURCE_SYSTEM,
+                       run_ts=RUN_TS, as_of=AS_OF, bits=256)
+    q = ingest_stream(stream, spec, config, f"{root}/checkpoint", "S",
+                      report_path=f"{root}/report")
+    q.awaitTermination()
+    return read_lake(spark, f"{root}/target")
+
+
 # --------------------------------------------------------------------------
 # Oracle SQL (DuckDB)
 # --------------------------------------------------------------------------
@@ -512,6 +531,8 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
         "a4_summary": (q_summary, o_summary()),
         "x1_dedupe_documents": (q_dedupe_documents, o_dedupe_documents()),
         "x2_changed_orders": (q_changed_orders, o_changed_orders()),
+        "stream_ingest_orders": (q_stream_orders, _prepare_sql(
+            "orders", epoch_batch_id("S", 0), AS_OF, clean_ts=False)),
     }
     for t in HASHED_TABLES:
         reg[f"p6_hash256_{t}"] = (make_hash_query(t, 256), o_hash(t))

@@ -60,11 +60,18 @@ def _action_name(action) -> str:
 
 def ingest_table(spark: SparkSession, spec, config) -> dict:
     """Run one table; always returns a report row (a dict)."""
+    return ingest_frame(spark, None, spec, config)
+
+
+def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> dict:
+    """Run one table from ``raw`` (or from ``spec.source`` when ``raw`` is
+    None); always returns a report row (a dict)."""
     start = time.monotonic()
     row = {f.name: None for f in REPORT_SCHEMA.fields}
     row.update(table_name=spec.name, mode=config.mode, batch_id=config.batch_id)
     try:
-        raw = spec.source.load(spark)
+        if raw is None:
+            raw = spec.source.load(spark)
         if raw.isEmpty():
             row.update(status="skipped", reason="empty")
             return row
@@ -100,14 +107,18 @@ def ingest_table(spark: SparkSession, spec, config) -> dict:
     return row
 
 
+def report_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    return spark.createDataFrame([tuple(r[f.name] for f in REPORT_SCHEMA.fields)
+                                  for r in rows], REPORT_SCHEMA)
+
+
 def ingest_all(spark: SparkSession, specs: Iterable, config,
                raise_on_failure: bool = False) -> DataFrame:
     """Every table, one after another (each one is a full cluster job);
     a failure in one table never stops the others. The report is one row
     per table; with ``raise_on_failure`` any failure raises afterwards."""
     rows = [ingest_table(spark, spec, config) for spec in specs]
-    report = spark.createDataFrame([tuple(r[f.name] for f in REPORT_SCHEMA.fields)
-                                    for r in rows], REPORT_SCHEMA)
+    report = report_frame(spark, rows)
     failed = [r["table_name"] for r in rows if r["status"] == "failed"]
     if raise_on_failure and failed:
         raise RuntimeError(f"{len(failed)} table(s) failed: {failed}")
