@@ -99,10 +99,10 @@ def q_rename_duplicates(spark, sf_dir):
     return normalize_columns(src.select(*[F.col(c).alias(a) for c, a in RENAME_ALIASES]))
 
 
-def make_hash_query(table: str, bits: int):
+def make_hash_query(table: str, bits: int, null_safe: bool = False):
     def q(spark, sf_dir):
         return add_row_hash(normalize_columns(_read(spark, sf_dir, table)),
-                            hash_key(table), bits=bits)
+                            hash_key(table), bits=bits, null_safe=null_safe)
     return q
 
 
@@ -383,6 +383,15 @@ def o_hash(table: str) -> str:
             + f", {h} AS ETL_ROW_HASH FROM {table}")
 
 
+def o_hash_null_safe(table: str) -> str:
+    cols = _renamed(table)
+    fields = ", ".join(f'"{n}" := CAST({e} AS VARCHAR)' for n, e in sorted(cols))
+    h = f"sha256(to_json(struct_pack({fields})))"
+    return (f"SELECT {h} AS {hash_key(table)}, "
+            + ", ".join(f"{e} AS {n}" for n, e in cols)
+            + f", {h} AS ETL_ROW_HASH FROM {table}")
+
+
 def o_audit_orders() -> str:
     return f"SELECT *, {_audit_sql(B1, RUN_TS, None)} FROM orders"
 
@@ -536,6 +545,8 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
     }
     for t in HASHED_TABLES:
         reg[f"p6_hash256_{t}"] = (make_hash_query(t, 256), o_hash(t))
+    for t in ("orders", "customer"):
+        reg[f"p6_nullsafe_{t}"] = (make_hash_query(t, 256, null_safe=True), o_hash_null_safe(t))
     for t, as_of in PREPARED_TABLES.items():
         reg[f"o1_prepare_{t}"] = (make_prepare_query(t, as_of), _prepare_sql(t, B1, as_of))
     return reg

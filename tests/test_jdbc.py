@@ -109,3 +109,37 @@ def test_connector_target_truncate_options():
     write_target(df, t, resolve_load("historical", True))
     assert df.write.opts["truncate_table"] == "on" and df.write.opts["dbtable"] == "db.s.t"
     assert ("format", "some.connector") in df.write.calls
+
+
+class Row1:
+    def __init__(self, *v):
+        self.v = v
+
+    def __getitem__(self, i):
+        return self.v[i]
+
+
+class BoundsRec(Rec):
+    def __init__(self, row):
+        super().__init__()
+        self.row = row
+
+    def load(self):
+        rec = self
+
+        class D:
+            def first(self_inner):
+                return rec.row
+        return D()
+
+
+def test_partitioning_from_bounds():
+    from tidewater.sources import partitioning_for
+    s = FakeSpark()
+    s.read = BoundsRec(Row1(5, 905))
+    p = partitioning_for(s, "jdbc:x://h", "t", "id", 8)
+    assert s.read.opts["dbtable"] == "(SELECT MIN(id) AS lo, MAX(id) AS hi FROM t) src"
+    assert p.options() == {"partitionColumn": "id", "lowerBound": "5", "upperBound": "905",
+                           "numPartitions": "8"}
+    s.read = BoundsRec(Row1(None, None))
+    assert partitioning_for(s, "jdbc:x://h", "t", "id", 8) is None

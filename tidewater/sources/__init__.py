@@ -2,7 +2,8 @@
 target existence (S6)."""
 
 from tidewater.sources.jdbc import (
-    JdbcPartitioning, read_jdbc, full_table_query, count_query, subquery,
+    JdbcPartitioning, read_jdbc, full_table_query, count_query, subquery, bounds_query,
+    partitioning_for,
 )
 from tidewater.sources.connector import read_query
 from tidewater.sources.lake import read_lake
@@ -10,5 +11,6 @@ from tidewater.sources.catalog import target_exists, split_table_name
 
 __all__ = [
     "JdbcPartitioning", "read_jdbc", "full_table_query", "count_query", "subquery",
+    "bounds_query", "partitioning_for",
     "read_query", "read_lake", "target_exists", "split_table_name",
 ]

@@ -69,3 +69,23 @@ def read_jdbc(spark: SparkSession, url: str, query: str | None = None,
     if partitioning is not None:
         reader = reader.options(**partitioning.options())
     return reader.load()
+
+
+def bounds_query(table: str, column: str, hint: str | None = None) -> str:
+    """``MIN``/``MAX`` of the split column, evaluated by the database."""
+    return (f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+            + (f" {hint}" if hint else ""))
+
+
+def partitioning_for(spark: SparkSession, url: str, table: str, column: str,
+                     num_partitions: int, options: Mapping[str, str] | None = None,
+                     hint: str | None = None) -> JdbcPartitioning | None:
+    """Range partitioning over the column's actual bounds (one one-row query).
+
+    Returns None for an empty table. Size ``num_partitions`` to the table,
+    not the cluster: each slice is one database connection.
+    """
+    row = read_jdbc(spark, url, query=bounds_query(table, column, hint), options=options).first()
+    if row is None or row[0] is None:
+        return None
+    return JdbcPartitioning(column, str(row[0]), str(row[1]), num_partitions)
