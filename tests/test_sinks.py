@@ -57,6 +57,7 @@ def test_lake_append_rerun_is_idempotent(spark, tmp_dir):
     assert dict(back.groupBy(BATCH_ID).count().collect()) == {
         "20240101000000": n, "20240102000000": n}
     assert dict(back.dtypes)[BATCH_ID] == "string"
+    assert dict(read_lake(spark, tmp_dir, batch_id="20240101000000").dtypes)[BATCH_ID] == "string"
     assert read_lake(spark, tmp_dir, batch_id="20240101000000").count() == n
 
 
@@ -95,8 +96,9 @@ def test_catalog_table_target_modes(spark):
     assert not target_exists(spark, t)
     write_target(prepared(spark, "1"), t, resolve_load("incremental", False))
     assert target_exists(spark, t)
-    write_target(prepared(spark, "2"), t, resolve_load("incremental", True))
-    write_target(prepared(spark, "2"), t, resolve_load("incremental", True))  # re-run
+    write_target(prepared(spark, "2"), t, resolve_load("incremental", True), batch_id="2")
+    write_target(prepared(spark, "2"), t, resolve_load("incremental", True), batch_id="2")  # re-run
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
     assert count_target(spark, t) == 2 * n
     # historical on an existing table: rows replaced, table kept
     write_target(prepared(spark, "3"), t, resolve_load("historical", True))

@@ -90,7 +90,7 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
         if spec.target is not None:
             action = resolve_load(config.mode, target_exists(spark, spec.target))
             row["load_action"] = _action_name(action)
-            write_target(landed, spec.target, action)
+            write_target(landed, spec.target, action, batch_id=config.batch_id)
             whole = config.mode == HISTORICAL
             row["rows_loaded"] = count_target(
                 spark, spec.target, None if whole else config.batch_id)

@@ -13,6 +13,7 @@ task once.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation
@@ -27,7 +28,7 @@ def write_lake(df: DataFrame, path: str, mode: str, fmt: str = "parquet",
                partition_by: tuple[str, ...] = (BATCH_ID,)) -> int:
     """Write and return the number of rows written."""
     m = validate_mode(mode)
-    obs = Observation("landed")
+    obs = Observation(f"landed_{uuid.uuid4().hex}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.format(fmt).mode("overwrite")
     if partition_by:

@@ -15,6 +15,8 @@ database targets append.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +36,10 @@ def _partition_by(target) -> list[str]:
     return list(target.partition_by or ())
 
 
-def write_target(df: DataFrame, target, action: LoadAction) -> None:
+def write_target(df: DataFrame, target, action: LoadAction,
+                 batch_id: str | None = None) -> None:
+    """``batch_id``: the single batch ``df`` holds; lets an incremental load
+    into a catalog table replace its own partition on a re-run."""
     kind = target.kind
     if kind == "path":
         w = df.write.format(target.format).options(**dict(target.options)).mode("overwrite")
@@ -58,8 +63,8 @@ def write_target(df: DataFrame, target, action: LoadAction) -> None:
         aligned = df.select(*[qcol(c) for c in cols])
         if action.replace:
             aligned.write.insertInto(target.name, overwrite=True)
-        elif target.partition_by:
-            _overwrite_partitions(aligned, target.name)
+        elif batch_id is not None and list(target.partition_by or ()) == [BATCH_ID]:
+            _overwrite_batch_partition(aligned, target.name, BATCH_ID, batch_id)
         else:
             aligned.write.insertInto(target.name, overwrite=False)
         return
@@ -86,20 +91,20 @@ def write_target(df: DataFrame, target, action: LoadAction) -> None:
     raise ValueError(f"unknown target kind {kind!r}")
 
 
-def _overwrite_partitions(df: DataFrame, table: str) -> None:
-    """Dynamic partition overwrite into a catalog table (only the batch
-    partitions present in ``df`` are replaced)."""
+def _overwrite_batch_partition(df: DataFrame, table: str, batch_column: str,
+                               batch_id: str) -> None:
+    """Replace one batch partition of a catalog table (static partition
+    spec: only that partition is touched, whatever the session settings)."""
     spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, "dynamic")
+    view = f"tidewater_batch_{uuid.uuid4().hex}"
+    rest = [c for c in df.columns if c != batch_column]
+    df.createOrReplaceTempView(view)
     try:
-        df.write.insertInto(table, overwrite=True)
+        cols = ", ".join("`" + c.replace("`", "``") + "`" for c in rest)
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION "
+                  f"(`{batch_column}` = {sql_text(batch_id)}) SELECT {cols} FROM {view}")
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        spark.catalog.dropTempView(view)
 
 
 def count_target(spark: SparkSession, target, batch_id: str | None = None,

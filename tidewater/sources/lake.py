@@ -4,32 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 import re
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.constants import BATCH_ID
 from tidewater.functions.naming import qcol
 
-_INFER = "spark.sql.sources.partitionColumnTypeInference.enabled"
-
-
-@contextmanager
-def _string_partitions(spark: SparkSession):
-    """Partition values are discovered when ``load()`` resolves the
-    relation; keep them strings so an all-digit batch id stays a string."""
-    old = spark.conf.get(_INFER, None)
-    spark.conf.set(_INFER, "false")
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(_INFER)
-        else:
-            spark.conf.set(_INFER, old)
-
-
 _PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
 
 
@@ -48,13 +30,23 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
     if fmt == "parquet" and merge_schema:
         opts.setdefault("mergeSchema", "true")
     direct = batch_id is not None and _PLAIN_VALUE.match(batch_id) is not None
-    with _string_partitions(spark):
-        if direct:
-            root = path.rstrip("/")
-            df = (spark.read.format(fmt).options(**opts).option("basePath", root)
-                  .load(f"{root}/{batch_column}={batch_id}"))
-        else:
-            df = spark.read.format(fmt).options(**opts).load(path)
+    root = path.rstrip("/")
+
+    def reader():
+        r = spark.read.format(fmt).options(**opts)
+        return r.option("basePath", root) if direct else r
+
+    location = f"{root}/{batch_column}={batch_id}" if direct else path
+    inferred = reader().load(location).schema
+    # Partition values are typed by inference (an all-digit batch id would
+    # come back as a number); a user schema keeps the batch column a string.
+    if any(f.name == batch_column and not isinstance(f.dataType, T.StringType)
+           for f in inferred.fields):
+        schema = T.StructType([T.StructField(f.name, T.StringType(), True)
+                               if f.name == batch_column else f for f in inferred.fields])
+        df = reader().schema(schema).load(location)
+    else:
+        df = reader().load(location)
     if batch_id is not None:
         df = df.where(qcol(batch_column) == F.lit(batch_id))
     return df
