@@ -76,3 +76,23 @@ def test_shadowed_reported(spark, tmp_dir):
     row = ingest_table(spark, spec(tmp_dir, "shadow", source=Source(kind="table", name="tw_shadow")),
                        cfg())
     assert row["status"] == "success" and row["shadowed"] == "CREATED_BY"
+
+
+def test_count_source_and_spread(spark, tmp_dir):
+    import dataclasses
+    s = dataclasses.replace(spec(tmp_dir, "lineitem"), spread=8)
+    c = dataclasses.replace(cfg(), count_source=True)
+    row = ingest_table(spark, s, c)
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert row["status"] == "success", row
+    assert row["rows_source"] == row["rows_in"] == row["rows_loaded"] == n
+
+
+def test_row_count_preserved_for_every_table(spark):
+    from tidewater.plans.prepare import prepare
+    for t in ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+              "documents", "labels", "benchmark", "pages", "conversations", "embeddings"]:
+        df = spark.read.parquet(f"{SF}/{t}.parquet")
+        out = prepare(df, "K", "B", "me", "SRC", include_ntz=True)
+        assert out.count() == df.count(), t
+        assert out.select("K").distinct().count() <= df.count()

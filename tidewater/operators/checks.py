@@ -50,10 +50,10 @@ def load_gate(df: DataFrame, hash_column: str | None, table: str | None = None)
     )
 
 
-def reconcile(rows_in: int | None, rows_landed: int | None,
-              rows_loaded: int | None) -> bool | None:
-    """True when every known count agrees; None when nothing was counted."""
-    known = [n for n in (rows_in, rows_landed, rows_loaded) if n is not None]
+def reconcile(*counts: int | None) -> bool | None:
+    """True when every known count agrees; None when nothing was counted.
+    Counts are, in order: source, landed-in, landed, loaded (any may be None)."""
+    known = [n for n in counts if n is not None]
     if not known:
         return None
     return all(n == known[0] for n in known)

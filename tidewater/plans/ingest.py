@@ -42,6 +42,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("reason", T.StringType()),
     T.StructField("mode", T.StringType()),
     T.StructField("batch_id", T.StringType()),
+    T.StructField("rows_source", T.LongType()),
     T.StructField("rows_in", T.LongType()),
     T.StructField("rows_landed", T.LongType()),
     T.StructField("rows_loaded", T.LongType()),
@@ -70,11 +71,19 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
     row = {f.name: None for f in REPORT_SCHEMA.fields}
     row.update(table_name=spec.name, mode=config.mode, batch_id=config.batch_id)
     try:
-        if raw is None:
+        from_source = raw is None
+        if from_source:
             raw = spec.source.load(spark)
-        if raw.isEmpty():
+        if from_source and config.count_source:
+            row["rows_source"] = spec.source.count_rows(spark)
+            empty = row["rows_source"] == 0
+        else:
+            empty = raw.isEmpty()
+        if empty:
             row.update(status="skipped", reason="empty")
             return row
+        if spec.spread and raw.rdd.getNumPartitions() < spec.spread:
+            raw = raw.repartition(spec.spread)
         shadowed = shadowed_audit_columns(normalize_columns(raw).columns)
         row["shadowed"] = ",".join(shadowed) if shadowed else None
         prepared = prepare_with(raw, spec, config)
@@ -94,7 +103,8 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
             whole = config.mode == HISTORICAL
             row["rows_loaded"] = count_target(
                 spark, spec.target, None if whole else config.batch_id)
-        ok = reconcile(row["rows_in"], row["rows_landed"], row["rows_loaded"])
+        ok = reconcile(row["rows_source"], row["rows_in"], row["rows_landed"],
+                       row["rows_loaded"])
         row["ok"] = ok
         if ok is False:
             row.update(status="failed", reason="row counts disagree")

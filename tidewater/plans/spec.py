@@ -79,6 +79,9 @@ class TableSpec:
     lake_format: str = "parquet"
     lake_options: Mapping[str, str] = field(default_factory=dict)
     exclude: tuple[str, ...] = ()
+    # Spread a source that arrives in fewer partitions than this (for example
+    # an unpartitioned JDBC read, one task) before the row-hash work.
+    spread: int | None = None
 
 
 @dataclass(frozen=True)
@@ -94,6 +97,7 @@ class RunConfig:
     bits: int = DEFAULT_HASH_BITS
     include_ntz: bool = False
     null_safe: bool = False
+    count_source: bool = False  # S3: also count at the source and reconcile it
 
     def __post_init__(self):
         object.__setattr__(self, "mode", validate_mode(self.mode))

@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Reader settings; callers override per source.
-DEFAULT_READ_OPTIONS = {"fetchsize": "50000"}
+# Reader settings; callers override per source. Limit and aggregate
+# push-down let the emptiness probe (LIMIT 1) and counts run in the database.
+DEFAULT_READ_OPTIONS = {"fetchsize": "50000", "pushDownLimit": "true",
+                        "pushDownAggregate": "true"}
 
 
 @dataclass(frozen=True)
