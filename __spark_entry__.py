@@ -289,6 +289,50 @@ def q_changed_orders(spark, sf_dir):
                                    ["O_ORDERKEY"])
 
 
+def q_read_batch(spark, sf_dir):
+    """S5: one batch of a two-batch lake, read from its own directory."""
+    lake = scratch_dir(spark, "s5")
+    for batch in (B1, B2):
+        write_lake(_prepared(spark, sf_dir, "orders", batch), lake, "incremental")
+    return read_lake(spark, lake, batch_id=B2)
+
+
+def q_land_and_load(spark, sf_dir):
+    """K5/O1: one table run; the target holds exactly the landed batch."""
+    root = scratch_dir(spark, "k5")
+    spec = TableSpec(name="orders", source=Source(kind="path", name=f"{sf_dir}/orders.parquet"),
+                     hash_column=hash_key("orders"), lake_path=f"{root}/lake",
+                     target=Target(kind="path", name=f"{root}/target"))
+    config = RunConfig(mode="incremental", created_by=CREATED_BY, source_system=SOURCE_SYSTEM,
+                       batch_id=B1, run_ts=RUN_TS, as_of=AS_OF, bits=256)
+    from tidewater.plans.ingest import ingest_table
+    row = ingest_table(spark, spec, config)
+    if row["status"] != "success":
+        raise RuntimeError(f"ingest failed: {row}")
+    return read_lake(spark, f"{root}/target")
+
+
+def _landed_snapshots(spark, sf_dir, name):
+    lake = scratch_dir(spark, name)
+    before, after = orders_snapshots(_read(spark, sf_dir, "orders"))
+    for batch, snap in ((B1, before), (B2, after)):
+        write_lake(prepare(snap, hash_key("orders"), batch, CREATED_BY, SOURCE_SYSTEM,
+                           run_ts=RUN_TS, as_of=AS_OF, bits=256), lake, "incremental")
+    return read_lake(spark, lake)
+
+
+def q_changed_orders_unkeyed(spark, sf_dir):
+    """X2 without a business key: differences are new or removed rows."""
+    return changes_between_batches(_landed_snapshots(spark, sf_dir, "x2u"), B1, B2,
+                                   hash_key("orders"))
+
+
+def q_dedupe_orders_snapshots(spark, sf_dir):
+    """X1 over two different snapshots: every distinct row version once,
+    from the batch where it first appeared."""
+    return dedupe_by_hash(_landed_snapshots(spark, sf_dir, "x1o"), hash_key("orders"))
+
+
 def q_stream_orders(spark, sf_dir):
     """Orders arrive as a file stream; each micro-batch is one incremental
     load batch (here: one epoch, since the source is one file)."""
@@ -485,6 +529,38 @@ def o_dedupe_documents() -> str:
             f"WHERE rn = 1")
 
 
+_BEFORE_SRC = ("(SELECT o_orderkey, o_custkey, CASE WHEN o_orderdate >= TIMESTAMP "
+               "'1998-07-01 00:00:00' THEN 'O' ELSE o_orderstatus END AS o_orderstatus, "
+               "o_totalprice, o_orderdate, o_orderpriority FROM orders "
+               "WHERE o_orderdate < TIMESTAMP '1999-01-01 00:00:00')")
+_AFTER_SRC = ("(SELECT * FROM orders WHERE NOT (o_orderstatus = 'F' AND "
+              "o_orderdate < TIMESTAMP '1996-01-01 00:00:00'))")
+
+
+def o_changed_orders_unkeyed() -> str:
+    cols = _renamed("orders")
+    h = hash_key("orders")
+
+    def snap(src):
+        return (f"SELECT {_hash_sql(cols)} AS {h}, "
+                + ", ".join(f"{e} AS {n}" for n, e in cols) + f" FROM {src}")
+
+    return f"""
+        WITH b AS ({snap(_BEFORE_SRC)}), a AS ({snap(_AFTER_SRC)})
+        SELECT *, 'new' AS change FROM a WHERE {h} NOT IN (SELECT {h} FROM b)
+        UNION ALL
+        SELECT *, 'removed' FROM b WHERE {h} NOT IN (SELECT {h} FROM a)"""
+
+
+def o_dedupe_orders_snapshots() -> str:
+    h = hash_key("orders")
+    landed = (_prepare_sql("orders", B1, AS_OF, clean_ts=False, source=_BEFORE_SRC)
+              + " UNION ALL "
+              + _prepare_sql("orders", B2, AS_OF, clean_ts=False, source=_AFTER_SRC))
+    return (f"SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {h} "
+            f"ORDER BY ETL_BATCH_ID, O_ORDERKEY) AS rn FROM ({landed})) WHERE rn = 1")
+
+
 def o_changed_orders() -> str:
     cols = _renamed("orders")
     names = [n for n, _ in cols]
@@ -540,6 +616,11 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
         "a4_summary": (q_summary, o_summary()),
         "x1_dedupe_documents": (q_dedupe_documents, o_dedupe_documents()),
         "x2_changed_orders": (q_changed_orders, o_changed_orders()),
+        "s5_read_batch": (q_read_batch, _prepare_sql("orders", B2, AS_OF, clean_ts=False)),
+        "k5_land_and_load_orders": (q_land_and_load,
+                                    _prepare_sql("orders", B1, AS_OF, clean_ts=False)),
+        "x2_changed_orders_unkeyed": (q_changed_orders_unkeyed, o_changed_orders_unkeyed()),
+        "x1_dedupe_orders_snapshots": (q_dedupe_orders_snapshots, o_dedupe_orders_snapshots()),
         "stream_ingest_orders": (q_stream_orders, _prepare_sql(
             "orders", epoch_batch_id("S", 0), AS_OF, clean_ts=False)),
     }
