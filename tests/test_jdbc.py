@@ -143,3 +143,51 @@ def test_partitioning_from_bounds():
                            "numPartitions": "8"}
     s.read = BoundsRec(Row1(None, None))
     assert partitioning_for(s, "jdbc:x://h", "t", "id", 8) is None
+
+
+def test_read_query_connector():
+    from tidewater.sources import read_query
+    s = FakeSpark()
+    read_query(s, "some.connector", {"sfUser": "u"}, "SELECT 1")
+    assert s.read.opts == {"sfUser": "u", "query": "SELECT 1"}
+    assert ("format", "some.connector") in s.read.calls
+
+
+class ExistsSpark:
+    def __init__(self, cnt=None, fail=False):
+        self.read = BoundsRec(Row1(cnt))
+        self.fail = fail
+        if fail:
+            def boom():
+                raise RuntimeError("connection refused")
+            self.read.load = boom
+
+
+@pytest.mark.parametrize("kind", ["jdbc", "connector"])
+def test_target_exists_metadata_query(kind):
+    from tidewater.sources import target_exists
+    t = Target(kind=kind, name="S.T", default_database="DB", format="some.connector",
+               options={"url": "jdbc:x://h"})
+    s = ExistsSpark(cnt=1)
+    assert target_exists(s, t) is True
+    q = s.read.opts.get("dbtable") or s.read.opts.get("query")
+    assert "DB.INFORMATION_SCHEMA.TABLES" in q and "TABLE_SCHEMA = 'S'" in q
+    assert "TABLE_NAME = 'T'" in q
+    assert target_exists(ExistsSpark(cnt=0), t) is False
+
+
+def test_target_exists_error_raises():
+    from tidewater.sources import target_exists
+    t = Target(kind="connector", name="T", format="c")
+    with pytest.raises(RuntimeError):
+        target_exists(ExistsSpark(fail=True), t)
+
+
+def test_session_conf_and_scratch(spark):
+    from tidewater.plans.session import scratch_dir, session_conf
+    c = session_conf(shuffle_partitions=64)
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert c["spark.sql.shuffle.partitions"] == "64"
+    a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert a != b and spark.sparkContext.getCheckpointDir().rstrip("/") in a
