@@ -6,14 +6,26 @@ The library never builds its own session on a cluster: callers pass one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def session_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
+def session_conf(shuffle_partitions: int | None = None,
+                 initial_partitions: int | None = None,
+                 advisory_partition_bytes: int | None = None) -> dict[str, str]:
+    """Settings the pipeline is planned for.
+
+    * AQE with partition coalescing and skew-join splitting: the only
+      shuffles (X1, X2) are keyed by row hash or business key, and a hot key
+      must be split, not sent to one task.
+    * UTC session zone: the text of a ``TIMESTAMP`` column, and so the row
+      hash, depends on the zone.
+    * At 100 TB, start shuffles wide (``initial_partitions``, e.g. 20000) and
+      let AQE coalesce them to ``advisory_partition_bytes`` (e.g. 256 MiB);
+      scans keep the default 128 MiB splits.
+    """
     conf = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,6 +34,10 @@ def session_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if initial_partitions is not None:
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(initial_partitions)
+    if advisory_partition_bytes is not None:
+        conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] = str(advisory_partition_bytes)
     return conf
 
 
@@ -45,14 +61,3 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
         root = _checkpoint_dir(spark) or root
     base = root.rstrip("/")
     return "/".join([base, "tidewater", *parts, uuid.uuid4().hex])
-
-
-def local_path(uri: str) -> str:
-    return uri[len("file:"):] if uri.startswith("file:") else uri
-
-
-def ensure_local_dir(uri: str) -> None:
-    """Local runs only: make the directory for ``file:`` or plain paths."""
-    p = local_path(uri)
-    if "://" not in p:
-        os.makedirs(p, exist_ok=True)
