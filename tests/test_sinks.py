@@ -115,3 +115,18 @@ def test_probe_error_raises(spark, tmp_dir):
 def test_observed_count_matches(spark, tmp_dir):
     df = prepared(spark, "1", "lineitem")
     assert write_lake(df, tmp_dir, "historical") == df.count()
+
+
+def test_catalog_replace_ignores_dynamic_session_mode(spark):
+    name = "tw_test_catalog_dynamic"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    t = Target(kind="table", name=name)
+    write_target(prepared(spark, "1"), t, resolve_load("incremental", False))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_target(prepared(spark, "2"), t, resolve_load("historical", True))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    got = [r[0] for r in spark.table(name).select(BATCH_ID).distinct().collect()]
+    assert got == ["2"]
+    spark.sql(f"DROP TABLE {name}")

@@ -62,7 +62,10 @@ def write_target(df: DataFrame, target, action: LoadAction,
         cols = spark.table(target.name).columns
         aligned = df.select(*[qcol(c) for c in cols])
         if action.replace:
-            aligned.write.insertInto(target.name, overwrite=True)
+            # Truncate and load: the definition stays, and the session's
+            # partition-overwrite mode cannot turn this into a partial replace.
+            spark.sql(f"TRUNCATE TABLE {target.name}")
+            aligned.write.insertInto(target.name, overwrite=False)
         elif batch_id is not None and list(target.partition_by or ()) == [BATCH_ID]:
             _overwrite_batch_partition(aligned, target.name, BATCH_ID, batch_id)
         else:
