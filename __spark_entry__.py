@@ -63,6 +63,9 @@ HASHED_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "
                  "events", "documents", "labels", "benchmark", "pages", "conversations"]
 PREPARED_TABLES = {  # table -> as_of used for its timestamps
     "orders": AS_OF, "lineitem": AS_OF, "customer": AS_OF, "events": EVENTS_AS_OF,
+    "region": AS_OF, "nation": AS_OF, "supplier": AS_OF, "part": AS_OF,
+    "documents": AS_OF, "labels": AS_OF, "benchmark": AS_OF, "pages": AS_OF,
+    "conversations": AS_OF,
 }
 
 
@@ -598,6 +601,8 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
         "p2_rename_customer": (q_rename_customer, o_rename_customer()),
         "p2_rename_duplicates": (q_rename_duplicates, o_rename_duplicates()),
         "p6_hash512_orders": (q_hash512_orders, None),
+        # array<float> text differs between engines: rows-only check
+        "o1_prepare_embeddings": (make_prepare_query("embeddings", AS_OF), None),
         "p3_audit_orders": (q_audit_orders, o_audit_orders()),
         "f1_timestamps_orders": (q_timestamps_orders, _ts_select("orders", AS_OF)),
         "f1_timestamps_events": (q_timestamps_events, _ts_select("events", EVENTS_AS_OF)),
