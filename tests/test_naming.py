@@ -52,3 +52,9 @@ def test_normalize_columns_frame(spark):
     from tidewater.operators import normalize_columns
     df = spark.createDataFrame([(1, "a", 2.0)], "LeadOrderID int, `café` string, `日付` double")
     assert normalize_columns(df).columns == ["LEAD_ORDER_ID", "CAF", "COL_3"]
+
+
+@given(st.lists(st.text(min_size=0, max_size=12), min_size=1, max_size=12))
+def test_normalizing_twice_changes_nothing(names):
+    once = normalized_names(names)
+    assert normalized_names(once) == once

@@ -96,3 +96,10 @@ def test_row_count_preserved_for_every_table(spark):
         out = prepare(df, "K", "B", "me", "SRC", include_ntz=True)
         assert out.count() == df.count(), t
         assert out.select("K").distinct().count() <= df.count()
+
+
+def test_empty_incremental_batch_skipped_without_probe(spark, tmp_dir):
+    spark.read.parquet(f"{SF}/orders.parquet").where(F.lit(False)).createOrReplaceTempView("tw_e2")
+    s = spec(tmp_dir, "e2", source=Source(kind="table", name="tw_e2"))
+    row = ingest_table(spark, s, cfg("incremental", "9"))
+    assert row["status"] == "skipped" and row["reason"] == "empty" and row["rows_in"] == 0

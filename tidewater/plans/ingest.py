@@ -2,10 +2,12 @@
 
 Per table (``ingest_table``):
 
-1. emptiness probe of the source (a one-row read); empty -> ``skipped``;
+1. emptiness probe of the source (a one-row read; ``historical`` only, where
+   an empty overwrite would wipe the table); empty -> ``skipped``;
 2. ``prepare`` (one narrow projection);
 3. pre-load gate on the schema (V1) -> ``failed`` with reasons;
-4. land the batch in the lake once, counting in the same pass (K1, A2);
+4. land the batch in the lake once, counting in the same pass (K1, A2); an
+   empty incremental batch writes nothing and is ``skipped``;
 5. count the landed batch (V2; a partition-pruned count);
 6. load the target *from the landed batch* (K5): the source is read once,
    the lineage is cut by the written files, and both copies carry the same
@@ -77,8 +79,13 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
         if from_source and config.count_source:
             row["rows_source"] = spec.source.count_rows(spark)
             empty = row["rows_source"] == 0
-        else:
+        elif config.mode == HISTORICAL:
+            # a full reload must not replace the lake with nothing: probe first
             empty = raw.isEmpty()
+        else:
+            # an empty incremental batch writes no partition and replaces
+            # nothing, so the landing count decides (one source read saved)
+            empty = False
         if empty:
             row.update(status="skipped", reason="empty")
             return row
@@ -93,6 +100,9 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
             return row
         row["rows_in"] = write_lake(prepared, spec.lake_path, config.mode,
                                     fmt=spec.lake_format, options=spec.lake_options)
+        if row["rows_in"] == 0:
+            row.update(status="skipped", reason="empty")
+            return row
         landed = read_lake(spark, spec.lake_path, spec.lake_format,
                            batch_id=config.batch_id)
         row["rows_landed"] = landed.count()
