@@ -17,19 +17,15 @@ from pyspark.sql import functions as F
 # digit run. ---
 WORD_PATTERN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
-_NON_WORD = re.compile(r"[^\w]")
-_UNDERSCORES = re.compile(r"_+")
-
 
 def snake_upper(name: str) -> str:
     """``LeadOrderID`` -> ``LEAD_ORDER_ID``; ``address1`` -> ``ADDRESS_1``.
 
     May return ``""`` for a name without ASCII letters or digits.
     """
-    joined = "_".join(WORD_PATTERN.findall(name)).upper()
-    # Words only hold [A-Za-z0-9], so this pass is a guard, not a rewrite.
-    joined = _UNDERSCORES.sub("_", _NON_WORD.sub("_", joined)).strip("_")
-    return joined.upper()
+    # Words hold only ASCII letters and digits and are never empty, so the
+    # result is already [A-Z0-9_] with single, inner underscores.
+    return "_".join(WORD_PATTERN.findall(name)).upper()
 
 
 def normalized_names(names: list[str] | tuple[str, ...]) -> list[str]:
