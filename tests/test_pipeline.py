@@ -61,6 +61,7 @@ def test_failures_are_reported(spark, tmp_dir):
     s = summarize(report).first()
     assert (s["tables"], s["succeeded"], s["failed"], s["skipped"]) == (4, 1, 2, 1)
     assert s["failed_tables"] == "bad_sink,nope"
+    assert s["elapsed_s"] > 0
 
 
 def test_raise_on_failure(spark, tmp_dir):

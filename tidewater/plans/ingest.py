@@ -146,7 +146,8 @@ def ingest_all(spark: SparkSession, specs: Iterable, config,
 
 
 def summarize(report: DataFrame) -> DataFrame:
-    """A4: one row - tables, succeeded, failed, skipped, failed tables."""
+    """A4: one row - tables, succeeded, failed, skipped, failed tables and the
+    summed elapsed seconds of the table runs (tables run one after another)."""
     st = F.col("status")
     return report.agg(
         F.count(F.lit(1)).alias("tables"),
@@ -155,4 +156,5 @@ def summarize(report: DataFrame) -> DataFrame:
         F.count(F.when(st == "skipped", 1)).alias("skipped"),
         F.concat_ws(",", F.array_sort(F.collect_list(
             F.when(st == "failed", F.col("table_name"))))).alias("failed_tables"),
+        F.round(F.sum("elapsed_s"), 3).alias("elapsed_s"),
     )
