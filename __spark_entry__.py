@@ -224,7 +224,7 @@ INGEST_TABLES = ["customer", "orders", "lineitem", "part", "supplier"]
 
 def _ingest_report(spark, sf_dir):
     root = scratch_dir(spark, "o2")
-    empty_view = "tidewater_orders_after_2100"
+    empty_view = "tidewater_orders_after_2100_" + root.rstrip("/").rsplit("/", 1)[-1]
     _read(spark, sf_dir, "orders").where(
         F.col("o_orderdate") > F.lit("2100-01-01").cast("timestamp_ntz")
     ).createOrReplaceTempView(empty_view)
