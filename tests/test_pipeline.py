@@ -104,3 +104,19 @@ def test_empty_incremental_batch_skipped_without_probe(spark, tmp_dir):
     s = spec(tmp_dir, "e2", source=Source(kind="table", name="tw_e2"))
     row = ingest_table(spark, s, cfg("incremental", "9"))
     assert row["status"] == "skipped" and row["reason"] == "empty" and row["rows_in"] == 0
+
+
+def test_effective_spread(spark):
+    import dataclasses
+    from tidewater.plans.spec import effective_spread
+    from tidewater.sources import JdbcPartitioning
+    base = spec("/tmp/x", "orders")
+    assert effective_spread(spark, base) == 0
+    assert effective_spread(spark, dataclasses.replace(base, spread=16)) == 16
+    jdbc = dataclasses.replace(base, source=Source(kind="jdbc", name="t", options={"url": "u"}))
+    assert effective_spread(spark, jdbc) == spark.sparkContext.defaultParallelism
+    assert effective_spread(spark, dataclasses.replace(jdbc, spread=0)) == 0
+    parted = dataclasses.replace(jdbc, source=Source(
+        kind="jdbc", name="t", options={"url": "u"},
+        partitioning=JdbcPartitioning("id", "0", "9", 4)))
+    assert effective_spread(spark, parted) == 0

@@ -32,6 +32,7 @@ from tidewater.operators.audit import shadowed_audit_columns
 from tidewater.operators.checks import gate_reasons, reconcile
 from tidewater.operators.rename import normalize_columns
 from tidewater.plans.prepare import prepare_with
+from tidewater.plans.spec import effective_spread
 from tidewater.sinks.lake import write_lake
 from tidewater.sinks.modes import resolve_load
 from tidewater.sinks.table import count_target, write_target
@@ -89,8 +90,11 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
         if empty:
             row.update(status="skipped", reason="empty")
             return row
-        if spec.spread and raw.rdd.getNumPartitions() < spec.spread:
-            raw = raw.repartition(spec.spread)
+        spread = effective_spread(spark, spec)
+        if spread > 1 and raw.rdd.getNumPartitions() < spread:
+            # round-robin: even slices whatever the keys; retried stages
+            # reproduce the same slices (Spark sorts before round-robin)
+            raw = raw.repartition(spread)
         shadowed = shadowed_audit_columns(normalize_columns(raw).columns)
         row["shadowed"] = ",".join(shadowed) if shadowed else None
         prepared = prepare_with(raw, spec, config)

@@ -79,8 +79,10 @@ class TableSpec:
     lake_format: str = "parquet"
     lake_options: Mapping[str, str] = field(default_factory=dict)
     exclude: tuple[str, ...] = ()
-    # Spread a source that arrives in fewer partitions than this (for example
-    # an unpartitioned JDBC read, one task) before the row-hash work.
+    # Spread a source that arrives in fewer partitions than this before the
+    # row-hash work. None: automatic - a JDBC source read without
+    # partitioning (always one task) is spread over the cluster's default
+    # parallelism; other sources keep their own splits. 0: never.
     spread: int | None = None
 
 
@@ -101,3 +103,16 @@ class RunConfig:
 
     def __post_init__(self):
         object.__setattr__(self, "mode", validate_mode(self.mode))
+
+
+def effective_spread(spark: SparkSession, spec: TableSpec) -> int:
+    """Target partition count for spreading the source; 0 means leave it."""
+    if spec.spread is not None:
+        return max(int(spec.spread), 0)
+    src = spec.source
+    if src.kind == "jdbc" and src.partitioning is None:
+        try:
+            return int(spark.sparkContext.defaultParallelism)
+        except Exception:  # no SparkContext (Connect)
+            return 0
+    return 0
