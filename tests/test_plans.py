@@ -54,8 +54,10 @@ def test_gate_reads_no_columns(spark):
 def test_batch_read_lists_only_its_directory(spark, tmp_dir):
     for b in ("1", "2"):
         write_lake(prepared(spark, "customer", b), tmp_dir, "incremental")
-    p = plan(read_lake(spark, tmp_dir, batch_id="2"))
+    df = read_lake(spark, tmp_dir, batch_id="2")
+    p = plan(df)
     assert f"{BATCH_ID}=2" in p and f"{BATCH_ID}=1" not in p
+    assert dict(df.dtypes)[BATCH_ID] == "string" and df.columns[-1] == BATCH_ID
 
 
 def test_dedupe_is_partial_then_final_aggregate(spark):

@@ -115,7 +115,7 @@ def count_target(spark: SparkSession, target, batch_id: str | None = None,
     """Rows in the target, or in one batch of it. The batch filter is a
     partition filter (files) or a pushed-down WHERE (databases)."""
     if target.kind in ("path", "table"):
-        if target.kind == "path" and target.partition_by:
+        if target.kind == "path" and target.partition_by and batch_id is not None:
             from tidewater.sources.lake import read_lake
             return read_lake(spark, target.name, target.format, batch_id=batch_id,
                              batch_column=batch_column).count()

@@ -20,33 +20,29 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
               batch_column: str = BATCH_ID, merge_schema: bool = False) -> DataFrame:
     """Read the landed table, or one batch of it.
 
-    A batch is read straight from its own directory (``basePath`` keeps the
-    batch column), so only that directory is listed - the cost does not grow
-    with the number of batches already landed. ``merge_schema`` reconciles
-    footers of all files (needed only after columns were added), which reads
-    every footer and is therefore off by default.
+    A batch is read straight from its own directory and the batch column is
+    added as the known string literal: only that directory is listed (the
+    cost does not grow with the number of batches landed) and no partition
+    value has to be parsed. A whole-table read discovers the batch column;
+    partition discovery would type an all-digit batch id as a number, so in
+    that case the table is read with a schema that keeps it a string.
+    ``merge_schema`` reconciles footers of all files (needed only after
+    columns were added), which reads every footer and is off by default.
     """
     opts = dict(options or {})
     if fmt == "parquet" and merge_schema:
         opts.setdefault("mergeSchema", "true")
-    direct = batch_id is not None and _PLAIN_VALUE.match(batch_id) is not None
     root = path.rstrip("/")
-
-    def reader():
-        r = spark.read.format(fmt).options(**opts)
-        return r.option("basePath", root) if direct else r
-
-    location = f"{root}/{batch_column}={batch_id}" if direct else path
-    inferred = reader().load(location).schema
-    # Partition values are typed by inference (an all-digit batch id would
-    # come back as a number); a user schema keeps the batch column a string.
+    if batch_id is not None and _PLAIN_VALUE.match(batch_id):
+        df = spark.read.format(fmt).options(**opts).load(f"{root}/{batch_column}={batch_id}")
+        return df.withColumn(batch_column, F.lit(batch_id))
+    inferred = spark.read.format(fmt).options(**opts).load(path)
     if any(f.name == batch_column and not isinstance(f.dataType, T.StringType)
-           for f in inferred.fields):
+           for f in inferred.schema.fields):
         schema = T.StructType([T.StructField(f.name, T.StringType(), True)
-                               if f.name == batch_column else f for f in inferred.fields])
-        df = reader().schema(schema).load(location)
-    else:
-        df = reader().load(location)
+                               if f.name == batch_column else f
+                               for f in inferred.schema.fields])
+        inferred = spark.read.format(fmt).options(**opts).schema(schema).load(path)
     if batch_id is not None:
-        df = df.where(qcol(batch_column) == F.lit(batch_id))
-    return df
+        inferred = inferred.where(qcol(batch_column) == F.lit(batch_id))
+    return inferred
