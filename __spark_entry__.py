@@ -337,6 +337,15 @@ def q_dedupe_orders_snapshots(spark, sf_dir):
     return dedupe_by_hash(_landed_snapshots(spark, sf_dir, "x1o"), hash_key("orders"))
 
 
+def q_dedupe_orders_incremental(spark, sf_dir):
+    """Incremental X1: the de-duplicated table holds the first snapshot; the
+    second batch contributes only row versions not seen before."""
+    from tidewater.operators import dedupe_new_rows
+    lake = _landed_snapshots(spark, sf_dir, "x1i")
+    seen = dedupe_by_hash(lake.where(F.col(BATCH_ID) == B1), hash_key("orders"))
+    return dedupe_new_rows(seen, lake.where(F.col(BATCH_ID) == B2), hash_key("orders"))
+
+
 def q_stream_orders(spark, sf_dir):
     """Orders arrive as a file stream; each micro-batch is one incremental
     load batch (here: one epoch, since the source is one file)."""
@@ -627,6 +636,9 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
                                     _prepare_sql("orders", B1, AS_OF, clean_ts=False)),
         "x2_changed_orders_unkeyed": (q_changed_orders_unkeyed, o_changed_orders_unkeyed()),
         "x1_dedupe_orders_snapshots": (q_dedupe_orders_snapshots, o_dedupe_orders_snapshots()),
+        "x1_dedupe_orders_incremental": (
+            q_dedupe_orders_incremental,
+            f"SELECT * FROM ({o_dedupe_orders_snapshots()}) WHERE ETL_BATCH_ID = {_lit(B2)}"),
         "stream_ingest_orders": (q_stream_orders, _prepare_sql(
             "orders", epoch_batch_id("S", 0), AS_OF, clean_ts=False)),
     }

@@ -98,3 +98,17 @@ def test_changes_plan_never_joins_snapshots(spark):
     plan = detect_changes(p, p, "H", ["o_orderkey"])._jdf.queryExecution().executedPlan().toString()
     # one aggregate over the union, one presence aggregate, one join with the presence table
     assert "Union" in plan and "partial_max" in plan
+
+
+def test_incremental_dedupe_equals_full_dedupe(spark):
+    from tidewater.operators import dedupe_new_rows
+    rng = random.Random(3)
+    rows = [(("hot" if i % 3 == 0 else f"h{rng.randrange(80)}"), f"b{i % 3}", rng.randrange(50))
+            for i in range(450)]
+    df = spark.createDataFrame(rows, f"H string, {BATCH_ID} string, N int")
+    full = sorted(map(tuple, dedupe_by_hash(df, "H").collect()))
+    state = dedupe_by_hash(df.where(f"{BATCH_ID} = 'b0'"), "H")
+    for b in ("b1", "b2"):
+        new = dedupe_new_rows(state, df.where(f"{BATCH_ID} = '{b}'"), "H")
+        state = state.unionByName(new)
+    assert sorted(map(tuple, state.collect())) == full

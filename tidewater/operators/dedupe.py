@@ -32,3 +32,21 @@ def dedupe_by_hash(df: DataFrame, hash_column: str,
         qcol(c) if c == hash_column else F.col("_best").getField(c).alias(c)
         for c in df.columns
     ])
+
+
+def dedupe_new_rows(seen: DataFrame, batch: DataFrame, hash_column: str,
+                    order_by: Sequence[str] = (BATCH_ID,)) -> DataFrame:
+    """Incremental X1: rows of a new ``batch`` whose hash is not in ``seen``
+    (the de-duplicated table so far, or any earlier data carrying the hash).
+
+    Appending the result to the de-duplicated table keeps it equal to
+    ``dedupe_by_hash`` over all batches, when batches arrive in ``order_by``
+    order, without re-reading history: the batch is de-duplicated first (hot
+    hashes collapse map-side), then a left-anti join against the slim hash
+    column of ``seen`` drops what was already kept. An anti join never fans
+    out; skewed partitions are split by adaptive execution.
+    """
+    fresh = dedupe_by_hash(batch, hash_column, order_by)
+    known = seen.select(qcol(hash_column).alias(hash_column)).distinct()
+    return fresh.join(known, on=hash_column, how="left_anti").select(
+        *[qcol(c) for c in batch.columns])
