@@ -145,7 +145,7 @@ def q_changes_lineitem(spark):
     after = li.where(F.col("l_returnflag") != "R")
     write_lake(prep(before, "lineitem", "1"), lake, "incremental")
     write_lake(prep(after, "lineitem", "2"), lake, "incremental")
-    noop(changes_between_batches(read_lake(spark, lake), "1", "2", "STG_LINEITEM_KEY",
+    noop(changes_between_batches(lake, "1", "2", "STG_LINEITEM_KEY",
                                  ["L_ORDERKEY", "L_LINENUMBER"]))
 
 

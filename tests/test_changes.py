@@ -112,3 +112,22 @@ def test_incremental_dedupe_equals_full_dedupe(spark):
         new = dedupe_new_rows(state, df.where(f"{BATCH_ID} = '{b}'"), "H")
         state = state.unionByName(new)
     assert sorted(map(tuple, state.collect())) == full
+
+
+def test_changes_between_landed_batches_by_path_with_added_column(spark, tmp_dir):
+    from tidewater.operators.changes import changes_between_batches
+    from tidewater.plans.prepare import prepare
+    from tidewater.sinks import write_lake
+    o = spark.read.parquet(f"{SF}/orders.parquet")
+    prev = o.where("o_orderkey < 1000")
+    cur = o.where("o_orderkey >= 10").withColumn("o_note", F.lit("n"))  # column added
+    for b, snap in (("1", prev), ("2", cur)):
+        write_lake(prepare(snap, "K", b, "me", "SRC"), tmp_dir, "incremental")
+    got = changes_between_batches(tmp_dir, "1", "2", "K", ["O_ORDERKEY"])
+    counts = dict(got.groupBy("change").count().collect())
+    n_prev, n_cur = prev.count(), cur.count()
+    both = o.where("o_orderkey >= 10 and o_orderkey < 1000").count()
+    # every common key changed: its hash now covers the new column
+    assert counts == {"removed": n_prev - both, "replaced": both, "changed": both,
+                      "new": n_cur - both}
+    assert "O_NOTE" in got.columns

@@ -32,17 +32,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.constants import BATCH_ID
+from tidewater.constants import AUDIT_COLUMNS, BATCH_ID
 from tidewater.functions.naming import qcol
 
 CHANGE = "change"
 
 
 def _tag(df: DataFrame, keys: list[str], hash_column: str, payload: list[str],
-         side: int) -> DataFrame:
+         types: dict, side: int) -> DataFrame:
+    """A column added after ``prev`` was taken is NULL on the ``prev`` side."""
+    fields = [qcol(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c)
+              for c in payload]
     return df.select(*[qcol(k) for k in keys], qcol(hash_column),
-                     F.lit(side).alias("_side"),
-                     F.struct(*[qcol(c) for c in payload]).alias("_row"))
+                     F.lit(side).alias("_side"), F.struct(*fields).alias("_row"))
 
 
 def detect_changes(prev: DataFrame, cur: DataFrame, hash_column: str,
@@ -52,8 +54,9 @@ def detect_changes(prev: DataFrame, cur: DataFrame, hash_column: str,
     new/changed rows and from ``prev`` for removed/replaced rows."""
     keys = list(key_columns)
     payload = [c for c in cur.columns if c != hash_column and c not in keys]
-    both = _tag(prev, keys, hash_column, payload, 0).unionByName(
-        _tag(cur, keys, hash_column, payload, 1))
+    types = {f.name: f.dataType for f in cur.schema.fields}
+    both = _tag(prev, keys, hash_column, payload, types, 0).unionByName(
+        _tag(cur, keys, hash_column, payload, types, 1))
     per_row = both.groupBy(*keys, hash_column).agg(
         F.max(F.col("_side") == 0).alias("_in_prev"),
         F.max(F.col("_side") == 1).alias("_in_cur"),
@@ -82,14 +85,23 @@ def detect_changes(prev: DataFrame, cur: DataFrame, hash_column: str,
     return diff.select(*cols, change.alias(CHANGE))
 
 
-def changes_between_batches(lake: DataFrame, prev_batch: str, cur_batch: str,
+def changes_between_batches(lake: DataFrame | str, prev_batch: str, cur_batch: str,
                             hash_column: str, key_columns: Sequence[str] = (),
-                            batch_column: str = BATCH_ID) -> DataFrame:
-    """Compare two batches of a landed table. The batch filters are
-    partition filters, so only the two batch directories are read; the
-    audit columns are dropped so they do not count as changes."""
-    from tidewater.constants import AUDIT_COLUMNS
-    keep = [c for c in lake.columns if c not in AUDIT_COLUMNS]
-    prev = lake.where(qcol(batch_column) == prev_batch).select(*[qcol(c) for c in keep])
-    cur = lake.where(qcol(batch_column) == cur_batch).select(*[qcol(c) for c in keep])
+                            batch_column: str = BATCH_ID, fmt: str = "parquet") -> DataFrame:
+    """Compare two batches of a landed table, given as a DataFrame (the batch
+    filters become partition filters) or as the lake path (only the two
+    batch directories are listed and read). Audit columns are dropped so
+    they do not count as changes."""
+    if isinstance(lake, str):
+        from pyspark.sql import SparkSession
+
+        from tidewater.sources.lake import read_lake
+        spark = SparkSession.active()
+        prev = read_lake(spark, lake, fmt, batch_id=prev_batch, batch_column=batch_column)
+        cur = read_lake(spark, lake, fmt, batch_id=cur_batch, batch_column=batch_column)
+    else:
+        prev = lake.where(qcol(batch_column) == prev_batch)
+        cur = lake.where(qcol(batch_column) == cur_batch)
+    prev = prev.select(*[qcol(c) for c in prev.columns if c not in AUDIT_COLUMNS])
+    cur = cur.select(*[qcol(c) for c in cur.columns if c not in AUDIT_COLUMNS])
     return detect_changes(prev, cur, hash_column, key_columns)
