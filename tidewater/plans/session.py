@@ -57,7 +57,10 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
     root = _checkpoint_dir(spark)
     if not root:
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = _checkpoint_dir(spark) or root
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+            root = _checkpoint_dir(spark) or root
+        except Exception:  # no SparkContext (Connect): use the directory as is
+            pass
     base = root.rstrip("/")
     return "/".join([base, "tidewater", *parts, uuid.uuid4().hex])
