@@ -1,6 +1,6 @@
 """Run every configured table once; exit 1 if any table failed.
 
-    spark-submit --py-files tidewater.zip -m tidewater run.json [--report PATH] [--mode M]
+    spark-submit --py-files tidewater.zip tidewater/__main__.py run.json [--report PATH] [--mode M]
 
 The session comes from ``spark-submit`` (cluster settings stay there). The
 run report is printed and, with ``--report``, appended as parquet.
