@@ -191,3 +191,44 @@ def test_session_conf_and_scratch(spark):
     assert c["spark.sql.shuffle.partitions"] == "64"
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert a != b and spark.sparkContext.getCheckpointDir().rstrip("/") in a
+
+
+class SessRec(Rec):
+    def load(self):
+        self.calls.append(("load",))
+
+        class D:
+            def collect(self_inner):
+                return []
+        return D()
+
+
+class FakeDFWithSession(FakeDF):
+    def __init__(self):
+        super().__init__()
+
+        class S:
+            read = SessRec()
+        self.sparkSession = S()
+
+
+def test_jdbc_replace_batch_deletes_before_append():
+    df = FakeDFWithSession()
+    t = Target(kind="jdbc", name="STG_T", default_database="DB", default_schema="S",
+               options={"url": "jdbc:x://h", "numPartitions": "8"}, replace_batch=True)
+    write_target(df, t, resolve_load("incremental", True), batch_id="20240101000000")
+    r = df.sparkSession.read
+    assert r.opts["sessionInitStatement"] == (
+        "DELETE FROM DB.S.STG_T WHERE ETL_BATCH_ID = '20240101000000'")
+    assert r.opts["dbtable"] == "(SELECT 1 AS done) src" and "numPartitions" not in r.opts
+    assert ("mode", "append") in df.write.calls
+
+
+def test_jdbc_no_delete_without_opt_in_or_on_replace():
+    df = FakeDFWithSession()
+    t = Target(kind="jdbc", name="T", options={"url": "u"})
+    write_target(df, t, resolve_load("incremental", True), batch_id="1")
+    assert "sessionInitStatement" not in df.sparkSession.read.opts
+    t2 = Target(kind="jdbc", name="T", options={"url": "u"}, replace_batch=True)
+    write_target(df, t2, resolve_load("historical", True), batch_id="1")
+    assert "sessionInitStatement" not in df.sparkSession.read.opts

@@ -55,7 +55,8 @@ def _target(d: Mapping | None) -> Target | None:
                   default_database=d.get("default_database"),
                   default_schema=d.get("default_schema"),
                   partition_by=tuple(d.get("partition_by", ("ETL_BATCH_ID",))),
-                  truncate_options=_options(d.get("truncate_options", {"truncate": "true"})))
+                  truncate_options=_options(d.get("truncate_options", {"truncate": "true"})),
+                  replace_batch=bool(d.get("replace_batch", False)))
 
 
 def specs_from_dict(doc: Mapping) -> tuple[list[TableSpec], RunConfig]:

@@ -65,6 +65,9 @@ class Target:
     default_schema: str | None = None
     partition_by: tuple[str, ...] = (BATCH_ID,)
     truncate_options: Mapping[str, str] = field(default_factory=lambda: {"truncate": "true"})
+    # JDBC targets: delete the batch's rows before an incremental append, so a
+    # re-run of the batch replaces it (file and catalog targets always do).
+    replace_batch: bool = False
 
 
 @dataclass(frozen=True)

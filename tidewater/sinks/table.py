@@ -10,7 +10,8 @@ Target kinds (``tidewater.plans.spec.Target``):
 Replace-keeping-schema is a truncate for databases and an insert-overwrite
 for catalog tables. Incremental loads to ``path`` and ``table`` targets
 overwrite only their own batch partition, so a re-run is idempotent;
-database targets append.
+database targets append (with ``replace_batch`` the batch's rows are
+deleted first, which makes JDBC re-runs idempotent too).
 """
 
 from __future__ import annotations
@@ -74,6 +75,8 @@ def write_target(df: DataFrame, target, action: LoadAction,
     if kind == "jdbc":
         opts = dict(target.options)
         url = opts.pop("url")
+        if target.replace_batch and batch_id is not None and not action.replace:
+            delete_jdbc_batch(df.sparkSession, target, batch_id)
         w = (df.write.format("jdbc").option("url", url)
              .option("dbtable", qualify(target.name, target.default_database,
                                         target.default_schema))
@@ -110,6 +113,22 @@ def _overwrite_batch_partition(df: DataFrame, table: str, batch_column: str,
         spark.catalog.dropTempView(view)
 
 
+def delete_jdbc_batch(spark: SparkSession, target, batch_id: str,
+                      batch_column: str = BATCH_ID) -> None:
+    """Delete one batch from a JDBC target before it is appended again.
+
+    Spark's JDBC writer cannot run a DELETE; its reader runs
+    ``sessionInitStatement`` once per read partition before reading, so a
+    one-partition read of ``SELECT 1`` executes the DELETE exactly once.
+    """
+    from tidewater.sources.jdbc import read_jdbc
+    opts = {k: v for k, v in target.options.items() if k not in ("url", "numPartitions")}
+    name = qualify(target.name, target.default_database, target.default_schema)
+    opts["sessionInitStatement"] = (f"DELETE FROM {name} WHERE {batch_column} = "
+                                    f"{sql_text(batch_id)}")
+    read_jdbc(spark, target.options["url"], query="SELECT 1 AS done", options=opts).collect()
+
+
 def count_target(spark: SparkSession, target, batch_id: str | None = None,
                  batch_column: str = BATCH_ID) -> int:
     """Rows in the target, or in one batch of it. The batch filter is a
