@@ -249,6 +249,19 @@ def q_reconcile(spark, sf_dir):
         "rows_loaded", "ok", "load_action")
 
 
+def q_reconcile_with_source_count(spark, sf_dir):
+    """S3 + V3: the source count joins the reconciliation (incremental run)."""
+    root = scratch_dir(spark, "s3v3")
+    specs = [TableSpec(name=t, source=Source(kind="path", name=f"{sf_dir}/{t}.parquet"),
+                       hash_column=hash_key(t), lake_path=f"{root}/lake/{t}",
+                       target=Target(kind="path", name=f"{root}/target/{t}"))
+             for t in ("orders", "lineitem")]
+    config = RunConfig(mode="incremental", created_by=CREATED_BY, source_system=SOURCE_SYSTEM,
+                       batch_id=B1, run_ts=RUN_TS, as_of=AS_OF, bits=256, count_source=True)
+    return ingest_all(spark, specs, config).select(
+        "table_name", "status", "rows_source", "rows_in", "rows_landed", "rows_loaded", "ok")
+
+
 def q_summary(spark, sf_dir):
     # elapsed_s is wall time, not data: left out of the compared result
     return summarize(_ingest_report(spark, sf_dir)).drop("elapsed_s")
@@ -623,6 +636,10 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
         "s3_count": (q_source_count, o_source_count()),
         "v3_reconcile": (q_reconcile, o_reconcile()),
         "a4_summary": (q_summary, o_summary()),
+        "v3_reconcile_source_count": (q_reconcile_with_source_count, " UNION ALL ".join(
+            f"SELECT {_lit(t)} AS table_name, 'success' AS status, count(*) AS rows_source, "
+            f"count(*) AS rows_in, count(*) AS rows_landed, count(*) AS rows_loaded, TRUE AS ok "
+            f"FROM {t}" for t in ("orders", "lineitem"))),
         "x1_dedupe_documents": (q_dedupe_documents, o_dedupe_documents()),
         "x2_changed_orders": (q_changed_orders, o_changed_orders()),
         "s5_read_batch": (q_read_batch, _prepare_sql("orders", B2, AS_OF, clean_ts=False)),
