@@ -21,7 +21,7 @@ from tidewater.operators.rename import normalize_columns
 from tidewater.operators.hashing import add_row_hash
 from tidewater.operators.audit import add_audit_columns
 from tidewater.operators.timestamps import sanitize_timestamps
-from tidewater.operators.dedupe import dedupe_by_hash
+from tidewater.operators.dedupe import dedupe_by_hash, dedupe_new_rows
 from tidewater.operators.changes import detect_changes
 from tidewater.plans.spec import TableSpec, Target
 from tidewater.plans.prepare import prepare
@@ -30,6 +30,7 @@ from tidewater.plans.ingest import ingest_table, ingest_all, summarize
 __all__ = [
     "AUDIT_COLUMNS", "ROW_HASH", "BATCH_ID",
     "snake_upper", "normalized_names", "normalize_columns", "add_row_hash",
-    "add_audit_columns", "sanitize_timestamps", "dedupe_by_hash", "detect_changes",
+    "add_audit_columns", "sanitize_timestamps", "dedupe_by_hash", "dedupe_new_rows",
+    "detect_changes",
     "TableSpec", "Target", "prepare", "ingest_table", "ingest_all", "summarize",
 ]
