@@ -35,3 +35,10 @@ def test_one_timestamp_per_query(spark):
     out = add_audit_columns(spark.range(1000).repartition(8), None, "me", "SRC").collect()
     assert len({(r["ETL_CREATED_DATE"], r["ETL_LAST_UPDATE_DATE"]) for r in out}) == 1
     assert len({r["ETL_BATCH_ID"] for r in out}) == 1
+
+
+def test_aware_run_ts_is_an_instant(spark):
+    ts = dt.datetime(2024, 1, 1, 12, 0, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    out = add_audit_columns(spark.range(1), "B", "me", "SRC", run_ts=ts).first()
+    # session zone is UTC in the tests: 12:00+02:00 is 10:00 UTC
+    assert out["ETL_CREATED_DATE"] == dt.datetime(2024, 1, 1, 10, 0)

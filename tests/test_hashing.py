@@ -101,3 +101,18 @@ def test_hash_single_pass_in_plan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     plan = add_row_hash(df, "K")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("sha2(") == 1
+
+
+def test_other_sha2_sizes_match_hashlib(spark):
+    df = spark.createDataFrame([(1, "x")], "A int, B string")
+    for bits in (224, 256, 384):
+        r = add_row_hash(df, "K", bits=bits).first()
+        assert r["K"] == py_hash(["1", "x"], bits)
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1, "x", "y")], "`a.b` int, `c d` string, `e``f` string")
+    r = add_row_hash(df, "K").first()
+    # sorted names: "a.b", "c d", "e`f"
+    assert r["K"] == py_hash(["1", "x", "y"])
+    assert add_row_hash(df, "K").columns == ["K", "a.b", "c d", "e`f", ROW_HASH]
