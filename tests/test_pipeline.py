@@ -120,3 +120,12 @@ def test_effective_spread(spark):
         kind="jdbc", name="t", options={"url": "u"},
         partitioning=JdbcPartitioning("id", "0", "9", 4)))
     assert effective_spread(spark, parted) == 0
+
+
+def test_no_hash_column_fails_gate_before_landing(spark, tmp_dir):
+    import os
+    s = TableSpec(name="c", source=Source(kind="path", name=f"{SF}/customer.parquet"),
+                  hash_column=None, lake_path=f"{tmp_dir}/lake/c")
+    row = ingest_table(spark, s, cfg())
+    assert row["status"] == "failed" and row["reason"] == "missing audit columns: ETL_ROW_HASH"
+    assert not os.path.exists(f"{tmp_dir}/lake/c")

@@ -70,3 +70,9 @@ def test_audit_dates_survive_cleanup(spark):
     out = sanitize_timestamps(df).collect()
     assert all(r["ETL_CREATED_DATE"] is not None for r in out)
     assert len({r["ETL_CREATED_DATE"] for r in out}) == 1
+
+
+def test_future_validated_without_timestamp_columns(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        sanitize_timestamps(spark.range(1), future="drop")

@@ -24,6 +24,8 @@ def sanitize_timestamps(df: DataFrame, as_of: TimeLike = None,
     ``year(as_of) + 1`` or later than ``as_of``. Then, for columns named
     ``ETL_*``, NULL becomes ``as_of``. DateType is left alone; NTZ columns only
     with ``include_ntz``. One projection; column types are kept."""
+    if future not in ("null", "keep"):
+        raise ValueError("future must be 'null' or 'keep'")
     targets = set(timestamp_columns(df, include_ntz))
     if not targets:
         return df
