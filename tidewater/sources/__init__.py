@@ -7,10 +7,10 @@ from tidewater.sources.jdbc import (
 )
 from tidewater.sources.connector import read_query
 from tidewater.sources.lake import read_lake
-from tidewater.sources.catalog import target_exists, split_table_name
+from tidewater.sources.catalog import metadata_query, split_table_name, target_exists
 
 __all__ = [
     "JdbcPartitioning", "read_jdbc", "full_table_query", "count_query", "subquery",
     "bounds_query", "partitioning_for",
-    "read_query", "read_lake", "target_exists", "split_table_name",
+    "read_query", "read_lake", "target_exists", "split_table_name", "metadata_query",
 ]
