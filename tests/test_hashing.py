@@ -1,7 +1,6 @@
 import hashlib
 
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from tidewater.constants import AUDIT_COLUMNS, ROW_HASH
 from tidewater.operators import add_row_hash, add_audit_columns

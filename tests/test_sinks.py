@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from tidewater.constants import BATCH_ID
 from tidewater.plans import Target
