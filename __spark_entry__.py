@@ -373,7 +373,9 @@ def q_stream_orders(spark, sf_dir):
                        run_ts=RUN_TS, as_of=AS_OF, bits=256)
     q = ingest_stream(stream, spec, config, f"{root}/checkpoint", "S",
                       report_path=f"{root}/report")
-    q.awaitTermination()
+    if not q.awaitTermination(900):  # available-now ends by itself; never hang
+        q.stop()
+        raise TimeoutError("streaming ingest did not finish within 900 s")
     return read_lake(spark, f"{root}/target")
 
 
