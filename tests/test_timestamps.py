@@ -76,3 +76,11 @@ def test_future_validated_without_timestamp_columns(spark):
     import pytest
     with pytest.raises(ValueError):
         sanitize_timestamps(spark.range(1), future="drop")
+
+
+def test_ntz_against_current_local_time(spark):
+    df = spark.createDataFrame([("2999-01-01 00:00:00",), ("2000-01-01 00:00:00",)], "s string")
+    ntz = df.select(F.col("s").cast("timestamp_ntz").alias("n"))
+    out = sanitize_timestamps(ntz, include_ntz=True).collect()
+    assert sorted(r["n"] is None for r in out) == [False, True]
+    assert dict(sanitize_timestamps(ntz, include_ntz=True).dtypes)["n"] == "timestamp_ntz"
