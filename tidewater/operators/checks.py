@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.constants import AUDIT_COLUMNS
 
@@ -32,22 +32,26 @@ def is_load_ready(df: DataFrame, hash_column: str | None) -> list[str]:
     return reasons
 
 
+GATE_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()),
+    T.StructField("ready", T.BooleanType()),
+    T.StructField("reasons", T.StringType()),
+])
+
+
 def load_gate(df: DataFrame, hash_column: str | None, table: str | None = None) -> DataFrame:
-    """The gate as a lazy one-row DataFrame: ``table_name, ready, reasons``.
+    """The gate as a one-row DataFrame: ``table_name, ready, reasons``.
 
-    The emptiness test is ``LIMIT 1`` under a count, so the scan stops after
-    one row and reads no columns.
+    Emptiness is probed with ``DataFrame.isEmpty()``: an incremental take
+    over a column-pruned plan that scans one partition first and more only
+    if it finds no row - not one task per input split, which a lazy
+    ``limit(1)`` under an aggregate would schedule on a 100 TB table.
     """
     schema_reasons = gate_reasons(df.columns, hash_column)
-    probe = df.limit(1).agg(F.count(F.lit(1)).alias("_n"))
-    empty = F.col("_n") == 0
-    reasons = F.concat_ws("; ", F.when(empty, F.lit("empty")),
-                          *[F.lit(r) for r in schema_reasons])
-    return probe.select(
-        F.lit(table).cast("string").alias("table_name"),
-        (~empty & F.lit(not schema_reasons)).alias("ready"),
-        reasons.alias("reasons"),
-    )
+    empty = df.isEmpty()
+    reasons = (["empty"] if empty else []) + schema_reasons
+    return df.sparkSession.createDataFrame(
+        [(table, not reasons, "; ".join(reasons))], GATE_SCHEMA)
 
 
 def reconcile(*counts: int | None) -> bool | None:
