@@ -232,3 +232,12 @@ def test_jdbc_no_delete_without_opt_in_or_on_replace():
     t2 = Target(kind="jdbc", name="T", options={"url": "u"}, replace_batch=True)
     write_target(df, t2, resolve_load("historical", True), batch_id="1")
     assert "sessionInitStatement" not in df.sparkSession.read.opts
+
+
+def test_source_count_runs_in_the_database():
+    s = FakeSpark()
+    s.read = BoundsRec(Row1(42))
+    src = Source(kind="jdbc", name="dbo.[Orders]", hint="WITH (NOLOCK)", options={"url": "u"})
+    assert src.count_rows(s) == 42
+    assert s.read.opts["dbtable"] == (
+        "(SELECT COUNT(*) AS total_count FROM dbo.[Orders] WITH (NOLOCK)) src")
