@@ -129,3 +129,9 @@ def test_no_hash_column_fails_gate_before_landing(spark, tmp_dir):
     row = ingest_table(spark, s, cfg())
     assert row["status"] == "failed" and row["reason"] == "missing audit columns: ETL_ROW_HASH"
     assert not os.path.exists(f"{tmp_dir}/lake/c")
+
+
+def test_reason_drops_stack_frames():
+    from tidewater.plans.ingest import _reason
+    exc = RuntimeError("An error occurred\nCaused by: java.io.IOException: boom\n\tat a.b.C(C.java:1)\n\tat x")
+    assert _reason(exc) == "RuntimeError: An error occurred | Caused by: java.io.IOException: boom"

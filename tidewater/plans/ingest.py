@@ -125,12 +125,23 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
         else:
             row["status"] = "success"
     except Exception as exc:  # reported, never swallowed
-        row.update(status="failed", reason=f"{type(exc).__name__}: {exc}".strip()[:4000])
+        row.update(status="failed", reason=_reason(exc))
     finally:
         row["elapsed_s"] = round(time.monotonic() - start, 3)
     return row
 
 
+def _reason(exc: Exception, limit: int = 2000) -> str:
+    """The error's message lines, without the JVM stack frames."""
+    lines = []
+    for line in f"{type(exc).__name__}: {exc}".splitlines():
+        if line.lstrip().startswith("at ") or line.startswith("\tat "):
+            break
+        if line.strip():
+            lines.append(line.strip())
+    return " | ".join(lines)[:limit]
+
+
 def report_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame([tuple(r[f.name] for f in REPORT_SCHEMA.fields)
                                   for r in rows], REPORT_SCHEMA)
