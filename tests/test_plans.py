@@ -76,3 +76,13 @@ def test_changes_never_join_snapshots_and_presence_scans_keys_only(spark):
     # the only join is with the one-row-per-key presence table
     assert len(re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) ", p)) <= 1
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_incremental_dedupe_reads_only_the_hash_of_history(spark, tmp_dir):
+    from tidewater.operators import dedupe_new_rows
+    write_lake(prepared(spark, "customer", "1"), tmp_dir, "incremental")
+    history = read_lake(spark, tmp_dir, batch_id="1")
+    new = prepared(spark, "customer", "2")
+    p = plan(dedupe_new_rows(history, new, "K"))
+    assert "ReadSchema: struct<K:string>" in p
+    assert "LeftAnti" in p
