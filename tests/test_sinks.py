@@ -132,3 +132,16 @@ def test_catalog_replace_ignores_dynamic_session_mode(spark):
     got = [r[0] for r in spark.table(name).select(BATCH_ID).distinct().collect()]
     assert got == ["2"]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_path_exists_marker_and_fallback(spark, tmp_dir):
+    from tidewater.sources.catalog import path_exists
+    assert not path_exists(spark, tmp_dir + "/none")
+    write_lake(prepared(spark, "1"), tmp_dir + "/t", "incremental")
+    assert path_exists(spark, tmp_dir + "/t")
+    # data written without a marker (another tool) is still found
+    spark.read.parquet(f"{SF}/region.parquet").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(tmp_dir + "/u")
+    import os
+    assert not os.path.exists(tmp_dir + "/u/_SUCCESS")
+    assert path_exists(spark, tmp_dir + "/u")

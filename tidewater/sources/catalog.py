@@ -38,13 +38,26 @@ def metadata_query(name: str, default_database: str | None,
             f"WHERE {' AND '.join(where)}")
 
 
+def _condition(exc: AnalysisException) -> str | None:
+    return exc.getCondition() if hasattr(exc, "getCondition") else exc.getErrorClass()
+
+
 def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """A table exists at ``path`` when a Spark job committed there (its
+    ``_SUCCESS`` marker: one file looked up, nothing listed) or, for data
+    written by other tools, when a schema can be read from its files (this
+    lists the whole directory)."""
+    try:
+        spark.read.text(path.rstrip("/") + "/_SUCCESS").schema
+        return True
+    except AnalysisException as exc:
+        if _condition(exc) != "PATH_NOT_FOUND":
+            raise
     try:
         spark.read.format(fmt).load(path).schema
         return True
     except AnalysisException as exc:
-        cls = exc.getCondition() if hasattr(exc, "getCondition") else exc.getErrorClass()
-        if cls in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if _condition(exc) in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
 
