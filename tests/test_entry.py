@@ -38,3 +38,31 @@ def test_query_matches_oracle(spark, duck, name):
     got = E.queries()[name](spark, SF).toPandas()
     want = duck.sql(E.oracle_sql()[name]).df()
     assert digest(got) == digest(want)
+
+
+def _run(args, env_extra=None):
+    import json
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {**os.environ, **(env_extra or {})}
+    proc = subprocess.run([sys.executable, *args], cwd=root, env=env, capture_output=True,
+                          text=True, timeout=600)
+    assert proc.returncode == 0, proc.stderr[-3000:]
+    return proc.stdout, json
+
+
+def test_bench_prints_one_json_line():
+    out, json = _run(["bench.py", "hash_documents"],
+                     {"BENCH_SF_DIR": SF, "BENCH_REPEATS": "1", "BENCH_CPUS": "2"})
+    lines = [ln for ln in out.splitlines() if ln.strip()]
+    assert len(lines) == 1
+    rec = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(rec)
+    assert rec["unit"] == "sec" and rec["sf"] == "0.001" and "hash_documents" in rec["queries"]
+
+
+def test_plans_script_runs():
+    out, _ = _run(["scripts/plans.py", SF])
+    assert out.count("== Physical Plan ==") == 6
