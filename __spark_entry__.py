@@ -11,24 +11,31 @@ SHA-512 has no DuckDB counterpart, so oracle queries hash with SHA-256.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+# The driver may load this file by path from another working directory.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
-from tidewater.constants import BATCH_ID
-from tidewater.functions.naming import normalized_names
-from tidewater.operators import (
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidewater.constants import BATCH_ID  # noqa: E402
+from tidewater.functions.naming import normalized_names  # noqa: E402
+from tidewater.operators import (  # noqa: E402
     add_audit_columns, add_row_hash, dedupe_by_hash, load_gate, normalize_columns,
     sanitize_timestamps,
 )
-from tidewater.operators.changes import changes_between_batches
-from tidewater.plans import RunConfig, Source, TableSpec, Target, ingest_all, summarize
-from tidewater.plans.prepare import prepare
-from tidewater.plans.session import scratch_dir
-from tidewater.sinks import resolve_load, write_lake, write_target
-from tidewater.sources import read_lake, target_exists
-from tidewater.streaming import epoch_batch_id, ingest_stream
+from tidewater.operators.changes import changes_between_batches  # noqa: E402
+from tidewater.plans import RunConfig, Source, TableSpec, Target, ingest_all, summarize  # noqa: E402
+from tidewater.plans.prepare import prepare  # noqa: E402
+from tidewater.plans.session import scratch_dir  # noqa: E402
+from tidewater.sinks import resolve_load, write_lake, write_target  # noqa: E402
+from tidewater.sources import read_lake, target_exists  # noqa: E402
+from tidewater.streaming import epoch_batch_id, ingest_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
