@@ -676,9 +676,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_entry(spark, SMOKE_DIR)
 
 
+def _training_data() -> dict[str, tuple[Callable, str | None]]:
+    """Queries of the optional training-data subpackage; none without it."""
+    try:
+        import corpus_pipeline
+        from tidewater.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "tidewater.llm", "tidewater.llm.queries"):
+            raise
+        return {}
+    found = {name: (fn, ORACLES.get(name)) for name, fn in QUERIES.items()}
+    found["pipeline"] = (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)
+    return found
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: fn for name, (fn, _) in _registry().items()}
+    return {name: fn for name, (fn, _) in (_registry() | _training_data()).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _registry().items() if sql is not None}
+    return {name: sql for name, (_, sql) in (_registry() | _training_data()).items()
+            if sql is not None}
