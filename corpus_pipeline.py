@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import mixing, quality_rules, simhash
+from tidewater.llm import mixing, packing, quality_rules, simhash
 from tidewater.llm.common import materialize, read_table
 
 
@@ -29,10 +29,16 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.emit_mix(docs)
 
 
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document and their places in training sequences."""
+    return packing.pack_documents(docs, capacity=2048)
+
+
 STAGES = [
     ("quality rules", quality_stage),
     ("simhash near-dedup", near_dedup_stage),
     ("source mixing", mixing_stage),
+    ("best-fit packing", packing_stage),
 ]
 
 #: Stages with Python code have no SQL form; tests/llm holds brute-force versions.

@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .mixing import mix_sources
+from .packing import pack_documents
 from .quality_rules import quality_rules
 from .simhash import simhash_near_dedup
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read_table(spark, sf_dir, "documents"), capacity=2048)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -29,7 +34,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op7_quality_rules, op9_simhash_near_dedup, op10_source_mixing,
+    op4_best_fit_packing, op7_quality_rules, op9_simhash_near_dedup, op10_source_mixing,
 )}
 
 ORACLES: dict[str, str] = {}
