@@ -8,8 +8,9 @@ kept and returns a DataFrame; all but the last return the columns of
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, packing, quality_rules, simhash
+from tidewater.llm import line_dedup, mixing, packing, quality_rules, simhash
 from tidewater.llm.common import materialize, read_table
 
 
@@ -19,6 +20,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("kept").select(*docs.columns)
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without lines that match an earlier line.
+
+    ``n_chars`` follows the shorter text; a document may end up empty.
+    """
+    cleaned = line_dedup.dedup_lines(docs)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text"))
+                                     .otherwise(F.col("n_chars")).cast("long"))
+    return cleaned.select(*docs.columns)
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every SimHash group: 3-word shingles, at most 3 bits."""
     return simhash.keep_one_per_group(docs, shingle=3, max_bits=3)
@@ -36,6 +49,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality rules", quality_stage),
+    ("line dedup", line_dedup_stage),
     ("simhash near-dedup", near_dedup_stage),
     ("source mixing", mixing_stage),
     ("best-fit packing", packing_stage),

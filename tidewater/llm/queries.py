@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_documents
 from .quality_rules import quality_rules
 from .simhash import simhash_near_dedup
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs, threshold=0.8)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), capacity=2048)
 
@@ -34,7 +40,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op4_best_fit_packing, op7_quality_rules, op9_simhash_near_dedup, op10_source_mixing,
+    op2_line_dedup, op4_best_fit_packing, op7_quality_rules, op9_simhash_near_dedup, op10_source_mixing,
 )}
 
 ORACLES: dict[str, str] = {}
