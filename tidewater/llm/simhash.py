@@ -171,7 +171,7 @@ def walk(code, start, end, mid, crossed, depth, max_bits):
         d, al, ah, bl, bh, diff = stack.pop()
         same = al == bl
         live = ((ah > al) & (bh > bl) & (diff <= max_bits) & ~(same & (ah - al < 2))
-                & (run[al] != run[np.maximum(bh, 1) - 1]))
+                & (run[np.minimum(al, len(run) - 1)] != run[np.maximum(bh, 1) - 1]))
         al, ah, bl, bh, diff = al[live], ah[live], bl[live], bh[live], diff[live]
         if not len(al):
             continue
