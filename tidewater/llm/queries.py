@@ -6,22 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .embedding_dedup import near_duplicate_vectors
+from .language_id import identify_languages
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_documents
+from .quality_model import score_quality
 from .quality_rules import quality_rules
 from .simhash import simhash_near_dedup
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return dedup_lines(docs, threshold=0.8)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), capacity=2048)
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"),
+                         read_table(spark, sf_dir, "labels"), cut=0.7)
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -40,7 +56,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_line_dedup, op4_best_fit_packing, op7_quality_rules, op9_simhash_near_dedup, op10_source_mixing,
+    op1_embedding_near_dedup, op2_line_dedup, op3_language_id, op4_best_fit_packing,
+    op5_quality_classifier, op7_quality_rules, op9_simhash_near_dedup, op10_source_mixing,
 )}
 
 ORACLES: dict[str, str] = {}
