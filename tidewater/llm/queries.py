@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .embedding_dedup import near_duplicate_vectors
+from .html_extract import extract_main_text
 from .language_id import identify_languages
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
@@ -38,6 +39,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                          read_table(spark, sf_dir, "labels"), cut=0.7)
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -57,7 +62,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_line_dedup, op3_language_id, op4_best_fit_packing,
-    op5_quality_classifier, op7_quality_rules, op9_simhash_near_dedup, op10_source_mixing,
+    op5_quality_classifier, op6_html_extraction, op7_quality_rules, op9_simhash_near_dedup,
+    op10_source_mixing,
 )}
 
 ORACLES: dict[str, str] = {}
