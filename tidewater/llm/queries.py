@@ -12,6 +12,7 @@ from .language_id import identify_languages
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_documents
+from .pii import pii_summary
 from .quality_model import score_quality
 from .quality_rules import quality_rules
 from .simhash import simhash_near_dedup
@@ -49,6 +50,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_summary(read_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_near_dedup(read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -62,8 +67,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_line_dedup, op3_language_id, op4_best_fit_packing,
-    op5_quality_classifier, op6_html_extraction, op7_quality_rules, op9_simhash_near_dedup,
-    op10_source_mixing,
+    op5_quality_classifier, op6_html_extraction, op7_quality_rules, op8_pii,
+    op9_simhash_near_dedup, op10_source_mixing,
 )}
 
 ORACLES: dict[str, str] = {}
