@@ -1,0 +1,90 @@
+"""Embedding near-dedup against all pairs in double precision."""
+
+import numpy as np
+import pytest
+
+from tidewater.llm import embedding_dedup as E
+from tidewater.llm.common import local_components
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def data(dim=24):
+    rng = np.random.default_rng(0)
+    out = []
+    for i in range(120):
+        out.append((i, rng.standard_normal(dim).astype(np.float32).tolist(), i % 3))
+    for i in range(200):  # near copies around a few centres, close to the threshold
+        v = np.array(out[i % 5][1]) + rng.standard_normal(dim) * (0.15 + 0.15 * (i % 3))
+        out.append((1000 + i, v.astype(np.float32).tolist(), int(out[i % 5][2])))
+    out += [(2000, out[0][1], 0), (2001, out[0][1], 0), (2002, out[0][1], None),
+            (2003, None, 0), (2004, [0.0] * dim, 0), (2005, [None] + [1.0] * (dim - 1), 0),
+            (2006, [float("nan")] + [1.0] * (dim - 1), 0), (2007, [], 0),
+            (2008, [float("inf")] + [1.0] * (dim - 1), 0), (2009, out[1][1][:-1], 1),
+            (2010, [3e38] * dim, 0), (2011, [1e38] * dim, 0), (2012, [1e-40] * dim, 0),
+            (2013, (2 * np.array(out[3][1])).tolist(), 0), out[4]]
+    return out
+
+
+def plain(rows, threshold=0.93):
+    ok = [i for i, (_, v, label) in enumerate(rows) if label is not None and v
+          and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    u, v = [], []
+    for a, i in enumerate(ok):
+        for j in ok[a + 1:]:
+            if rows[i][2] == rows[j][2] and len(rows[i][1]) == len(rows[j][1]):
+                x, y = (np.array(rows[k][1], np.float32).astype(np.float64) for k in (i, j))
+                x, y = x / np.abs(x).max(), y / np.abs(y).max()
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= threshold:
+                    u.append(i)
+                    v.append(j)
+    lab = local_components(len(rows), np.array(u), np.array(v))
+    n = np.bincount(u + v, minlength=len(rows))
+    ids = [r[0] for r in rows]
+    first = {}
+    for i, c in zip(ids, lab, strict=True):
+        first[c] = min(first.get(c, i), i)
+    return sorted((i, int(k), first[c], i == first[c])
+                  for i, k, c in zip(ids, n, lab, strict=True))
+
+
+@pytest.mark.parametrize(("block", "cell"), [(E.BLOCK, E.CELL), (16, 20)])
+def test_matches_all_pairs(spark, block, cell):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(data(), SCHEMA)
+    for c in ("rid", "dim", "cell", "block", "vector", "n", "root", "kept", "id"):
+        df = df.withColumn(c, F.lit(1))
+    got = E.near_duplicate_vectors(df, block=block, cell=cell)
+    assert got.columns == ["vec_id", "n_links", "component_id", "kept"]
+    assert sorted(map(tuple, got.collect())) == plain(data())
+
+
+def test_null_ids_and_empty_table(spark):
+    rows = [(None, [1.0, 0.0], 1), (5, [1.0, 0.01], 1), (None, [0.0, 1.0], 2)]
+    got = E.near_duplicate_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {tuple(r) for r in got} == {
+        (None, 1, 5, False), (5, 1, 5, True), (None, 0, None, False)}
+    assert E.near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_estimate_is_unbiased_and_bounded():
+    rng = np.random.default_rng(5)
+    unit = rng.standard_normal((400, 64))
+    unit[200:] = 0.8 * unit[:200] + 0.6 * unit[200:]
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    turned = unit @ E.rotation(64, 1)
+    code, own = E.sign_codes(turned)
+    truth = unit @ unit.T
+    query = E.Query(turned, 1)
+    i, j = query.may_link(slice(0, 400), code, own, -2.0, 0.0)
+    assert len(i) == 400 * 400  # nothing is below -2 without a margin
+    at, low = np.linspace(-1, 1, 81), np.full(truth.shape, -2.0)
+    for t in at:  # read the estimate off the decisions, to a step
+        i, j = query.may_link(slice(0, 400), code, own, t, 0.0)
+        low[i, j] = t
+    off = ~np.eye(400, dtype=bool)
+    assert abs((low + 0.0125 - truth)[off].mean()) < 0.01
+    i, j = query.may_link(slice(0, 400), code, own, 0.7, E.SIGMAS)
+    found = np.zeros(truth.shape, bool)
+    found[i, j] = True
+    assert (truth >= 0.7).sum() > 700 and found[truth >= 0.7].all() and found.mean() < 0.3

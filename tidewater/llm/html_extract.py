@@ -4,9 +4,10 @@ A page is a sequence of tokens: tags with their place in the page, and words
 with the place they stand in. Over all pages of a host, every token has an
 occurrence vector, its number of occurrences in each page. Tokens with the same
 vector form an equivalence class. A class is large and frequent if it has
-enough tokens and its tokens occur in nearly all pages of the host; it is valid
-if its tokens come in the same order in every page, so that its parts nest. The
-valid class whose tokens occur once a page is the host's template; what stands
+enough tokens and its tokens occur equally often in nearly all pages of the
+host; it is valid if they come in the same order in every page and, if they
+occur k times a page, in k rounds of that order, so that the rounds nest in
+the slots of the others. The valid classes are the host's template; what stands
 between two neighbouring tokens of it is a slot.
 
 Text that belongs to the template is boilerplate wherever it stands. Of the
@@ -208,7 +209,7 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int) -> DataFrame:
-    """``host`` and ``template``: its valid class's tokens, in page order.
+    """``host`` and ``template``: the tokens of its valid classes.
 
     A template is no longer than a page of its host.
     """
@@ -217,41 +218,46 @@ def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int)
     frequent = (vectors.where(F.col("pages") >= F.lit(support) * min_pages)
                 .join(hosts.where(F.col("all_pages") >= min_pages), "host")
                 .where((F.col("pages") >= support * F.col("all_pages"))
-                       & (F.col("times") == F.col("pages"))))
-    frequent = materialize(frequent.select("host", "token", "pages", "vector"), "frequent_tokens")
-    classes = (frequent.groupBy("host", "vector")
-               .agg(F.count(F.lit(1)).alias("tokens"), F.max("pages").alias("pages"))
-               .where(F.col("tokens") >= min_tokens))
-    # one class per host: in most pages, then with most tokens
-    best = classes.groupBy("host").agg(F.max_by("vector", F.struct("pages", "tokens", "vector"))
-                                       .alias("vector"))
-    members = (frequent.join(best, ["host", "vector"]).groupBy("host")
-               .agg(F.sort_array(F.collect_list("token")).alias("tokens")))
-
-    # the place of every token among the class's own, in each page
+                       & (F.col("times") % F.col("pages") == 0)))
+    frequent = materialize(
+        frequent.select("host", "token", "vector",
+                        F.expr("times div pages").alias("rounds")), "frequent_tokens")
+    of_class = ["host", "vector", "rounds"]
+    classes = (frequent.groupBy(*of_class).agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+               .where(F.size("tokens") >= min_tokens))
+    per_host = classes.groupBy("host").agg(F.collect_list(F.struct("rounds", "tokens"))
+                                           .alias("classes"))
+
+    # the place of every token in its class's order, in each page
     def order(frames):
         for f in frames:
             sums: dict[tuple[str, int], list[int]] = {}
-            for host, text, tokens in zip(f["host"], f["html"], f["tokens"], strict=True):
-                wanted = frozenset(np.asarray(tokens).tolist())
-                seen = [t for t in page_tokens(text) if t in wanted]
-                if len(seen) != len(wanted):
-                    continue  # the class does not occur in this page
-                for rank, t in enumerate(seen):
-                    s = sums.setdefault((host, t), [rank, rank])
-                    s[0], s[1] = min(s[0], rank), max(s[1], rank)
+            for host, text, found in zip(f["host"], f["html"], f["classes"], strict=True):
+                owner = {t: i for i, c in enumerate(found) for t in c["tokens"].tolist()}
+                seen: list[list[int]] = [[] for _ in found]
+                for t in page_tokens(text):
+                    if t in owner:
+                        seen[owner[t]].append(t)
+                for c, own in zip(found, seen, strict=True):
+                    n = len(c["tokens"])
+                    if len(own) != n * c["rounds"]:
+                        continue  # the class does not occur in this page
+                    for i, t in enumerate(own):
+                        s = sums.setdefault((host, t), [i % n, i % n])
+                        s[0], s[1] = min(s[0], i % n), max(s[1], i % n)
             yield pd.DataFrame({"host": [k[0] for k in sums],
                                 "token": np.array([k[1] for k in sums], np.int64),
                                 "low": np.array([s[0] for s in sums.values()], np.int64),
                                 "high": np.array([s[1] for s in sums.values()], np.int64)})
 
-    ranks = (pages.select("host", "html").join(members, "host")
+    ranks = (pages.select("host", "html").join(per_host, "host")
              .mapInPandas(order, "host string, token long, low long, high long")
              .groupBy("host", "token").agg(F.min("low").alias("low"), F.max("high").alias("high")))
-    return (ranks.where(F.col("low") == F.col("high")).groupBy("host")
-            .agg(F.sort_array(F.collect_list(F.struct("low", "token"))).alias("t"))
-            .where(F.size("t") >= min_tokens)
-            .select("host", F.col("t.token").alias("template")))
+    ordered = ranks.where(F.col("low") == F.col("high")).join(frequent, ["host", "token"])
+    valid = (ordered.groupBy(*of_class).agg(F.collect_list("token").alias("tokens"))
+             .where(F.size("tokens") >= min_tokens))
+    return (valid.groupBy("host")
+            .agg(F.sort_array(F.flatten(F.collect_list("tokens"))).alias("template")))
 
 
 def main_text(page: str, template: frozenset[int], min_tokens: int = MIN_TOKENS) -> str:
@@ -272,9 +278,9 @@ def main_text(page: str, template: frozenset[int], min_tokens: int = MIN_TOKENS)
         blocks.setdefault(block, []).append(shown)
         bare.setdefault(block, []).append(
             _outside(place, text, template, min_tokens) if template else shown)
-    kept = _joined(bare)
-    # a page that is all template (copies of one page) keeps its blocks
-    return kept or _joined(blocks)
+    kept, whole = _joined(bare), _joined(blocks)
+    # a host of copies of one page has the article in its template
+    return kept if 2 * len(kept) >= len(whole) else whole
 
 
 def _outside(place: str, text: str, template: frozenset[int], min_tokens: int) -> str:
