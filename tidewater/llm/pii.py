@@ -30,28 +30,28 @@ class Kind:
     tell: str
     start: float
     speaks_for: str
-    speaks_against: str = r"\b(?:version|isbn|issn|build|chapter|page)\b"
+    speaks_against: str = "version|isbn|issn|build|chapter|page"
 
 
 # The base patterns.
 BASE = (
     Kind("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "@", 0.8,
-         r"\b(?:e-?mail|mail|contact|write|correo|courriel)\b"),
+         "e-?mail|mail|contact|write|correo|courriel"),
     Kind("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"\.[0-9]+\.[0-9]", 0.6,
-         r"\b(?:ip|address|server|host|login|adresse)\b"),
+         "ip|address|server|host|login|adresse"),
     Kind("card", r"[0-9]([\x20-]?[0-9])+", r"(?:[0-9][\x20-]?){12}[0-9]", 0.8,
-         r"\b(?:card|visa|mastercard|credit|debit|payment|tarjeta|carte|karte)\b"),
+         "card|visa|mastercard|credit|debit|payment|tarjeta|carte|karte"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7,
-         r"\b(?:tel|phone|call|fax|mobile|telefon|telefono|telephone)\b"),
+         "tel|phone|call|fax|mobile|telefon|telefono|telephone"),
 )
 ADDED = (
     Kind("iban", r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
-         r"[A-Z]{2}[0-9]{2}", 0.7, r"\b(?:iban|account|bank|konto|compte|cuenta|bic)\b"),
-    Kind("ssn", r"\b(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}\b",
-         r"[0-9]-[0-9]{2}-[0-9]", 0.4, r"\b(?:ssn|social security|tax id)\b"),
+         r"[A-Z]{2}[0-9]{2}", 0.7, "iban|account|bank|konto|compte|cuenta|bic"),
+    Kind("ssn", r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+         r"[0-9]-[0-9]{2}-[0-9]", 0.4, "ssn|social security|tax id"),
     Kind("localphone", r"(?:\([0-9]{3}\)\x20?|\b[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}\b",
          r"[0-9][\x20.-][0-9]{4}", 0.4,
-         r"\b(?:tel|phone|call|fax|mobile|telefon|telefono|telephone)\b"),
+         "tel|phone|call|fax|mobile|telefon|telefono|telephone"),
 )
 #: Characters on either side that count as nearby, and the score to reach.
 NEAR, BONUS, MALUS, REACH = 40, 0.3, 0.4, 0.6
@@ -111,18 +111,23 @@ def confirmed(kind: str, s: Column) -> Column:
         "phone": F.length(digits).between(9, 15),
         "iban": F.when(F.length(F.replace(s, F.lit(" "), F.lit(""))).between(15, 34),
                        mod97(F.replace(s, F.lit(" "), F.lit("")))).otherwise(False),
+        "ssn": ~s.rlike("^(?:000|666|9)|-00-|0000$"),
     }
     return checks.get(kind, F.lit(True))
 
 
+def _has_word(text: Column, words: str) -> Column:
+    return text.rlike(f"(?:^|[^a-z])(?:{words})(?:[^a-z]|$)")
+
+
 def score(text: Column, kind: Kind, x: Column) -> Column:
     """Start value, raised or lowered by words around the span."""
     first = F.greatest(x["start"] - NEAR, F.lit(0))
     around = F.lower(F.concat(
         F.substr(text, first + 1, x["start"] - first), F.lit(" "),
         F.substr(text, x["end"] + 1, F.lit(NEAR))))
-    s = (F.lit(kind.start) + F.when(around.rlike(kind.speaks_for), BONUS).otherwise(0.0)
-         - F.when(around.rlike(kind.speaks_against), MALUS).otherwise(0.0))
+    s = (F.lit(kind.start) + F.when(_has_word(around, kind.speaks_for), BONUS).otherwise(0.0)
+         - F.when(_has_word(around, kind.speaks_against), MALUS).otherwise(0.0))
     return F.round(F.least(F.greatest(s, F.lit(0.0)), F.lit(1.0)), 2)
 
 

@@ -12,6 +12,7 @@ from .language_id import identify_languages
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_documents
+from .oracles import ORACLES
 from .pii import pii_summary
 from .quality_model import score_quality
 from .quality_rules import quality_rules
@@ -71,4 +72,4 @@ QUERIES = {f.__name__: f for f in (
     op9_simhash_near_dedup, op10_source_mixing,
 )}
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
