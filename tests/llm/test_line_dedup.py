@@ -9,9 +9,10 @@ from .frames import SCHEMA, documents, prose, rows
 
 def plain(data, threshold=0.8):
     """Cleaned texts by document (id and text), comparing every pair of lines."""
-    docs = sorted({(r[0], r[1]) for r in data}, key=lambda d: (d[0] is None, d[0] or 0))
-    lines = [(d, n, frozenset(x.encode().lower().split())) for d in docs
-             for n, x in enumerate((d[1] or "").split("\n"))]
+    docs = {(r[0], r[1]) for r in data}
+    lines = sorted(((d, n, frozenset(x.encode().lower().split())) for d in docs
+                    for n, x in enumerate((d[1] or "").split("\n"))),
+                   key=lambda x: (x[0][0] is None, x[0][0] or 0, x[1]))
     lines = [x for x in lines if x[2]]
     gone = set()
     for i, (d, n, a) in enumerate(lines):

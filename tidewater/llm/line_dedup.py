@@ -2,14 +2,15 @@
 
 A line is the set of its words (ASCII letters lower-cased). Two lines match if
 the Jaccard similarity of their sets is at least ``threshold``; a line that
-matches an earlier one is removed. Earlier means smaller (id, text hash, line
-number), null ids last. Lines without words stay.
+matches an earlier one is removed. Earlier means smaller (id, line number, text
+hash), null ids last. Lines without words stay.
 
 The join follows the prefix filter: with the words of a line in one global
 order, rare first, two matching lines share a word among the first
 ``size - ceil(threshold * size) + 1`` of each. Such prefix words, with the
-line's place, size and a 64-bit parity map of its words, are the only thing
-shuffled. Inside the group of one word a pair of lines must pass
+line's place and size, 32 parity bits and a 32-bit signature of its set, are
+all that is shuffled to find pairs. Lines with equal sets meet at their first
+word and need no more. Of the others, inside the group of one word a pair of lines must pass
 
 * the length filter (sizes within the threshold of each other),
 * the positional filter (enough words left from this one on), and
@@ -38,20 +39,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, free_names, materialize, whole_groups
 
 #: Bytes of text handled at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 #: Earliest passing lines that a line keeps per prefix word.
 KEPT = 3
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_LOWER = bytes(range(256)).lower()
+_WORD = bytes(c not in (0x20, *range(0x09, 0x0E)) for c in range(256))
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -71,6 +70,7 @@ class _Powers:
     @classmethod
     def of(cls, n: int):
         if len(cls.up) < n:
+            n = max(n, CHUNK)
             cls.up, cls.down = _powers(_BASE, n), _powers(_INVERSE, n)
         return cls.up, cls.down
 
@@ -82,11 +82,17 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def _counted(places: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """For every place, how many of the marks lie at or before it; both sorted."""
+    at = np.searchsorted(places, marks)
+    return np.repeat(np.arange(len(marks) + 1), np.diff(np.r_[0, at, len(places)]))
+
+
 def words_of(batch: pa.RecordBatch, name: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, line, word hash) of every word, chunk by chunk, rows never split.
 
-    Works on the batch's text buffer: a word's hash is the difference of two
-    running sums over its bytes, scaled back to the word's start.
+    Works on the batch's text buffer: a word's hash is the sum of its bytes
+    times powers of an odd number, scaled back to the word's start.
     """
     text = batch.column(batch.schema.get_field_index(name)).cast(pa.large_string())
     offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
@@ -97,23 +103,27 @@ def words_of(batch: pa.RecordBatch, name: str) -> Iterator[tuple[np.ndarray, np.
         last = int(np.searchsorted(offsets, offsets[row] + CHUNK, "right")) - 1
         last = min(max(last, row + 1), len(text))
         at = offsets[row:last + 1] - offsets[row]
-        buf = _LOWER[data[offsets[row]:offsets[last]]]
-        n = len(buf)
-        if n:
-            inside = ~_SPACE[buf]
-            cut = at[:-1][at[:-1] < n]
-            before = np.r_[False, inside[:-1]]
-            before[cut] = False
-            after = np.r_[inside[1:], False]
-            after[cut[cut > 0] - 1] = False
-            start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
+        raw = data[offsets[row]:offsets[last]].tobytes().translate(_LOWER)
+        n = len(raw)
+        inside = np.frombuffer(raw.translate(_WORD), bool)
+        first, final = inside.copy(), inside.copy()  # first and last byte of a word
+        first[1:] &= ~inside[:-1]
+        final[:-1] &= ~inside[1:]
+        cut = at[1:-1][(at[1:-1] > 0) & (at[1:-1] < n)]  # rows end where the next begins
+        first[cut] = inside[cut]
+        final[cut - 1] = inside[cut - 1]
+        start, end = np.flatnonzero(first), np.flatnonzero(final)
+        if len(start):
+            buf = np.frombuffer(raw, np.uint8)
             up, down = _Powers.of(n)
-            run = np.r_[np.uint64(0), np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[:n],
-                                                dtype=np.uint64)]
-            h = _mixed((run[end] - run[start]) * down[start] + (end - start).astype(np.uint64))
-            r = np.searchsorted(at, start, "right") - 1
-            breaks = np.r_[0, np.cumsum(buf == 10)]
-            yield r + row, breaks[start] - breaks[at[r]], h
+            sums = buf.astype(np.uint64)
+            sums *= up[:n]
+            np.cumsum(sums, out=sums)
+            before = np.where(start > 0, sums[start - 1], np.uint64(0))
+            h = _mixed((sums[end] - before) * down[start] + (end - start).astype(np.uint64))
+            r = _counted(start, at[1:-1])
+            breaks = np.flatnonzero(buf == 10)
+            yield r + row, _counted(start, breaks) - np.searchsorted(breaks, at)[r], h
         row = last
 
 
@@ -148,9 +158,11 @@ class Lines:
         return np.stack([np.add.reduceat(_mixed(self.key ^ np.uint64(s)), self.first)
                          for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F)], axis=1)
 
-    def parity(self) -> np.ndarray:
-        return np.bitwise_xor.reduceat(
-            np.uint64(1) << (self.key & np.uint64(63)), self.first)
+    def prints(self, signatures: np.ndarray) -> np.ndarray:
+        """Per line 32 bits of word parities above 32 bits of signature."""
+        parity = np.bitwise_xor.reduceat(
+            np.uint64(1) << (self.key & np.uint64(31)), self.first)
+        return parity << np.uint64(32) | signatures[:, 0] >> np.uint64(32)
 
     def prefix(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line index, position, key) of every prefix word."""
@@ -191,22 +203,16 @@ def counters(docs: DataFrame, bits: int, keys_of) -> np.ndarray:
     return out.reshape(-1)
 
 
-POSTING = ("word long, cell int, id long, text_hash long, line int, size int, pos int, "
-           "parity long")
-
-
-def _arrow(columns: dict[str, np.ndarray], ids: pa.Array | None = None) -> pa.RecordBatch:
-    named = {k: pa.array(v) for k, v in columns.items()}
-    if ids is not None:
-        named["id"] = ids
-    return pa.RecordBatch.from_pydict(named)
+#: place: line and text hash; shape: size and position; 32 bits each.
+POSTING = "word long, cell int, id long, place long, shape long, print long"
+_HALF = np.int64(0xFFFFFFFF)
 
 
 def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int) -> DataFrame:
     """Prefix words of the lines of ``rows`` (``id``, ``text_hash``, ``text``).
 
     Lines of one batch with equal sets are represented by the earliest; the
-    others come out as rows of size 0, spread over the words.
+    others come out as rows of shape 0, spread over the words.
     """
     def emit(batches):
         bits = int(math.log2(len(crowds.value)))
@@ -217,17 +223,15 @@ def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int) -> Da
             value = ids.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
             for row, line, h in words_of(b, "text"):
                 ls = Lines(row, line, h, rarity.value)
-                if not len(ls.row):
-                    continue
                 sign = ls.signatures()
-                order = np.lexsort((ls.line, text_hash[ls.row], value[ls.row],
-                                    sign[:, 1], sign[:, 0]))
+                place = ls.line << np.int64(32) | text_hash[ls.row]
+                order = np.lexsort((place, value[ls.row], sign[:, 1], sign[:, 0]))
                 s = sign[order]
                 again = np.r_[False, (s[1:] == s[:-1]).all(axis=1)]
                 # a repeated row is the same document: its lines are not each other's copies
-                place = np.stack([value[ls.row], text_hash[ls.row], ls.line], axis=1)[order]
+                own = np.stack([value[ls.row], place], axis=1)[order]
                 group = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
-                again &= (place != place[group]).any(axis=1)
+                again &= (own != own[group]).any(axis=1)
                 copy = np.zeros(len(order), bool)
                 copy[order] = again
                 of, pos, key = ls.prefix(threshold)
@@ -235,32 +239,29 @@ def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int) -> Da
                 of, pos, key = of[stays], pos[stays], key[stays]
                 blocks = -(-crowds.value[((key << np.uint64(8)) >> np.uint64(64 - bits))
                                          .astype(np.int64)] // cell)
-                parity = ls.parity()
+                prints = ls.prints(sign).view(np.int64)
 
-                def batch(of, pos, key, at, size):
-                    return _arrow({
-                        "word": key.view(np.int64), "cell": at.astype(np.int32), "id": size,
-                        "text_hash": text_hash[ls.row[of]], "line": ls.line[of].astype(np.int32),
-                        "size": size.astype(np.int32), "pos": pos.astype(np.int32),
-                        "parity": parity[of].view(np.int64)}, ids.take(pa.array(ls.row[of])))
+                def batch(of, key, cells, shape):
+                    return pa.RecordBatch.from_pydict({
+                        "word": pa.array(key.view(np.int64)),
+                        "cell": pa.array(cells.astype(np.int32)),
+                        "id": ids.take(pa.array(ls.row[of])), "place": pa.array(place[of]),
+                        "shape": pa.array(shape), "print": pa.array(prints[of])})
 
                 one = blocks <= 1
-                yield batch(of[one], pos[one], key[one], np.zeros(one.sum()), ls.size[of[one]])
+                shape = ls.size[of] << np.int64(32) | pos
+                yield batch(of[one], key[one], np.zeros(one.sum()), shape[one])
                 if not one.all():
-                    of, pos, key, blocks = of[~one], pos[~one], key[~one], blocks[~one]
-                    mine = (_mixed(text_hash[ls.row[of]].view(np.uint64)
-                                   + ls.line[of].astype(np.uint64))
+                    of, key, shape, blocks = of[~one], key[~one], shape[~one], blocks[~one]
+                    mine = (_mixed(place[of].view(np.uint64))
                             % blocks.astype(np.uint64)).astype(np.int64)
                     rep = np.repeat(np.arange(len(of)), blocks)
                     other = np.arange(len(rep)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
                     lo, hi = np.minimum(mine[rep], other), np.maximum(mine[rep], other)
-                    yield batch(of[rep], pos[rep], key[rep], lo * blocks[rep] + hi + 1,
-                                ls.size[of[rep]])
+                    yield batch(of[rep], key[rep], lo * blocks[rep] + hi + 1, shape[rep])
                 gone = np.flatnonzero(copy)
                 if len(gone):
-                    spread = _mixed(ls.line[gone].astype(np.uint64)
-                                    ^ text_hash[ls.row[gone]].view(np.uint64))
-                    yield batch(gone, gone * 0, spread, gone * 0, gone * 0)
+                    yield batch(gone, _mixed(place[gone].view(np.uint64)), gone * 0, gone * 0)
 
     return rows.mapInArrow(emit, POSTING)
 
@@ -273,6 +274,21 @@ def passing(size, pos, parity, x, y, threshold: float) -> np.ndarray:
             & (np.bitwise_count(parity[x] ^ parity[y]) <= sx + sy - 2 * need))
 
 
+def equal_lines(group, rank, size, prints) -> tuple[np.ndarray, np.ndarray]:
+    """For rows sorted by (group, rank): which rows stand for their equals in
+    the group, and which are later copies; the same line again is neither."""
+    if not len(group):
+        return np.zeros(0, bool), np.zeros(0, bool)
+    order = np.lexsort((np.arange(len(group)), prints, size, group))
+    g, s, p = group[order], size[order], prints[order]
+    again = np.r_[False, (g[1:] == g[:-1]) & (s[1:] == s[:-1]) & (p[1:] == p[:-1])]
+    head = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
+    first, copy = np.zeros(len(group), bool), np.zeros(len(group), bool)
+    first[order] = ~again
+    copy[order] = again & (rank[order] != rank[order[head]])
+    return first, copy
+
+
 def earliest_pairs(group, rank, probe, size, pos, parity, threshold: float, kept: int):
     """For rows sorted by (group, rank): index pairs (x, y), y before x, that pass.
 
@@ -327,33 +343,42 @@ PAIR = ("id long, text_hash long, line int, y_id long, y_hash long, y_line int,
 
 
 def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> DataFrame:
-    """Pairs that pass the filters, from postings sorted by word, cell and place."""
+    """Pairs that pass the filters, from postings sorted by word, cell and place.
+
+    Lines with equal sets share all their prefix words, so only the first word
+    reports them, and only the earliest of them meets other lines. Equal sets
+    are told by size, parities and signature together.
+    """
     def scan(frames):
         for f in whole_groups(frames, ["word", "cell"]):
-            size = f["size"].to_numpy().astype(np.int64)
+            shape, place = f["shape"].to_numpy(), f["place"].to_numpy()
+            size, pos = shape >> 32, shape & _HALF
             word, cell = f["word"].to_numpy(), f["cell"].to_numpy()
-            group = np.cumsum(np.r_[True, (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])])
-            missing = f["id"].isna().to_numpy()
-            place = [missing, f["id"].fillna(0).to_numpy(), f["text_hash"].to_numpy(),
-                     f["line"].to_numpy()]
-            rank = np.cumsum(np.r_[True, np.any([p[1:] != p[:-1] for p in place], axis=0)])
-            live = size > 0
-            probe = f["probe"].to_numpy() if probes else np.ones(len(f), bool)
-            keep = np.flatnonzero(live)
+            missing, ids = f["id"].isna().to_numpy(), f["id"].fillna(0).to_numpy(np.int64)
+            new = (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])
+            group = np.cumsum(np.r_[True, new])
+            rank = np.cumsum(np.r_[True, np.any(
+                [p[1:] != p[:-1] for p in (missing, ids, place)], axis=0)])
+            live = np.flatnonzero(size > 0)
+            prints = f["print"].to_numpy().view(np.uint64)
+            first, copy = equal_lines(group[live], rank[live], size[live], prints[live])
+            gone = np.r_[np.flatnonzero(size == 0), live[copy & (pos[live] == 0)]]
+            keep = live[first]
+            probe = f["probe"].to_numpy(bool) if probes else np.ones(len(f), bool)
             x, y, more = earliest_pairs(
-                group[keep], rank[keep], probe[keep], size[keep], f["pos"].to_numpy()[keep],
-                f["parity"].to_numpy().view(np.uint64)[keep], threshold, kept)
-            x, y = keep[x], keep[y]
-            gone = np.flatnonzero(~live)
-            x_all = np.r_[x, gone]
-            out = f.iloc[x_all][["id", "text_hash", "line"]].reset_index(drop=True)
-            to = f.iloc[np.r_[y, gone]][["id", "text_hash", "line"]].reset_index(drop=True)
-            out["y_id"], out["y_hash"], out["y_line"] = to["id"], to["text_hash"], to["line"]
-            out["copy"] = np.r_[np.zeros(len(x), bool), np.ones(len(gone), bool)]
-            out["more"] = np.r_[more, np.zeros(len(gone), bool)]
-            for c in ("id", "y_id"):
-                out[c] = out[c].astype("Int64")
-            yield out
+                group[keep], rank[keep], probe[keep], size[keep], pos[keep],
+                (prints[keep] >> np.uint64(32)).astype(np.uint32), threshold, kept)
+            x, y = np.r_[keep[x], gone], np.r_[keep[y], gone]
+
+            def known(at, missing=missing, ids=ids):
+                return pd.arrays.IntegerArray(ids[at], missing[at])
+
+            yield pd.DataFrame({
+                "id": known(x), "text_hash": place[x] & _HALF,
+                "line": (place[x] >> 32).astype(np.int32), "y_id": known(y),
+                "y_hash": place[y] & _HALF, "y_line": (place[y] >> 32).astype(np.int32),
+                "copy": np.arange(len(x)) >= len(x) - len(gone),
+                "more": np.r_[more, np.zeros(len(gone), bool)]})
 
     return dealt.mapInPandas(scan, PAIR)
 
@@ -450,7 +475,7 @@ def matching_lines(rows: DataFrame, threshold: float, sketch_bits: int, cell: in
 
     def dealt(p: DataFrame) -> DataFrame:
         return p.repartition("word", "cell").sortWithinPartitions(
-            "word", "cell", F.col("id").asc_nulls_last(), "text_hash", "line")
+            "word", "cell", F.col("id").asc_nulls_last(), "place")
 
     pairs = materialize(candidates(dealt(found), threshold, kept, False), "line_pairs")
     judged = materialize(verified(
@@ -463,11 +488,11 @@ def matching_lines(rows: DataFrame, threshold: float, sketch_bits: int, cell: in
         # these lines meet every line that passes the filters
         f = failed.select(F.col("id").alias("f_id"), F.col("text_hash").alias("f_hash"),
                           F.col("line").alias("f_line"))
-        probes = found.where("size > 0").join(
-            f, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("text_hash") == F.col("f_hash"))
-            & (F.col("line") == F.col("f_line")), "left")
-        probes = probes.withColumn("probe", F.col("f_hash").isNotNull()).drop(
-            "f_id", "f_hash", "f_line")
+        f = f.select("f_id", F.shiftleft(F.col("f_line").cast("long"), 32)
+                     .bitwiseOR(F.col("f_hash")).alias("f_place"))
+        probes = found.where("shape > 0").join(
+            f, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("place") == F.col("f_place")), "left")
+        probes = probes.withColumn("probe", F.col("f_place").isNotNull()).drop("f_id", "f_place")
         rest = materialize(candidates(dealt(probes), threshold, 1 << 40, True), "line_pairs")
         settled = settled.unionByName(
             verified(rows, rest.drop("copy").distinct(), threshold, rarity)
@@ -475,6 +500,11 @@ def matching_lines(rows: DataFrame, threshold: float, sketch_bits: int, cell: in
     return settled.distinct()
 
 
+def _text_hash(text: Column) -> Column:
+    """32 bits: tells apart rows that share an id."""
+    return F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 threshold: float = 0.8, sketch_bits: int = 18, cell: int = 100_000) -> DataFrame:
     """``docs`` with matching later lines removed from the text.
@@ -491,14 +521,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     text_hash, gone, key = free_names(docs, "text_hash", "gone", "gone_key")
     rows = docs.select(col(id_col).cast("long").alias("id"),
-                       F.xxhash64(col(text_col)).alias("text_hash"),
+                       _text_hash(col(text_col)).alias("text_hash"),
                        col(text_col).alias("text"))
     lines = materialize(
         matching_lines(rows, threshold, sketch_bits, cell)
         .groupBy("id", "text_hash").agg(F.collect_set("line").alias("gone")), "gone")
     lines = lines.select(F.col("id").alias(key), F.col("text_hash").alias(key + "_hash"),
                          F.col("gone").alias(gone))
-    joined = docs.withColumn(text_hash, F.xxhash64(col(text_col))).join(
+    joined = docs.withColumn(text_hash, _text_hash(col(text_col))).join(
         lines, (col(text_hash) == col(key + "_hash"))
         & col(id_col).cast("long").eqNullSafe(col(key)), "left")
     parts = F.split(col(text_col), "\n")
