@@ -5,17 +5,19 @@ with the place they stand in. Over all pages of a host, every token has an
 occurrence vector, its number of occurrences in each page. Tokens with the same
 vector form an equivalence class. A class is large and frequent if it has
 enough tokens and its tokens occur equally often in nearly all pages of the
-host; it is valid if they come in the same order in every page and, if they
-occur k times a page, in k rounds of that order, so that the rounds nest in
-the slots of the others. The valid classes are the host's template; what stands
-between two neighbouring tokens of it is a slot.
+host. It is valid in a page if its tokens come in the class's order there and,
+if they occur k times a page, in k rounds of that order, so that the rounds
+nest in the slots of the others. The classes are the host's template; what
+stands between two neighbouring tokens of it is a slot.
 
 Text that belongs to the template is boilerplate wherever it stands. Of the
 rest, slots inside page furniture (by element, role or class name) go, slots of
 an article or main element stay where a page has one, and the remaining slots
 are the main text, block by block.
 
-Vectors are never gathered: a vector is kept as the sum over pages of count
+Only tokens that occur equally often in a few pages picked by hash are
+candidates; their vectors are counted over all pages of the host. Vectors are
+never gathered: a vector is kept as the sum over pages of count
 times a hash of the page, so a token's vector comes from one aggregate with
 partial sums in each task, whatever the number of pages of a host.
 """
@@ -23,6 +25,7 @@ partial sums in each task, whatever the number of pages of a host.
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Iterator
 
@@ -30,7 +33,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from .common import col, materialize
 
@@ -139,19 +141,16 @@ def _close(stack: list[Element], name: str, until) -> None:
             return
 
 
-def token_id(place: str, word: str = "") -> int:
-    return xxh64_intdigest(f"{place}\0{word}".encode("utf-8", "surrogatepass")) >> 1
-
-
-def page_tokens(page: str) -> Iterator[int]:
-    """Ids of all tags and words of a page, in order."""
-    known: dict[tuple[str, str], int] = {}
+def page_tokens(page: str, places=None) -> Iterator[tuple[str, str]]:
+    """(place, word) of all tags (no word) and words of a page, in order; of
+    the given places only, if any are given."""
     for place, text, _, _, _ in events(page):
-        for word in text.split() if text else [""]:
-            key = (place, word)
-            if key not in known:
-                known[key] = token_id(place, word)
-            yield known[key]
+        if places is None or place in places:
+            if text:
+                for word in text.split():
+                    yield place, word
+            else:
+                yield place, ""
 
 
 def host_of(url: Column) -> Column:
@@ -159,47 +158,80 @@ def host_of(url: Column) -> Column:
                                                1)), F.lit(""))
 
 
-def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """``host``, ``token``, pages with it, whether once in each, vector hash.
+def seed_tokens(pages: DataFrame, seeds: int = 3) -> DataFrame:
+    """``host`` and ``tokens``: what may belong to the host's template, as
+    JSON pairs of place and word.
 
-    ``pages``: ``host``, ``page`` (a hash), ``html``. A task adds up before it
-    sends, and sends whenever it holds many tokens.
+    Template tokens occur equally often in nearly all pages, so they do in a
+    few pages picked by hash; a token that occurs in fewer than two of them, or
+    not equally often, is no candidate. Tokens are in the order of the first
+    seed page that has them.
     """
-    def flush(held: dict[tuple[str, int], list[int]]) -> pd.DataFrame:
-        keys, sums = list(held), np.array(list(held.values()), np.uint64).reshape(-1, 3)
-        out = pd.DataFrame({"host": [k[0] for k in keys],
-                            "token": np.array([k[1] for k in keys], np.int64),
-                            "pages": sums[:, 0].astype(np.int64),
-                            "times": sums[:, 1].astype(np.int64),
-                            "vector": sums[:, 2].view(np.int64)})
-        held.clear()
-        return out
+    low = pages.groupBy("host").agg(*[
+        F.min(F.xxhash64("page", F.lit(i))).alias(f"s{i}") for i in range(seeds)])
+    picked = pages.join(low, "host").where(" or ".join(
+        f"xxhash64(page, {i}) = s{i}" for i in range(seeds))).dropDuplicates(["host", "page"])
 
-    def scan(frames):
-        held: dict[tuple[str, int], list[int]] = {}
+    def tokens(frames):
         for f in frames:
             for host, page, text in zip(f["host"], f["page"], f["html"], strict=True):
-                counts: dict[int, int] = {}
-                for t in page_tokens(text):
-                    counts[t] = counts.get(t, 0) + 1
-                p = int(page) & (1 << 64) - 1
-                for t, n in counts.items():
-                    s = held.get((host, t))
-                    if s is None:
-                        held[host, t] = [1, n, n * p & (1 << 64) - 1]
+                seen: dict[tuple[str, str], list[int]] = {}
+                for at, t in enumerate(page_tokens(text)):
+                    if t in seen:
+                        seen[t][1] += 1
                     else:
-                        s[0] += 1
-                        s[1] += n
-                        s[2] = (s[2] + n * p) & (1 << 64) - 1
-                if len(held) > 200_000:
-                    yield flush(held)
-        if held:
-            yield flush(held)
+                        seen[t] = [at, 1]
+                if seen:
+                    yield pd.DataFrame({
+                        "host": host, "page": page, "place": [t[0] for t in seen],
+                        "word": [t[1] for t in seen], "at": [v[0] for v in seen.values()],
+                        "n": [v[1] for v in seen.values()]})
+
+    kind = "host string, page long, place string, word string, at long, n long"
+    return (picked.mapInPandas(tokens, kind).groupBy("host", "place", "word")
+            .agg(F.count(F.lit(1)).alias("in"), F.min("n").alias("low"), F.max("n").alias("n"),
+                 F.min(F.struct("page", "at")).alias("at"))
+            .where("low = n and in > 1").groupBy("host")
+            .agg(F.sort_array(F.collect_list(F.struct("at", "place", "word", "n"))).alias("t"))
+            .select("host", F.to_json(F.transform("t", lambda x: F.array(x["place"], x["word"])))
+                    .alias("tokens")))
+
+
+def occurrence_vectors(pages: DataFrame) -> DataFrame:
+    """``host``, ``token`` (its number among the host's candidates), pages with
+    it, times it occurs, vector hash.
+
+    ``pages``: ``host``, ``page`` (a hash), ``html``, ``tokens``. A task adds up
+    its part of every vector before anything is shuffled.
+    """
+    def scan(frames):
+        for f in frames:
+            sums: dict[str, np.ndarray] = {}
+            known: dict[str, tuple[frozenset, dict]] = {}
+            for host, page, text, tokens in zip(f["host"], f["page"], f["html"], f["tokens"],
+                                                strict=True):
+                if host not in known:
+                    number = {tuple(t): i for i, t in enumerate(json.loads(tokens))}
+                    known[host] = frozenset(p for p, _ in number), number
+                    sums[host] = np.zeros((len(number), 3), np.uint64)
+                places, number = known[host]
+                counts = np.zeros(len(number), np.uint64)
+                for t in page_tokens(text, places):
+                    if t in number:
+                        counts[number[t]] += np.uint64(1)
+                own = sums[host]
+                own[:, 0] += counts > 0
+                own[:, 1] += counts
+                own[:, 2] += counts * np.uint64(page & (1 << 64) - 1)
+            for host, own in sums.items():
+                yield pd.DataFrame({
+                    "host": host, "token": np.arange(len(own)), "pages": own[:, 0].astype(np.int64),
+                    "times": own[:, 1].astype(np.int64), "vector": own[:, 2].view(np.int64)})
 
     # the hash sums are added as two halves; a carry out of the upper one drops
     low, high = F.col("vector").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("vector", 32)
     carry = F.shiftrightunsigned("low", 32)
-    return (pages.mapInPandas(scan, "host string, token long, pages long, times long, vector long")
+    return (pages.mapInPandas(scan, "host string, token int, pages long, times long, vector long")
             .groupBy("host", "token")
             .agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"),
                  F.sum(low).alias("low"), F.sum(high).alias("high"))
@@ -209,61 +241,61 @@ def occurrence_vectors(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int) -> DataFrame:
-    """``host`` and ``template``: the tokens of its valid classes.
+    """``host`` and ``template``: its classes' rounds and tokens, as JSON.
 
     A template is no longer than a page of its host.
     """
-    hosts = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
-    vectors = occurrence_vectors(pages)
-    frequent = (vectors.where(F.col("pages") >= F.lit(support) * min_pages)
-                .join(hosts.where(F.col("all_pages") >= min_pages), "host")
-                .where((F.col("pages") >= support * F.col("all_pages"))
-                       & (F.col("times") % F.col("pages") == 0)))
-    frequent = materialize(
-        frequent.select("host", "token", "vector",
-                        F.expr("times div pages").alias("rounds")), "frequent_tokens")
-    of_class = ["host", "vector", "rounds"]
-    classes = (frequent.groupBy(*of_class).agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-               .where(F.size("tokens") >= min_tokens))
-    per_host = classes.groupBy("host").agg(F.collect_list(F.struct("rounds", "tokens"))
-                                           .alias("classes"))
-
-    # the place of every token in its class's order, in each page
-    def order(frames):
-        for f in frames:
-            sums: dict[tuple[str, int], list[int]] = {}
-            for host, text, found in zip(f["host"], f["html"], f["classes"], strict=True):
-                owner = {t: i for i, c in enumerate(found) for t in c["tokens"].tolist()}
-                seen: list[list[int]] = [[] for _ in found]
-                for t in page_tokens(text):
-                    if t in owner:
-                        seen[owner[t]].append(t)
-                for c, own in zip(found, seen, strict=True):
-                    n = len(c["tokens"])
-                    if len(own) != n * c["rounds"]:
-                        continue  # the class does not occur in this page
-                    for i, t in enumerate(own):
-                        s = sums.setdefault((host, t), [i % n, i % n])
-                        s[0], s[1] = min(s[0], i % n), max(s[1], i % n)
-            yield pd.DataFrame({"host": [k[0] for k in sums],
-                                "token": np.array([k[1] for k in sums], np.int64),
-                                "low": np.array([s[0] for s in sums.values()], np.int64),
-                                "high": np.array([s[1] for s in sums.values()], np.int64)})
-
-    ranks = (pages.select("host", "html").join(per_host, "host")
-             .mapInPandas(order, "host string, token long, low long, high long")
-             .groupBy("host", "token").agg(F.min("low").alias("low"), F.max("high").alias("high")))
-    ordered = ranks.where(F.col("low") == F.col("high")).join(frequent, ["host", "token"])
-    valid = (ordered.groupBy(*of_class).agg(F.collect_list("token").alias("tokens"))
-             .where(F.size("tokens") >= min_tokens))
-    return (valid.groupBy("host")
-            .agg(F.sort_array(F.flatten(F.collect_list("tokens"))).alias("template")))
-
-
-def main_text(page: str, template: frozenset[int], min_tokens: int = MIN_TOKENS) -> str:
+    hosts = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+                        .where(F.col("all_pages") >= min_pages), "hosts")
+    large = pages.join(hosts.select("host"), "host", "left_semi")
+    seeds = materialize(seed_tokens(large), "seed_tokens")
+    vectors = materialize(occurrence_vectors(
+        pages.join(seeds, "host").select("host", "page", "html", "tokens")), "vectors")
+    frequent = (vectors.join(hosts, "host")
+                .where((F.col("pages") >= support * F.col("all_pages")) & (F.col("pages") > 0)
+                       & (F.col("times") % F.col("pages") == 0))
+                .withColumn("rounds", F.expr("times div pages")))
+    classes = (frequent.groupBy("host", "vector", "rounds")
+               .agg(F.sort_array(F.collect_list("token")).alias("own"))
+               .where(F.size("own") >= min_tokens))
+    named = F.from_json("tokens", "array<array<string>>")
+    return (classes.join(seeds, "host").withColumn("named", named)
+            .select("host", F.struct("rounds", F.transform("own", lambda i: F.get("named", i))
+                                     .alias("tokens")).alias("c"))
+            .groupBy("host").agg(F.to_json(F.sort_array(F.collect_list("c"))).alias("template")))
+
+
+class Template:
+    """A host's classes, ready to be met by a page."""
+
+    def __init__(self, classes: str):
+        self.classes = [(c["rounds"], list(map(tuple, c["tokens"])))
+                        for c in json.loads(classes)]
+        self.owner = {t: i for i, (_, own) in enumerate(self.classes) for t in own}
+        self.places = frozenset(p for p, _ in self.owner)
+        self.has_words = any(w for _, w in self.owner)
+
+    def valid_words(self, page: str) -> dict[str, set[str]]:
+        """By place, the words of the classes that occur in this page as they
+        should: in their order, round after round."""
+        seen: list[list] = [[] for _ in self.classes]
+        for t in page_tokens(page, self.places):
+            if t in self.owner:
+                seen[self.owner[t]].append(t)
+        out: dict[str, set[str]] = {}
+        for (rounds, own), met in zip(self.classes, seen, strict=True):
+            if met == own * rounds:
+                for place, word in own:
+                    if word:
+                        out.setdefault(place, set()).add(word)
+        return out
+
+
+def main_text(page: str, template: Template | None = None, min_tokens: int = MIN_TOKENS) -> str:
     """The blocks of the page's slots that hold its main text."""
     runs = list(events(page))
     in_article = any(c and not f and t.strip() for _, t, _, f, c in runs)
+    fixed = template.valid_words(page) if template and template.has_words else {}
     blocks: dict[int, list[str]] = {}
     bare: dict[int, list[str]] = {}
     for place, text, block, furniture, content in runs:
@@ -272,33 +304,39 @@ def main_text(page: str, template: frozenset[int], min_tokens: int = MIN_TOKENS)
         if not text:
             if place.endswith("/br"):  # a line break inside a block is white space
                 blocks.setdefault(block, []).append(" ")
-                bare.setdefault(block, []).append(" ")
             continue
         shown = html.unescape(text)
         blocks.setdefault(block, []).append(shown)
-        bare.setdefault(block, []).append(
-            _outside(place, text, template, min_tokens) if template else shown)
-    kept, whole = _joined(bare), _joined(blocks)
+        if place in fixed:
+            left = _outside(text, fixed[place], min_tokens)
+            if left != text:
+                bare[block] = [*bare.get(block, blocks[block][:-1]), html.unescape(left)]
+                continue
+        if block in bare:
+            bare[block].append(shown)
+    whole = _joined(blocks)
+    if not bare:
+        return whole
+    kept = _joined(blocks | bare)
     # a host of copies of one page has the article in its template
     return kept if 2 * len(kept) >= len(whole) else whole
 
 
-def _outside(place: str, text: str, template: frozenset[int], min_tokens: int) -> str:
+def _outside(text: str, fixed: set[str], min_tokens: int) -> str:
     """The text without runs of template words."""
     words = text.split()
-    fixed = [token_id(place, w) in template for w in words]
-    if not any(fixed):
-        return html.unescape(text)
-    out, i = [], 0
+    out: list[str] = []
+    i = 0
     while i < len(words):
         j = i
-        while j < len(words) and fixed[j] == fixed[i]:
+        while j < len(words) and (words[j] in fixed) == (words[i] in fixed):
             j += 1
-        if not fixed[i] or (j - i < min_tokens and j - i < len(words)):
+        if words[i] not in fixed or (j - i < min_tokens and j - i < len(words)):
             out += words[i:j]
         i = j
-    lead, tail = " " * text[:1].isspace(), " " * text[-1:].isspace()
-    return html.unescape(lead + " ".join(out) + tail)
+    if len(out) == len(words):
+        return text
+    return " " * text[:1].isspace() + " ".join(out) + " " * text[-1:].isspace()
 
 
 def _joined(blocks: dict[int, list[str]]) -> str:
@@ -327,20 +365,17 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     hashed = rows.select("host", F.xxhash64("url", "html").alias("page"), "html")
     found = materialize(templates(hashed, min_pages, support, min_tokens), "templates")
 
-    def extract(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        known: dict[bytes, frozenset[int]] = {}
-        for page, template in columns:
+    def extract(columns: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for host, page, classes in columns:
+            known: dict[str, Template | None] = {}
             out = []
-            for text, t in zip(page, template, strict=True):
-                key = b"" if t is None else np.asarray(t, np.int64).tobytes()
-                if key not in known:
-                    if len(known) > 1000:
-                        known.clear()
-                    known[key] = frozenset(np.frombuffer(key, np.int64).tolist())
-                out.append(main_text(text, known[key], min_tokens))
+            for h, text, c in zip(host, page, classes, strict=True):
+                if h not in known:
+                    known[h] = None if c is None else Template(c)
+                out.append(main_text(text, known[h], min_tokens))
             yield pd.Series(out, dtype=object)
 
-    text = F.pandas_udf(extract, "string")(F.col("html"), F.col("template"))
+    text = F.pandas_udf(extract, "string")(F.col("host"), F.col("html"), F.col("template"))
     return (rows.join(found, "host", "left")
             .select(F.col("id").alias(id_col), F.col("url").alias(url_col), text.alias("text"))
             .withColumn("n_chars", F.length("text").cast("long")))

@@ -8,7 +8,7 @@ hash), null ids last. Lines without words stay.
 The join follows the prefix filter: with the words of a line in one global
 order, rare first, two matching lines share a word among the first
 ``size - ceil(threshold * size) + 1`` of each. Such prefix words, with the
-line's place and size, 32 parity bits and a 32-bit signature of its set, are
+line's place and size, 64 parity bits and a 24-bit signature of its set, are
 all that is shuffled to find pairs. Lines with equal sets meet at their first
 word and need no more. Of the others, inside the group of one word a pair of lines must pass
 
@@ -47,7 +47,7 @@ from .common import col, free_names, materialize, whole_groups
 #: Bytes of text handled at a time.
 CHUNK = 1 << 17
 #: Earliest passing lines that a line keeps per prefix word.
-KEPT = 3
+KEPT = 8
 
 _LOWER = bytes(range(256)).lower()
 _WORD = bytes(c not in (0x20, *range(0x09, 0x0E)) for c in range(256))
@@ -158,11 +158,9 @@ class Lines:
         return np.stack([np.add.reduceat(_mixed(self.key ^ np.uint64(s)), self.first)
                          for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F)], axis=1)
 
-    def prints(self, signatures: np.ndarray) -> np.ndarray:
-        """Per line 32 bits of word parities above 32 bits of signature."""
-        parity = np.bitwise_xor.reduceat(
-            np.uint64(1) << (self.key & np.uint64(31)), self.first)
-        return parity << np.uint64(32) | signatures[:, 0] >> np.uint64(32)
+    def parity(self) -> np.ndarray:
+        return np.bitwise_xor.reduceat(
+            np.uint64(1) << (self.key & np.uint64(63)), self.first)
 
     def prefix(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line index, position, key) of every prefix word."""
@@ -203,14 +201,16 @@ def counters(docs: DataFrame, bits: int, keys_of) -> np.ndarray:
     return out.reshape(-1)
 
 
-#: place: line and text hash; shape: size and position; 32 bits each.
-POSTING = "word long, cell int, id long, place long, shape long, print long"
+#: place: line above 32 bits of text hash; shape: size above 16 bits of position
+#: (a larger one counts as the largest) above 24 bits of signature.
+POSTING = "word long, cell int, id long, place long, shape long, parity long"
 _HALF = np.int64(0xFFFFFFFF)
 
 
-def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int) -> DataFrame:
+def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=None) -> DataFrame:
     """Prefix words of the lines of ``rows`` (``id``, ``text_hash``, ``text``).
 
+    ``only``: a broadcast bit table; words without their bit are left out.
     Lines of one batch with equal sets are represented by the earliest; the
     others come out as rows of shape 0, spread over the words.
     """
@@ -236,20 +236,23 @@ def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int) -> Da
                 copy[order] = again
                 of, pos, key = ls.prefix(threshold)
                 stays = ~copy[of]
+                if only is not None:
+                    stays &= marked(only.value, word_marks(key))
                 of, pos, key = of[stays], pos[stays], key[stays]
                 blocks = -(-crowds.value[((key << np.uint64(8)) >> np.uint64(64 - bits))
                                          .astype(np.int64)] // cell)
-                prints = ls.prints(sign).view(np.int64)
+                parity = ls.parity().view(np.int64)
 
                 def batch(of, key, cells, shape):
                     return pa.RecordBatch.from_pydict({
                         "word": pa.array(key.view(np.int64)),
                         "cell": pa.array(cells.astype(np.int32)),
                         "id": ids.take(pa.array(ls.row[of])), "place": pa.array(place[of]),
-                        "shape": pa.array(shape), "print": pa.array(prints[of])})
+                        "shape": pa.array(shape), "parity": pa.array(parity[of])})
 
                 one = blocks <= 1
-                shape = ls.size[of] << np.int64(32) | pos
+                shape = (ls.size[of] << np.int64(40) | np.minimum(pos, 65535) << np.int64(24)
+                         | (sign[of, 0] >> np.uint64(40)).view(np.int64))
                 yield batch(of[one], key[one], np.zeros(one.sum()), shape[one])
                 if not one.all():
                     of, key, shape, blocks = of[~one], key[~one], shape[~one], blocks[~one]
@@ -274,14 +277,14 @@ def passing(size, pos, parity, x, y, threshold: float) -> np.ndarray:
             & (np.bitwise_count(parity[x] ^ parity[y]) <= sx + sy - 2 * need))
 
 
-def equal_lines(group, rank, size, prints) -> tuple[np.ndarray, np.ndarray]:
+def equal_lines(group, rank, size, sign, parity) -> tuple[np.ndarray, np.ndarray]:
     """For rows sorted by (group, rank): which rows stand for their equals in
     the group, and which are later copies; the same line again is neither."""
     if not len(group):
         return np.zeros(0, bool), np.zeros(0, bool)
-    order = np.lexsort((np.arange(len(group)), prints, size, group))
-    g, s, p = group[order], size[order], prints[order]
-    again = np.r_[False, (g[1:] == g[:-1]) & (s[1:] == s[:-1]) & (p[1:] == p[:-1])]
+    order = np.lexsort((np.arange(len(group)), parity, sign, size, group))
+    again = np.r_[False, np.all([v[order][1:] == v[order][:-1]
+                                 for v in (group, size, sign, parity)], axis=0)]
     head = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
     first, copy = np.zeros(len(group), bool), np.zeros(len(group), bool)
     first[order] = ~again
@@ -352,7 +355,7 @@ def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> D
     def scan(frames):
         for f in whole_groups(frames, ["word", "cell"]):
             shape, place = f["shape"].to_numpy(), f["place"].to_numpy()
-            size, pos = shape >> 32, shape & _HALF
+            size, pos, sign = shape >> 40, shape >> 24 & 65535, shape & 0xFFFFFF
             word, cell = f["word"].to_numpy(), f["cell"].to_numpy()
             missing, ids = f["id"].isna().to_numpy(), f["id"].fillna(0).to_numpy(np.int64)
             new = (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])
@@ -360,14 +363,15 @@ def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> D
             rank = np.cumsum(np.r_[True, np.any(
                 [p[1:] != p[:-1] for p in (missing, ids, place)], axis=0)])
             live = np.flatnonzero(size > 0)
-            prints = f["print"].to_numpy().view(np.uint64)
-            first, copy = equal_lines(group[live], rank[live], size[live], prints[live])
+            parity = f["parity"].to_numpy().view(np.uint64)
+            first, copy = equal_lines(group[live], rank[live], size[live], sign[live],
+                                      parity[live])
             gone = np.r_[np.flatnonzero(size == 0), live[copy & (pos[live] == 0)]]
             keep = live[first]
             probe = f["probe"].to_numpy(bool) if probes else np.ones(len(f), bool)
             x, y, more = earliest_pairs(
                 group[keep], rank[keep], probe[keep], size[keep], pos[keep],
-                (prints[keep] >> np.uint64(32)).astype(np.uint32), threshold, kept)
+                parity[keep], threshold, kept)
             x, y = np.r_[keep[x], gone], np.r_[keep[y], gone]
 
             def known(at, missing=missing, ids=ids):
@@ -383,23 +387,33 @@ def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> D
     return dealt.mapInPandas(scan, PAIR)
 
 
-def marks_of(text_hash: np.ndarray, line: np.ndarray, bits: int) -> np.ndarray:
+BITS = 24
+
+
+def line_marks(text_hash: np.ndarray, line: np.ndarray) -> np.ndarray:
     return (_mixed(text_hash.view(np.uint64) + _mixed(line.astype(np.uint64)))
-            >> np.uint64(64 - bits)).astype(np.int64)
+            >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def word_marks(word: np.ndarray) -> np.ndarray:
+    return (_mixed(word.view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
-def sets_of(rows: DataFrame, wanted: DataFrame, rarity, bits: int = 24) -> DataFrame:
-    """Word keys of the lines in ``wanted`` (``id``, ``text_hash``, ``line``).
+def marked(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
 
-    A table of ``2 ** bits`` bits picks out the wanted lines while the texts
-    are read; the few others that it lets through meet no partner in the join.
+
+def bit_table(df: DataFrame, marks) -> np.ndarray:
+    """Packed table of ``2 ** BITS`` bits with the bits ``marks(frame)`` set.
+
+    A filter of fixed size: a few others pass it too, and meet no partner later.
     """
     slices = 64
-    width = (1 << bits) // slices
+    width = (1 << BITS) // slices
 
     def mark(frames):
         for f in frames:
-            at = np.unique(marks_of(f["text_hash"].to_numpy(), f["line"].to_numpy(), bits))
+            at = np.unique(marks(f))
             yield pd.DataFrame({"slice": (at // width).astype(np.int32), "at": at % width})
 
     def union(f: pd.DataFrame) -> pd.DataFrame:
@@ -408,10 +422,18 @@ def sets_of(rows: DataFrame, wanted: DataFrame, rarity, bits: int = 24) -> DataF
         return pd.DataFrame({"slice": f["slice"][:1], "bits": [np.packbits(table).tobytes()]})
 
     table = np.zeros((slices, width // 8), np.uint8)
-    marked = wanted.select("text_hash", "line").mapInPandas(mark, "slice int, at long").distinct()
-    for r in marked.groupBy("slice").applyInPandas(union, "slice int, bits binary").collect():
+    found = df.mapInPandas(mark, "slice int, at long").distinct()
+    for r in found.groupBy("slice").applyInPandas(union, "slice int, bits binary").collect():
         table[r["slice"]] = np.frombuffer(r["bits"], np.uint8)
-    held = rows.sparkSession.sparkContext.broadcast(table.reshape(-1))
+    return table.reshape(-1)
+
+
+def sets_of(rows: DataFrame, wanted: DataFrame, rarity) -> DataFrame:
+    """Word keys of the lines in ``wanted`` (``id``, ``text_hash``, ``line``), rare
+    ones first, and of a few others that the bit table lets through."""
+    held = rows.sparkSession.sparkContext.broadcast(bit_table(
+        wanted.select("text_hash", "line"),
+        lambda f: line_marks(f["text_hash"].to_numpy(), f["line"].to_numpy())))
 
     def emit(batches):
         for b in batches:
@@ -420,9 +442,8 @@ def sets_of(rows: DataFrame, wanted: DataFrame, rarity, bits: int = 24) -> DataF
                 zero_copy_only=False)
             for row, line, h in words_of(b, "text"):
                 first = line_edges(row, line)
-                at = marks_of(text_hash[row[first]], line[first], bits)
-                hit = (held.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1
-                pick = np.repeat(hit.astype(bool), np.diff(np.r_[first, len(row)]))
+                hit = marked(held.value, line_marks(text_hash[row[first]], line[first]))
+                pick = np.repeat(hit, np.diff(np.r_[first, len(row)]))
                 if not pick.any():
                     continue
                 ls = Lines(row[pick], line[pick], h[pick], rarity.value)
@@ -485,17 +506,19 @@ def matching_lines(rows: DataFrame, threshold: float, sketch_bits: int, cell: in
         judged.groupBy(*at).agg(F.max("match").alias("m"), F.max("more").alias("more"))
         .where("more and not m").select(*at).exceptAll(pairs.where("copy").select(*at)), "failed")
     if not failed.isEmpty():
-        # these lines meet every line that passes the filters
-        f = failed.select(F.col("id").alias("f_id"), F.col("text_hash").alias("f_hash"),
-                          F.col("line").alias("f_line"))
-        f = f.select("f_id", F.shiftleft(F.col("f_line").cast("long"), 32)
-                     .bitwiseOR(F.col("f_hash")).alias("f_place"))
-        probes = found.where("shape > 0").join(
+        # these lines meet every line that passes the filters, at their own prefix words
+        n = F.size("words")
+        own = F.slice("words", 1, n - F.ceil(threshold * n - 1e-9).cast("int") + 1)
+        words = sets_of(rows, failed, rarity).select(F.explode(own).alias("word"))
+        only = sc.broadcast(bit_table(words, lambda f: word_marks(f["word"].to_numpy())))
+        f = failed.select(F.col("id").alias("f_id"), F.shiftleft(F.col("line").cast("long"), 32)
+                          .bitwiseOR(F.col("text_hash")).alias("f_place"))
+        probes = postings(rows, threshold, rarity, crowds, cell, only).where("shape > 0").join(
             f, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("place") == F.col("f_place")), "left")
         probes = probes.withColumn("probe", F.col("f_place").isNotNull()).drop("f_id", "f_place")
         rest = materialize(candidates(dealt(probes), threshold, 1 << 40, True), "line_pairs")
         settled = settled.unionByName(
-            verified(rows, rest.drop("copy").distinct(), threshold, rarity)
+            verified(rows, rest.where("not copy").drop("copy").distinct(), threshold, rarity)
             .where("match").select(*at))
     return settled.distinct()
 
