@@ -17,8 +17,8 @@ word and need no more. Of the others, inside the group of one word a pair of lin
 * the parity filter: bits in which the two maps differ never outnumber the
   words in which the two sets differ.
 
-Each line keeps the few earliest lines that pass; those pairs are verified on
-the full sets. A line is settled by one verified pair, so a large group of
+Each line keeps the few most likely of the earlier lines that pass; those pairs
+are verified on the full sets. A line is settled by one verified pair, so a large group of
 alike lines yields rows in proportion to its lines, not its pairs. A line of
 which every kept pair failed while more had passed is joined again with all
 that pass, so nothing is lost.
@@ -46,8 +46,9 @@ from .common import col, free_names, materialize, whole_groups
 
 #: Bytes of text handled at a time.
 CHUNK = 1 << 17
-#: Earliest passing lines that a line keeps per prefix word.
-KEPT = 8
+#: Most likely partners that a line keeps per prefix word.
+KEPT = 3
+WEAK = 16
 
 _LOWER = bytes(range(256)).lower()
 _WORD = bytes(c not in (0x20, *range(0x09, 0x0E)) for c in range(256))
@@ -292,20 +293,22 @@ def equal_lines(group, rank, size, sign, parity) -> tuple[np.ndarray, np.ndarray
     return first, copy
 
 
-def earliest_pairs(group, rank, probe, size, pos, parity, threshold: float, kept: int):
+def likely_pairs(group, rank, probe, size, pos, parity, threshold: float, kept: int):
     """For rows sorted by (group, rank): index pairs (x, y), y before x, that pass.
 
-    At most ``kept`` earliest y for every x, and whether more may pass. Only
-    rows marked in ``probe`` act as x. Small groups are compared shifted
-    against themselves, all at once; large ones block by block, and a row that
-    has its pairs takes no part in further blocks.
+    For every x at most ``kept`` pairs, those whose parities differ least for
+    their size, and whether more pass or may; ``WEAK`` times as many if even the
+    first uses up half of the bits it may differ in. Only rows marked in ``probe`` act
+    as x. Small groups are compared shifted against themselves, all at once;
+    large ones block by block, and a row that has enough pairs takes no part in
+    further blocks.
     """
     n = len(group)
     start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.zeros(0, np.int64)
     length = np.diff(np.r_[start, n])
     first = np.repeat(start, length)
     small = np.repeat(length <= 48, length)
-    xs, ys = [], []
+    xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for d in range(1, int(length[length <= 48].max(initial=1))):
         x = np.flatnonzero(small & probe & (np.arange(n) - d >= first))
         y = x - d
@@ -318,7 +321,7 @@ def earliest_pairs(group, rank, probe, size, pos, parity, threshold: float, kept
             x_all = x_all[probe[x_all]]
             found = np.zeros(len(x_all), np.int64)
             for c in range(a, lo + 1024, 4096):
-                open_ = np.flatnonzero(found <= kept)
+                open_ = np.flatnonzero(found <= WEAK * kept)
                 if not len(open_):
                     break
                 y_all = np.arange(c, min(c + 4096, a + m, lo + 1024))
@@ -326,19 +329,19 @@ def earliest_pairs(group, rank, probe, size, pos, parity, threshold: float, kept
                 before = (y < x) & (rank[x] != rank[y])
                 x, y = x[before], y[before]
                 ok = passing(size, pos, parity, x, y, threshold)
-                x, y = x[ok], y[ok]
-                nth = np.arange(len(x)) - np.searchsorted(x, x, "left")
-                few = nth <= kept
-                xs.append(x[few])
-                ys.append(y[few])
-                np.add.at(found, np.searchsorted(x_all, x), 1)
-    x, y = np.concatenate([np.zeros(0, np.int64), *xs]), np.concatenate([np.zeros(0, np.int64), *ys])
-    order = np.lexsort((y, x))
+                xs.append(x[ok])
+                ys.append(y[ok])
+                np.add.at(found, np.searchsorted(x_all, x[ok]), 1)
+    x, y = np.concatenate(xs), np.concatenate(ys)
+    differ, both = np.bitwise_count(parity[x] ^ parity[y]), size[x] + size[y]
+    spare = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9)
+    order = np.lexsort((y, differ / both, x))
     x, y = x[order], y[order]
-    nth = np.arange(len(x)) - np.searchsorted(x, x, "left")
-    total = np.searchsorted(x, x, "right") - np.searchsorted(x, x, "left")
-    few = nth < kept
-    return x[few], y[few], (total > kept)[few]
+    head = np.searchsorted(x, x, "left")
+    total = np.searchsorted(x, x, "right") - head
+    limit = np.where((2 * differ >= spare)[order][head], WEAK * kept, kept)
+    few = np.arange(len(x)) - head < limit
+    return x[few], y[few], (total > limit)[few]
 
 
 PAIR = ("id long, text_hash long, line int, y_id long, y_hash long, y_line int, copy boolean, "
@@ -369,7 +372,7 @@ def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> D
             gone = np.r_[np.flatnonzero(size == 0), live[copy & (pos[live] == 0)]]
             keep = live[first]
             probe = f["probe"].to_numpy(bool) if probes else np.ones(len(f), bool)
-            x, y, more = earliest_pairs(
+            x, y, more = likely_pairs(
                 group[keep], rank[keep], probe[keep], size[keep], pos[keep],
                 parity[keep], threshold, kept)
             x, y = np.r_[keep[x], gone], np.r_[keep[y], gone]
