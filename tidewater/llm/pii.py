@@ -169,8 +169,9 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     for name in names[len(BASE):]:
         df = df.withColumn(names[0], F.concat(whole, _apart(col(name), whole)))
         whole = col(names[0])
-    return df.withColumn("pii", whole).select(
-        *[col(c) for c in docs.columns if c.lower() != "pii"], "pii")
+    # generated, so that a later filter on the spans is not pushed into the steps above
+    return df.select(*[col(c) for c in docs.columns if c.lower() != "pii"],
+                     F.explode_outer(F.array(whole)).alias("pii"))
 
 
 def pii_summary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

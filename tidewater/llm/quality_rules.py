@@ -89,13 +89,19 @@ def with_signals(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, di
         lambda acc, i: F.struct(i.alias("last"),
                                 (acc["n"] + F.least(F.lit(WINDOW), i - acc["last"])).alias("n")),
         lambda acc: acc["n"])
-    df = (df.withColumn(word_chars, F.length(F.translate(flat, " \t\n\x0b\x0c\r", "")).cast("long"))
-          .withColumn(n_symbols, (F.length(flat) - F.length(F.translate(flat, "#*$%&|<>", "")))
-                      .cast("long"))
-          .withColumn(n_lines, F.size(lines).cast("long"))
-          .withColumn(n_dup_lines, (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
-          .withColumn(n_repeat, F.coalesce(covered, F.lit(0)).cast("long"))
-          .drop(flat, words, lines, windows, repeated))
+    signals = F.struct(
+        col(n_words).alias(n_words),
+        F.length(F.translate(flat, " \t\n\x0b\x0c\r", "")).cast("long").alias(word_chars),
+        (F.length(flat) - F.length(F.translate(flat, "#*$%&|<>", ""))).cast("long")
+        .alias(n_symbols),
+        F.size(lines).cast("long").alias(n_lines),
+        (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias(n_dup_lines),
+        F.coalesce(covered, F.lit(0)).cast("long").alias(n_repeat))
+    # generated, so that a later filter on a signal is not pushed into the
+    # steps above, where it would sort the windows once per window
+    df = (df.select(*[col(c) for c in docs.columns],
+                    F.explode_outer(F.array(signals)).alias(flat))
+          .select(*[col(c) for c in docs.columns], F.col(f"`{flat}`.*")))
     return df, dict(zip(["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines",
                          "n_repeat_words"],
                         [n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat],
