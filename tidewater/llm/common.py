@@ -13,9 +13,6 @@ from tidewater.plans.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
-#: Spark's setting that drops a query's shuffle files when the query ends.
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 
 def col(name: str) -> Column:
     """A top-level column by its exact name, dots and all."""
@@ -38,17 +35,15 @@ def free_names(df: DataFrame, *bases: str) -> list[str]:
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared scratch folder and read it back.
 
-    Cuts the lineage: a lost executor costs a re-read, not a recomputation. The
-    shuffle files behind it go as soon as the table is written.
+    Cuts the lineage: a lost executor costs a re-read, not a recomputation, and
+    the shuffle files behind the table can go.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, "llm", name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(SHUFFLE_CLEANUP, before)
+    df.write.option("compression", "zstd").parquet(path)
+    # Spark drops the shuffle files of a query that nothing refers to any more,
+    # but only once the driver's garbage collector has noticed
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
