@@ -24,18 +24,20 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidewater.constants import BATCH_ID  # noqa: E402
-from tidewater.functions.naming import normalized_names  # noqa: E402
 from tidewater.operators import (  # noqa: E402
     add_audit_columns, add_row_hash, dedupe_by_hash, load_gate, normalize_columns,
     sanitize_timestamps,
 )
-from tidewater.operators.changes import changes_between_batches  # noqa: E402
+from tidewater.operators.changes import (  # noqa: E402
+    changes_between_batches, detect_changes,
+)
 from tidewater.plans import RunConfig, Source, TableSpec, Target, ingest_all, summarize  # noqa: E402
+from tidewater.plans.ingest import ingest_frame  # noqa: E402
 from tidewater.plans.prepare import prepare  # noqa: E402
 from tidewater.plans.session import scratch_dir  # noqa: E402
 from tidewater.sinks import resolve_load, write_lake, write_target  # noqa: E402
 from tidewater.sources import read_lake, target_exists  # noqa: E402
-from tidewater.streaming import epoch_batch_id, ingest_stream  # noqa: E402
+from tidewater.streaming import ingest_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -380,12 +382,70 @@ def q_stream_orders(spark, sf_dir):
                        run_ts=RUN_TS, as_of=AS_OF, bits=256)
     q = ingest_stream(stream, spec, config, f"{root}/checkpoint", "S",
                       report_path=f"{root}/report")
-    if not q.awaitTermination(900):  # available-now ends by itself; never hang
-        q.stop()
-        raise TimeoutError("streaming ingest did not finish within 900 s")
+    q.awaitTermination()  # an available-now stream ends by itself
     return read_lake(spark, f"{root}/target")
 
 
+def _with_extra(df: DataFrame) -> DataFrame:
+    return df.withColumn("o_extra", F.col("o_orderkey") + 1)
+
+
+def q_read_evolved(spark, sf_dir):
+    """S5: batch 2 has a column more; the whole-lake read has it, NULL in batch 1."""
+    lake = scratch_dir(spark, "s5_evolved")
+    orders = _read(spark, sf_dir, "orders")
+    for batch, src in ((B1, orders), (B2, _with_extra(orders))):
+        write_lake(prepare(src, hash_key("orders"), batch, CREATED_BY, SOURCE_SYSTEM,
+                           run_ts=AS_OF, as_of=AS_OF, bits=256), lake, "incremental")
+    return read_lake(spark, lake)
+
+
+def q_catalog_evolve(spark, sf_dir):
+    """K2: the same two batches through whole runs into a catalog table."""
+    root = scratch_dir(spark, "k2_evolve")
+    table = "tidewater_evolve_" + root.rsplit("/", 1)[1][:8]
+    orders = _read(spark, sf_dir, "orders")
+    for batch, src in ((B1, orders), (B2, _with_extra(orders))):
+        spec = TableSpec(name="orders", source=Source(kind="table", name="unused"),
+                         hash_column=hash_key("orders"), lake_path=f"{root}/lake",
+                         target=Target(kind="table", name=table))
+        config = RunConfig(mode="incremental", created_by=CREATED_BY, batch_id=batch,
+                           source_system=SOURCE_SYSTEM, run_ts=AS_OF, as_of=AS_OF, bits=256,
+                           time_zone=spark.conf.get("spark.sql.session.timeZone"))
+        row = ingest_frame(spark, src, spec, config)
+        if row["status"] != "success":
+            raise RuntimeError(row["reason"])
+    return spark.table(table)
+
+
+def q_empty_rerun(spark, sf_dir):
+    """K1: batch 2 is run again without rows; only batch 1 is left in the target."""
+    root = scratch_dir(spark, "k1_empty")
+    orders = _read(spark, sf_dir, "orders")
+    for batch, src in ((B1, orders), (B2, orders), (B2, orders.where(F.lit(False)))):
+        spec = TableSpec(name="orders", source=Source(kind="table", name="unused"),
+                         hash_column=hash_key("orders"), lake_path=f"{root}/lake",
+                         target=Target(kind="path", name=f"{root}/target"))
+        config = RunConfig(mode="incremental", created_by=CREATED_BY, batch_id=batch,
+                           source_system=SOURCE_SYSTEM, run_ts=AS_OF, as_of=AS_OF, bits=256,
+                           time_zone=spark.conf.get("spark.sql.session.timeZone"))
+        ingest_frame(spark, src, spec, config)
+    return read_lake(spark, f"{root}/target")
+
+
+def q_changed_text_hash(spark, sf_dir):
+    """X2 where several rows share a hash: documents hashed by language and
+    source alone; the later snapshot has lost one language."""
+    docs = _read(spark, sf_dir, "documents")
+
+    def snap(df):
+        return add_row_hash(normalize_columns(df), "K", bits=256,
+                            exclude=("DOC_ID", "TEXT", "N_CHARS")).drop("ETL_ROW_HASH")
+
+    return detect_changes(snap(docs.where("source <> 'src1'")), snap(docs.where("lang <> 'de'")),
+                          "K")
+
+
 # --------------------------------------------------------------------------
 # Oracle SQL (DuckDB)
 # --------------------------------------------------------------------------
@@ -403,8 +463,8 @@ def _hash_sql(cols: list[tuple[str, str]]) -> str:
 
 
 def _renamed(table: str) -> list[tuple[str, str]]:
-    cols = TABLE_COLUMNS[table]
-    return list(zip(normalized_names(cols), cols))
+    """Expected name and source column: the given tables are in lower snake case."""
+    return [(c.upper(), c) for c in TABLE_COLUMNS[table]]
 
 
 def _bad_ts(expr: str, as_of: str) -> str:
@@ -449,7 +509,8 @@ def o_rename_customer() -> str:
 
 
 def o_rename_duplicates() -> str:
-    names = normalized_names([a for _, a in RENAME_ALIASES])
+    names = ["CUST_KEY", "CUST_KEY_1", "CUSTOMER_NAME", "NATION_KEY_1", "ACCT_BAL", "MKT_SEGMENT",
+             "X", "X_2", "X_1"]
     return ("SELECT " + ", ".join(f"{c} AS {n}" for (c, _), n in zip(RENAME_ALIASES, names))
             + " FROM customer")
 
@@ -618,6 +679,28 @@ def o_changed_orders() -> str:
         WHERE a.O_ORDERKEY IS NULL OR a.{h} <> b.{h}"""
 
 
+def o_evolved_orders() -> str:
+    more = _prepare_sql("orders", B2, AS_OF, clean_ts=False)
+    cols = [*[(n, e) for n, e in _renamed("orders")], ("O_EXTRA", "o_orderkey + 1")]
+    h = _hash_sql(cols)
+    first = _prepare_sql("orders", B1, AS_OF, clean_ts=False)
+    old = _hash_sql(_renamed("orders"))
+    return (f"SELECT *, CAST(NULL AS BIGINT) AS O_EXTRA FROM ({first}) UNION ALL "
+            + more.replace(old, h).replace(" FROM orders", ", o_orderkey + 1 AS O_EXTRA FROM orders"))
+
+
+def o_changed_text_hash() -> str:
+    h = "sha256(coalesce(lang, '') || '||' || coalesce(source, ''))"
+    body = ", ".join(f"{c} AS {n}" for n, c in _renamed("documents"))
+    snap = f"SELECT {h} AS K, {body} FROM documents WHERE "
+    pick = ("(SELECT K, DOC_ID, TEXT, LANG, SOURCE, N_CHARS, {c} AS change FROM (SELECT *, "
+            "row_number() OVER (PARTITION BY K ORDER BY doc_id) AS rn FROM {x}) "
+            "WHERE rn = 1 AND K NOT IN (SELECT K FROM {y}))")
+    return (f"WITH b AS ({snap} source <> 'src1'), a AS ({snap} lang <> 'de') "
+            + pick.format(c="'new'", x="a", y="b") + " UNION ALL "
+            + pick.format(c="'removed'", x="b", y="a"))
+
+
 # --------------------------------------------------------------------------
 # Registry
 # --------------------------------------------------------------------------
@@ -654,13 +737,18 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
         "s5_read_batch": (q_read_batch, _prepare_sql("orders", B2, AS_OF, clean_ts=False)),
         "k5_land_and_load_orders": (q_land_and_load,
                                     _prepare_sql("orders", B1, AS_OF, clean_ts=False)),
+        "s5_read_evolved_orders": (q_read_evolved, o_evolved_orders()),
+        "k2_catalog_evolve_orders": (q_catalog_evolve, o_evolved_orders()),
+        "k1_empty_rerun_orders": (q_empty_rerun,
+                                  _prepare_sql("orders", B1, AS_OF, clean_ts=False)),
+        "x2_changed_documents_text_hash": (q_changed_text_hash, o_changed_text_hash()),
         "x2_changed_orders_unkeyed": (q_changed_orders_unkeyed, o_changed_orders_unkeyed()),
         "x1_dedupe_orders_snapshots": (q_dedupe_orders_snapshots, o_dedupe_orders_snapshots()),
         "x1_dedupe_orders_incremental": (
             q_dedupe_orders_incremental,
             f"SELECT * FROM ({o_dedupe_orders_snapshots()}) WHERE ETL_BATCH_ID = {_lit(B2)}"),
         "stream_ingest_orders": (q_stream_orders, _prepare_sql(
-            "orders", epoch_batch_id("S", 0), AS_OF, clean_ts=False)),
+            "orders", "S0000000000", AS_OF, clean_ts=False)),
     }
     for t in HASHED_TABLES:
         reg[f"p6_hash256_{t}"] = (make_hash_query(t, 256), o_hash(t))

@@ -1,7 +1,7 @@
 import datetime as dt
 
 from tidewater.constants import APPENDED_AUDIT
-from tidewater.operators import add_audit_columns, shadowed_audit_columns
+from tidewater.operators import add_audit_columns, shadowed_columns
 from tidewater.operators.audit import new_batch_id
 
 
@@ -22,7 +22,7 @@ def test_shadowed_source_column_overwritten_in_place(spark):
     out = add_audit_columns(df, "B", "me", "SRC")
     assert out.columns[:2] == ["CREATED_BY", "ID"]
     assert out.first()["CREATED_BY"] == "me"
-    assert shadowed_audit_columns(df.columns) == ["CREATED_BY"]
+    assert shadowed_columns(df.columns) == ["CREATED_BY"]
 
 
 def test_default_batch_id_format():

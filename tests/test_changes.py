@@ -131,3 +131,26 @@ def test_changes_between_landed_batches_by_path_with_added_column(spark, tmp_dir
     assert counts == {"removed": n_prev - both, "replaced": both, "changed": both,
                       "new": n_cur - both}
     assert "O_NOTE" in got.columns
+
+
+def test_payload_does_not_depend_on_row_order_and_dropped_columns_stay(spark):
+    from tidewater.operators import detect_changes
+    prev = spark.createDataFrame([("h1", 5, "x", "old"), ("h1", 2, "y", "old"), ("h2", 1, "z", "o")],
+                                 "H string, A int, B string, GONE string")
+    cur = spark.createDataFrame([("h2", 1, "z", 7), ("h3", 9, "q", 7), ("h3", 3, "q", 8)],
+                                "H string, A int, B string, FRESH int")
+    want = {("h1", 2, "y", None, "old", "removed"), ("h3", 3, "q", 8, None, "new")}
+    for p, c in ((prev, cur), (prev.repartition(3), cur.orderBy("A"))):
+        out = detect_changes(p, c, "H")
+        assert out.columns == ["H", "A", "B", "FRESH", "GONE", "change"]
+        assert {tuple(r) for r in out.collect()} == want
+
+
+def test_map_columns_and_null_or_odd_hashes(spark):
+    from tidewater.operators import dedupe_by_hash, detect_changes
+    prev = spark.sql("SELECT 'ab' AS H, map('k', 1) AS m UNION ALL SELECT 'AB', map('k', 2) "
+                     "UNION ALL SELECT NULL, map('n', 1)")
+    cur = spark.sql("SELECT 'ab' AS H, map('k', 1) AS m UNION ALL SELECT 'not hex', map('k', 3)")
+    got = {(r["H"], r["change"]) for r in detect_changes(prev, cur, "H").collect()}
+    assert got == {("AB", "removed"), (None, "removed"), ("not hex", "new")}
+    assert dedupe_by_hash(prev.unionByName(prev), "H", ()).count() == 3

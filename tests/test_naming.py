@@ -4,7 +4,7 @@ from hypothesis import given, strategies as st
 from tidewater.functions.naming import normalized_names, snake_upper
 
 EXPECTED = {
-    "LeadOrderID": "LEAD_ORDER_ID",
+    "SalesOrderID": "SALES_ORDER_ID",
     "HTTPServer": "HTTP_SERVER",
     "lead_id": "LEAD_ID",
     "address1": "ADDRESS_1",
@@ -50,8 +50,8 @@ def test_output_unique_and_clean(names):
 
 def test_normalize_columns_frame(spark):
     from tidewater.operators import normalize_columns
-    df = spark.createDataFrame([(1, "a", 2.0)], "LeadOrderID int, `café` string, `日付` double")
-    assert normalize_columns(df).columns == ["LEAD_ORDER_ID", "CAF", "COL_3"]
+    df = spark.createDataFrame([(1, "a", 2.0)], "SalesOrderID int, `café` string, `日付` double")
+    assert normalize_columns(df).columns == ["SALES_ORDER_ID", "CAF", "COL_3"]
 
 
 @given(st.lists(st.text(min_size=0, max_size=12), min_size=1, max_size=12))

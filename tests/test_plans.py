@@ -67,15 +67,36 @@ def test_dedupe_is_partial_then_final_aggregate(spark):
     assert "Window" not in p
 
 
-def test_changes_never_join_snapshots_and_presence_scans_keys_only(spark):
-    li = spark.read.parquet(f"{SF}/lineitem.parquet")
-    a = add_row_hash(li, "H").drop("ETL_ROW_HASH")
-    b = add_row_hash(li.where(F.col("l_returnflag") != "R"), "H").drop("ETL_ROW_HASH")
-    p = plan(detect_changes(a, b, "H", ["l_orderkey", "l_linenumber"]))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_linenumber:int>" in p
-    # the only join is with the one-row-per-key presence table
-    assert len(re.findall(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) ", p)) <= 1
-    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+def test_changes_first_pass_has_no_payload(spark, tmp_dir):
+    from tidewater.operators.changes import changes_between_batches
+    for b in ("1", "2"):
+        write_lake(prepared(spark, "customer", b), tmp_dir, "incremental")
+    p = plan(changes_between_batches(tmp_dir, "1", "2", "K", ["C_CUSTKEY"]), "extended")
+    physical = p[p.index("== Physical Plan =="):]
+    assert "ReadSchema: struct<K:string,C_CUSTKEY:" in physical
+    assert "CartesianProduct" not in physical and "BroadcastNestedLoopJoin" not in physical
+    # the exchange under the first aggregate carries key, hash and side only
+    first = re.findall(r"HashAggregate\(keys=\[([^]]*)\], functions=\[partial_max\(_side[^]]*\]",
+                       physical)
+    assert first and all("C_NAME" not in f for f in first)
+
+
+def test_no_exchange_of_bucketed_history(spark):
+    from tidewater.operators import dedupe_new_rows, keep_hashes
+    spark.sql("DROP TABLE IF EXISTS kept_hashes")
+    history = prepared(spark, "customer", "1")
+    keep_hashes(history.where("C_CUSTKEY % 2 = 0"), "K", "kept_hashes", 8)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = dedupe_new_rows(spark.table("kept_hashes"), prepared(spark, "customer", "2"), "K")
+        lines = plan(fresh, "simple").splitlines()
+        assert fresh.count() == history.where("C_CUSTKEY % 2 = 1").count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scan = next(i for i, x in enumerate(lines) if "kept_hashes" in x and "Scan" in x)
+    join = max(i for i, x in enumerate(lines[:scan]) if "SortMergeJoin" in x)
+    assert join < scan and not any("Exchange" in x for x in lines[scan - 3:scan])
 
 
 def test_incremental_dedupe_reads_only_the_hash_of_history(spark, tmp_dir):

@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 def main(argv: list[str] | None = None) -> int:
     from tidewater.plans.config import specs_from_json
     from tidewater.plans.ingest import ingest_all, summarize
+    from tidewater.plans.session import session_conf
 
     ap = argparse.ArgumentParser(prog="tidewater")
     ap.add_argument("config", help="JSON run configuration")
@@ -29,8 +30,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.mode:
         config = dataclasses.replace(config, mode=args.mode)
     spark = SparkSession.builder.appName("tidewater").getOrCreate()
+    for key, value in session_conf(time_zone=config.time_zone).items():
+        spark.conf.set(key, value)
     report = ingest_all(spark, specs, config).cache()
-    report.show(truncate=False)
+    report.show(len(specs), truncate=False)
     summary = summarize(report).first()
     if args.report:
         report.write.mode("append").parquet(args.report)

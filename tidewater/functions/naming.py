@@ -19,7 +19,7 @@ WORD_PATTERN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
 def snake_upper(name: str) -> str:
-    """``LeadOrderID`` -> ``LEAD_ORDER_ID``; ``address1`` -> ``ADDRESS_1``.
+    """``SalesOrderID`` -> ``SALES_ORDER_ID``; ``address1`` -> ``ADDRESS_1``.
 
     May return ``""`` for a name without ASCII letters or digits.
     """

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.constants import (
     APPENDED_AUDIT, BATCH_ID, BATCH_ID_FORMAT, CREATED_BY, ETL_CREATED_DATE,
-    ETL_LAST_UPDATE_DATE, SOURCE_SYSTEM, TO_PROCESS,
+    ETL_LAST_UPDATE_DATE, ROW_HASH, SOURCE_SYSTEM, TO_PROCESS,
 )
 from tidewater.functions.timestamps import timestamp_literal
 
@@ -19,9 +19,10 @@ def new_batch_id(now: dt.datetime | None = None) -> str:
     return (now or dt.datetime.now()).strftime(BATCH_ID_FORMAT)
 
 
-def shadowed_audit_columns(columns: list[str]) -> list[str]:
-    """Source columns that the audit columns will overwrite."""
-    return [c for c in columns if c in APPENDED_AUDIT]
+def shadowed_columns(columns: list[str], hash_column: str | None = None) -> list[str]:
+    """Source columns that the audit and hash columns will overwrite."""
+    added = {*APPENDED_AUDIT, *((hash_column, ROW_HASH) if hash_column else ())}
+    return [c for c in columns if c in added]
 
 
 def add_audit_columns(df: DataFrame, batch_id: str | None, created_by: str,

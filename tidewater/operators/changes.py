@@ -15,14 +15,16 @@ replaced   hash only in ``prev``; key present in ``cur`` (old version)
 
 Without keys every difference is ``new`` or ``removed``.
 
-Plan: both sides are tagged and unioned, then aggregated per (key, hash)
-with map-side partial aggregation, so duplicated rows or hot keys collapse
-before the shuffle and no pairs are ever formed (the snapshots are never
-joined with each other). Key presence is a second aggregate over a
-key-only projection of both sides (column-pruned scans, no hashing), one
-row per key; joining the differences to it cannot fan out. Adaptive
-execution broadcasts it only when its measured size is small, and splits
-skewed partitions of the sort-merge join otherwise.
+Plan: the first pass sees only keys, hash and side. Both sides are unioned and
+aggregated per (key, hash) with map-side partial aggregation, so duplicated
+rows or hot keys collapse before the shuffle and no pairs are ever formed; most
+rows end there. Key presence is looked up for the keys of the differences only,
+and the payload is fetched for the differing rows only, by joins on (key, hash)
+whose one side has one row per pair: adaptive execution broadcasts it when its
+measured size is small and splits skewed partitions otherwise.
+
+Several rows of one side may share key and hash (columns kept out of the hash);
+the smallest one in column order is returned.
 """
 
 from __future__ import annotations
@@ -33,56 +35,67 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.constants import AUDIT_COLUMNS, BATCH_ID
+from tidewater.functions.hashing import hash_key
 from tidewater.functions.naming import qcol
 
 CHANGE = "change"
 
 
-def _tag(df: DataFrame, keys: list[str], hash_column: str, payload: list[str],
-         types: dict, side: int) -> DataFrame:
-    """A column added after ``prev`` was taken is NULL on the ``prev`` side."""
-    fields = [qcol(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c)
-              for c in payload]
-    return df.select(*[qcol(k) for k in keys], qcol(hash_column),
-                     F.lit(side).alias("_side"), F.struct(*fields).alias("_row"))
+def _sided(df: DataFrame, keys: list[str], hash_column: str, side: int) -> DataFrame:
+    return df.select(*[qcol(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                     hash_key(qcol(hash_column)).alias("_h"), F.lit(side).alias("_side"))
+
+
+def _smallest(columns: list[str], df: DataFrame):
+    """The smallest row in column order; maps have no order, so by its JSON then."""
+    row = F.struct(*[qcol(c) for c in columns])
+    if any("map<" in df.schema[c].dataType.simpleString() for c in columns):
+        return F.min_by(row, F.to_json(row))
+    return F.min(row)
 
 
 def detect_changes(prev: DataFrame, cur: DataFrame, hash_column: str,
                    key_columns: Sequence[str] = ()) -> DataFrame:
-    """Rows that differ between ``prev`` and ``cur``, in ``cur``'s column
-    order, plus a ``change`` column. Payload comes from ``cur`` for
-    new/changed rows and from ``prev`` for removed/replaced rows."""
+    """Rows that differ between ``prev`` and ``cur``, in ``cur``'s column order
+    followed by columns only ``prev`` has, plus a ``change`` column. Payload
+    comes from ``cur`` for new/changed rows and from ``prev`` for
+    removed/replaced rows; a column the side lacks is NULL."""
     keys = list(key_columns)
-    payload = [c for c in cur.columns if c != hash_column and c not in keys]
-    types = {f.name: f.dataType for f in cur.schema.fields}
-    both = _tag(prev, keys, hash_column, payload, types, 0).unionByName(
-        _tag(cur, keys, hash_column, payload, types, 1))
-    per_row = both.groupBy(*keys, hash_column).agg(
-        F.max(F.col("_side") == 0).alias("_in_prev"),
-        F.max(F.col("_side") == 1).alias("_in_cur"),
-        F.max_by("_row", "_side").alias("_row"),
-    )
-    diff = per_row.where(F.col("_in_prev") != F.col("_in_cur"))
+    names = [f"_k{i}" for i in range(len(keys))]
+    at = [*names, "_h"]
+    types = {f.name: f.dataType for df in (prev, cur) for f in df.schema.fields}
+    columns = [*cur.columns, *[c for c in prev.columns if c not in cur.columns]]
+    slim = _sided(prev, keys, hash_column, 0).unionByName(_sided(cur, keys, hash_column, 1))
+    diff = (slim.groupBy(*at).agg(F.max("_side").alias("_last"), F.min("_side").alias("_first"))
+            .where("_first = _last").select(*at, F.col("_last").alias("_in")))
     if keys:
-        # Key presence needs only the key columns: a pruned scan, no hashing.
-        slim = (prev.select(*[qcol(k) for k in keys], F.lit(0).alias("_side"))
-                .unionByName(cur.select(*[qcol(k) for k in keys], F.lit(1).alias("_side"))))
-        presence = slim.groupBy(*keys).agg(
-            F.max(F.col("_side") == 0).alias("_key_in_prev"),
-            F.max(F.col("_side") == 1).alias("_key_in_cur"),
-        ).select(*[qcol(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                 "_key_in_prev", "_key_in_cur")
-        cond = [qcol(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        diff = diff.join(presence, on=cond, how="inner")
-        change = (F.when(F.col("_in_cur") & ~F.col("_key_in_prev"), "new")
-                  .when(F.col("_in_cur"), "changed")
-                  .when(~F.col("_key_in_cur"), "removed")
-                  .otherwise("replaced"))
+        # which sides have the key, for the keys of the differences only
+        wanted = diff.select(*[F.col(n).alias(f"w{n}") for n in names]).distinct()
+        presence = (slim.select(*names, "_side")
+                    .join(wanted, [F.col(n).eqNullSafe(F.col(f"w{n}")) for n in names], "left_semi")
+                    .groupBy(*names).agg(F.min("_side").alias("_low"), F.max("_side").alias("_high"))
+                    .select(*[F.col(n).alias(f"p{n}") for n in names], "_low", "_high"))
+        diff = diff.join(presence, [F.col(n).eqNullSafe(F.col(f"p{n}")) for n in names])
+        both = F.col("_low") != F.col("_high")
     else:
-        change = F.when(F.col("_in_cur"), "new").otherwise("removed")
-    cols = [qcol(c) if (c == hash_column or c in keys)
-            else F.col("_row").getField(c).alias(c) for c in cur.columns]
-    return diff.select(*cols, change.alias(CHANGE))
+        both = F.lit(False)
+    change = (F.when((F.col("_in") == 1) & both, "changed").when(F.col("_in") == 1, "new")
+              .when(both, "replaced").otherwise("removed"))
+    diff = diff.select(*[F.col(c).alias(f"d{c}") for c in at], "_in", change.alias(CHANGE))
+    out = None
+    for side, df in ((1, cur), (0, prev)):
+        full = df.select(*[qcol(c) if c in df.columns
+                           else F.lit(None).cast(types[c]).alias(c) for c in columns])
+        here = full.select(*[qcol(k).alias(n) for k, n in zip(keys, names, strict=True)],
+                           hash_key(qcol(hash_column)).alias("_h"),
+                           F.struct(*[qcol(c) for c in columns]).alias("_row"))
+        rows = (here.join(diff.where(F.col("_in") == side),
+                          [F.col(c).eqNullSafe(F.col(f"d{c}")) for c in at])
+                .select(*at, CHANGE, "_row.*"))
+        picked = rows.groupBy(*at, CHANGE).agg(_smallest(columns, rows).alias("_row"))
+        picked = picked.select("_row.*", CHANGE)
+        out = picked if out is None else out.unionByName(picked)
+    return out
 
 
 def changes_between_batches(lake: DataFrame | str, prev_batch: str, cur_batch: str,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.constants import BATCH_ID
+from tidewater.functions.hashing import hash_key
 from tidewater.functions.naming import qcol
 
 
@@ -26,12 +27,21 @@ def dedupe_by_hash(df: DataFrame, hash_column: str,
                    order_by: Sequence[str] = (BATCH_ID,)) -> DataFrame:
     order = [c for c in order_by if c in df.columns and c != hash_column]
     rest = [c for c in df.columns if c != hash_column and c not in order]
-    best = F.min(F.struct(*[qcol(c) for c in order + rest])).alias("_best")
-    picked = df.groupBy(qcol(hash_column).alias(hash_column)).agg(best)
-    return picked.select(*[
-        qcol(c) if c == hash_column else F.col("_best").getField(c).alias(c)
-        for c in df.columns
-    ])
+    row = F.struct(*[qcol(c) for c in [*order, *rest, hash_column]])
+    maps = [c for c in rest if "map<" in df.schema[c].dataType.simpleString()]
+    best = F.min_by(row, F.struct(*[qcol(c) for c in order], F.to_json(row))) if maps else F.min(row)
+    picked = df.groupBy(hash_key(qcol(hash_column)).alias("_key")).agg(best.alias("_best"))
+    return picked.select(*[F.col("_best").getField(c).alias(c) for c in df.columns])
+
+
+def keep_hashes(df: DataFrame, hash_column: str, table: str, buckets: int) -> None:
+    """Append the hashes of kept rows to a catalog table bucketed by hash.
+
+    Later batches are held against it without exchanging it. At 100 TB, choose
+    ``buckets`` so that a bucket of the whole history stays within some GB.
+    """
+    (df.select(qcol(hash_column).alias(hash_column)).write.mode("append")
+     .bucketBy(buckets, hash_column).sortBy(hash_column).saveAsTable(table))
 
 
 def dedupe_new_rows(seen: DataFrame, batch: DataFrame, hash_column: str,
@@ -41,12 +51,14 @@ def dedupe_new_rows(seen: DataFrame, batch: DataFrame, hash_column: str,
 
     Appending the result to the de-duplicated table keeps it equal to
     ``dedupe_by_hash`` over all batches, when batches arrive in ``order_by``
-    order, without re-reading history: the batch is de-duplicated first (hot
-    hashes collapse map-side), then a left-anti join against the slim hash
-    column of ``seen`` drops what was already kept. An anti join never fans
-    out; skewed partitions are split by adaptive execution.
+    order: the batch is de-duplicated first (hot hashes collapse map-side),
+    then a left-anti join against the hash column of ``seen`` drops what was
+    already kept. An anti join never fans out, and repeats in ``seen`` do no
+    harm. Only the hash column of history is read; it is exchanged once a run,
+    unless ``seen`` is a table written by :func:`keep_hashes`, which is read
+    bucket by bucket.
     """
     fresh = dedupe_by_hash(batch, hash_column, order_by)
-    known = seen.select(qcol(hash_column).alias(hash_column)).distinct()
+    known = seen.select(qcol(hash_column).alias(hash_column))
     return fresh.join(known, on=hash_column, how="left_anti").select(
         *[qcol(c) for c in batch.columns])

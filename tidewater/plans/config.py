@@ -14,7 +14,7 @@
       ]
     }
 
-Connection secrets do not belong in the file: option values of the form
+Unknown keys raise. Connection secrets do not belong in the file: option values of the form
 ``"env:NAME"`` are read from the environment of the driver.
 """
 
@@ -28,7 +28,20 @@ from tidewater.plans.spec import RunConfig, Source, TableSpec, Target
 from tidewater.sources.jdbc import JdbcPartitioning
 
 _RUN_KEYS = {"mode", "created_by", "source_system", "batch_id", "run_ts", "as_of", "bits",
-             "include_ntz", "null_safe", "count_source"}
+             "include_ntz", "null_safe", "count_source", "future", "min_year",
+             "max_in_flight", "time_zone"}
+_SOURCE_KEYS = {"kind", "name", "format", "options", "is_query", "hint", "partitioning",
+                "partition_column", "partitions", "predicates"}
+_TARGET_KEYS = {"kind", "name", "format", "options", "default_database", "default_schema",
+                "partition_by", "truncate_options", "replace_batch"}
+_TABLE_KEYS = {"name", "source", "hash_column", "lake_path", "target", "lake_format",
+               "lake_options", "exclude", "spread"}
+
+
+def _known(d: Mapping, keys: set[str], where: str) -> None:
+    unknown = sorted(set(d) - keys)
+    if unknown:
+        raise ValueError(f"unknown key in {where}: " + ", ".join(unknown))
 
 
 def _options(opts: Mapping[str, str] | None) -> dict[str, str]:
@@ -40,16 +53,21 @@ def _options(opts: Mapping[str, str] | None) -> dict[str, str]:
 
 
 def _source(d: Mapping) -> Source:
+    _known(d, _SOURCE_KEYS, "source")
     part = d.get("partitioning")
     return Source(kind=d["kind"], name=d["name"], format=d.get("format", "parquet"),
                   options=_options(d.get("options")), is_query=bool(d.get("is_query", False)),
                   hint=d.get("hint"),
-                  partitioning=JdbcPartitioning(**part) if part else None)
+                  partitioning=JdbcPartitioning(**part) if part else None,
+                  partition_column=d.get("partition_column"),
+                  partitions=int(d.get("partitions", 0)),
+                  predicates=tuple(d.get("predicates", ())))
 
 
 def _target(d: Mapping | None) -> Target | None:
     if not d:
         return None
+    _known(d, _TARGET_KEYS, "target")
     return Target(kind=d["kind"], name=d["name"], format=d.get("format", "parquet"),
                   options=_options(d.get("options")),
                   default_database=d.get("default_database"),
@@ -60,6 +78,9 @@ def _target(d: Mapping | None) -> Target | None:
 
 
 def specs_from_dict(doc: Mapping) -> tuple[list[TableSpec], RunConfig]:
+    _known(doc, _RUN_KEYS | {"tables"}, "the run")
+    for t in doc["tables"]:
+        _known(t, _TABLE_KEYS, f"table {t.get('name')!r}")
     run = {k: doc[k] for k in _RUN_KEYS if k in doc}
     config = RunConfig(**run)
     specs = [TableSpec(name=t["name"], source=_source(t["source"]),
@@ -67,7 +88,7 @@ def specs_from_dict(doc: Mapping) -> tuple[list[TableSpec], RunConfig]:
                        target=_target(t.get("target")),
                        lake_format=t.get("lake_format", "parquet"),
                        lake_options=_options(t.get("lake_options")),
-                       exclude=tuple(t.get("exclude", ())), spread=t.get("spread"))
+                       exclude=tuple(t.get("exclude", ())), spread=int(t.get("spread") or 0))
              for t in doc["tables"]]
     return specs, config
 

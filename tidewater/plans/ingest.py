@@ -2,40 +2,48 @@
 
 Per table (``ingest_table``):
 
-1. emptiness probe of the source (a one-row read; ``historical`` only, where
-   an empty overwrite would wipe the table); empty -> ``skipped``;
+1. emptiness probe of the source (``historical`` only, where an empty overwrite
+   would wipe the table; one incremental take, for a JDBC table the count
+   query); empty -> ``skipped``;
 2. ``prepare`` (one narrow projection);
 3. pre-load gate on the schema (V1) -> ``failed`` with reasons;
 4. land the batch in the lake once, counting in the same pass (K1, A2); an
-   empty incremental batch writes nothing and is ``skipped``;
+   empty incremental batch writes nothing, removes what an earlier run of the
+   same batch left, and is ``skipped``;
 5. count the landed batch (V2; a partition-pruned count);
 6. load the target *from the landed batch* (K5): the source is read once,
    the lineage is cut by the written files, and both copies carry the same
    audit times;
-7. count the batch in the target (V3) and reconcile: any disagreement is
-   ``failed``, not a log line.
+7. count the batch in the target (V3) and reconcile counts and column names:
+   any disagreement is ``failed``, not a log line.
+
+A table without a hash column is landed and not loaded.
 
 Errors never pass silently: the report row says ``failed`` with the reason.
 """
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.constants import HISTORICAL
-from tidewater.operators.audit import shadowed_audit_columns
+from tidewater.constants import APPENDED_AUDIT, AUDIT_COLUMNS, HISTORICAL
+from tidewater.operators.audit import shadowed_columns
 from tidewater.operators.checks import gate_reasons, reconcile
 from tidewater.operators.rename import normalize_columns
 from tidewater.plans.prepare import prepare_with
-from tidewater.plans.spec import effective_spread
-from tidewater.sinks.lake import write_lake
+from tidewater.plans.session import check_zone
+from tidewater.sinks.lake import drop_batch, write_lake
 from tidewater.sinks.modes import resolve_load
-from tidewater.sinks.table import count_target, write_target
+from tidewater.sinks.table import (
+    count_target, drop_target_batch, target_columns, write_target,
+)
 from tidewater.sources.catalog import target_exists
 from tidewater.sources.lake import read_lake
 
@@ -74,6 +82,7 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
     row = {f.name: None for f in REPORT_SCHEMA.fields}
     row.update(table_name=spec.name, mode=config.mode, batch_id=config.batch_id)
     try:
+        check_zone(spark, config.time_zone)
         from_source = raw is None
         if from_source:
             raw = spec.source.load(spark)
@@ -82,45 +91,57 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
             empty = row["rows_source"] == 0
         elif config.mode == HISTORICAL:
             # a full reload must not replace the lake with nothing: probe first
-            empty = raw.isEmpty()
+            # (a take of one row on a JDBC frame would start the whole query)
+            counted = spec.source.kind == "jdbc" and not spec.source.is_query
+            empty = (spec.source.count_rows(spark) == 0 if from_source and counted
+                     else raw.isEmpty())
         else:
             # an empty incremental batch writes no partition and replaces
             # nothing, so the landing count decides (one source read saved)
             empty = False
         if empty:
-            row.update(status="skipped", reason="empty")
+            row.update(status="skipped", reason=_skip(spark, spec, config))
             return row
-        spread = effective_spread(spark, spec)
-        if spread > 1 and raw.rdd.getNumPartitions() < spread:
-            # round-robin: even slices whatever the keys; retried stages
-            # reproduce the same slices (Spark sorts before round-robin)
-            raw = raw.repartition(spread)
-        shadowed = shadowed_audit_columns(normalize_columns(raw).columns)
+        if spec.spread > 1 and raw.rdd.getNumPartitions() < spec.spread:
+            # round-robin: even slices whatever the keys; a retried stage gives
+            # the same slices only if the source answers with the same rows
+            raw = raw.repartition(spec.spread)
+        shadowed = shadowed_columns(normalize_columns(raw).columns, spec.hash_column)
         row["shadowed"] = ",".join(shadowed) if shadowed else None
         prepared = prepare_with(raw, spec, config)
-        reasons = gate_reasons(prepared.columns, spec.hash_column)
+        # a table without a hash column is landed only: the target needs the hash
+        required = AUDIT_COLUMNS if spec.hash_column else APPENDED_AUDIT
+        reasons = gate_reasons(prepared.columns, spec.hash_column, required)
         if reasons:
             row.update(status="failed", reason="; ".join(reasons))
             return row
         row["rows_in"] = write_lake(prepared, spec.lake_path, config.mode,
                                     fmt=spec.lake_format, options=spec.lake_options)
         if row["rows_in"] == 0:
-            row.update(status="skipped", reason="empty")
+            row.update(status="skipped", reason=_skip(spark, spec, config))
             return row
         landed = read_lake(spark, spec.lake_path, spec.lake_format,
                            batch_id=config.batch_id)
         row["rows_landed"] = landed.count()
-        if spec.target is not None:
+        if spec.target is not None and spec.hash_column:
             action = resolve_load(config.mode, target_exists(spark, spec.target))
             row["load_action"] = _action_name(action)
             write_target(landed, spec.target, action, batch_id=config.batch_id)
             whole = config.mode == HISTORICAL
             row["rows_loaded"] = count_target(
                 spark, spec.target, None if whole else config.batch_id)
+        lost = sorted(set(prepared.columns) - set(landed.columns))
+        if spec.target is not None and spec.hash_column:
+            loaded = target_columns(spark, spec.target, config.batch_id)
+            if loaded is not None:
+                lost += sorted({c.lower() for c in prepared.columns}
+                               - {c.lower() for c in loaded})
         ok = reconcile(row["rows_source"], row["rows_in"], row["rows_landed"],
                        row["rows_loaded"])
-        row["ok"] = ok
-        if ok is False:
+        row["ok"] = ok and not lost if ok is not None else None
+        if lost:
+            row.update(status="failed", ok=False, reason="columns lost: " + ",".join(lost))
+        elif ok is False:
             row.update(status="failed", reason="row counts disagree")
         else:
             row["status"] = "success"
@@ -131,15 +152,25 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
     return row
 
 
-def _reason(exc: Exception, limit: int = 2000) -> str:
-    """The error's message lines, without the JVM stack frames."""
-    lines = []
-    for line in f"{type(exc).__name__}: {exc}".splitlines():
-        if line.lstrip().startswith("at ") or line.startswith("\tat "):
-            break
-        if line.strip():
-            lines.append(line.strip())
-    return " | ".join(lines)[:limit]
+_FRAME = re.compile(r"^\s*(?:at [\w.$/<>]+\(.*\)|\.\.\. \d+ (?:more|common frames omitted))\s*$")
+
+
+def _skip(spark: SparkSession, spec, config) -> str:
+    """An empty incremental batch replaces what an earlier run of the same
+    batch left behind: its rows go from the lake and the target."""
+    if config.mode == HISTORICAL:
+        return "empty"
+    gone = drop_batch(spark, spec.lake_path, config.batch_id)
+    if gone and spec.target is not None and target_exists(spark, spec.target):
+        if not drop_target_batch(spark, spec.target, config.batch_id):
+            return "empty; earlier rows of the batch removed from the lake only"
+    return "empty; earlier rows of the batch removed" if gone else "empty"
+
+
+def _reason(exc: Exception) -> str:
+    """The error's message lines with all causes, without the JVM stack frames."""
+    return " | ".join(line.strip() for line in f"{type(exc).__name__}: {exc}".splitlines()
+                      if line.strip() and not _FRAME.match(line))
 
 
 def report_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -149,10 +180,13 @@ def report_frame(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 def ingest_all(spark: SparkSession, specs: Iterable, config,
                raise_on_failure: bool = False) -> DataFrame:
-    """Every table, one after another (each one is a full cluster job);
-    a failure in one table never stops the others. The report is one row
-    per table; with ``raise_on_failure`` any failure raises afterwards."""
-    rows = [ingest_table(spark, spec, config) for spec in specs]
+    """Every table, ``config.max_in_flight`` at a time: driver threads that only
+    submit Spark jobs, so small tables share the cluster. A failure in one table
+    never stops the others. The report is one row per table, in the order of
+    ``specs``; with ``raise_on_failure`` any failure raises afterwards."""
+    specs = list(specs)
+    with ThreadPoolExecutor(max(1, config.max_in_flight)) as pool:
+        rows = list(pool.map(lambda spec: ingest_table(spark, spec, config), specs))
     report = report_frame(spark, rows)
     failed = [r["table_name"] for r in rows if r["status"] == "failed"]
     if raise_on_failure and failed:
@@ -162,7 +196,7 @@ def ingest_all(spark: SparkSession, specs: Iterable, config,
 
 def summarize(report: DataFrame) -> DataFrame:
     """A4: one row - tables, succeeded, failed, skipped, failed tables and the
-    summed elapsed seconds of the table runs (tables run one after another)."""
+    summed elapsed seconds of the table runs (which overlap in time)."""
     st = F.col("status")
     return report.agg(
         F.count(F.lit(1)).alias("tables"),

@@ -40,4 +40,5 @@ def prepare_with(df: DataFrame, spec, config) -> DataFrame:
     return prepare(df, spec.hash_column, config.batch_id, config.created_by,
                    config.source_system, run_ts=config.run_ts, as_of=config.as_of,
                    bits=config.bits, include_ntz=config.include_ntz,
-                   null_safe=config.null_safe, exclude=spec.exclude)
+                   null_safe=config.null_safe, exclude=spec.exclude,
+                   min_year=config.min_year, future=config.future)

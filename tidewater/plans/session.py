@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 
 def session_conf(shuffle_partitions: int | None = None,
                  initial_partitions: int | None = None,
-                 advisory_partition_bytes: int | None = None) -> dict[str, str]:
+                 advisory_partition_bytes: int | None = None,
+                 time_zone: str = "UTC") -> dict[str, str]:
     """Settings the pipeline is planned for.
 
     * AQE with partition coalescing and skew-join splitting: the only
@@ -30,7 +31,7 @@ def session_conf(shuffle_partitions: int | None = None,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.session.timeZone": time_zone,
     }
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -49,13 +50,24 @@ def _checkpoint_dir(spark: SparkSession) -> str | None:
     return d or spark.conf.get("spark.checkpoint.dir", None)
 
 
+def check_zone(spark: SparkSession, zone: str) -> None:
+    """Row hashes of ``TIMESTAMP`` columns depend on the session's zone."""
+    now = spark.conf.get("spark.sql.session.timeZone")
+    if now not in {zone, *({"Etc/UTC", "UTC", "Z"} if zone == "UTC" else ())}:
+        raise ValueError(f"spark.sql.session.timeZone is {now!r}, the run is configured for "
+                         f"{zone!r}")
+
+
 def scratch_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh directory under the cluster's shared ``spark.checkpoint.dir``.
 
-    Only when none is configured (local tests) is one created and set.
+    Only a local session without one gets its own; on a cluster a folder of
+    the driver's machine would be lost on every other, so that raises.
     """
     root = _checkpoint_dir(spark)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(root)

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.constants import BATCH_ID, DEFAULT_HASH_BITS
+from tidewater.constants import BATCH_ID, DEFAULT_HASH_BITS, MIN_PLAUSIBLE_YEAR
 from tidewater.operators.audit import new_batch_id
 from tidewater.sinks.modes import validate_mode
 
@@ -25,6 +25,17 @@ class Source:
     is_query: bool = False
     hint: str | None = None
     partitioning: object | None = None  # sources.jdbc.JdbcPartitioning
+    # JDBC: split the read into ``partitions`` even slices of this numeric, date
+    # or timestamp column, between its real bounds (one extra query).
+    partition_column: str | None = None
+    partitions: int = 0
+    predicates: tuple[str, ...] = ()  # JDBC: one task per WHERE clause
+
+    def __post_init__(self):
+        if sum(map(bool, (self.partitioning, self.partition_column, self.predicates))) > 1:
+            raise ValueError("give one of partitioning, partition_column and predicates")
+        if self.partition_column and self.partitions < 1:
+            raise ValueError("partition_column needs partitions")
 
     def load(self, spark: SparkSession) -> DataFrame:
         if self.kind == "path":
@@ -32,11 +43,19 @@ class Source:
         if self.kind == "table":
             return spark.table(self.name)
         if self.kind == "jdbc":
-            from tidewater.sources.jdbc import full_table_query, read_jdbc
+            from tidewater.sources.jdbc import (
+                full_table_query, partitioning_for, read_jdbc, subquery,
+            )
             opts = {k: v for k, v in self.options.items() if k != "url"}
             q = self.name if self.is_query else full_table_query(self.name, self.hint)
+            part = self.partitioning
+            if part is None and self.partition_column:
+                table = subquery(self.name) if self.is_query else self.name
+                part = partitioning_for(spark, self.options["url"], table, self.partition_column,
+                                        self.partitions, opts,
+                                        None if self.is_query else self.hint)
             return read_jdbc(spark, self.options["url"], query=q, options=opts,
-                             partitioning=self.partitioning)
+                             partitioning=part, predicates=self.predicates or None)
         if self.kind == "query":
             from tidewater.sources.connector import read_query
             return read_query(spark, self.format, self.options, self.name)
@@ -83,10 +102,10 @@ class TableSpec:
     lake_options: Mapping[str, str] = field(default_factory=dict)
     exclude: tuple[str, ...] = ()
     # Spread a source that arrives in fewer partitions than this before the
-    # row-hash work. None: automatic - a JDBC source read without
-    # partitioning (always one task) is spread over the cluster's default
-    # parallelism; other sources keep their own splits. 0: never.
-    spread: int | None = None
+    # row-hash work, round-robin. Needs a source that answers a re-read with the
+    # same rows: if it changed in between, a retried task gets other slices.
+    # 0: never. Prefer a partitioned read of the source.
+    spread: int = 0
 
 
 @dataclass(frozen=True)
@@ -103,19 +122,12 @@ class RunConfig:
     include_ntz: bool = False
     null_safe: bool = False
     count_source: bool = False  # S3: also count at the source and reconcile it
+    future: str = "null"  # D4: "keep" leaves timestamps after as_of alone
+    min_year: int = MIN_PLAUSIBLE_YEAR
+    max_in_flight: int = 3  # tables loaded at a time
+    time_zone: str = "UTC"  # the session must be in it, see check_zone
 
     def __post_init__(self):
         object.__setattr__(self, "mode", validate_mode(self.mode))
-
-
-def effective_spread(spark: SparkSession, spec: TableSpec) -> int:
-    """Target partition count for spreading the source; 0 means leave it."""
-    if spec.spread is not None:
-        return max(int(spec.spread), 0)
-    src = spec.source
-    if src.kind == "jdbc" and src.partitioning is None:
-        try:
-            return int(spark.sparkContext.defaultParallelism)
-        except Exception:  # no SparkContext (Connect)
-            return 0
-    return 0
+        if self.future not in ("null", "keep"):
+            raise ValueError("future must be 'null' or 'keep'")

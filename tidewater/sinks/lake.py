@@ -1,10 +1,16 @@
 """K1: land a prepared frame in the lake, one directory per batch.
 
-* ``historical``  replaces the whole table (static overwrite).
+* ``historical``  replaces the whole table: the new batch directory is written
+  first and the other batches are dropped after, so a failing load keeps the
+  old rows (a table without partitions is overwritten in one step).
 * ``incremental`` adds the batch directory with dynamic partition
   overwrite, so re-running a batch replaces that batch instead of adding a
   second copy, and a failed job can simply be run again.
 
+An empty frame writes nothing in either mode. The union of all batches'
+schemas is kept beside the data, see ``tidewater.sources.lake``; a historical
+load starts it anew.
+
 The row count is an ``Observation`` collected in the same pass as the
 write, so counting never re-reads the source. Task retries after a lost
 executor are absorbed by the file committer; observed metrics count each
@@ -16,11 +22,24 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.constants import BATCH_ID, HISTORICAL
 from tidewater.sinks.modes import validate_mode
+from tidewater.sources.files import delete_dir, escape_partition_value, list_names
+from tidewater.sources.lake import NAMED_FORMATS, SCHEMA_DIR, merged_schema, stored_schema
+
+#: Default codec of lake and path targets (any format's own default applies
+#: where it has no such option).
+COMPRESSION = {"parquet": "zstd", "orc": "zstd"}
+
+
+def with_codec(fmt: str, options: Mapping[str, str] | None) -> dict[str, str]:
+    opts = dict(options or {})
+    if fmt in COMPRESSION and not any(k.lower() == "compression" for k in opts):
+        opts["compression"] = COMPRESSION[fmt]
+    return opts
 
 
 def write_lake(df: DataFrame, path: str, mode: str, fmt: str = "parquet",
@@ -28,12 +47,39 @@ def write_lake(df: DataFrame, path: str, mode: str, fmt: str = "parquet",
                partition_by: tuple[str, ...] = (BATCH_ID,)) -> int:
     """Write and return the number of rows written."""
     m = validate_mode(mode)
+    spark = df.sparkSession
+    replace = m == HISTORICAL
+    if replace and df.isEmpty():
+        return 0
+    schema = merged_schema(None if replace or fmt not in NAMED_FORMATS
+                           else stored_schema(spark, path), df.schema)
+    # replacing whole batch directories: land the new ones, then drop the others
+    by_batch = tuple(partition_by) == (BATCH_ID,)
+    before = (list_names(spark, path) or []) if replace and by_batch else []
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if before:
+        metrics.append(F.collect_set(BATCH_ID).alias("batches"))
     obs = Observation(f"landed_{uuid.uuid4().hex}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = observed.write.format(fmt).mode("overwrite")
+    writer = df.observe(obs, *metrics).write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.option("partitionOverwriteMode",
-                           "static" if m == HISTORICAL else "dynamic")
-    writer.options(**dict(options or {})).save(path)
-    return int(obs.get["rows"])
+                           "static" if replace and not by_batch or not partition_by else "dynamic")
+    writer.options(**with_codec(fmt, options)).save(path)
+    rows = int(obs.get["rows"])
+    if before:
+        landed = {f"{BATCH_ID}={escape_partition_value(spark, v)}" for v in obs.get["batches"]}
+        for name in before:
+            if name.startswith(f"{BATCH_ID}=") and name not in landed:
+                delete_dir(spark, f"{path.rstrip('/')}/{name}")
+    if rows and fmt in NAMED_FORMATS and (replace or stored_schema(spark, path) != schema):
+        (spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+         .write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_DIR}"))
+    return rows
+
+
+def drop_batch(spark: SparkSession, path: str, batch_id: str,
+               batch_column: str = BATCH_ID) -> bool:
+    """Delete one landed batch; False if there was none."""
+    value = escape_partition_value(spark, batch_id)
+    return delete_dir(spark, f"{path.rstrip('/')}/{batch_column}={value}")

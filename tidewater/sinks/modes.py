@@ -11,7 +11,7 @@ def validate_mode(mode: str) -> str:
     """Lower-cased; must be ``historical`` (full reload) or ``incremental``."""
     m = str(mode).strip().lower()
     if m not in MODES:
-        raise ValueError(f"mode must be 'historical' or 'incremental', got {mode!r}")
+        raise ValueError(f"unknown load mode {mode!r}; known: {', '.join(MODES)}")
     return m
 
 

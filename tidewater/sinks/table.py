@@ -7,8 +7,9 @@ Target kinds (``tidewater.plans.spec.Target``):
 * ``jdbc``      a database table through Spark's JDBC writer;
 * ``connector`` any other Spark connector taking ``dbtable``.
 
-Replace-keeping-schema is a truncate for databases and an insert-overwrite
-for catalog tables. Incremental loads to ``path`` and ``table`` targets
+Replace-keeping-schema is a truncate for databases and one insert-overwrite
+for catalog tables; a catalog table that lacks a column of the batch gets it
+first, so no column is lost. Incremental loads to ``path`` and ``table`` targets
 overwrite only their own batch partition, so a re-run is idempotent;
 database targets append (with ``replace_batch`` the batch's rows are
 deleted first, which makes JDBC re-runs idempotent too).
@@ -24,7 +25,9 @@ from pyspark.sql import functions as F
 from tidewater.constants import BATCH_ID
 from tidewater.functions.naming import qcol
 from tidewater.sinks.modes import LoadAction
-from tidewater.sources.catalog import sql_text, split_table_name
+from tidewater.sinks.lake import drop_batch, with_codec
+from tidewater.sources.catalog import split_table_name, sql_text, table_name
+from tidewater.sources.lake import NAMED_FORMATS, merged_schema
 
 
 def qualify(name: str, default_database: str | None, default_schema: str | None) -> str:
@@ -43,7 +46,10 @@ def write_target(df: DataFrame, target, action: LoadAction,
     into a catalog table replace its own partition on a re-run."""
     kind = target.kind
     if kind == "path":
-        w = df.write.format(target.format).options(**dict(target.options)).mode("overwrite")
+        if not action.creates and target.format in NAMED_FORMATS and target.partition_by:
+            check_types(df, target)
+        w = (df.write.format(target.format)
+             .options(**with_codec(target.format, target.options)).mode("overwrite"))
         if target.partition_by:
             w = w.partitionBy(*_partition_by(target))
         dynamic = not action.replace and bool(target.partition_by)
@@ -53,24 +59,26 @@ def write_target(df: DataFrame, target, action: LoadAction,
         return
     if kind == "table":
         spark = df.sparkSession
+        name = table_name(target)
         if action.creates:
             w = df.write.format(target.format).options(**dict(target.options)).mode("overwrite")
             if target.partition_by:
                 w = w.partitionBy(*_partition_by(target))
-            w.saveAsTable(target.name)
+            w.saveAsTable(name)
             return
-        # Keep the table definition: insert by the table's own column order.
-        cols = spark.table(target.name).columns
-        aligned = df.select(*[qcol(c) for c in cols])
+        # Keep the table definition, with the columns it lacks added, and
+        # insert by name: a column the batch lacks is NULL.
+        add_missing_columns(df, name)
+        have = set(df.columns)
+        fields = spark.table(name).schema.fields
+        aligned = df.select(*[qcol(f.name) if f.name in have
+                              else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
         if action.replace:
-            # Truncate and load: the definition stays, and the session's
-            # partition-overwrite mode cannot turn this into a partial replace.
-            spark.sql(f"TRUNCATE TABLE {target.name}")
-            aligned.write.insertInto(target.name, overwrite=False)
+            _overwrite_table(aligned, name)
         elif batch_id is not None and list(target.partition_by or ()) == [BATCH_ID]:
-            _overwrite_batch_partition(aligned, target.name, BATCH_ID, batch_id)
+            _overwrite_batch_partition(aligned, name, BATCH_ID, batch_id)
         else:
-            aligned.write.insertInto(target.name, overwrite=False)
+            aligned.write.insertInto(name, overwrite=False)
         return
     if kind == "jdbc":
         opts = dict(target.options)
@@ -97,6 +105,74 @@ def write_target(df: DataFrame, target, action: LoadAction,
     raise ValueError(f"unknown target kind {kind!r}")
 
 
+def add_missing_columns(df: DataFrame, table: str) -> list[str]:
+    """Add the columns of ``df`` that a catalog table lacks; a column whose type
+    differs raises. Returns the added names."""
+    spark = df.sparkSession
+    merged = merged_schema(spark.table(table).schema, df.schema)
+    known = {f.name.lower() for f in spark.table(table).schema.fields}
+    added = [f for f in merged.fields if f.name.lower() not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS (" + ", ".join(
+            "`" + f.name.replace("`", "``") + "` " + f.dataType.simpleString()
+            for f in added) + ")")
+    return [f.name for f in added]
+
+
+def check_types(df: DataFrame, target) -> None:
+    """A path target whose files have a column with another type raises before
+    anything is written (one file's schema is read)."""
+    found = df.sparkSession.read.format(target.format).load(target.name).schema
+    merged_schema(type(found)([f for f in found.fields
+                               if f.name not in (target.partition_by or ())]),
+                  df.drop(*(target.partition_by or ())).schema)
+
+
+def _overwrite_table(df: DataFrame, table: str) -> None:
+    """Replace all rows in one statement, whatever the session's overwrite mode:
+    if it fails the old rows are still there, and external tables work too."""
+    spark = df.sparkSession
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "static")
+    try:
+        df.write.insertInto(table, overwrite=True)
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def drop_target_batch(spark: SparkSession, target, batch_id: str) -> bool:
+    """Remove one batch from a target (an empty re-run); False where nothing
+    can be removed: a target not partitioned by batch, or a database target
+    without ``replace_batch``."""
+    by_batch = list(target.partition_by or ()) == [BATCH_ID]
+    if target.kind == "path" and by_batch:
+        return drop_batch(spark, target.name, batch_id)
+    if target.kind == "table" and by_batch:
+        spark.sql(f"ALTER TABLE {table_name(target)} DROP IF EXISTS PARTITION "
+                  f"(`{BATCH_ID}` = {sql_text(batch_id)})")
+        return True
+    if target.kind == "jdbc" and target.replace_batch:
+        delete_jdbc_batch(spark, target, batch_id)
+        return True
+    return False
+
+
+def target_columns(spark: SparkSession, target, batch_id: str | None = None) -> list[str] | None:
+    """Column names of a file or catalog target; None for others."""
+    if target.kind == "table":
+        return spark.table(table_name(target)).columns
+    if target.kind == "path" and list(target.partition_by or ()) == [BATCH_ID] and batch_id:
+        from tidewater.sources.lake import read_lake
+        return read_lake(spark, target.name, target.format, batch_id=batch_id).columns
+    if target.kind == "path":
+        return spark.read.format(target.format).load(target.name).columns
+    return None
+
+
 def _overwrite_batch_partition(df: DataFrame, table: str, batch_column: str,
                                batch_id: str) -> None:
     """Replace one batch partition of a catalog table (static partition
@@ -119,7 +195,9 @@ def delete_jdbc_batch(spark: SparkSession, target, batch_id: str,
 
     Spark's JDBC writer cannot run a DELETE; its reader runs
     ``sessionInitStatement`` once per read partition before reading, so a
-    one-partition read of ``SELECT 1`` executes the DELETE exactly once.
+    one-partition read of ``SELECT 1`` executes the DELETE once. Limits: a
+    retried or speculative task runs it again (harmless before the append), and
+    the delete and the append are two transactions.
     """
     from tidewater.sources.jdbc import read_jdbc
     opts = {k: v for k, v in target.options.items() if k not in ("url", "numPartitions")}
@@ -141,7 +219,7 @@ def count_target(spark: SparkSession, target, batch_id: str | None = None,
         if target.kind == "path":
             df = spark.read.format(target.format).load(target.name)
         else:
-            df = spark.table(target.name)
+            df = spark.table(table_name(target))
         if batch_id is not None:
             df = df.where(qcol(batch_column) == F.lit(batch_id))
         return df.count()

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
+from tidewater.sources.files import list_names
+
 
 def sql_text(value: str) -> str:
     """A SQL string literal."""
@@ -38,7 +40,7 @@ def metadata_query(name: str, default_database: str | None,
             f"WHERE {' AND '.join(where)}")
 
 
-def _condition(exc: AnalysisException) -> str | None:
+def condition_of(exc: AnalysisException) -> str | None:
     return exc.getCondition() if hasattr(exc, "getCondition") else exc.getErrorClass()
 
 
@@ -46,20 +48,35 @@ def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """A table exists at ``path`` when a Spark job committed there (its
     ``_SUCCESS`` marker: one file looked up, nothing listed) or, for data
     written by other tools, when a schema can be read from its files (this
-    lists the whole directory)."""
+    lists the whole directory). A directory that holds something no schema can
+    be read from is not "missing": it raises, since a create would wipe it."""
     try:
         spark.read.text(path.rstrip("/") + "/_SUCCESS").schema
         return True
     except AnalysisException as exc:
-        if _condition(exc) != "PATH_NOT_FOUND":
+        if condition_of(exc) != "PATH_NOT_FOUND":
             raise
     try:
         spark.read.format(fmt).load(path).schema
         return True
     except AnalysisException as exc:
-        if _condition(exc) in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if condition_of(exc) == "PATH_NOT_FOUND":
             return False
-        raise
+        if condition_of(exc) != "UNABLE_TO_INFER_SCHEMA":
+            raise
+    held = list_names(spark, path)
+    if held:
+        raise ValueError(f"{path} holds no readable {fmt} table but is not empty: "
+                         + ", ".join(held[:5]))
+    return False
+
+
+def table_name(target) -> str:
+    """K4 for catalog targets: the quoted name, with the defaults where the
+    name leaves parts out (a default database is the catalog)."""
+    parts = split_table_name(target.name.replace("`", ""), target.default_database,
+                             target.default_schema)
+    return ".".join("`" + p + "`" for p in parts if p)
 
 
 def target_exists(spark: SparkSession, target) -> bool:
@@ -67,7 +84,7 @@ def target_exists(spark: SparkSession, target) -> bool:
     if target.kind == "path":
         return path_exists(spark, target.name, target.format)
     if target.kind == "table":
-        return spark.catalog.tableExists(target.name)
+        return spark.catalog.tableExists(table_name(target))
     if target.kind in ("jdbc", "connector"):
         q = metadata_query(target.name, target.default_database, target.default_schema)
         if target.kind == "jdbc":

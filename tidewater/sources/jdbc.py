@@ -7,8 +7,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Reader settings; callers override per source. Limit and aggregate
-# push-down let the emptiness probe (LIMIT 1) and counts run in the database.
+# Reader settings; callers override per source. Limit and aggregate push-down
+# are documented for the JDBC catalog; format("jdbc") may ignore them, so
+# emptiness and counts are asked with a query of their own.
 DEFAULT_READ_OPTIONS = {"fetchsize": "50000", "pushDownLimit": "true",
                         "pushDownAggregate": "true"}
 
