@@ -64,13 +64,13 @@ def test_a_line_whose_kept_pairs_all_fail_still_meets_the_rest():
     rank = np.arange(5)
     one = np.zeros(5, np.int64)
     x, y, more = line_dedup.likely_pairs(one, rank, np.ones(5, bool), one + 10, one,
-                                           one.astype(np.uint64), 0.8, 2)
+                                           np.zeros((5, 2), np.uint64), 0.8, 2)
     # equally likely: the earliest come first
     assert list(zip(x, y, strict=True)) == [(1, 0), (2, 0), (2, 1), (3, 0), (3, 1), (4, 0), (4, 1)]
     assert more.tolist() == [False, False, False, True, True, True, True]
     big = np.zeros(3000, np.int64)
     x, y, more = line_dedup.likely_pairs(big, np.arange(3000), np.ones(3000, bool), big + 10, big,
-                                           big.astype(np.uint64), 0.8, 2)
+                                           np.zeros((3000, 2), np.uint64), 0.8, 2)
     assert len(x) == 1 + 2 * 2998 and set(y.tolist()) == {0, 1} and more.sum() == 2 * 2997
 
 

@@ -8,7 +8,7 @@ hash), null ids last. Lines without words stay.
 The join follows the prefix filter: with the words of a line in one global
 order, rare first, two matching lines share a word among the first
 ``size - ceil(threshold * size) + 1`` of each. Such prefix words, with the
-line's place and size, 64 parity bits and a 24-bit signature of its set, are
+line's place and size, 128 parity bits and a 24-bit signature of its set, are
 all that is shuffled to find pairs. Lines with equal sets meet at their first
 word and need no more. Of the others, inside the group of one word a pair of lines must pass
 
@@ -160,8 +160,11 @@ class Lines:
                          for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F)], axis=1)
 
     def parity(self) -> np.ndarray:
-        return np.bitwise_xor.reduceat(
-            np.uint64(1) << (self.key & np.uint64(63)), self.first)
+        """128 parity bits per line, as two words."""
+        bit = np.uint64(1) << (self.key & np.uint64(63))
+        upper = (self.key & np.uint64(64)) > 0
+        return np.stack([np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), self.first)
+                         for half in (~upper, upper)], axis=1)
 
     def prefix(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line index, position, key) of every prefix word."""
@@ -204,7 +207,8 @@ def counters(docs: DataFrame, bits: int, keys_of) -> np.ndarray:
 
 #: place: line above 32 bits of text hash; shape: size above 16 bits of position
 #: (a larger one counts as the largest) above 24 bits of signature.
-POSTING = "word long, cell int, id long, place long, shape long, parity long"
+POSTING = ("word long, cell int, id long, place long, shape long, parity_low long, "
+           "parity_high long")
 _HALF = np.int64(0xFFFFFFFF)
 
 
@@ -249,7 +253,8 @@ def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=
                         "word": pa.array(key.view(np.int64)),
                         "cell": pa.array(cells.astype(np.int32)),
                         "id": ids.take(pa.array(ls.row[of])), "place": pa.array(place[of]),
-                        "shape": pa.array(shape), "parity": pa.array(parity[of])})
+                        "shape": pa.array(shape), "parity_low": pa.array(parity[of, 0]),
+                        "parity_high": pa.array(parity[of, 1])})
 
                 one = blocks <= 1
                 shape = (ls.size[of] << np.int64(40) | np.minimum(pos, 65535) << np.int64(24)
@@ -270,12 +275,16 @@ def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=
     return rows.mapInArrow(emit, POSTING)
 
 
+def differing(parity, x, y) -> np.ndarray:
+    return np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
+
+
 def passing(size, pos, parity, x, y, threshold: float) -> np.ndarray:
     """Which index pairs (x later, y earlier) of one word pass the three filters."""
     sx, sy = size[x], size[y]
     need = np.ceil(threshold / (1 + threshold) * (sx + sy) - 1e-9).astype(np.int64)
     return ((np.minimum(sx - pos[x], sy - pos[y]) >= need) & (np.minimum(sx, sy) >= need)
-            & (np.bitwise_count(parity[x] ^ parity[y]) <= sx + sy - 2 * need))
+            & (differing(parity, x, y) <= sx + sy - 2 * need))
 
 
 def equal_lines(group, rank, size, sign, parity) -> tuple[np.ndarray, np.ndarray]:
@@ -283,9 +292,9 @@ def equal_lines(group, rank, size, sign, parity) -> tuple[np.ndarray, np.ndarray
     the group, and which are later copies; the same line again is neither."""
     if not len(group):
         return np.zeros(0, bool), np.zeros(0, bool)
-    order = np.lexsort((np.arange(len(group)), parity, sign, size, group))
-    again = np.r_[False, np.all([v[order][1:] == v[order][:-1]
-                                 for v in (group, size, sign, parity)], axis=0)]
+    keys = (group, size, sign, parity[:, 0], parity[:, 1])
+    order = np.lexsort((np.arange(len(group)), *keys[::-1]))
+    again = np.r_[False, np.all([v[order][1:] == v[order][:-1] for v in keys], axis=0)]
     head = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
     first, copy = np.zeros(len(group), bool), np.zeros(len(group), bool)
     first[order] = ~again
@@ -333,7 +342,7 @@ def likely_pairs(group, rank, probe, size, pos, parity, threshold: float, kept:
                 ys.append(y[ok])
                 np.add.at(found, np.searchsorted(x_all, x[ok]), 1)
     x, y = np.concatenate(xs), np.concatenate(ys)
-    differ, both = np.bitwise_count(parity[x] ^ parity[y]), size[x] + size[y]
+    differ, both = differing(parity, x, y), size[x] + size[y]
     spare = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9)
     order = np.lexsort((y, differ / both, x))
     x, y = x[order], y[order]
@@ -366,7 +375,7 @@ def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> D
             rank = np.cumsum(np.r_[True, np.any(
                 [p[1:] != p[:-1] for p in (missing, ids, place)], axis=0)])
             live = np.flatnonzero(size > 0)
-            parity = f["parity"].to_numpy().view(np.uint64)
+            parity = f[["parity_low", "parity_high"]].to_numpy().view(np.uint64)
             first, copy = equal_lines(group[live], rank[live], size[live], sign[live],
                                       parity[live])
             gone = np.r_[np.flatnonzero(size == 0), live[copy & (pos[live] == 0)]]
