@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from tidewater.constants import BATCH_ID
-from tidewater.operators import add_row_hash, dedupe_by_hash, detect_changes, load_gate
+from tidewater.operators import dedupe_by_hash
 from tidewater.plans.prepare import prepare
 from tidewater.sinks import write_lake
 from tidewater.sources import read_lake
