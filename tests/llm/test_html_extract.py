@@ -1,6 +1,8 @@
 """Main text of pages: the given pages against a plain reading, and templates."""
 
 import html
+import itertools
+import json
 import re
 
 from tidewater.llm import html_extract as H
@@ -83,3 +85,13 @@ def test_awkward_rows(spark):
     assert sorted((r["page_id"] or 0, r["n_chars"]) for r in got) == [
         (0, 0), (1, 1), (1, 1), (2, 0), (3, 0), (4, 249_999)]
     assert H.extract_main_text(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_candidates_are_counted_over_all_pages(spark):
+    # a word that two pages lack is in 38 of 40, whichever pages a sample would pick
+    pairs = list(itertools.combinations(range(40), 2))
+    rows = [("h", i, "<p>" + " ".join(f"w{a}x{b}" for a, b in pairs if i not in (a, b))
+             + f" own{i}</p>") for i in range(40)]
+    got = H.seed_tokens(spark.createDataFrame(rows, "host string, page long, html string"))
+    [found] = [json.loads(r["tokens"]) for r in got.collect()]
+    assert {w for _, w in found if w} == {f"w{a}x{b}" for a, b in pairs}

@@ -15,8 +15,9 @@ rest, slots inside page furniture (by element, role or class name) go, slots of
 an article or main element stay where a page has one, and the remaining slots
 are the main text, block by block.
 
-Only tokens that occur equally often in a few pages picked by hash are
-candidates; their vectors are counted over all pages of the host. Vectors are
+Candidates are the tokens that occur in nearly all pages, counted over all pages
+of the host; only their vectors are kept, and pages are read as sequences of
+them. Vectors are
 never gathered: a vector is kept as the sum over pages of count
 times a hash of the page, so a token's vector comes from one aggregate with
 partial sums in each task, whatever the number of pages of a host.
@@ -24,9 +25,13 @@ partial sums in each task, whatever the number of pages of a host.
 
 from __future__ import annotations
 
+import bisect
+import functools
 import html
+import itertools
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +47,9 @@ MIN_PAGES = 8
 SUPPORT = 0.95
 #: Tokens a class needs, and template words in a row to count as boilerplate.
 MIN_TOKENS = 3
+#: Sums a task holds before it hands them on.
+FLUSH = 200_000
+MASK = (1 << 64) - 1
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -158,136 +166,266 @@ def host_of(url: Column) -> Column:
                                                1)), F.lit(""))
 
 
-def seed_tokens(pages: DataFrame, seeds: int = 3) -> DataFrame:
+def seed_tokens(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``host`` and ``tokens``: what may belong to the host's template, as
     JSON pairs of place and word.
 
-    Template tokens occur equally often in nearly all pages, so they do in a
-    few pages picked by hash; a token that occurs in fewer than two of them, or
-    not equally often, is no candidate. Tokens are in the order of the first
-    seed page that has them.
+    Counted over all pages: a token of the template, in whatever role, occurs
+    in at least ``support`` of them, and on average no more tokens than a page
+    has do. A task adds up its pages and lets go of its sums at a fixed number.
     """
-    low = pages.groupBy("host").agg(*[
-        F.min(F.xxhash64("page", F.lit(i))).alias(f"s{i}") for i in range(seeds)])
-    picked = pages.join(low, "host").where(" or ".join(
-        f"xxhash64(page, {i}) = s{i}" for i in range(seeds))).dropDuplicates(["host", "page"])
+    total = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
 
-    def tokens(frames):
+    def frame(sums):
+        keys = [(host, *t, n) for host, own in sums.items() for t, n in own.items()]
+        for i in range(0, len(keys), FLUSH // 4):
+            yield pd.DataFrame(keys[i:i + FLUSH // 4], columns=["host", "place", "word", "n"])
+
+    def scan(frames):
+        sums: dict[str, Counter] = {}
+        held = 0
         for f in frames:
-            for host, page, text in zip(f["host"], f["page"], f["html"], strict=True):
-                seen: dict[tuple[str, str], list[int]] = {}
-                for at, t in enumerate(page_tokens(text)):
-                    if t in seen:
-                        seen[t][1] += 1
-                    else:
-                        seen[t] = [at, 1]
-                if seen:
-                    yield pd.DataFrame({
-                        "host": host, "page": page, "place": [t[0] for t in seen],
-                        "word": [t[1] for t in seen], "at": [v[0] for v in seen.values()],
-                        "n": [v[1] for v in seen.values()]})
-
-    kind = "host string, page long, place string, word string, at long, n long"
-    return (picked.mapInPandas(tokens, kind).groupBy("host", "place", "word")
-            .agg(F.count(F.lit(1)).alias("in"), F.min("n").alias("low"), F.max("n").alias("n"),
-                 F.min(F.struct("page", "at")).alias("at"))
-            .where("low = n and in > 1").groupBy("host")
-            .agg(F.sort_array(F.collect_list(F.struct("at", "place", "word", "n"))).alias("t"))
-            .select("host", F.to_json(F.transform("t", lambda x: F.array(x["place"], x["word"])))
-                    .alias("tokens")))
+            for host, text in zip(f["host"], f["html"], strict=True):
+                own = sums.setdefault(host, Counter())
+                held -= len(own)
+                own.update(set(page_tokens(text)))
+                held += len(own)
+                if held >= FLUSH:
+                    yield from frame(sums)
+                    sums, held = {}, 0
+        yield from frame(sums)
+
+    return (pages.select("host", "html")
+            .mapInPandas(scan, "host string, place string, word string, n long")
+            .groupBy("host", "place", "word").agg(F.sum("n").alias("n"))
+            .join(total, "host").where(F.col("n") >= support * F.col("all_pages"))
+            .groupBy("host").agg(F.sort_array(F.collect_list(F.array("place", "word"))).alias("t"))
+            .select("host", F.to_json("t").alias("tokens")))
+
+
+def sequences(pages: DataFrame) -> DataFrame:
+    """``host``, ``page`` and ``ids``: the page's candidates in order, by their
+    numbers, little-endian 32-bit. ``pages``: ``host``, ``page``, ``html``,
+    ``tokens``."""
+    def scan(frames):
+        for f in frames:
+            known: dict[str, tuple[frozenset, dict]] = {}
+            out = []
+            for host, text, tokens in zip(f["host"], f["html"], f["tokens"], strict=True):
+                if host not in known:
+                    number = {tuple(t): i for i, t in enumerate(json.loads(tokens))}
+                    known[host] = frozenset(p for p, _ in number), number
+                places, number = known[host]
+                out.append(np.array([number[t] for t in page_tokens(text, places) if t in number],
+                                    "<i4").tobytes())
+            yield pd.DataFrame({"host": f["host"], "page": f["page"], "ids": out})
+
+    return pages.mapInPandas(scan, "host string, page long, ids binary")
+
+
+def _classes(level: str) -> list[list[tuple[int, int, int, int]]]:
+    """The classes of a round: slot, token, times in the slot and which of them,
+    in the order of the page they were taken from."""
+    out = []
+    for c in json.loads(level):
+        own = sorted((at, t["slot"], t["token"], t["n"], j)
+                     for t in c["own"] for j, at in enumerate(t["at"]))
+        out.append([x[1:] for x in own])
+    return out
+
+
+def _in_order(places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest part of (number, position) whose positions rise."""
+    if all(a[1] < b[1] for a, b in itertools.pairwise(places)):
+        return places
+    ends: list[int] = []
+    last: list[int] = []
+    before: list[int] = []
+    for i, (_, at) in enumerate(places):
+        k = bisect.bisect_left(ends, at)
+        before.append(last[k - 1] if k else -1)
+        ends[k:k + 1], last[k:k + 1] = [at], [i]
+    out = []
+    i = last[-1]
+    while i >= 0:
+        out.append(places[i])
+        i = before[i]
+    return out[::-1]
+
+
+def align(ids: list[int], levels: list[list[list[tuple]]]) -> tuple[list[bool], list[int]]:
+    """Which of a page's candidates are template tokens, and the slot of each:
+    the number of the template token before it.
+
+    Round after round, a class is met by the tokens that occur as often in
+    their slots as they should and come in its order; if these are less than
+    half of it, the page does not have the class.
+    """
+    fixed, slots = [False] * len(ids), [-1] * len(ids)
+    base = 0
+    for level in levels:
+        where = _by_role(ids, fixed, slots)
+        anchors: dict[int, int] = {}
+        for own in level:
+            met = []
+            for number, (slot, token, n, j) in enumerate(own, base):
+                at = where.get((slot, token))
+                if at and len(at) == n:
+                    met.append((number, at[j]))
+            base += len(own)
+            met = _in_order(met)
+            if 2 * len(met) >= len(own):
+                anchors.update((at, number) for number, at in met)
+        # a slot reaches from its token to the next one of this round or before
+        slot, old = -1, -1
+        for i in range(len(ids)):
+            if slots[i] != old:
+                slot = old = slots[i]
+            if i in anchors:
+                fixed[i], slot = True, anchors[i]
+            slots[i] = slot
+    return fixed, slots
+
+
+def _by_role(ids, fixed, slots) -> dict[tuple[int, int], list[int]]:
+    out: dict[tuple[int, int], list[int]] = {}
+    for i, token in enumerate(ids):
+        if not fixed[i]:
+            out.setdefault((slots[i], token), []).append(i)
+    return out
 
 
 def occurrence_vectors(pages: DataFrame) -> DataFrame:
-    """``host``, ``token`` (its number among the host's candidates), pages with
-    it, times it occurs, vector hash.
+    """Vectors of the candidates in the page as a whole, the first round of
+    :func:`role_vectors`. ``pages``: ``host``, ``page`` (a hash), ``html``,
+    ``tokens``."""
+    return role_vectors(sequences(pages).withColumn("levels", F.array().cast("array<string>")))
+
+
+def role_vectors(pages: DataFrame) -> DataFrame:
+    """``host``, ``slot``, ``token``, ``n`` (its times in the slot), pages with
+    it, vector hash, and where it stands in one of them (the least hash).
 
-    ``pages``: ``host``, ``page`` (a hash), ``html``, ``tokens``. A task adds up
-    its part of every vector before anything is shuffled.
+    ``pages``: ``host``, ``page``, ``ids``, ``levels`` (the classes of earlier
+    rounds, whose tokens make the slots). A task adds up its part of every
+    vector before anything is shuffled.
     """
+    def frame(sums):
+        return pd.DataFrame([(*k, v[0], v[1] - ((v[1] >> 63) << 64), v[2], v[3])
+                             for k, v in sums.items()],
+                            columns=["host", "slot", "token", "n", "pages", "vector", "least",
+                                     "at"])
+
     def scan(frames):
+        sums: dict[tuple, list] = {}
         for f in frames:
-            sums: dict[str, np.ndarray] = {}
-            known: dict[str, tuple[frozenset, dict]] = {}
-            for host, page, text, tokens in zip(f["host"], f["page"], f["html"], f["tokens"],
-                                                strict=True):
+            known: dict[str, list] = {}
+            for host, page, ids, levels in zip(f["host"], f["page"], f["ids"], f["levels"],
+                                               strict=True):
                 if host not in known:
-                    number = {tuple(t): i for i, t in enumerate(json.loads(tokens))}
-                    known[host] = frozenset(p for p, _ in number), number
-                    sums[host] = np.zeros((len(number), 3), np.uint64)
-                places, number = known[host]
-                counts = np.zeros(len(number), np.uint64)
-                for t in page_tokens(text, places):
-                    if t in number:
-                        counts[number[t]] += np.uint64(1)
-                own = sums[host]
-                own[:, 0] += counts > 0
-                own[:, 1] += counts
-                own[:, 2] += counts * np.uint64(page & (1 << 64) - 1)
-            for host, own in sums.items():
-                yield pd.DataFrame({
-                    "host": host, "token": np.arange(len(own)), "pages": own[:, 0].astype(np.int64),
-                    "times": own[:, 1].astype(np.int64), "vector": own[:, 2].view(np.int64)})
+                    known[host] = [_classes(x) for x in levels]
+                seen = np.frombuffer(ids, "<i4").tolist()
+                for (slot, token), at in _by_role(seen, *align(seen, known[host])).items():
+                    v = sums.get(key := (host, slot, token, len(at)))
+                    if v is None:
+                        sums[key] = [1, page & MASK, page, at]
+                        continue
+                    v[0] += 1
+                    v[1] = (v[1] + page) & MASK
+                    if (page, at) < (v[2], v[3]):
+                        v[2:] = page, at
+                if len(sums) >= FLUSH // 4:
+                    yield frame(sums)
+                    sums = {}
+        if sums:
+            yield frame(sums)
 
     # the hash sums are added as two halves; a carry out of the upper one drops
     low, high = F.col("vector").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("vector", 32)
     carry = F.shiftrightunsigned("low", 32)
-    return (pages.mapInPandas(scan, "host string, token int, pages long, times long, vector long")
-            .groupBy("host", "token")
-            .agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"),
-                 F.sum(low).alias("low"), F.sum(high).alias("high"))
-            .select("host", "token", "pages", "times",
+    return (pages.select("host", "page", "ids", "levels")
+            .mapInPandas(scan, "host string, slot int, token int, n int, pages long, vector long, "
+                               "least long, at array<int>")
+            .groupBy("host", "slot", "token", "n")
+            .agg(F.sum("pages").alias("pages"), F.sum(low).alias("low"), F.sum(high).alias("high"),
+                 F.min(F.struct("least", "at")).alias("first"))
+            .select("host", "slot", "token", "n", "pages",
                     F.shiftleft(F.col("high") + carry, 32)
-                    .bitwiseOR(F.col("low").bitwiseAND(F.lit(0xFFFFFFFF))).alias("vector")))
+                    .bitwiseOR(F.col("low").bitwiseAND(F.lit(0xFFFFFFFF))).alias("vector"),
+                    F.col("first.at").alias("at")))
 
 
 def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int) -> DataFrame:
-    """``host`` and ``template``: its classes' rounds and tokens, as JSON.
+    """``host`` and ``template``: its tokens, pages and rounds of classes, as JSON.
 
-    A template is no longer than a page of its host.
+    A class is as large as needed or has the vector of one from an earlier
+    round, which it then belongs to. Hosts with new classes are counted again,
+    until there are none. A template is no longer than a page of its host.
     """
     hosts = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
                         .where(F.col("all_pages") >= min_pages), "hosts")
     large = pages.join(hosts.select("host"), "host", "left_semi")
-    seeds = materialize(seed_tokens(large), "seed_tokens")
-    vectors = materialize(occurrence_vectors(
-        pages.join(seeds, "host").select("host", "page", "html", "tokens")), "vectors")
-    frequent = (vectors.join(hosts, "host")
-                .where((F.col("pages") >= support * F.col("all_pages")) & (F.col("pages") > 0)
-                       & (F.col("times") % F.col("pages") == 0))
-                .withColumn("rounds", F.expr("times div pages")))
-    classes = (frequent.groupBy("host", "vector", "rounds")
-               .agg(F.sort_array(F.collect_list("token")).alias("own"))
-               .where(F.size("own") >= min_tokens))
-    named = F.from_json("tokens", "array<array<string>>")
-    return (classes.join(seeds, "host").withColumn("named", named)
-            .select("host", F.struct("rounds", F.transform("own", lambda i: F.get("named", i))
-                                     .alias("tokens")).alias("c"))
-            .groupBy("host").agg(F.to_json(F.sort_array(F.collect_list("c"))).alias("template")))
+    state = materialize(
+        seed_tokens(large, support).join(hosts, "host")
+        .withColumns({"levels": F.array().cast("array<string>"),
+                      "vectors": F.array().cast("array<long>")}), "seed_tokens")
+    seen = materialize(sequences(
+        pages.join(state.select("host", "tokens"), "host").select("host", "page", "html",
+                                                                  "tokens")), "sequences")
+    parts = [state.limit(0)]
+    while True:
+        vectors = role_vectors(seen.join(state.select("host", "levels"), "host"))
+        own = F.sort_array(F.collect_list(F.struct("slot", "token", "n", "at"))).alias("own")
+        new = (vectors.join(state.select("host", "all_pages", "vectors"), "host")
+               .where(F.col("pages") >= support * F.col("all_pages"))
+               .groupBy("host", "vector")
+               .agg(own, F.sum("n").alias("size"), F.first("vectors").alias("vectors"))
+               .where((F.col("size") >= min_tokens) | F.array_contains("vectors", F.col("vector")))
+               .groupBy("host")
+               .agg(F.to_json(F.sort_array(F.collect_list(F.struct("vector", "own"))))
+                    .alias("level"), F.collect_set("vector").alias("more")))
+        both = materialize(state.join(new, "host", "left"), "round")
+        parts.append(both.where("level is null and size(levels) > 0").select(state.columns))
+        state = both.where("level is not null").select(
+            "host", "tokens", "all_pages",
+            F.concat("levels", F.array("level")).alias("levels"),
+            F.array_union("vectors", "more").alias("vectors"))
+        parts.append(state)
+        break
+    return functools.reduce(DataFrame.unionByName, parts).select(
+        "host", F.to_json(F.struct("tokens", "all_pages", "levels")).alias("template"))
 
 
 class Template:
     """A host's classes, ready to be met by a page."""
 
-    def __init__(self, classes: str):
-        self.classes = [(c["rounds"], list(map(tuple, c["tokens"])))
-                        for c in json.loads(classes)]
-        self.owner = {t: i for i, (_, own) in enumerate(self.classes) for t in own}
-        self.places = frozenset(p for p, _ in self.owner)
-        self.has_words = any(w for _, w in self.owner)
-
-    def valid_words(self, page: str) -> dict[str, set[str]]:
-        """By place, the words of the classes that occur in this page as they
-        should: in their order, round after round."""
-        seen: list[list] = [[] for _ in self.classes]
-        for t in page_tokens(page, self.places):
-            if t in self.owner:
-                seen[self.owner[t]].append(t)
-        out: dict[str, set[str]] = {}
-        for (rounds, own), met in zip(self.classes, seen, strict=True):
-            if met == own * rounds:
-                for place, word in own:
-                    if word:
-                        out.setdefault(place, set()).add(word)
+    def __init__(self, template: str):
+        t = json.loads(template)
+        self.number = {tuple(x): i for i, x in enumerate(json.loads(t["tokens"]))}
+        self.levels = [_classes(x) for x in t["levels"]]
+        self.places = frozenset(p for p, _ in self.number)
+        words = {i for (_, word), i in self.number.items() if word}
+        self.has_words = any(x[1] in words for level in self.levels for own in level for x in own)
+
+    def fixed_words(self, runs) -> dict[int, list[bool]]:
+        """By number of a text run, which of its words are template tokens: by
+        their position between the others, not by what they are."""
+        ids: list[int] = []
+        spots: list[tuple[int, int]] = []
+        sizes: dict[int, int] = {}
+        for r, (place, text, *_) in enumerate(runs):
+            if place not in self.places:
+                continue
+            words = text.split() if text else [""]
+            sizes[r] = len(words)
+            for w, word in enumerate(words):
+                if (i := self.number.get((place, word))) is not None:
+                    ids.append(i)
+                    spots.append((r, w))
+        out: dict[int, list[bool]] = {}
+        for (r, w), hit in zip(spots, align(ids, self.levels)[0], strict=True):
+            if hit:
+                out.setdefault(r, [False] * sizes[r])[w] = True
         return out
 
 
@@ -295,10 +433,10 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
     """The blocks of the page's slots that hold its main text."""
     runs = list(events(page))
     in_article = any(c and not f and t.strip() for _, t, _, f, c in runs)
-    fixed = template.valid_words(page) if template and template.has_words else {}
+    fixed = template.fixed_words(runs) if template and template.has_words else {}
     blocks: dict[int, list[str]] = {}
     bare: dict[int, list[str]] = {}
-    for place, text, block, furniture, content in runs:
+    for r, (place, text, block, furniture, content) in enumerate(runs):
         if furniture or (in_article and not content):
             continue
         if not text:
@@ -307,8 +445,8 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
             continue
         shown = html.unescape(text)
         blocks.setdefault(block, []).append(shown)
-        if place in fixed:
-            left = _outside(text, fixed[place], min_tokens)
+        if r in fixed:
+            left = _outside(text, fixed[r], min_tokens)
             if left != text:
                 bare[block] = [*bare.get(block, blocks[block][:-1]), html.unescape(left)]
                 continue
@@ -322,16 +460,16 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
     return kept if 2 * len(kept) >= len(whole) else whole
 
 
-def _outside(text: str, fixed: set[str], min_tokens: int) -> str:
+def _outside(text: str, fixed: list[bool], min_tokens: int) -> str:
     """The text without runs of template words."""
     words = text.split()
     out: list[str] = []
     i = 0
     while i < len(words):
         j = i
-        while j < len(words) and (words[j] in fixed) == (words[i] in fixed):
+        while j < len(words) and fixed[j] == fixed[i]:
             j += 1
-        if words[i] not in fixed or (j - i < min_tokens and j - i < len(words)):
+        if not fixed[i] or (j - i < min_tokens and j - i < len(words)):
             out += words[i:j]
         i = j
     if len(out) == len(words):
