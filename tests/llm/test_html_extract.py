@@ -95,3 +95,27 @@ def test_candidates_are_counted_over_all_pages(spark):
     got = H.seed_tokens(spark.createDataFrame(rows, "host string, page long, html string"))
     [found] = [json.loads(r["tokens"]) for r in got.collect()]
     assert {w for _, w in found if w} == {f"w{a}x{b}" for a, b in pairs}
+
+
+def noticed(i, host, notice, article):
+    return (i, f"https://{host}/p{i}", f"<html><body><div><p>{notice}</p><p>{article}</p></div>"
+            f"<div><p>{notice}</p></div></body></html>")
+
+
+def test_words_of_the_template_have_roles_by_slot(spark):
+    notice = "we value your privacy and the peace of our readers"
+    articles = [" ".join(f"word{i}x{k} the" if (k + i) % 3 else f"of word{i}x{k} and our"
+                         for k in range(12 + i)) + " privacy" * (i % 4 == 1) for i in range(12)]
+    rows = [noticed(i, "roles.example", notice, a) for i, a in enumerate(articles)]
+    got = {r["page_id"]: r["text"] for r in H.extract_main_text(
+        spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == dict(enumerate(articles))
+
+
+def test_slots_nest():
+    # token 5 stands for a word that is template in one slot and free in another
+    first = [[(-1, 0, 1, 0), (-1, 1, 1, 0), (-1, 2, 1, 0)]]
+    second = [[(0, 5, 1, 0)]]
+    assert H.align([0, 5, 1, 5, 5, 2], [first, second]) == (
+        [True, True, True, False, False, True], [0, 3, 1, 1, 1, 2])
+    assert H._in_order([(0, 4), (1, 1), (2, 2), (3, 9), (4, 3)]) == [(1, 1), (2, 2), (4, 3)]

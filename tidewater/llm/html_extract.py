@@ -3,15 +3,21 @@
 A page is a sequence of tokens: tags with their place in the page, and words
 with the place they stand in. Over all pages of a host, every token has an
 occurrence vector, its number of occurrences in each page. Tokens with the same
-vector form an equivalence class. A class is large and frequent if it has
-enough tokens and its tokens occur equally often in nearly all pages of the
-host. It is valid in a page if its tokens come in the class's order there and,
-if they occur k times a page, in k rounds of that order, so that the rounds
-nest in the slots of the others. The classes are the host's template; what
-stands between two neighbouring tokens of it is a slot.
-
-Text that belongs to the template is boilerplate wherever it stands. Of the
-rest, slots inside page furniture (by element, role or class name) go, slots of
+vector that occur equally often in nearly all pages form an equivalence class,
+if there are enough of them. A page meets a class with the tokens that occur
+as often as they should and come in the class's order.
+
+The tokens of the classes cut a page into slots, from each to the next. A token
+plays another role in every slot: a word of a notice may occur in articles as
+well, but in its slot it occurs once. So the tokens are counted again by slot;
+classes found this way nest in the slots of the earlier ones, and tokens with
+the vector of an earlier class join it. This goes on until no host has new
+classes. The classes are the host's template; what stands between two
+neighbouring tokens of it is a slot.
+
+Words are template by their position between other tokens of it, so the same
+word stays where it stands in an article; runs of them are cut. Of the rest,
+slots inside page furniture (by element, role or class name) go, slots of
 an article or main element stay where a page has one, and the remaining slots
 are the main text, block by block.
 
@@ -390,8 +396,8 @@ def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int)
             "host", "tokens", "all_pages",
             F.concat("levels", F.array("level")).alias("levels"),
             F.array_union("vectors", "more").alias("vectors"))
-        parts.append(state)
-        break
+        if state.isEmpty():
+            break
     return functools.reduce(DataFrame.unionByName, parts).select(
         "host", F.to_json(F.struct("tokens", "all_pages", "levels")).alias("template"))
 
