@@ -119,3 +119,13 @@ def test_slots_nest():
     assert H.align([0, 5, 1, 5, 5, 2], [first, second]) == (
         [True, True, True, False, False, True], [0, 3, 1, 1, 1, 2])
     assert H._in_order([(0, 4), (1, 1), (2, 2), (3, 9), (4, 3)]) == [(1, 1), (2, 2), (4, 3)]
+
+
+def test_template_goes_from_short_pages_and_copies_count_once(spark):
+    notice = " ".join(f"note{k}" for k in range(60))
+    short = {i: " ".join(f"word{i}x{k}" for k in range(10 if i < 9 else 300)) for i in range(10)}
+    rows = [noticed(i, "short.example", notice, a) for i, a in short.items()]
+    rows += [(100 + i, *rows[9][1:]) for i in range(200)]
+    got = {r["page_id"]: r["text"] for r in H.extract_main_text(
+        spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == short | {100 + i: short[9] for i in range(200)}

@@ -23,7 +23,7 @@ are the main text, block by block.
 
 Candidates are the tokens that occur in nearly all pages, counted over all pages
 of the host; only their vectors are kept, and pages are read as sequences of
-them. Vectors are
+them. Equal pages of a host count once. Vectors are
 never gathered: a vector is kept as the sum over pages of count
 times a hash of the page, so a token's vector comes from one aggregate with
 partial sums in each task, whatever the number of pages of a host.
@@ -367,7 +367,11 @@ def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int)
     A class is as large as needed or has the vector of one from an earlier
     round, which it then belongs to. Hosts with new classes are counted again,
     until there are none. A template is no longer than a page of its host.
+
+    Equal pages of a host count once, so an article is not taken for a template
+    because it stands in many copies.
     """
+    pages = pages.dropDuplicates(["host", "page"])
     hosts = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
                         .where(F.col("all_pages") >= min_pages), "hosts")
     large = pages.join(hosts.select("host"), "host", "left_semi")
@@ -458,12 +462,7 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
                 continue
         if block in bare:
             bare[block].append(shown)
-    whole = _joined(blocks)
-    if not bare:
-        return whole
-    kept = _joined(blocks | bare)
-    # a host of copies of one page has the article in its template
-    return kept if 2 * len(kept) >= len(whole) else whole
+    return _joined(blocks | bare)
 
 
 def _outside(text: str, fixed: list[bool], min_tokens: int) -> str:
@@ -498,15 +497,16 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
 
     Defined cases: null html counts as empty and gives an empty text; a page
     without a host (null or odd url) belongs to the host ``""``; a host with
-    fewer than ``min_pages`` pages has no template, and its pages are read by
-    their elements alone; text without any markup is the main text; equal rows
-    are pages like any other; an empty table gives an empty result; only the
-    three named columns are read.
+    fewer than ``min_pages`` distinct pages has no template, and its pages are
+    read by their elements alone; text without any markup is the main text;
+    equal pages of a host all give a text but count once for its template, which
+    is applied to every page that has it; an empty table gives an empty result;
+    only the three named columns are read.
     """
     rows = pages.select(col(id_col).alias("id"), col(url_col).alias("url"),
                         F.coalesce(col(html_col), F.lit("")).alias("html"),
                         host_of(col(url_col)).alias("host"))
-    hashed = rows.select("host", F.xxhash64("url", "html").alias("page"), "html")
+    hashed = rows.select("host", F.xxhash64("html").alias("page"), "html")
     found = materialize(templates(hashed, min_pages, support, min_tokens), "templates")
 
     def extract(columns: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
