@@ -129,3 +129,15 @@ def test_template_goes_from_short_pages_and_copies_count_once(spark):
     got = {r["page_id"]: r["text"] for r in H.extract_main_text(
         spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == short | {100 + i: short[9] for i in range(200)}
+
+
+def test_small_hosts_have_templates(spark):
+    notice = " ".join(f"note{k}" for k in range(12))
+    want, rows = {}, []
+    for host in (3, 5, 7):
+        for i in range(host):
+            want[10 * host + i] = " ".join(f"word{i}x{k} same{k % 3}" for k in range(10 + i))
+            rows.append(noticed(10 * host + i, f"h{host}.example", notice, want[10 * host + i]))
+    got = {r["page_id"]: r["text"] for r in H.extract_main_text(
+        spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == want

@@ -47,8 +47,10 @@ from pyspark.sql import functions as F
 
 from .common import col, materialize
 
-#: Pages a host needs for its template to be deduced.
-MIN_PAGES = 8
+#: Distinct pages a host needs for its template to be deduced, and those from
+#: which ``MIN_TOKENS`` are enough; hosts with fewer need more tokens.
+MIN_PAGES = 3
+FULL_PAGES = 8
 #: Share of the host's pages that a template token occurs in.
 SUPPORT = 0.95
 #: Tokens a class needs, and template words in a row to count as boilerplate.
@@ -361,11 +363,17 @@ def role_vectors(pages: DataFrame) -> DataFrame:
                     F.col("first.at").alias("at")))
 
 
+def tokens_needed(pages: int, min_tokens: int) -> int:
+    """Tokens of a class, and template words in a row to cut, for a host of so
+    many distinct pages: the fewer pages, the more is equal by chance."""
+    return max(min_tokens, -(-FULL_PAGES * min_tokens // pages))
+
+
 def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int) -> DataFrame:
     """``host`` and ``template``: its tokens, pages and rounds of classes, as JSON.
 
-    A class is as large as needed or has the vector of one from an earlier
-    round, which it then belongs to. Hosts with new classes are counted again,
+    A class is as large as :func:`tokens_needed` says or has the vector of one
+    from an earlier round, which it then belongs to. Hosts with new classes are counted again,
     until there are none. A template is no longer than a page of its host.
 
     Equal pages of a host count once, so an article is not taken for a template
@@ -389,8 +397,10 @@ def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int)
         new = (vectors.join(state.select("host", "all_pages", "vectors"), "host")
                .where(F.col("pages") >= support * F.col("all_pages"))
                .groupBy("host", "vector")
-               .agg(own, F.sum("n").alias("size"), F.first("vectors").alias("vectors"))
-               .where((F.col("size") >= min_tokens) | F.array_contains("vectors", F.col("vector")))
+               .agg(own, F.sum("n").alias("size"), F.first("vectors").alias("vectors"),
+                    F.first("all_pages").alias("all_pages"))
+               .where((F.col("size") * F.least("all_pages", F.lit(FULL_PAGES))
+                       >= min_tokens * FULL_PAGES) | F.array_contains("vectors", F.col("vector")))
                .groupBy("host")
                .agg(F.to_json(F.sort_array(F.collect_list(F.struct("vector", "own"))))
                     .alias("level"), F.collect_set("vector").alias("more")))
@@ -413,6 +423,7 @@ class Template:
         t = json.loads(template)
         self.number = {tuple(x): i for i, x in enumerate(json.loads(t["tokens"]))}
         self.levels = [_classes(x) for x in t["levels"]]
+        self.pages = t["all_pages"]
         self.places = frozenset(p for p, _ in self.number)
         words = {i for (_, word), i in self.number.items() if word}
         self.has_words = any(x[1] in words for level in self.levels for own in level for x in own)
@@ -444,6 +455,7 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
     runs = list(events(page))
     in_article = any(c and not f and t.strip() for _, t, _, f, c in runs)
     fixed = template.fixed_words(runs) if template and template.has_words else {}
+    need = tokens_needed(template.pages, min_tokens) if fixed else min_tokens
     blocks: dict[int, list[str]] = {}
     bare: dict[int, list[str]] = {}
     for r, (place, text, block, furniture, content) in enumerate(runs):
@@ -456,7 +468,7 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
         shown = html.unescape(text)
         blocks.setdefault(block, []).append(shown)
         if r in fixed:
-            left = _outside(text, fixed[r], min_tokens)
+            left = _outside(text, fixed[r], need, need == min_tokens)
             if left != text:
                 bare[block] = [*bare.get(block, blocks[block][:-1]), html.unescape(left)]
                 continue
@@ -465,8 +477,9 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
     return _joined(blocks | bare)
 
 
-def _outside(text: str, fixed: list[bool], min_tokens: int) -> str:
-    """The text without runs of template words."""
+def _outside(text: str, fixed: list[bool], min_tokens: int, whole: bool) -> str:
+    """The text without runs of template words; with ``whole``, shorter ones go
+    too if they are all there is."""
     words = text.split()
     out: list[str] = []
     i = 0
@@ -474,7 +487,7 @@ def _outside(text: str, fixed: list[bool], min_tokens: int) -> str:
         j = i
         while j < len(words) and fixed[j] == fixed[i]:
             j += 1
-        if not fixed[i] or (j - i < min_tokens and j - i < len(words)):
+        if not fixed[i] or (j - i < min_tokens and not (whole and j - i == len(words))):
             out += words[i:j]
         i = j
     if len(out) == len(words):
