@@ -141,3 +141,19 @@ def test_small_hosts_have_templates(spark):
     got = {r["page_id"]: r["text"] for r in H.extract_main_text(
         spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == want
+
+
+def test_marks_do_not_take_the_article():
+    text = "<p>some words of the text</p>"
+    cases = {
+        f"<body class='single no-sidebar'>{text}<div class=sidebar>x</div>": "some words of the text",
+        f"<div class='content with-sidebar'>{text}</div><p>z": "some words of the text\nz",
+        f"<div id='search-result-article'><article>{text}</article></div><p>{'z' * 99}":
+            "some words of the text",
+        f"<form><main>{text}</main><div class=ad>x</div></form>{'z' * 99}": "some words of the text",
+        f"<body><form><nav>{'z' * 99}</nav>{text}</form>": "some words of the text",
+        f"<div class=promo><div class=related><article>x</article></div>y</div>{text}":
+            "x",
+        f"<nav class=menu><article>x</article></nav>{text}": "some words of the text",
+    }
+    assert {k: H.main_text(k) for k in cases} == cases

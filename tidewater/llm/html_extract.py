@@ -75,11 +75,11 @@ _BLOCK = frozenset(
     "section summary table tbody td tfoot th thead tr ul".split())
 #: Elements and roles that are page furniture whatever their names.
 _FURNITURE = frozenset(
-    "head title nav footer aside form button dialog menu label select textarea noscript template "
+    "head title nav footer aside button dialog menu label select textarea noscript template "
     "iframe svg object".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu "
                    "menubar toolbar".split())
-#: Words in a class or id that mark page furniture.
+#: Words in a class or id that mark page furniture, unless most of the page is in it.
 _MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner "
     "menu nav navbar navigation breadcrumb breadcrumbs pagination pager sidebar widget widgets "
@@ -90,28 +90,38 @@ _MAIN = frozenset({"article", "main"})
 
 
 class Element:
-    __slots__ = ("block", "content", "furniture", "name", "place")
+    """An open element. ``hard``: page furniture whatever it holds; ``soft``:
+    furniture by a class word or as a form, unless :func:`settle` lifts it."""
 
-    def __init__(self, name: str, place: str, furniture: bool, content: bool, block: int):
-        self.name, self.place = name, place
-        self.furniture, self.content, self.block = furniture, content, block
+    __slots__ = ("chars", "content", "furniture", "hard", "holds", "name", "parent", "place",
+                 "soft")
 
+    def __init__(self, name: str, place: str, parent: Element | None, hard: bool, soft: bool):
+        self.name, self.place, self.parent = name, place, parent
+        self.hard, self.soft = hard, soft
+        self.chars, self.holds, self.furniture, self.content = 0, False, False, False
 
-def events(page: str) -> Iterator[tuple[str, str, int, bool, bool]]:
-    """(place, text, block, furniture, in article) of every tag and text run.
+
+def events(page: str, elements: list[Element] | None = None
+           ) -> Iterator[tuple[str, str, int, Element]]:
+    """(place, text, block, element) of every tag and text run; elements are
+    added to ``elements`` as they start.
 
     A tag's text is empty. Open elements are kept on a stack: an end tag closes
     its element and what is open inside, a block start closes an open
     paragraph. Comments, scripts, styles and the like yield nothing. Two text
     runs are in one block if no block element starts or ends between them.
     """
-    stack = [Element("", "", False, False, 0)]
+    elements = [] if elements is None else elements
+    stack = [Element("", "", None, False, False)]
+    elements.append(stack[0])
     block = 0
     for m in _TOKEN.finditer(page):
         text = m["text"]
         top = stack[-1]
         if text is not None:
-            yield top.place, text, block, top.furniture, top.content
+            top.chars += len(text.strip())
+            yield top.place, text, block, top
             continue
         if m["name"] is None:
             continue
@@ -121,7 +131,7 @@ def events(page: str) -> Iterator[tuple[str, str, int, bool, bool]]:
         if m["end"]:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].name == name:
-                    yield stack[i].place + "/", "", block, stack[i].furniture, stack[i].content
+                    yield stack[i].place + "/", "", block, stack[i]
                     del stack[i:]
                     break
             continue
@@ -138,14 +148,32 @@ def events(page: str) -> Iterator[tuple[str, str, int, bool, bool]]:
             for kind, value in _NAMES.findall(m["rest"]):
                 (roles if kind.lower() == "role" else words).update(
                     _PARTS.findall(value.lower()))
-        furniture = (top.furniture or name in _FURNITURE or not _ROLES.isdisjoint(roles)
-                     or not _MARKS.isdisjoint(words)
-                     or (name == "header" and not top.content))
-        content = top.content or (name in _MAIN and not furniture)
+        hard = (name in _FURNITURE or not _ROLES.isdisjoint(roles)
+                or (name == "header" and all(e.name not in _MAIN for e in stack)))
+        soft = name == "form" or not _MARKS.isdisjoint(words)
         place = f"{top.place}/{name}" + "".join(f".{w}" for w in sorted(words))
-        yield place, "", block, furniture, content
+        element = Element(name, place, top, hard, soft)
+        elements.append(element)
+        yield place, "", block, element
         if name not in _VOID and not m["rest"].endswith("/"):
-            stack.append(Element(name, place, furniture, content, block))
+            stack.append(element)
+
+
+def settle(elements: list[Element]) -> None:
+    """Set ``furniture`` and ``content`` of a page's elements, given as they start.
+
+    A class word or form makes no furniture of the body, or of an element that
+    holds an article or main element or most of the page's text.
+    """
+    for e in reversed(elements[1:]):
+        if not e.hard:
+            e.parent.chars += e.chars
+            e.parent.holds |= e.holds or (e.name in _MAIN and not e.soft)
+    for e in elements[1:]:
+        soft = e.soft and not (e.name in ("html", "body") or e.holds
+                               or 2 * e.chars > elements[0].chars)
+        e.furniture = e.parent.furniture or e.hard or soft
+        e.content = e.parent.content or (e.name in _MAIN and not e.furniture)
 
 
 def _close(stack: list[Element], name: str, until) -> None:
@@ -160,7 +188,7 @@ def _close(stack: list[Element], name: str, until) -> None:
 def page_tokens(page: str, places=None) -> Iterator[tuple[str, str]]:
     """(place, word) of all tags (no word) and words of a page, in order; of
     the given places only, if any are given."""
-    for place, text, _, _, _ in events(page):
+    for place, text, _, _ in events(page):
         if places is None or place in places:
             if text:
                 for word in text.split():
@@ -452,14 +480,16 @@ class Template:
 
 def main_text(page: str, template: Template | None = None, min_tokens: int = MIN_TOKENS) -> str:
     """The blocks of the page's slots that hold its main text."""
-    runs = list(events(page))
-    in_article = any(c and not f and t.strip() for _, t, _, f, c in runs)
+    elements: list[Element] = []
+    runs = list(events(page, elements))
+    settle(elements)
+    in_article = any(e.content and not e.furniture and t.strip() for _, t, _, e in runs)
     fixed = template.fixed_words(runs) if template and template.has_words else {}
     need = tokens_needed(template.pages, min_tokens) if fixed else min_tokens
     blocks: dict[int, list[str]] = {}
     bare: dict[int, list[str]] = {}
-    for r, (place, text, block, furniture, content) in enumerate(runs):
-        if furniture or (in_article and not content):
+    for r, (place, text, block, element) in enumerate(runs):
+        if element.furniture or (in_article and not element.content):
             continue
         if not text:
             if place.endswith("/br"):  # a line break inside a block is white space
