@@ -108,3 +108,15 @@ def test_bound_never_exceeds_the_optimum_and_packing_is_valid():
 
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_added_tokens_have_their_ids_as_loaded(spark):
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [*TRICKY, f"a {end} b", f"{end}{end} x", f"x  y{end}\n z", f"<|endoftext{end}|>", end[:-1]]
+    got = packing.pack_documents(documents(spark, [(i, x, "en", "s", 1)
+                                                   for i, x in enumerate(texts)]), with_ids=True)
+    ids = {r["doc_id"]: np.frombuffer(bytes(r["ids"]), "<u4").tolist() for r in got.collect()}
+    assert ids == {i: [*t.encode(x, add_special_tokens=False).ids, 0]
+                   for i, x in enumerate(texts)}
+    assert ids[len(TRICKY)] == [64, 220, 50256, 275, 0]

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 import re
 import struct
 from collections.abc import Iterator
@@ -43,10 +44,12 @@ class Tokens:
 
     Byte-level BPE splits a text before every single space that stands between
     two characters that are not white space, so such chunks can be encoded
-    apart, and frequent ones once. Other texts are encoded whole.
+    apart, and frequent ones once. Other texts are encoded whole. The added
+    tokens of a ``vocabulary`` (a tokenizer's JSON file) are found in a text
+    first and get their own ids; the ranks alone have none.
     """
 
-    def __init__(self, ranks: str):
+    def __init__(self, ranks: str, vocabulary: str | None = None):
         import public_tokenizers
         import tiktoken
 
@@ -54,6 +57,15 @@ class Tokens:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._encode = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN,
                                          mergeable_ranks=table, special_tokens={}).encode_ordinary
+        self._added = {}
+        if vocabulary is not None:
+            with open(vocabulary, encoding="utf-8") as f:
+                for t in json.load(f)["added_tokens"]:
+                    if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]:
+                        raise ValueError(f"added token with options: {t}")
+                    self._added[t["content"]] = struct.pack("<I", t["id"])
+        longest = sorted(map(re.escape, self._added), key=len, reverse=True)
+        self._any = re.compile(f"({'|'.join(longest)})" if longest else r"(?!)")
         self._spaces = re.compile(r" \s|\s ")
         outer = self
 
@@ -71,6 +83,12 @@ class Tokens:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def __call__(self, text: str) -> bytes:
+        if self._any.search(text):
+            return b"".join(self._added.get(x) or self._between(x)
+                            for x in self._any.split(text) if x)
+        return self._between(text)
+
+    def _between(self, text: str) -> bytes:
         if self._spaces.search(text):
             return self.raw(text)
         first, *rest = text.split(" ")
@@ -78,8 +96,8 @@ class Tokens:
 
 
 @functools.cache
-def tokens_of(ranks: str) -> Tokens:
-    return Tokens(ranks)
+def tokens_of(ranks: str, vocabulary: str | None = None) -> Tokens:
+    return Tokens(ranks, vocabulary)
 
 
 def default_ranks() -> str:
@@ -88,12 +106,18 @@ def default_ranks() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-def pieces_udf(capacity: int, ranks: str, with_ids: bool):
+def default_vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def pieces_udf(capacity: int, ranks: str, vocabulary: str | None, with_ids: bool):
     """Arrow UDF: text to token count, checksum of each piece and, if asked, all ids."""
     kind = "n long, checksums array<long>" + ", ids binary" * with_ids
 
     def cut(texts):
-        encode = tokens_of(ranks)
+        encode = tokens_of(ranks, vocabulary)
         for s in texts:
             rows = []
             for t in s:
@@ -226,19 +250,24 @@ def pack_sizes(items: DataFrame, capacity: int, per_partition: int, rounds: int)
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = 2048, ranks: str | None = None, with_ids: bool = False,
-                   per_partition: int = PER_PARTITION, rounds: int = ROUNDS) -> DataFrame:
+                   per_partition: int = PER_PARTITION, rounds: int = ROUNDS,
+                   vocabulary: str | None = None) -> DataFrame:
     """Pieces of all documents and their places.
 
     Returns ``id_col``, ``piece``, ``start``, ``length``, ``ids_crc32``,
     ``sequence_id``, ``offset``, ``certified`` (the piece's last partition met
     its lower bound) and, with ``with_ids``, ``ids`` (little-endian unsigned
-    32-bit). A string like ``<|endoftext|>`` in a text is ordinary text.
+    32-bit). ``ranks`` and ``vocabulary`` default to the 50k vocabulary and its
+    JSON file, whose added tokens (``<|endoftext|>``) keep their ids in a text; with
+    other ``ranks`` and no ``vocabulary`` there are none.
 
     Defined cases: a null or empty text is the closing id alone; repeated rows
     and null ids are documents like any other; ties go by row order; an empty
     table gives an empty result; only the two named columns are read.
     """
-    cut = pieces_udf(capacity, ranks or default_ranks(), with_ids)
+    if ranks is None and vocabulary is None:
+        vocabulary = default_vocabulary()
+    cut = pieces_udf(capacity, ranks or default_ranks(), vocabulary, with_ids)
     rows = materialize(
         docs.select(F.monotonically_increasing_id().alias("uid"), col(id_col).alias("id"),
                     cut(col(text_col)).alias("t")).select("uid", "id", "t.*"), "tokens")
