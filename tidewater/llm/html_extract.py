@@ -407,17 +407,18 @@ def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int)
     Equal pages of a host count once, so an article is not taken for a template
     because it stands in many copies.
     """
-    pages = pages.dropDuplicates(["host", "page"])
-    hosts = materialize(pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    distinct = pages.dropDuplicates(["host", "page"])
+    hosts = materialize(distinct.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
                         .where(F.col("all_pages") >= min_pages), "hosts")
-    large = pages.join(hosts.select("host"), "host", "left_semi")
+    large = distinct.join(hosts.select("host"), "host", "left_semi")
     state = materialize(
         seed_tokens(large, support).join(hosts, "host")
         .withColumns({"levels": F.array().cast("array<string>"),
                       "vectors": F.array().cast("array<long>")}), "seed_tokens")
+    # copies go once they are sequences, which are much smaller than pages
     seen = materialize(sequences(
-        pages.join(state.select("host", "tokens"), "host").select("host", "page", "html",
-                                                                  "tokens")), "sequences")
+        pages.join(state.select("host", "tokens"), "host")
+        .select("host", "page", "html", "tokens")).dropDuplicates(["host", "page"]), "sequences")
     parts = [state.limit(0)]
     while True:
         vectors = role_vectors(seen.join(state.select("host", "levels"), "host"))
