@@ -1,7 +1,9 @@
 """Personal data against Python's regular expressions and plain checksums."""
 
 import hashlib
+import random
 import re
+import time
 
 from tidewater.llm import pii
 
@@ -72,3 +74,26 @@ def test_columns_pass_and_empty_table(spark):
     docs = documents(spark, extra=True)
     assert pii.find_pii(docs).columns == [c for c in docs.columns if c != "pii"] + ["pii"]
     assert pii.find_pii(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_random_texts(spark):
+    r = random.Random(5)
+    data = [(i, "".join(r.choice("a1.@+- 2_b") for _ in range(r.randrange(120))), None, None, 1)
+            for i in range(1500)]
+    texts = {d[0]: d[1] for d in data}
+    for row in pii.pii_summary(documents(spark, data)).collect():
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in plain(texts[row["doc_id"]]))
+        assert row["base_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_long_runs_neither_crash_nor_stall(spark):
+    texts = ["7" * 10**6, "a" * 10**6 + "@", "x@a" + ".b" * 10**5, "1." * 120_000 + "x",
+             "a@b.cd " * 10_000, "4 " * 10**5, "0" * 10**6 + ".1.1.1"]
+    data = [(i, t, None, None, 1) for i, t in enumerate(texts)]
+    start = time.monotonic()
+    got = {r["doc_id"]: r for r in pii.pii_summary(documents(spark, data)).collect()}
+    assert time.monotonic() - start < 60
+    assert [(got[i]["n_email"], got[i]["n_ip"], got[i]["n_card"]) for i in range(7)] == [
+        (0, 0, 0), (0, 0, 0), (1, 0, 0), (0, 30_000, 0), (10_000, 0, 0), (0, 0, 0), (0, 1, 0)]
+    assert got[2]["spans"] == f"email:0:{3 + 2 * 10**5}"
+    assert got[4]["spans"].endswith("email:69993:69999")

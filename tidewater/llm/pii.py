@@ -1,8 +1,8 @@
 """Personal data: patterns propose spans, checksums confirm, context scores.
 
 Built-in functions only. The spans of a pattern come from two readings of the
-text, the matches and the pieces between them; their lengths, added up in turn,
-are the positions. A text without a kind's tell-tale character skips that kind.
+text, the matches and the pieces between them; their lengths, added up in turn
+over runs of bounded size, are the positions. A text without a kind's tell-tale character skips that kind.
 
 Base kinds (email, ip, card, phone) are kept whenever their check holds. The
 added kinds are kept if they also reach a score: a start value for the kind,
@@ -33,13 +33,16 @@ class Kind:
     speaks_against: str = "version|isbn|issn|build|chapter|page"
 
 
-# The base patterns.
+# The base patterns, in a form that takes time in proportion to the
+# text. Repeats are possessive (what follows them cannot start inside them), and a
+# match starts where a run starts or the last match ended: inside a run that has
+# failed, every later start fails too.
 BASE = (
-    Kind("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "@", 0.8,
-         "e-?mail|mail|contact|write|correo|courriel"),
-    Kind("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"\.[0-9]+\.[0-9]", 0.6,
+    Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++"
+         r"(?:\.[A-Za-z0-9-]++)++", "@", 0.8, "e-?mail|mail|contact|write|correo|courriel"),
+    Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", r"\.[0-9]+\.[0-9]", 0.6,
          "ip|address|server|host|login|adresse"),
-    Kind("card", r"[0-9]([\x20-]?[0-9])+", r"(?:[0-9][\x20-]?){12}[0-9]", 0.8,
+    Kind("card", r"[0-9](?:[\x20-]?[0-9])++", r"(?:[0-9][\x20-]?){12}[0-9]", 0.8,
          "card|visa|mastercard|credit|debit|payment|tarjeta|carte|karte"),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", 0.7,
          "tel|phone|call|fax|mobile|telefon|telefono|telephone"),
@@ -55,23 +58,59 @@ ADDED = (
 )
 #: Characters on either side that count as nearby, and the score to reach.
 NEAR, BONUS, MALUS, REACH = 40, 0.3, 0.4, 0.6
+#: Matches whose positions are added up in one go.
+RUN = 256
 
 
-def proposed(text: Column, kind: Kind) -> Column:
-    """Matches of a pattern as ``array<struct<s, start, end>>`` (code points)."""
+def matches(text: Column, kind: Kind) -> Column:
+    """Matches of a pattern with the gap before each, ``array<struct<s, gap>>``."""
     found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
     between = F.split(text, kind.pattern, -1)
+    none = F.array().cast("array<struct<s:string,gap:string>>")
+    return F.when(text.rlike(kind.tell), F.arrays_zip(
+        found.alias("s"), F.slice(between, 1, F.size(found)).alias("gap"))).otherwise(none)
+
+
+def runs_of(pairs: Column) -> Column:
+    """An array of matches in runs of ``RUN``."""
+    none = F.array().cast("array<array<struct<s:string,gap:string>>>")
+    return F.when(F.size(pairs) > 0, F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / RUN)),
+        lambda i: F.slice(pairs, (i * RUN + 1).cast("int"), F.lit(RUN)))).otherwise(none)
+
+
+def placed(text: Column, runs: Column, starts: Column) -> Column:
+    """Each run with its place and the text that its spans and their contexts lie in.
+
+    Positions and contexts are then found inside a run's own text, so that the
+    time does not grow with the square of the number of matches.
+    """
+    def cut(run: Column, i: Column) -> Column:
+        first = F.greatest(starts[i] - NEAR, F.lit(0))
+        return F.struct(run.alias("run"), starts[i].alias("at"), first.alias("first"),
+                        F.substr(text, first + 1, starts[i + 1] + NEAR - first).alias("part"))
+    return F.transform(runs, cut)
+
+
+def run_starts(runs: Column) -> Column:
+    """Where each run of matches starts (the gap before it included), and the end."""
+    def width(run: Column) -> Column:
+        return F.aggregate(run, F.lit(0), lambda n, x: n + F.length(x["gap"]) + F.length(x["s"]))
+    return F.aggregate(runs, F.array(F.lit(0)), lambda at, run: F.concat(
+        at, F.array(F.element_at(at, -1) + width(run))))
+
+
+def spans_of(run: Column, at: Column) -> Column:
+    """The spans of one run as ``array<struct<s, start, end>>`` (code points)."""
     none = F.array().cast("array<struct<s:string,start:int,end:int>>")
-    walked = F.aggregate(
-        F.arrays_zip(found.alias("s"), F.slice(between, 1, F.size(found)).alias("gap")),
-        F.struct(F.lit(0).alias("at"), none.alias("out")),
+    return F.aggregate(
+        run, F.struct(at.alias("at"), none.alias("out")),
         lambda acc, x: F.struct(
             (acc["at"] + F.length(x["gap"]) + F.length(x["s"])).alias("at"),
             F.concat(acc["out"], F.array(F.struct(
                 x["s"].alias("s"), (acc["at"] + F.length(x["gap"])).alias("start"),
                 (acc["at"] + F.length(x["gap"]) + F.length(x["s"])).alias("end")))).alias("out")),
         lambda acc: acc["out"])
-    return F.when(text.rlike(kind.tell), walked).otherwise(none)
 
 
 def _digits(s: Column) -> Column:
@@ -120,23 +159,25 @@ def _has_word(text: Column, words: str) -> Column:
     return text.rlike(f"(?:^|[^a-z])(?:{words})(?:[^a-z]|$)")
 
 
-def score(text: Column, kind: Kind, x: Column) -> Column:
-    """Start value, raised or lowered by words around the span."""
-    first = F.greatest(x["start"] - NEAR, F.lit(0))
+def score(part: Column, first: Column, kind: Kind, x: Column) -> Column:
+    """Start value, raised or lowered by words around the span; ``part`` is the
+    text from position ``first`` on."""
+    left = F.greatest(x["start"] - NEAR, F.lit(0))
     around = F.lower(F.concat(
-        F.substr(text, first + 1, x["start"] - first), F.lit(" "),
-        F.substr(text, x["end"] + 1, F.lit(NEAR))))
+        F.substr(part, left - first + 1, x["start"] - left), F.lit(" "),
+        F.substr(part, x["end"] - first + 1, F.lit(NEAR))))
     s = (F.lit(kind.start) + F.when(_has_word(around, kind.speaks_for), BONUS).otherwise(0.0)
          - F.when(_has_word(around, kind.speaks_against), MALUS).otherwise(0.0))
     return F.round(F.least(F.greatest(s, F.lit(0.0)), F.lit(1.0)), 2)
 
 
-def _scored(text: Column, kind: Kind, spans: Column) -> Column:
+def _scored(kind: Kind, runs: Column) -> Column:
     """The confirmed ones of the proposed spans, with kind and score."""
-    return F.transform(
-        F.filter(spans, lambda x: confirmed(kind.name, x["s"])),
+    return F.flatten(F.transform(runs, lambda r: F.transform(
+        F.filter(spans_of(r["run"], r["at"]), lambda x: confirmed(kind.name, x["s"])),
         lambda x: F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"),
-                           x["end"].alias("end"), score(text, kind, x).alias("score")))
+                           x["end"].alias("end"),
+                           score(r["part"], r["first"], kind, x).alias("score")))))
 
 
 def _apart(spans: Column, taken: Column) -> Column:
@@ -154,17 +195,22 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     By kind as listed, then start; positions in code points, end exclusive.
 
-    Defined cases: a null or empty text has no spans; repeated rows get equal
-    results; an empty table gives an empty result; all columns pass through, an
+    Defined cases: a null or empty text has no spans; a very long text is searched
+    whole, in time that grows with its length; repeated rows get equal results; an empty table gives an empty result; all columns pass through, an
     input column named ``pii`` is replaced.
     """
     kinds = BASE + ADDED
-    text, *names = free_names(docs, "whole text", *[f"{k.name} spans" for k in kinds])
+    text, *names = free_names(docs, "whole text", *[f"{k.name} spans" for k in kinds],
+                              *[f"{k.name} spans starts" for k in kinds])
+    names, starts = names[:len(kinds)], names[len(kinds):]
     df = docs.withColumn(text, F.coalesce(col(text_col), F.lit("")))
-    for k, name in zip(kinds, names, strict=True):
-        df = df.withColumn(name, proposed(col(text), k))
-    for k, name in zip(kinds, names, strict=True):
-        df = df.withColumn(name, _scored(col(text), k, col(name)))
+    df = df.withColumns({n: matches(col(text), k) for k, n in zip(kinds, names, strict=True)})
+    # each step on a column of its own: inside a lambda it would run once per element
+    df = df.withColumns({n: runs_of(col(n)) for n in names})
+    df = df.withColumns({at: run_starts(col(n)) for at, n in zip(starts, names, strict=True)})
+    df = df.withColumns({n: placed(col(text), col(n), col(at))
+                         for at, n in zip(starts, names, strict=True)})
+    df = df.withColumns({n: _scored(k, col(n)) for k, n in zip(kinds, names, strict=True)})
     whole = F.concat(*[col(n) for n in names[:len(BASE)]])
     for name in names[len(BASE):]:
         df = df.withColumn(names[0], F.concat(whole, _apart(col(name), whole)))
