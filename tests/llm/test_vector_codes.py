@@ -1,0 +1,131 @@
+"""Product codes against plain Python integers."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidewater.llm import vector_codes as vc
+from tidewater.llm.common import read_table
+
+from .frames import CLASHING
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows, parts=8, k=16, rounds=6):
+    """vec_id -> (code, error, label_error, digest) as lists of sorted tuples."""
+    kept = [(i, [math.floor(4096 * float(np.float32(x))) for x in v], label)
+            for i, v, label in rows
+            if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    if not kept:
+        return []
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    w = len(kept[0][1]) // parts
+
+    def part(v, p):
+        return v[p * w:(p + 1) * w]
+
+    def best(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e, strict=True)), j)
+                   for j, e in enumerate(book))
+
+    books = [[part(v, p) for _, v, _ in kept[:k]] for p in range(parts)]
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = {}
+            for _, v, _ in kept:
+                groups.setdefault(best(part(v, p), books[p])[1], []).append(part(v, p))
+            books[p] = [[sum(c) // len(groups[j]) for c in zip(*groups[j], strict=True)]
+                        if j in groups else e for j, e in enumerate(books[p])]
+    digest = hashlib.sha256(",".join(str(c) for b in books for e in b for c in e)
+                            .encode()).hexdigest()
+    coded = []
+    for i, v, label in kept:
+        found = [best(part(v, p), books[p]) for p in range(parts)]
+        coded.append((i, "".join(f"{j:02x}" for _, j in found), sum(d for d, _ in found), label))
+    total = {}
+    for *_, e, label in coded:
+        total[label] = total.get(label, 0) + e
+    return [(i, c, e, total[label], digest) for i, c, e, label in coded]
+
+
+def ordered(rows):
+    return sorted(map(tuple, rows), key=str)
+
+
+def data(n=300, width=16, seed=1):
+    r = random.Random(seed)
+    centres = [[r.gauss(0, 1) for _ in range(width)] for _ in range(5)]
+    out = [(r.randrange(10_000), [float(np.float32(c + r.gauss(0, .2))) for c in r.choice(centres)],
+            r.choice([None, 1, 2, 3])) for _ in range(n)]
+    out += out[:9] + [(5, [0.0] * width, 1), (6, [-0.25] * width, None), (None, [0.5] * width, 1)]
+    return out + [(7, None, 1), (8, [None] + [0.0] * (width - 1), 1),
+                  (9, [float("nan")] * width, 1), (10, [float("inf")] * width, 2)]
+
+
+def test_matches_plain_version(spark):
+    rows = data()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    for c in CLASHING:
+        df = df.withColumn(c, df["label"])
+    got = vc.compress_vectors(df)
+    assert got.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert ordered(got.collect()) == ordered(brute(rows))
+
+
+def test_few_and_tied_vectors(spark):
+    rows = [(i % 3, [float(i % 2)] * 8, None) for i in range(12)]
+    got = vc.compress_vectors(spark.createDataFrame(rows, SCHEMA))
+    assert ordered(got.collect()) == ordered(brute(rows))
+    one = [(1, [0.1] * 8, None)]
+    got = vc.compress_vectors(spark.createDataFrame(one, SCHEMA)).collect()
+    assert [tuple(r) for r in got] == brute(one)
+
+
+def test_empty_and_odd_lengths(spark):
+    for rows in ([], [(1, None, 1)], [(1, [], 1), (2, [1.0] * 7, 1)]):
+        got = vc.compress_vectors(spark.createDataFrame(rows, SCHEMA))
+        assert got.count() == 0 and got.columns[0] == "vec_id"
+    rows = [(1, [1.0] * 8, 1), (2, [1.0] * 16, 1), (3, [1.0] * 9, 1)]
+    got = vc.compress_vectors(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r["vec_id"] for r in got] == [1]
+
+
+def test_whole_table(spark):
+    df = read_table(spark, "/root/testdata/sf0.001", "embeddings")
+    rows = [(r["vec_id"], r["embedding"], r["label"]) for r in df.collect()]
+    assert ordered(vc.compress_vectors(df).collect()) == ordered(brute(rows))
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 60), st.integers(1, 20), st.integers(1, 5),
+       st.sampled_from([2, 50, 4096, 1 << 26]))
+def test_laesa_equals_a_full_search(seed, n, e, p, size):
+    r = np.random.default_rng(seed)
+    x, book = r.integers(-size, size, (n, 4)), r.integers(-size, size, (e, 4))
+    book[e // 2] = book[0]
+    pivots = vc.choose_pivots(book, p)
+
+    def far(a):
+        return np.sqrt(vc.squared(a[:, None], pivots[None]).astype(float))
+
+    index, best, done = vc.nearest(x, far(x), book, far(book))
+    full = vc.squared(x[:, None], book[None])
+    assert (index == full.argmin(1)).all() and (best == full.min(1)).all()
+    assert done <= n * e
+
+
+def test_bounds_prune_most_of_clustered_parts():
+    r = np.random.default_rng(2)
+    book = r.integers(-10_000, 10_000, (16, 8))
+    x = book[r.integers(0, 16, 5000)] + r.integers(-300, 300, (5000, 8))
+    pivots = vc.choose_pivots(book, 4)
+
+    def far(a):
+        return np.sqrt(vc.squared(a[:, None], pivots[None]).astype(float))
+
+    assert vc.nearest(x, far(x), book, far(book))[2] < 5000 * 16 / 5

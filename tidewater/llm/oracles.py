@@ -288,10 +288,77 @@ SELECT doc_id, size, r.source_size, r.target, CAST(size * least(CASE WHEN large
 FROM rows_ r JOIN best USING (key)
 """
 
+
+
+def _op11(rounds: int = 6) -> str:
+    """One pair of steps a round: nearest entries, then the entries' new components."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT rid, part, min(CAST(d AS HUGEINT) * 32 + entry) AS k FROM (
+    SELECT rid, part, entry, sum((c - v) * (c - v)) AS d FROM cut JOIN b{r} USING (part, pos)
+    GROUP BY rid, part, entry) GROUP BY rid, part)""")
+        if r < rounds:
+            steps.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT part, entry, pos, coalesce(m, v) AS v FROM b{r} LEFT JOIN (
+    SELECT part, k % 32 AS entry, pos,
+           CAST((sum(c) - (sum(c) % count(*) + count(*)) % count(*)) // count(*) AS BIGINT) AS m
+    FROM cut JOIN a{r} USING (rid, part) GROUP BY ALL) USING (part, entry, pos))""")
+    return f"""
+WITH v AS (
+  SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id, embedding) AS rid
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+cut AS MATERIALIZED (
+  SELECT rid, (i - 1) // (w // 8) AS part, (i - 1) % (w // 8) AS pos,
+         CAST(floor(4096 * CAST(e[i] AS DOUBLE)) AS BIGINT) AS c
+  FROM (SELECT rid, embedding AS e, len(embedding) AS w,
+               unnest(range(1, len(embedding) + 1)) AS i FROM v)),
+b0 AS MATERIALIZED (
+  SELECT part, rid - 1 AS entry, pos, c AS v FROM cut WHERE rid <= 16),
+{", ".join(steps)},
+coded AS (
+  SELECT rid, string_agg(printf('%02x', CAST(k % 32 AS INTEGER)), '' ORDER BY part) AS code,
+         CAST(sum(k // 32) AS BIGINT) AS error FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos))
+        FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN coded USING (rid)
+"""
+
+
+OP13 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''),
+           '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         sha256('42:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+n AS (
+  SELECT doc_id, t, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS c1,
+         CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS c2,
+         CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+cut AS (
+  SELECT doc_id, t, n, array_to_string(u[1:least(c1, c2)], '') AS p,
+         array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+         array_to_string(u[greatest(c1, c2) + 1:], '') AS s,
+         CASE WHEN t = '' OR regexp_matches(t, '<[PSM]>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM n)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+              WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""
+
 ORACLES = {
     "op1_embedding_near_dedup": OP1,
     "op2_line_dedup": OP2,
     "op7_quality_rules": OP7,
     "op8_pii": OP8,
     "op10_source_mixing": OP10,
+    "op11_vector_codes": _op11(),
+    "op13_fill_in_middle": OP13,
 }

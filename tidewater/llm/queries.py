@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .embedding_dedup import near_duplicate_vectors
+from .fill_in_middle import fill_in_middle_summary
 from .html_extract import extract_main_text
 from .language_id import identify_languages
 from .line_dedup import dedup_lines
@@ -17,6 +18,7 @@ from .pii import pii_summary
 from .quality_model import score_quality
 from .quality_rules import quality_rules
 from .simhash import simhash_near_dedup
+from .vector_codes import compress_vectors
 
 
 def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +68,18 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_summary(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_line_dedup, op3_language_id, op4_best_fit_packing,
     op5_quality_classifier, op6_html_extraction, op7_quality_rules, op8_pii,
-    op9_simhash_near_dedup, op10_source_mixing,
+    op9_simhash_near_dedup, op10_source_mixing, op11_vector_codes, op13_fill_in_middle,
 )}
 
 __all__ = ["ORACLES", "QUERIES"]
