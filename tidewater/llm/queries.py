@@ -17,6 +17,7 @@ from .oracles import ORACLES
 from .pii import pii_summary
 from .quality_model import score_quality
 from .quality_rules import quality_rules
+from .secret_scan import secrets_summary
 from .simhash import simhash_near_dedup
 from .vector_codes import compress_vectors
 
@@ -72,6 +73,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_summary(read_table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle_summary(read_table(spark, sf_dir, "documents"))
 
@@ -79,7 +84,8 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_line_dedup, op3_language_id, op4_best_fit_packing,
     op5_quality_classifier, op6_html_extraction, op7_quality_rules, op8_pii,
-    op9_simhash_near_dedup, op10_source_mixing, op11_vector_codes, op13_fill_in_middle,
+    op9_simhash_near_dedup, op10_source_mixing, op11_vector_codes, op12_secret_scan,
+    op13_fill_in_middle,
 )}
 
 __all__ = ["ORACLES", "QUERIES"]
