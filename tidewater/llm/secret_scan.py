@@ -3,10 +3,10 @@
 Beside the spans of the fixed patterns, every long run of token characters with
 letters and digits in it is a candidate if a sensitive word (key, token,
 password, ...) stands close by. Its novelty is the number of compressed bytes
-that it adds to its surroundings, per byte of its own: zstandard, primed with a
-dictionary of the corpus' identifiers, compresses the code around it with and
-without it. Names, paths and phrases are found in dictionary or surroundings
-and add little; random strings cost what they are long.
+that it adds, per byte of its own: zstandard, primed with the corpus'
+identifiers and the text around the string, compresses it. Names, paths and
+phrases are found in dictionary or surroundings and add little; random strings
+cost what they are long.
 
 The dictionary holds the identifiers that occur most often in all texts, the
 most frequent last, where matches are cheapest. Identifiers are letters and
@@ -53,7 +53,8 @@ _WORD = "|".join(f"{w}|{w.upper()}" for w in _SENSITIVE)
 _INNER = "|".join(w.capitalize() for w in _SENSITIVE)
 SENSITIVE = re.compile(rf"(?<![A-Za-z])(?:{_WORD})s?(?![a-z])|(?:{_INNER})s?(?![a-z])")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.-]{16,}={0,2}")
-IDENTIFIER = re.compile(rb"[A-Za-z_]{4,}")
+#: Stands alone: a stretch of letters inside a random string is no identifier.
+IDENTIFIER = re.compile(rb"(?<![A-Za-z0-9+/=_-])[A-Za-z_]{4,}+(?![A-Za-z0-9+/=_-])")
 LONGEST_IDENTIFIER = 32
 #: Identifiers that a task counts before it hands on partial sums.
 HELD = 1 << 17
@@ -92,26 +93,31 @@ def dictionary(counts: DataFrame, words: int = 4096) -> list[str]:
 
 
 class Novelty:
-    """Marginal compressed size of a string within its surroundings."""
+    """Marginal compressed size of a string, with the identifiers and what surrounds
+    the string as zstandard's dictionary.
 
-    def __init__(self, words: list[str], level: int = 6, around: int = 256):
-        held = zstandard.ZstdCompressionDict(
-            " ".join(words).encode().rjust(8), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        held.precompute_compress(level)
-        self.z = zstandard.ZstdCompressor(level=level, dict_data=held, write_content_size=False,
-                                          write_checksum=False, write_dict_id=False)
-        self.around = around
+    The string follows a fixed stretch of bytes that no text holds, whose own cost is
+    taken off. These bytes keep zstandard from coding literals by frequency and from
+    storing the frame as it is, so a byte that matches nothing costs a byte, however
+    short the string.
+    """
 
-    def size(self, text: str) -> int:
-        return len(self.z.compress(text.encode("utf-8", "surrogatepass")))
+    STRETCH = bytes(range(128, 256)) * 2
+
+    def __init__(self, words: list[str], level: int = 12, around: int = 256):
+        self.known, self.level, self.around = " ".join(words), level, around
 
     def of(self, text: str, start: int, end: int) -> float:
         s = text[start:end]
         # another copy of the same string close by does not make it known
         before = text[max(0, start - self.around):start].replace(s, "")
         after = text[end:end + self.around].replace(s, "")
-        added = self.size(before + s + after) - self.size(before + after)
-        return max(0.0, added / len(s))
+        held = zstandard.ZstdCompressionDict(
+            f"{self.known} {after} {before}".encode("utf-8", "surrogatepass").rjust(8),
+            dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        z = zstandard.ZstdCompressor(level=self.level, dict_data=held, write_content_size=False,
+                                     write_checksum=False, write_dict_id=False)
+        return (len(z.compress(self.STRETCH + s.encode())) - len(z.compress(self.STRETCH))) / len(s)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -159,7 +165,7 @@ def scan(text: str | None, novelty: Novelty, least: float) -> list[dict]:
 
 
 def find_secrets(docs: DataFrame, text_col: str = "text", words: int = 4096,
-                 least: float = 0.6) -> DataFrame:
+                 least: float = 0.92) -> DataFrame:
     """``docs`` with ``secrets``: an array of ``kind, start, end, novelty``.
 
     By start, then kind (``assign``, ``access``, ``hex``, ``novel``); positions in
