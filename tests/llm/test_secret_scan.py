@@ -73,7 +73,8 @@ def plain_scan(text, words, least=0.92):
             continue
         if any(x < b and a < y for _, x, y in base):
             continue
-        before, after = text[max(0, a - 256):a].replace(s, ""), text[b:b + 256].replace(s, "")
+        assert s not in text[:a] + " " + text[b:]
+        before, after = text[max(0, a - 256):a], text[b:b + 256]
         known = f"{' '.join(words)} {after} {before}".encode().rjust(8)
         z = zstandard.ZstdCompressor(
             level=12, write_content_size=False, write_checksum=False, write_dict_id=False,
@@ -142,6 +143,17 @@ def test_columns_pass_and_empty_table(spark):
     assert ss.find_secrets(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_surroundings_leave_copies_out():
+    s = "abcdefgh12345678"
+    novelty = ss.Novelty(["word"], around=20)
+    for n in range(40):
+        text = (s + "-" * 3) * 4 + "." * n + s + "," * n + ("+" * 2 + s) * 4
+        start = len((s + "-" * 3) * 4) + n
+        before, after = novelty.surroundings(text, start, start + 16)
+        assert set(before) <= set("-.") and set(after) <= set(",+")
+        assert before.endswith("." * min(n, 20)) and after.startswith("," * min(n, 20))
+
+
 def test_very_long_text():
     novelty = ss.Novelty(["word"])
     text = "key " + "x1" * 500_000 + " " + ("auth " + RANDOM[2] + " ") * 2_000

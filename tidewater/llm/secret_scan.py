@@ -107,11 +107,21 @@ class Novelty:
     def __init__(self, words: list[str], level: int = 12, around: int = 256):
         self.known, self.level, self.around = " ".join(words), level, around
 
+    def surroundings(self, text: str, start: int, end: int) -> tuple[str, str]:
+        """The text on either side. Other copies of the string are left out, also
+        ones that the stretch cuts through: they do not make it known."""
+        s, n = text[start:end], end - start
+        first, last = max(0, start - self.around - n), end + self.around + n
+        before, after = text[first:start].split(s), text[end:last].split(s)
+        if first:
+            before[0] = before[0][n - 1:]
+        if last < len(text):
+            after[-1] = after[-1][:max(0, len(after[-1]) - n + 1)]
+        return "".join(before)[-self.around:], "".join(after)[:self.around]
+
     def of(self, text: str, start: int, end: int) -> float:
         s = text[start:end]
-        # another copy of the same string close by does not make it known
-        before = text[max(0, start - self.around):start].replace(s, "")
-        after = text[end:end + self.around].replace(s, "")
+        before, after = self.surroundings(text, start, end)
         held = zstandard.ZstdCompressionDict(
             f"{self.known} {after} {before}".encode("utf-8", "surrogatepass").rjust(8),
             dict_type=zstandard.DICT_TYPE_RAWCONTENT)
