@@ -386,6 +386,86 @@ def q_stream_orders(spark, sf_dir):
     return read_lake(spark, f"{root}/target")
 
 
+def _table_run(spark, sf_dir, table, root, mode, batch, **config):
+    """One whole table run into a path target; raises unless it succeeds."""
+    from tidewater.plans.ingest import ingest_table
+    spec = TableSpec(name=table, source=Source(kind="path", name=f"{sf_dir}/{table}.parquet"),
+                     hash_column=hash_key(table), lake_path=f"{root}/lake/{table}",
+                     target=Target(kind="path", name=f"{root}/target/{table}", versioned=True))
+    run = RunConfig(mode=mode, created_by=CREATED_BY, source_system=SOURCE_SYSTEM, batch_id=batch,
+                    run_ts=RUN_TS, as_of=AS_OF, bits=256, **config)
+    row = ingest_table(spark, spec, run)
+    if row["status"] != "success":
+        raise RuntimeError(f"ingest failed: {row}")
+    return spec, row
+
+
+CONTENT_TABLES = ["customer", "orders", "lineitem", "documents"]
+
+
+def q_content(spark, sf_dir):
+    """V3: runs verified by content. Then one row of each target is changed, counts
+    staying as they are, and the content is compared once more."""
+    from tidewater.operators.checks import content_matches
+    root, out = scratch_dir(spark, "v3_content"), []
+    for t in CONTENT_TABLES:
+        spec, row = _table_run(spark, sf_dir, t, root, "incremental", B1, verify="content")
+        lake, target = read_lake(spark, spec.lake_path), read_lake(spark, spec.target.name)
+        first = target.agg(F.min(hash_key(t))).first()[0]
+        changed = target.withColumn("CREATED_BY", F.when(F.col(hash_key(t)) == first, F.lit("X"))
+                                    .otherwise(F.col("CREATED_BY")))
+        out.append((t, row["status"], row["rows_in"], row["rows_loaded"],
+                    content_matches(lake, target), content_matches(lake, changed)))
+    return spark.createDataFrame(out, "table_name string, status string, rows_in long, "
+                                      "rows_loaded long, same boolean, same_after_change boolean")
+
+
+def q_publish(spark, sf_dir):
+    """K5: a staged load that is not published changes nothing for readers."""
+    from tidewater.sinks.lake import stage
+    root = scratch_dir(spark, "k5_publish")
+    spec, _ = _table_run(spark, sf_dir, "orders", root, "historical", B1)
+    half = _prepared(spark, sf_dir, "orders", B2).where(F.col("O_ORDERKEY") % 2 == 0)
+    for path in (spec.lake_path, spec.target.name):
+        stage(half, path, "historical")
+    return read_lake(spark, spec.target.name)
+
+
+def q_manifest(spark, sf_dir):
+    """K1: rows per batch in every version of a lake: two batches, one of them
+    again, then all replaced at once."""
+    from tidewater.sources.manifest import read_manifest
+    lake, out = scratch_dir(spark, "k1_manifest"), None
+    steps = [("incremental", B1, "orders"), ("incremental", B2, "orders"),
+             ("incremental", B2, "orders"), ("historical", B3, "orders")]
+    for mode, batch, table in steps:
+        write_lake(_prepared(spark, sf_dir, table, batch), lake, mode)
+        version = read_manifest(spark, lake).version
+        counted = (read_lake(spark, lake, version=version).groupBy(BATCH_ID)
+                   .agg(F.count(F.lit(1)).alias("rows"))
+                   .select(F.lit(version).alias("version"), BATCH_ID, "rows"))
+        # counted now: a later load may take the files of an old version away
+        got = spark.createDataFrame(counted.collect(), counted.schema)
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+def q_evolved_types(spark, sf_dir):
+    """K1/S5: between two batches a column was renamed and two grew wider."""
+    lake = scratch_dir(spark, "k1_types")
+    orders = _read(spark, sf_dir, "orders")
+    old = orders.select(F.col("o_orderkey").cast("int").alias("o_orderkey"),
+                        F.col("o_custkey").alias("o_customer"),
+                        F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"))
+    new = orders.select(F.col("o_orderkey") + F.lit(2**40), "o_custkey",
+                        F.col("o_totalprice").cast("decimal(14,2)").cast("decimal(16,4)"))
+    new = new.toDF("o_orderkey", "o_custkey", "o_totalprice")
+    for batch, df in ((B1, old), (B2, new)):
+        write_lake(normalize_columns(df).withColumn(BATCH_ID, F.lit(batch)), lake, "incremental",
+                   renames={"O_CUSTOMER": "O_CUSTKEY"})
+    return read_lake(spark, lake).withColumn("O_TOTALPRICE", F.col("O_TOTALPRICE").cast("string"))
+
+
 def _with_extra(df: DataFrame) -> DataFrame:
     return df.withColumn("o_extra", F.col("o_orderkey") + 1)
 
@@ -701,6 +781,27 @@ def o_changed_text_hash() -> str:
             + pick.format(c="'removed'", x="b", y="a"))
 
 
+def o_content() -> str:
+    return " UNION ALL ".join(
+        f"SELECT {_lit(t)} AS table_name, 'success' AS status, count(*) AS rows_in, "
+        f"count(*) AS rows_loaded, TRUE AS same, FALSE AS same_after_change FROM {t}"
+        for t in CONTENT_TABLES)
+
+
+def o_manifest() -> str:
+    n = "(SELECT count(*) FROM orders)"
+    rows = [(1, B1), (2, B1), (2, B2), (3, B1), (3, B2), (4, B3)]
+    return " UNION ALL ".join(f"SELECT {v} AS version, {_lit(b)} AS ETL_BATCH_ID, {n} AS rows"
+                              for v, b in rows)
+
+
+def o_evolved_types() -> str:
+    price = "CAST(CAST(CAST(o_totalprice AS DECIMAL(14,2)) AS DECIMAL(16,4)) AS VARCHAR)"
+    return (f"SELECT o_orderkey AS O_ORDERKEY, o_custkey AS O_CUSTKEY, {price} AS O_TOTALPRICE, "
+            f"{_lit(B1)} AS ETL_BATCH_ID FROM orders UNION ALL SELECT o_orderkey + {2**40}, "
+            f"o_custkey, {price}, {_lit(B2)} FROM orders")
+
+
 # --------------------------------------------------------------------------
 # Registry
 # --------------------------------------------------------------------------
@@ -725,6 +826,10 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
         "k1_append_roundtrip": (q_append_roundtrip, o_append_roundtrip()),
         "k1_overwrite_roundtrip": (q_overwrite_roundtrip, o_overwrite_roundtrip()),
         "k3_modes": (q_load_modes, o_load_modes()),
+        "v3_content": (q_content, o_content()),
+        "k5_publish": (q_publish, _prepare_sql("orders", B1, AS_OF, clean_ts=False)),
+        "k1_manifest": (q_manifest, o_manifest()),
+        "k1_evolved_types": (q_evolved_types, o_evolved_types()),
         "s3_count": (q_source_count, o_source_count()),
         "v3_reconcile": (q_reconcile, o_reconcile()),
         "a4_summary": (q_summary, o_summary()),

@@ -29,13 +29,13 @@ from tidewater.sources.jdbc import JdbcPartitioning
 
 _RUN_KEYS = {"mode", "created_by", "source_system", "batch_id", "run_ts", "as_of", "bits",
              "include_ntz", "null_safe", "count_source", "future", "min_year",
-             "max_in_flight", "time_zone"}
+             "max_in_flight", "time_zone", "verify", "canonical"}
 _SOURCE_KEYS = {"kind", "name", "format", "options", "is_query", "hint", "partitioning",
                 "partition_column", "partitions", "predicates"}
 _TARGET_KEYS = {"kind", "name", "format", "options", "default_database", "default_schema",
-                "partition_by", "truncate_options", "replace_batch"}
+                "partition_by", "truncate_options", "replace_batch", "versioned"}
 _TABLE_KEYS = {"name", "source", "hash_column", "lake_path", "target", "lake_format",
-               "lake_options", "exclude", "spread"}
+               "lake_options", "exclude", "spread", "renames"}
 
 
 def _known(d: Mapping, keys: set[str], where: str) -> None:
@@ -74,7 +74,8 @@ def _target(d: Mapping | None) -> Target | None:
                   default_schema=d.get("default_schema"),
                   partition_by=tuple(d.get("partition_by", ("ETL_BATCH_ID",))),
                   truncate_options=_options(d.get("truncate_options", {"truncate": "true"})),
-                  replace_batch=bool(d.get("replace_batch", False)))
+                  replace_batch=bool(d.get("replace_batch", False)),
+                  versioned=bool(d.get("versioned", False)))
 
 
 def specs_from_dict(doc: Mapping) -> tuple[list[TableSpec], RunConfig]:
@@ -88,7 +89,8 @@ def specs_from_dict(doc: Mapping) -> tuple[list[TableSpec], RunConfig]:
                        target=_target(t.get("target")),
                        lake_format=t.get("lake_format", "parquet"),
                        lake_options=_options(t.get("lake_options")),
-                       exclude=tuple(t.get("exclude", ())), spread=int(t.get("spread") or 0))
+                       exclude=tuple(t.get("exclude", ())), spread=int(t.get("spread") or 0),
+                       renames=dict(t.get("renames") or {}))
              for t in doc["tables"]]
     return specs, config
 

@@ -7,15 +7,18 @@ Per table (``ingest_table``):
    query); empty -> ``skipped``;
 2. ``prepare`` (one narrow projection);
 3. pre-load gate on the schema (V1) -> ``failed`` with reasons;
-4. land the batch in the lake once, counting in the same pass (K1, A2); an
-   empty incremental batch writes nothing, removes what an earlier run of the
-   same batch left, and is ``skipped``;
-5. count the landed batch (V2; a partition-pruned count);
+4. stage the batch in the lake once, counting in the same pass (K1, A2), and with
+   ``verify="content"`` summing its content; an empty incremental batch writes
+   nothing, removes what an earlier run of the same batch left, and is ``skipped``;
+5. audit the staged batch (V2: a partition-pruned count; V3: its content) and publish
+   it; if it disagrees it is discarded and readers keep the old rows;
 6. load the target *from the landed batch* (K5): the source is read once,
    the lineage is cut by the written files, and both copies carry the same
-   audit times;
-7. count the batch in the target (V3) and reconcile counts and column names:
-   any disagreement is ``failed``, not a log line.
+   audit times; path targets are staged, audited and published in the same way;
+7. reconcile counts, content and column names (V3): any disagreement is ``failed``,
+   not a log line. Catalog, database and connector targets are audited after the
+   load; content is compared where Spark reads the target with the same types (path
+   and catalog targets).
 
 A table without a hash column is landed and not loaded.
 
@@ -33,18 +36,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.constants import APPENDED_AUDIT, AUDIT_COLUMNS, HISTORICAL
+from tidewater.constants import APPENDED_AUDIT, AUDIT_COLUMNS, BATCH_ID, HISTORICAL
+from tidewater.functions.content import content_metrics, content_text
+from tidewater.functions.naming import qcol
 from tidewater.operators.audit import shadowed_columns
 from tidewater.operators.checks import gate_reasons, reconcile
 from tidewater.operators.rename import normalize_columns
 from tidewater.plans.prepare import prepare_with
 from tidewater.plans.session import check_zone
-from tidewater.sinks.lake import drop_batch, write_lake
+from tidewater.sinks.lake import (
+    discard, drop_batch, publish, read_staged, stage, versioned, write_lake,
+)
 from tidewater.sinks.modes import resolve_load
 from tidewater.sinks.table import (
-    count_target, drop_target_batch, target_columns, write_target,
+    can_stage, count_target, discard_target, drop_target_batch, publish_target,
+    read_staged_target, stage_target, target_columns, write_target,
 )
-from tidewater.sources.catalog import target_exists
+from tidewater.sources.catalog import table_name, target_exists
 from tidewater.sources.lake import read_lake
 
 REPORT_SCHEMA = T.StructType([
@@ -60,6 +68,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("ok", T.BooleanType()),
     T.StructField("load_action", T.StringType()),
     T.StructField("shadowed", T.StringType()),
+    T.StructField("content", T.StringType()),
     T.StructField("elapsed_s", T.DoubleType()),
 ])
 
@@ -115,24 +124,32 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
         if reasons:
             row.update(status="failed", reason="; ".join(reasons))
             return row
-        row["rows_in"] = write_lake(prepared, spec.lake_path, config.mode,
-                                    fmt=spec.lake_format, options=spec.lake_options)
+        row["rows_in"], landed, staged = _land(prepared, spec, config)
         if row["rows_in"] == 0:
             row.update(status="skipped", reason=_skip(spark, spec, config))
             return row
-        landed = read_lake(spark, spec.lake_path, spec.lake_format,
-                           batch_id=config.batch_id)
-        row["rows_landed"] = landed.count()
+        audit = _Audit(prepared.columns, config.verify == "content")
+        row["rows_landed"], content = audit.of(landed)
+        row["content"] = staged.content if staged else content
+        differs = audit.enabled and content != row["content"]
+        if staged is not None:
+            if differs or row["rows_landed"] != row["rows_in"]:
+                discard(spark, staged)  # readers keep the old rows
+                row.update(status="failed", ok=False, reason="landed rows differ from the source's"
+                           if differs else "row counts disagree")
+                return row
+            publish(spark, staged, config.mode)
         if spec.target is not None and spec.hash_column:
             action = resolve_load(config.mode, target_exists(spark, spec.target))
             row["load_action"] = _action_name(action)
-            write_target(landed, spec.target, action, batch_id=config.batch_id)
-            whole = config.mode == HISTORICAL
-            row["rows_loaded"] = count_target(
-                spark, spec.target, None if whole else config.batch_id)
+            row["rows_loaded"], content = _load(spark, landed, spec.target, action, config, audit,
+                                                (row["rows_landed"], row["content"]))
+            differs = differs or (content is not None and content != row["content"])
         lost = sorted(set(prepared.columns) - set(landed.columns))
         if spec.target is not None and spec.hash_column:
-            loaded = target_columns(spark, spec.target, config.batch_id)
+            # a load that failed its audit was not published: nothing to look at
+            loaded = (None if differs or row["rows_loaded"] != row["rows_landed"]
+                      else target_columns(spark, spec.target, config.batch_id))
             if loaded is not None:
                 lost += sorted({c.lower() for c in prepared.columns}
                                - {c.lower() for c in loaded})
@@ -143,6 +160,8 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
             row.update(status="failed", ok=False, reason="columns lost: " + ",".join(lost))
         elif ok is False:
             row.update(status="failed", reason="row counts disagree")
+        elif differs:
+            row.update(status="failed", ok=False, reason="loaded rows differ from the landed ones")
         else:
             row["status"] = "success"
     except Exception as exc:  # reported, never swallowed
@@ -152,6 +171,58 @@ def ingest_frame(spark: SparkSession, raw: DataFrame | None, spec, config) -> di
     return row
 
 
+class _Audit:
+    """Counts rows and, if enabled, sums the content of ``columns``."""
+
+    def __init__(self, columns: list[str], enabled: bool):
+        self.columns, self.enabled = columns, enabled
+
+    def of(self, df: DataFrame) -> tuple[int, str | None]:
+        if not self.enabled:
+            return df.count(), None
+        row = df.agg(F.count(F.lit(1)).alias("rows"),
+                     *content_metrics(df.schema, self.columns)).first()
+        return row["rows"], content_text(row)
+
+
+def _land(prepared: DataFrame, spec, config):
+    """Rows written, the frame that reads them back, and the staged load (None for
+    layouts that are written in place)."""
+    spark = prepared.sparkSession
+    if not versioned(spec.lake_format):
+        rows = write_lake(prepared, spec.lake_path, config.mode, fmt=spec.lake_format,
+                          options=spec.lake_options)
+        landed = read_lake(spark, spec.lake_path, spec.lake_format,
+                           batch_id=config.batch_id) if rows else None
+        return rows, landed, None
+    staged = stage(prepared, spec.lake_path, config.mode, spec.lake_format, spec.lake_options,
+                   config.verify == "content", spec.renames)
+    if not staged.rows:
+        discard(spark, staged)
+        return 0, None, None
+    return staged.rows, read_staged(spark, staged), staged
+
+
+def _load(spark: SparkSession, landed: DataFrame, target, action, config, audit: _Audit,
+          expected: tuple[int, str | None]) -> tuple[int, str | None]:
+    """Load the landed batch; rows found in the target, and their content where Spark
+    reads it back with the same types (None otherwise)."""
+    if can_stage(target):
+        staged = stage_target(landed, target, action)
+        found = audit.of(read_staged_target(spark, staged))
+        if found[0] == expected[0] and (found[1] is None or found[1] == expected[1]):
+            publish_target(spark, staged, action)
+        else:
+            discard_target(spark, staged)
+        return found
+    write_target(landed, target, action, batch_id=config.batch_id)
+    batch = None if config.mode == HISTORICAL else config.batch_id
+    if target.kind == "table" and audit.enabled:
+        df = spark.table(table_name(target))
+        return audit.of(df if batch is None else df.where(qcol(BATCH_ID) == F.lit(batch)))
+    return count_target(spark, target, batch), None
+
+
 _FRAME = re.compile(r"^\s*(?:at [\w.$/<>]+\(.*\)|\.\.\. \d+ (?:more|common frames omitted))\s*$")
 
 

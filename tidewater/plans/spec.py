@@ -87,6 +87,9 @@ class Target:
     # JDBC targets: delete the batch's rows before an incremental append, so a
     # re-run of the batch replaces it (file and catalog targets always do).
     replace_batch: bool = False
+    # Path targets: with a manifest, so that every load is published in one step and
+    # columns may be renamed and widened; read with ``read_lake``.
+    versioned: bool = False
 
 
 @dataclass(frozen=True)
@@ -106,6 +109,9 @@ class TableSpec:
     # same rows: if it changed in between, a retried task gets other slices.
     # 0: never. Prefer a partitioned read of the source.
     spread: int = 0
+    # Columns of the source that got another name: old name -> new name, as they are
+    # called after the rename step. The lake's column keeps its history.
+    renames: Mapping[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -126,8 +132,15 @@ class RunConfig:
     min_year: int = MIN_PLAUSIBLE_YEAR
     max_in_flight: int = 3  # tables loaded at a time
     time_zone: str = "UTC"  # the session must be in it, see check_zone
+    # V3: "counts" compares row counts; "content" also order-free checksums of all rows
+    # (one more reading of the landed batch and one of the loaded one).
+    verify: str = "counts"
+    # Hash maps by their sorted entries and zeros and NaNs in one form, see ``prepare``.
+    canonical: bool = False
 
     def __post_init__(self):
         object.__setattr__(self, "mode", validate_mode(self.mode))
         if self.future not in ("null", "keep"):
             raise ValueError("future must be 'null' or 'keep'")
+        if self.verify not in ("counts", "content"):
+            raise ValueError("verify must be 'counts' or 'content'")

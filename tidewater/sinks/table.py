@@ -2,7 +2,9 @@
 
 Target kinds (``tidewater.plans.spec.Target``):
 
-* ``path``      files at a path (parquet by default), partitioned by batch;
+* ``path``      files at a path (parquet by default), partitioned by batch; written to a
+  hidden directory first and published after the audit (``versioned`` targets have a
+  manifest like the lake and are read with ``read_lake``);
 * ``table``     a catalog table, partitioned by batch;
 * ``jdbc``      a database table through Spark's JDBC writer;
 * ``connector`` any other Spark connector taking ``dbtable``.
@@ -18,16 +20,25 @@ deleted first, which makes JDBC re-runs idempotent too).
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewater.constants import BATCH_ID
+from tidewater.constants import BATCH_ID, HISTORICAL, INCREMENTAL
 from tidewater.functions.naming import qcol
 from tidewater.sinks.modes import LoadAction
-from tidewater.sinks.lake import drop_batch, with_codec
+from tidewater.sinks.lake import (
+    Staged, discard, drop_batch, publish, read_staged, stage, versioned, with_codec,
+)
 from tidewater.sources.catalog import split_table_name, sql_text, table_name
-from tidewater.sources.lake import NAMED_FORMATS, merged_schema
+from tidewater.sources.files import delete_dir, list_names, move
+from tidewater.sources.lake import merged_schema
+
+
+#: Where loads of path targets wait for their audit.
+STAGE_DIR = "_tidewater_stage"
 
 
 def qualify(name: str, default_database: str | None, default_schema: str | None) -> str:
@@ -46,8 +57,10 @@ def write_target(df: DataFrame, target, action: LoadAction,
     into a catalog table replace its own partition on a re-run."""
     kind = target.kind
     if kind == "path":
-        if not action.creates and target.format in NAMED_FORMATS and target.partition_by:
-            check_types(df, target)
+        if can_stage(target):
+            spark = df.sparkSession
+            publish_target(spark, stage_target(df, target, action), action)
+            return
         w = (df.write.format(target.format)
              .options(**with_codec(target.format, target.options)).mode("overwrite"))
         if target.partition_by:
@@ -130,18 +143,104 @@ def check_types(df: DataFrame, target) -> None:
 
 def _overwrite_table(df: DataFrame, table: str) -> None:
     """Replace all rows in one statement, whatever the session's overwrite mode:
-    if it fails the old rows are still there, and external tables work too."""
+    if it fails the old rows are still there, and external tables work too.
+
+    The mode is a session setting, so the statement runs in a session of its own
+    with the settings of this one: loads on other threads never see it change.
+    """
     spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "static")
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if own.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    own.catalog.setCurrentCatalog(spark.catalog.currentCatalog())
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    view = f"tidewater_replace_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
     try:
-        df.write.insertInto(table, overwrite=True)
+        (own.table(f"{spark.conf.get('spark.sql.globalTempDatabase', 'global_temp')}.{view}")
+         .write.insertInto(table, overwrite=True))
     finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
+        spark.catalog.dropGlobalTempView(view)
+        spark.catalog.refreshTable(table)
+
+
+@dataclass(frozen=True)
+class StagedTarget:
+    """A load that is written beside a path target but not yet visible there."""
+
+    target: object
+    dir: str
+    schema: T.StructType
+    lake: Staged | None = None
+
+
+def can_stage(target) -> bool:
+    """Path targets with one directory per batch are written, audited, published."""
+    return target.kind == "path" and versioned(target.format, tuple(target.partition_by or ()))
+
+
+def stage_target(df: DataFrame, target, action: LoadAction) -> StagedTarget:
+    """Write a load to a hidden directory of the target."""
+    if target.versioned:
+        held = stage(df, target.name, HISTORICAL if action.replace else INCREMENTAL,
+                     target.format, target.options)
+        return StagedTarget(target, "", df.schema, held)
+    if not action.creates:
+        check_types(df, target)
+    place = f"{target.name.rstrip('/')}/{STAGE_DIR}/{uuid.uuid4().hex}"
+    (df.write.format(target.format).options(**with_codec(target.format, target.options))
+     .partitionBy(*_partition_by(target)).save(place))
+    return StagedTarget(target, place, df.schema)
+
+
+def read_staged_target(spark: SparkSession, staged: StagedTarget) -> DataFrame:
+    if staged.lake is not None:
+        return read_staged(spark, staged.lake)
+    return spark.read.format(staged.target.format).schema(staged.schema).load(staged.dir)
+
+
+def publish_target(spark: SparkSession, staged: StagedTarget, action: LoadAction) -> None:
+    """Make a staged load visible.
+
+    A versioned target changes in one step. A plain one changes by renaming
+    directories: a new batch is one rename; where old directories are in the way
+    they are renamed away first, and back again if something fails. That takes
+    milliseconds on a file system; on an object store, where renaming copies, use
+    a versioned target.
+    """
+    if staged.lake is not None:
+        publish(spark, staged.lake, HISTORICAL if action.replace else INCREMENTAL)
+        return
+    root = staged.target.name.rstrip("/")
+    new = [n for n in list_names(spark, staged.dir) or [] if n.startswith(f"{BATCH_ID}=")]
+    have = list_names(spark, root) or []
+    away = [n for n in have if (not n.startswith(("_", ".")) if action.replace else n in new)]
+    kept = f"{staged.dir}.old"
+    done: list[tuple[str, str]] = []
+    try:
+        for n in away:
+            move(spark, f"{root}/{n}", f"{kept}/{n}")
+            done.append((f"{kept}/{n}", f"{root}/{n}"))
+        for n in new:
+            move(spark, f"{staged.dir}/{n}", f"{root}/{n}")
+            done.append((f"{root}/{n}", f"{staged.dir}/{n}"))
+    except Exception:
+        for now, before in reversed(done):
+            move(spark, now, before)
+        raise
+    if "_SUCCESS" not in have:
+        move(spark, f"{staged.dir}/_SUCCESS", f"{root}/_SUCCESS")
+    delete_dir(spark, kept)
+    delete_dir(spark, staged.dir)
+
+
+def discard_target(spark: SparkSession, staged: StagedTarget) -> None:
+    if staged.lake is not None:
+        discard(spark, staged.lake)
+    else:
+        delete_dir(spark, staged.dir)
 
 
 def drop_target_batch(spark: SparkSession, target, batch_id: str) -> bool:
@@ -216,7 +315,10 @@ def count_target(spark: SparkSession, target, batch_id: str | None = None,
             from tidewater.sources.lake import read_lake
             return read_lake(spark, target.name, target.format, batch_id=batch_id,
                              batch_column=batch_column).count()
-        if target.kind == "path":
+        if target.kind == "path" and target.versioned:
+            from tidewater.sources.lake import read_lake
+            df = read_lake(spark, target.name, target.format)
+        elif target.kind == "path":
             df = spark.read.format(target.format).load(target.name)
         else:
             df = spark.table(table_name(target))

@@ -46,7 +46,8 @@ def condition_of(exc: AnalysisException) -> str | None:
 
 def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     """A table exists at ``path`` when a Spark job committed there (its
-    ``_SUCCESS`` marker: one file looked up, nothing listed) or, for data
+    ``_SUCCESS`` marker: one file looked up, nothing listed), when it has a
+    manifest with a live batch, or, for data
     written by other tools, when a schema can be read from its files (this
     lists the whole directory). A directory that holds something no schema can
     be read from is not "missing": it raises, since a create would wipe it."""
@@ -56,6 +57,10 @@ def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     except AnalysisException as exc:
         if condition_of(exc) != "PATH_NOT_FOUND":
             raise
+    from tidewater.sources.manifest import read_manifest
+    found = read_manifest(spark, path)
+    if found is not None:
+        return bool(found.batches)
     try:
         spark.read.format(fmt).load(path).schema
         return True
@@ -64,7 +69,8 @@ def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
             return False
         if condition_of(exc) != "UNABLE_TO_INFER_SCHEMA":
             raise
-    held = list_names(spark, path)
+    # a load that failed its audit leaves nothing but folders of our own
+    held = [n for n in list_names(spark, path) or [] if not n.startswith("_tidewater_")]
     if held:
         raise ValueError(f"{path} holds no readable {fmt} table but is not empty: "
                          + ", ".join(held[:5]))

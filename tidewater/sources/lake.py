@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tidewater.constants import BATCH_ID
 from tidewater.functions.naming import qcol
 from tidewater.sources.catalog import condition_of
+from tidewater.sources.manifest import Manifest, read_batches, read_manifest
 
 _PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
 #: Beside the data (readers skip names with an underscore): the union of the
@@ -24,7 +25,11 @@ NAMED_FORMATS = frozenset({"parquet", "orc", "json", "avro"})
 
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The schema kept beside the lake; None for a table landed by other tools."""
+    """The lake's schema, from its manifest or kept beside it; None for a table
+    landed by other tools."""
+    found = read_manifest(spark, path)
+    if found is not None:
+        return T.StructType([T.StructField(f.name, f.dataType, True) for f in found.table.fields])
     try:
         rows = spark.read.text(f"{path.rstrip('/')}/{SCHEMA_DIR}", wholetext=True).collect()
     except AnalysisException as exc:
@@ -50,9 +55,15 @@ def merged_schema(old: T.StructType | None, new: T.StructType) -> T.StructType:
 
 def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
               batch_id: str | None = None, options: Mapping[str, str] | None = None,
-              batch_column: str = BATCH_ID, merge_schema: bool = False) -> DataFrame:
+              batch_column: str = BATCH_ID, merge_schema: bool = False,
+              version: int | None = None) -> DataFrame:
     """Read the landed table, or one batch of it, with all columns of all batches.
 
+    A lake with a manifest is read as its newest version says (or the given
+    ``version``): exactly the live batch directories, each with the schema it was
+    written with, see ``tidewater.sources.manifest``. A batch it does not name
+    raises. Otherwise, for plain batch directories:
+
     The schema kept beside the lake says which columns there are; a batch
     landed before a column was added has NULL there, and no footer is read to
     find out. It also types the batch column as a string, so the file index is
@@ -65,6 +76,11 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
     value has to be parsed.
     """
     opts = dict(options or {})
+    found = read_manifest(spark, path, version)
+    if found is not None:
+        return read_version(spark, path, fmt, found, batch_id, opts)
+    if version is not None:
+        raise ValueError(f"{path} has no version {version}")
     if fmt == "parquet" and merge_schema:
         opts.setdefault("mergeSchema", "true")
     root = path.rstrip("/")
@@ -89,3 +105,15 @@ def read_lake(spark: SparkSession, path: str, fmt: str = "parquet",
     if batch_id is not None:
         found = found.where(qcol(batch_column) == F.lit(batch_id))
     return found
+
+
+def read_version(spark: SparkSession, path: str, fmt: str, found: Manifest,
+                 batch_id: str | None = None,
+                 options: Mapping[str, str] | None = None) -> DataFrame:
+    """The lake, or one batch, as one version of its manifest has it."""
+    batches = found.batches
+    if batch_id is not None:
+        if batch_id not in batches:
+            raise ValueError(f"{path} has no batch {batch_id!r}")
+        batches = {batch_id: batches[batch_id]}
+    return read_batches(spark, path, fmt, found, batches, options or {})
