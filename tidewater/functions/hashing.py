@@ -51,7 +51,8 @@ def hash_key(column: Column) -> Column:
     """A row hash as the bytes it stands for: half the size of its hex text to
     group, exchange and compare. Other text keeps its own bytes; a leading byte
     keeps the two apart, and NULL is empty."""
-    is_hex = column.rlike("^(?:[0-9a-f]{2})+$")
+    # written back, the bytes give the same text: lower-case hex and nothing else
+    is_hex = (F.length(column) > 0) & (F.lower(F.hex(F.unhex(column))) == column)
     return F.coalesce(F.when(is_hex, F.concat(F.lit(b"\x01"), F.unhex(column)))
                       .otherwise(F.concat(F.lit(b"\x00"), F.encode(column, "UTF-8"))),
                       F.lit(b""))

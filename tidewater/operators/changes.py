@@ -18,13 +18,16 @@ Without keys every difference is ``new`` or ``removed``.
 Plan: the first pass sees only keys, hash and side. Both sides are unioned and
 aggregated per (key, hash) with map-side partial aggregation, so duplicated
 rows or hot keys collapse before the shuffle and no pairs are ever formed; most
-rows end there. Key presence is looked up for the keys of the differences only,
-and the payload is fetched for the differing rows only, by joins on (key, hash)
-whose one side has one row per pair: adaptive execution broadcasts it when its
-measured size is small and splits skewed partitions otherwise.
+rows end there. Key presence is looked up for the keys of the differences only, in
+a scan of the key columns alone, and the payload of both sides is fetched in one
+join on (key, hash, side) whose one side has one row per pair: adaptive execution
+broadcasts it when its measured size is small and splits skewed partitions
+otherwise. Keys and hash travel as one struct: it is never NULL itself and NULLs in
+it are equal, so the join is a plain equi-join whose partitioning later steps share.
 
 Several rows of one side may share key and hash (columns kept out of the hash);
-the smallest one in column order is returned.
+the smallest one in column order is returned. The first pass counts them, so only
+rows that are repeated are aggregated; all others are passed on as they are.
 """
 
 from __future__ import annotations
@@ -35,20 +38,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.constants import AUDIT_COLUMNS, BATCH_ID
-from tidewater.functions.hashing import hash_key
 from tidewater.functions.naming import qcol
 
 CHANGE = "change"
 
 
-def _sided(df: DataFrame, keys: list[str], hash_column: str, side: int) -> DataFrame:
-    return df.select(*[qcol(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                     hash_key(qcol(hash_column)).alias("_h"), F.lit(side).alias("_side"))
+def _at(keys: list[str], hash_column: str):
+    """Business key and row hash as one never-NULL value."""
+    return F.struct(*[qcol(k).alias(f"k{i}") for i, k in enumerate(keys)],
+                    qcol(hash_column).alias("h")).alias("_at")
 
 
-def _smallest(columns: list[str], df: DataFrame):
+def _smallest(columns: list[str], df: DataFrame, row_column: str):
     """The smallest row in column order; maps have no order, so by its JSON then."""
-    row = F.struct(*[qcol(c) for c in columns])
+    row = F.col(row_column)
     if any("map<" in df.schema[c].dataType.simpleString() for c in columns):
         return F.min_by(row, F.to_json(row))
     return F.min(row)
@@ -61,41 +64,39 @@ def detect_changes(prev: DataFrame, cur: DataFrame, hash_column: str,
     comes from ``cur`` for new/changed rows and from ``prev`` for
     removed/replaced rows; a column the side lacks is NULL."""
     keys = list(key_columns)
-    names = [f"_k{i}" for i in range(len(keys))]
-    at = [*names, "_h"]
     types = {f.name: f.dataType for df in (prev, cur) for f in df.schema.fields}
     columns = [*cur.columns, *[c for c in prev.columns if c not in cur.columns]]
-    slim = _sided(prev, keys, hash_column, 0).unionByName(_sided(cur, keys, hash_column, 1))
-    diff = (slim.groupBy(*at).agg(F.max("_side").alias("_last"), F.min("_side").alias("_first"))
-            .where("_first = _last").select(*at, F.col("_last").alias("_in")))
+    slim = None
+    for side, df in ((0, prev), (1, cur)):
+        part = df.select(_at(keys, hash_column), F.lit(side).alias("_side"))
+        slim = part if slim is None else slim.unionByName(part)
+    diff = (slim.groupBy("_at").agg(F.max("_side").alias("_last"), F.min("_side").alias("_first"),
+                                    F.count(F.lit(1)).alias("_n"))
+            .where("_first = _last").select("_at", F.col("_last").alias("_in"), "_n"))
+    both = F.lit(False)
     if keys:
         # which sides have the key, for the keys of the differences only
-        wanted = diff.select(*[F.col(n).alias(f"w{n}") for n in names]).distinct()
-        presence = (slim.select(*names, "_side")
-                    .join(wanted, [F.col(n).eqNullSafe(F.col(f"w{n}")) for n in names], "left_semi")
-                    .groupBy(*names).agg(F.min("_side").alias("_low"), F.max("_side").alias("_high"))
-                    .select(*[F.col(n).alias(f"p{n}") for n in names], "_low", "_high"))
-        diff = diff.join(presence, [F.col(n).eqNullSafe(F.col(f"p{n}")) for n in names])
-        both = F.col("_low") != F.col("_high")
-    else:
-        both = F.lit(False)
+        key = F.struct(*[F.col("_at")[f"k{i}"].alias(f"k{i}") for i in range(len(keys))])
+        wanted = diff.select(key.alias("_key")).distinct()
+        presence = (slim.select(key.alias("_key"), "_side").join(wanted, "_key", "left_semi")
+                    .groupBy("_key").agg((F.min("_side") != F.max("_side")).alias("_both")))
+        diff = diff.withColumn("_key", key).join(presence, "_key")
+        both = F.col("_both")
     change = (F.when((F.col("_in") == 1) & both, "changed").when(F.col("_in") == 1, "new")
               .when(both, "replaced").otherwise("removed"))
-    diff = diff.select(*[F.col(c).alias(f"d{c}") for c in at], "_in", change.alias(CHANGE))
-    out = None
+    diff = diff.select("_at", "_in", "_n", change.alias(CHANGE))
+    full = None
     for side, df in ((1, cur), (0, prev)):
-        full = df.select(*[qcol(c) if c in df.columns
-                           else F.lit(None).cast(types[c]).alias(c) for c in columns])
-        here = full.select(*[qcol(k).alias(n) for k, n in zip(keys, names, strict=True)],
-                           hash_key(qcol(hash_column)).alias("_h"),
-                           F.struct(*[qcol(c) for c in columns]).alias("_row"))
-        rows = (here.join(diff.where(F.col("_in") == side),
-                          [F.col(c).eqNullSafe(F.col(f"d{c}")) for c in at])
-                .select(*at, CHANGE, "_row.*"))
-        picked = rows.groupBy(*at, CHANGE).agg(_smallest(columns, rows).alias("_row"))
-        picked = picked.select("_row.*", CHANGE)
-        out = picked if out is None else out.unionByName(picked)
-    return out
+        part = df.select(_at(keys, hash_column), F.lit(side).alias("_in"), F.struct(*[
+            qcol(c) if c in df.columns else F.lit(None).cast(types[c]).alias(c)
+            for c in columns]).alias("_row"))
+        full = part if full is None else full.unionByName(part)
+    found = full.join(diff, ["_at", "_in"])
+    single = found.where("_n = 1").select("_row.*", CHANGE)
+    repeated = found.where("_n > 1")
+    smallest = _smallest(columns, repeated.select("_row.*"), "_row")
+    repeated = repeated.groupBy("_at", "_in", CHANGE).agg(smallest.alias("_row"))
+    return single.unionByName(repeated.select("_row.*", CHANGE))
 
 
 def changes_between_batches(lake: DataFrame | str, prev_batch: str, cur_batch: str,
