@@ -466,6 +466,56 @@ def q_evolved_types(spark, sf_dir):
     return read_lake(spark, lake).withColumn("O_TOTALPRICE", F.col("O_TOTALPRICE").cast("string"))
 
 
+def q_hash_nested(spark, sf_dir):
+    """P6: a map built in either order hashes alike with ``canonical``."""
+    o = _read(spark, sf_dir, "orders")
+    status = [F.lit("status"), F.col("o_orderstatus")]
+    priority = [F.lit("priority"), F.col("o_orderpriority")]
+    tags = F.when(F.col("o_orderkey") % 2 == 0, F.create_map(*status, *priority)).otherwise(
+        F.create_map(*priority, *status))
+    hashed = add_row_hash(normalize_columns(o.select("o_orderkey", tags.alias("tags"))),
+                          hash_key("orders"), bits=256, canonical=True)
+    return hashed.select(hash_key("orders"), "O_ORDERKEY")
+
+
+SPLITS = [("lineitem", "l_orderkey"), ("lineitem", "l_shipdate"), ("orders", "o_totalprice"),
+          ("events", "user_id")]
+
+
+def q_equal_depth(spark, sf_dir):
+    """S1: equal-depth slices of skewed and even columns: every row lies in exactly
+    one slice, and none has more than a quarter above its share."""
+    from tidewater.sources import equal_depth_predicates
+    out = []
+    for table, column in SPLITS:
+        df = _read(spark, sf_dir, table)
+        clauses = equal_depth_predicates(df, column, 8)
+        inside = df.select(*[F.coalesce(F.expr(c), F.lit(False)).cast("long").alias(f"s{i}")
+                             for i, c in enumerate(clauses)])
+        row = inside.agg(*[F.sum(c).alias(c) for c in inside.columns]).first()
+        out.append((table, column, sum(row), max(row) * 8 <= 1.25 * sum(row)))
+    return spark.createDataFrame(out, "table_name string, split_column string, rows long, "
+                                      "even boolean")
+
+
+def q_resumed(spark, sf_dir):
+    """O2: a run over two tables, then a run of the same batch over five: the ledger
+    says which are loaded already."""
+    import dataclasses
+    root = scratch_dir(spark, "o2_resume")
+    specs = [TableSpec(name=t, source=Source(kind="path", name=f"{sf_dir}/{t}.parquet"),
+                       hash_column=hash_key(t), lake_path=f"{root}/lake/{t}",
+                       target=Target(kind="path", name=f"{root}/target/{t}"))
+             for t in INGEST_TABLES]
+    config = RunConfig(mode="incremental", created_by=CREATED_BY, source_system=SOURCE_SYSTEM,
+                       batch_id=B1, run_ts=RUN_TS, as_of=AS_OF, bits=256, ledger=f"{root}/ledger")
+    ingest_all(spark, specs[:2], config)
+    again = [dataclasses.replace(s, source=Source(kind="path", name=f"{sf_dir}/gone.parquet"))
+             for s in specs[:2]]  # what is loaded is not read again
+    return ingest_all(spark, [*again, *specs[2:]], config).select(
+        "table_name", "status", "reason", "rows_in", "rows_loaded")
+
+
 def _with_extra(df: DataFrame) -> DataFrame:
     return df.withColumn("o_extra", F.col("o_orderkey") + 1)
 
@@ -802,6 +852,26 @@ def o_evolved_types() -> str:
             f"o_custkey, {price}, {_lit(B2)} FROM orders")
 
 
+def o_hash_nested() -> str:
+    tags = ("'[{priority, ' || o_orderpriority || '}, {status, ' || o_orderstatus || '}]'")
+    return (f"SELECT sha256(CAST(o_orderkey AS VARCHAR) || '||' || {tags}) AS {hash_key('orders')}, "
+            "o_orderkey AS O_ORDERKEY FROM orders")
+
+
+def o_equal_depth() -> str:
+    return " UNION ALL ".join(
+        f"SELECT {_lit(t)} AS table_name, {_lit(c)} AS split_column, count(*) AS rows, "
+        f"TRUE AS even FROM {t}" for t, c in SPLITS)
+
+
+def o_resumed() -> str:
+    return " UNION ALL ".join(
+        f"SELECT {_lit(t)} AS table_name, 'success' AS status, "
+        f"{_lit('loaded by an earlier run') if i < 2 else 'NULL'} AS reason, "
+        f"count(*) AS rows_in, count(*) AS rows_loaded FROM {t}"
+        for i, t in enumerate(INGEST_TABLES))
+
+
 # --------------------------------------------------------------------------
 # Registry
 # --------------------------------------------------------------------------
@@ -830,6 +900,9 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
         "k5_publish": (q_publish, _prepare_sql("orders", B1, AS_OF, clean_ts=False)),
         "k1_manifest": (q_manifest, o_manifest()),
         "k1_evolved_types": (q_evolved_types, o_evolved_types()),
+        "p6_nested_orders": (q_hash_nested, o_hash_nested()),
+        "s1_equal_depth": (q_equal_depth, o_equal_depth()),
+        "o2_resumed": (q_resumed, o_resumed()),
         "s3_count": (q_source_count, o_source_count()),
         "v3_reconcile": (q_reconcile, o_reconcile()),
         "a4_summary": (q_summary, o_summary()),

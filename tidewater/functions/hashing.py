@@ -7,12 +7,14 @@ Everything is a JVM expression, so it stays inside whole-stage codegen.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.constants import AUDIT_COLUMNS, HASH_DELIMITER, DEFAULT_HASH_BITS
+from tidewater.functions.content import canonical
 from tidewater.functions.naming import qcol
 
 SHA2_BITS = (224, 256, 384, 512)
@@ -26,24 +28,29 @@ def hash_input_columns(columns: Iterable[str], hash_column: str,
 
 
 def row_hash_expr(columns: list[str], bits: int = DEFAULT_HASH_BITS,
-                  null_safe: bool = False) -> Column:
+                  null_safe: bool = False,
+                  kinds: Mapping[str, T.DataType] | None = None) -> Column:
     """SHA-2 of the business columns, in the given order.
 
     ``null_safe=False`` keeps the load contract byte for byte (NULL and ``''``
     hash alike, and so do delimiter shifts between neighbours).
     ``null_safe=True`` hashes a JSON object of the columns instead, which
-    keeps NULL, ``''`` and delimiter text apart.
+    keeps NULL, ``''`` and delimiter text apart. With ``kinds`` (the columns' types)
+    nested values are put into their canonical form first: the text of a map depends
+    on the order it was built in, that of its sorted entries does not. Flat columns
+    keep their bytes, but for ``-0.0``, which is written ``0.0``.
     """
     if bits not in SHA2_BITS:
         raise ValueError(f"bits must be one of {SHA2_BITS}, got {bits}")
     if not columns:
         return F.sha2(F.lit(""), bits)
+    texts = {c: (canonical(qcol(c), kinds[c]) if kinds else qcol(c)).cast("string")
+             for c in columns}
     if null_safe:
-        text = F.to_json(F.struct(*[qcol(c).cast("string").alias(c) for c in columns]),
+        text = F.to_json(F.struct(*[t.alias(c) for c, t in texts.items()]),
                          {"ignoreNullFields": "false"})
     else:
-        text = F.concat_ws(HASH_DELIMITER,
-                           *[F.coalesce(qcol(c).cast("string"), F.lit("")) for c in columns])
+        text = F.concat_ws(HASH_DELIMITER, *[F.coalesce(t, F.lit("")) for t in texts.values()])
     return F.sha2(text, bits)
 
 

@@ -29,9 +29,9 @@ from tidewater.sources.jdbc import JdbcPartitioning
 
 _RUN_KEYS = {"mode", "created_by", "source_system", "batch_id", "run_ts", "as_of", "bits",
              "include_ntz", "null_safe", "count_source", "future", "min_year",
-             "max_in_flight", "time_zone", "verify", "canonical"}
+             "max_in_flight", "time_zone", "verify", "canonical", "ledger"}
 _SOURCE_KEYS = {"kind", "name", "format", "options", "is_query", "hint", "partitioning",
-                "partition_column", "partitions", "predicates"}
+                "partition_column", "partitions", "predicates", "split", "split_sample"}
 _TARGET_KEYS = {"kind", "name", "format", "options", "default_database", "default_schema",
                 "partition_by", "truncate_options", "replace_batch", "versioned"}
 _TABLE_KEYS = {"name", "source", "hash_column", "lake_path", "target", "lake_format",
@@ -60,7 +60,8 @@ def _source(d: Mapping) -> Source:
                   hint=d.get("hint"),
                   partitioning=JdbcPartitioning(**part) if part else None,
                   partition_column=d.get("partition_column"),
-                  partitions=int(d.get("partitions", 0)),
+                  partitions=int(d.get("partitions", 0)), split=d.get("split", "even"),
+                  split_sample=d.get("split_sample"),
                   predicates=tuple(d.get("predicates", ())))
 
 

@@ -42,6 +42,7 @@ from tidewater.functions.naming import qcol
 from tidewater.operators.audit import shadowed_columns
 from tidewater.operators.checks import gate_reasons, reconcile
 from tidewater.operators.rename import normalize_columns
+from tidewater.plans.ledger import finished, record
 from tidewater.plans.prepare import prepare_with
 from tidewater.plans.session import check_zone
 from tidewater.sinks.lake import (
@@ -254,10 +255,19 @@ def ingest_all(spark: SparkSession, specs: Iterable, config,
     """Every table, ``config.max_in_flight`` at a time: driver threads that only
     submit Spark jobs, so small tables share the cluster. A failure in one table
     never stops the others. The report is one row per table, in the order of
-    ``specs``; with ``raise_on_failure`` any failure raises afterwards."""
+    ``specs``; with ``raise_on_failure`` any failure raises afterwards. With a
+    ``config.ledger``, tables that an earlier run of the batch finished are skipped."""
     specs = list(specs)
+
+    def run(spec) -> dict:
+        row = finished(spark, spec, config)
+        if row is None:
+            row = ingest_table(spark, spec, config)
+            record(spark, spec, config, row)
+        return row
+
     with ThreadPoolExecutor(max(1, config.max_in_flight)) as pool:
-        rows = list(pool.map(lambda spec: ingest_table(spark, spec, config), specs))
+        rows = list(pool.map(run, specs))
     report = report_frame(spark, rows)
     failed = [r["table_name"] for r in rows if r["status"] == "failed"]
     if raise_on_failure and failed:

@@ -27,9 +27,10 @@ def prepare(df: DataFrame, hash_column: str | None, batch_id: str | None,
             as_of: TimeLike = None, bits: int = DEFAULT_HASH_BITS,
             include_ntz: bool = False, null_safe: bool = False,
             exclude: Iterable[str] = (), min_year: int = MIN_PLAUSIBLE_YEAR,
-            future: str = "null") -> DataFrame:
+            future: str = "null", canonical: bool = False) -> DataFrame:
     out = normalize_columns(df)
-    out = add_row_hash(out, hash_column, exclude=exclude, bits=bits, null_safe=null_safe)
+    out = add_row_hash(out, hash_column, exclude=exclude, bits=bits, null_safe=null_safe,
+                       canonical=canonical)
     out = add_audit_columns(out, batch_id, created_by, source_system, run_ts)
     return sanitize_timestamps(out, as_of=as_of, min_year=min_year,
                                include_ntz=include_ntz, future=future)
@@ -41,4 +42,4 @@ def prepare_with(df: DataFrame, spec, config) -> DataFrame:
                    config.source_system, run_ts=config.run_ts, as_of=config.as_of,
                    bits=config.bits, include_ntz=config.include_ntz,
                    null_safe=config.null_safe, exclude=spec.exclude,
-                   min_year=config.min_year, future=config.future)
+                   min_year=config.min_year, future=config.future, canonical=config.canonical)

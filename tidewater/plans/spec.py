@@ -29,6 +29,10 @@ class Source:
     # or timestamp column, between its real bounds (one extra query).
     partition_column: str | None = None
     partitions: int = 0
+    # "even": slices of equal width; "depth": of about equally many rows, cut at the
+    # quantiles of the column (``split_sample``: dialect text that samples the table).
+    split: str = "even"
+    split_sample: str | None = None
     predicates: tuple[str, ...] = ()  # JDBC: one task per WHERE clause
 
     def __post_init__(self):
@@ -36,6 +40,8 @@ class Source:
             raise ValueError("give one of partitioning, partition_column and predicates")
         if self.partition_column and self.partitions < 1:
             raise ValueError("partition_column needs partitions")
+        if self.split not in ("even", "depth"):
+            raise ValueError("split must be 'even' or 'depth'")
 
     def load(self, spark: SparkSession) -> DataFrame:
         if self.kind == "path":
@@ -44,18 +50,23 @@ class Source:
             return spark.table(self.name)
         if self.kind == "jdbc":
             from tidewater.sources.jdbc import (
-                full_table_query, partitioning_for, read_jdbc, subquery,
+                full_table_query, partitioning_for, predicates_for, read_jdbc, subquery,
             )
             opts = {k: v for k, v in self.options.items() if k != "url"}
             q = self.name if self.is_query else full_table_query(self.name, self.hint)
-            part = self.partitioning
-            if part is None and self.partition_column:
+            part, predicates = self.partitioning, self.predicates or None
+            if self.partition_column and self.split == "depth":
+                table = subquery(self.name) if self.is_query else self.name
+                predicates = predicates_for(
+                    spark, self.options["url"], table, self.partition_column, self.partitions,
+                    opts, None if self.is_query else self.hint, self.split_sample)
+            elif part is None and self.partition_column:
                 table = subquery(self.name) if self.is_query else self.name
                 part = partitioning_for(spark, self.options["url"], table, self.partition_column,
                                         self.partitions, opts,
                                         None if self.is_query else self.hint)
             return read_jdbc(spark, self.options["url"], query=q, options=opts,
-                             partitioning=part, predicates=self.predicates or None)
+                             partitioning=part, predicates=predicates)
         if self.kind == "query":
             from tidewater.sources.connector import read_query
             return read_query(spark, self.format, self.options, self.name)
@@ -137,6 +148,9 @@ class RunConfig:
     verify: str = "counts"
     # Hash maps by their sorted entries and zeros and NaNs in one form, see ``prepare``.
     canonical: bool = False
+    # O2: a folder that remembers which tables of which batch are loaded and
+    # reconciled; a run that is started again skips them, see ``tidewater.plans.ledger``.
+    ledger: str | None = None
 
     def __post_init__(self):
         object.__setattr__(self, "mode", validate_mode(self.mode))

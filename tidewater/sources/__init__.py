@@ -3,7 +3,7 @@ target existence (S6)."""
 
 from tidewater.sources.jdbc import (
     JdbcPartitioning, read_jdbc, full_table_query, count_query, subquery, bounds_query,
-    partitioning_for,
+    equal_depth_predicates, partitioning_for, predicates_for,
 )
 from tidewater.sources.connector import read_query
 from tidewater.sources.lake import read_lake
@@ -11,6 +11,6 @@ from tidewater.sources.catalog import metadata_query, split_table_name, target_e
 
 __all__ = [
     "JdbcPartitioning", "read_jdbc", "full_table_query", "count_query", "subquery",
-    "bounds_query", "partitioning_for",
+    "bounds_query", "partitioning_for", "equal_depth_predicates", "predicates_for",
     "read_query", "read_lake", "target_exists", "split_table_name", "metadata_query",
 ]

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidewater.functions.naming import qcol
 
 # Reader settings; callers override per source. Limit and aggregate push-down
 # are documented for the JDBC catalog; format("jdbc") may ignore them, so
@@ -92,3 +97,67 @@ def partitioning_for(spark: SparkSession, url: str, table: str, column: str,
     if row is None or row[0] is None:
         return None
     return JdbcPartitioning(column, str(row[0]), str(row[1]), num_partitions)
+
+
+def _bound(value) -> str:
+    """A split bound as SQL text."""
+    if isinstance(value, dt.datetime):
+        return f"'{value:%Y-%m-%d %H:%M:%S.%f}'"
+    if isinstance(value, dt.date):
+        return f"'{value:%Y-%m-%d}'"
+    return str(value)
+
+
+def equal_depth_predicates(values: DataFrame, column: str, parts: int,
+                           name: str | None = None) -> list[str]:
+    """``WHERE`` clauses that cut ``values`` into at most ``parts`` slices of about
+    equally many rows, by ``column`` (numeric, date or timestamp).
+
+    The cuts are quantiles from one mergeable sketch over all rows; a skewed column
+    gets narrow slices where its rows are. A value that fills several slices gets one
+    of its own, since the column cannot split it further. Every row, NULLs included,
+    belongs to exactly one clause, whatever the cuts. ``name`` is the column's name in
+    the clauses. No rows, or one value only: a single clause for everything.
+    """
+    kind = values.schema[column].dataType
+    if not isinstance(kind, (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        raise ValueError(f"{column} is {kind.simpleString()}: a database may order it otherwise")
+    shares = [i / parts for i in range(1, parts)]
+    value = qcol(column)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = F.when(~F.isnan(value), value)
+    row = values.agg(F.percentile_approx(value, shares, 100 * parts).alias("q"),
+                     F.min(value).alias("lo")).first() if shares else None
+    found = (row["q"] or []) if row else []
+    # a value that is the quantile of several shares: cut behind it as well
+    heavy = {c for c in found if found.count(c) > 1 and row["lo"] != max(found)}
+    cuts = sorted({c for c in found if c != row["lo"] or c in heavy})
+    name = name or column
+    if not cuts:
+        return [f"{name} IS NOT NULL OR {name} IS NULL"]
+    out = [f"{name} < {_bound(cuts[0])} OR {name} IS NULL"]
+    for i, low in enumerate(cuts):
+        upper = f" AND {name} < {_bound(cuts[i + 1])}" if i + 1 < len(cuts) else ""
+        if low in heavy:
+            out += [f"{name} = {_bound(low)}", f"{name} > {_bound(low)}{upper}"]
+        else:
+            out.append(f"{name} >= {_bound(low)}{upper}")
+    return out
+
+
+def predicates_for(spark: SparkSession, url: str, table: str, column: str, parts: int,
+                   options: Mapping[str, str] | None = None, hint: str | None = None,
+                   sample: str | None = None) -> list[str] | None:
+    """Equal-depth slices of a table: reads the one column, itself in even slices.
+
+    ``sample`` is dialect text after the table's name (``TABLESAMPLE SYSTEM (1)``), so
+    that the database sends a sample of it; the clauses cover all rows all the same.
+    None for an empty table.
+    """
+    even = partitioning_for(spark, url, table, column, parts, options, hint)
+    if even is None:
+        return None
+    source = f"{table} {sample}" if sample else table
+    query = f"SELECT {column} FROM {source}" + (f" {hint}" if hint else "")
+    values = read_jdbc(spark, url, query=query, options=options, partitioning=even)
+    return equal_depth_predicates(values, values.columns[0], parts, column)

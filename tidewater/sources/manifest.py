@@ -20,7 +20,7 @@ import threading
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,6 +116,18 @@ def adopted(spark: SparkSession, path: str, schema: T.StructType | None) -> Mani
 
 # -- columns ---------------------------------------------------------------
 
+def nullable(kind: T.DataType) -> T.DataType:
+    """A type as files are read back: with NULLs allowed everywhere."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(nullable(kind.elementType), True)
+    if isinstance(kind, T.MapType):
+        return T.MapType(nullable(kind.keyType), nullable(kind.valueType), True)
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable(f.dataType), True)
+                             for f in kind.fields])
+    return kind
+
+
 def field_id(f: T.StructField) -> int | None:
     return (f.metadata or {}).get(FIELD_ID)
 
@@ -130,7 +142,7 @@ def with_ids(schema: T.StructType, table: T.StructType | None = None) -> T.Struc
         if known.get(f.name) is None:
             last += 1
             known[f.name] = last
-        out.append(T.StructField(f.name, f.dataType, True, {FIELD_ID: known[f.name]}))
+        out.append(T.StructField(f.name, nullable(f.dataType), True, {FIELD_ID: known[f.name]}))
     return T.StructType(out)
 
 
@@ -194,6 +206,14 @@ def rename_column(spark: SparkSession, path: str, old: str, new: str) -> Manifes
     return commit(spark, path, change)
 
 
+def _as(written: T.StructField | None, f: T.StructField) -> Column:
+    """A written column as the table's column ``f``; NULL if there is none."""
+    value = F.lit(None) if written is None else qcol(written.name)
+    if written is None or written.dataType != f.dataType:
+        value = value.cast(f.dataType)
+    return value.alias(f.name)
+
+
 def read_batches(spark: SparkSession, path: str, fmt: str, found: Manifest,
                  batches: Mapping[str, Batch], options: Mapping[str, str]) -> DataFrame:
     """The given batches with the table's columns.
@@ -209,7 +229,7 @@ def read_batches(spark: SparkSession, path: str, fmt: str, found: Manifest,
     out = None
     for (index, inside), held in sorted(groups.items()):
         written = found.schemas[index]
-        by_id = {field_id(f): f.name for f in written.fields}
+        by_id = {field_id(f): f for f in written.fields}
         # by name, as the files were written: adopted ones have no ids
         written = T.StructType([T.StructField(f.name, f.dataType, True) for f in written.fields])
         reader = spark.read.format(fmt).options(**options)
@@ -219,8 +239,6 @@ def read_batches(spark: SparkSession, path: str, fmt: str, found: Manifest,
         else:
             df = (reader.option("basePath", f"{root}/{DATA_DIR}" if inside else root)
                   .schema(written).load([f"{root}/{b.dir}" for _, b in held]))
-        part = df.select(*[
-            (qcol(by_id[field_id(f)]) if field_id(f) in by_id else F.lit(None))
-            .cast(f.dataType).alias(f.name) for f in table.fields])
+        part = df.select(*[_as(by_id.get(field_id(f)), f) for f in table.fields])
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], table) if out is None else out
