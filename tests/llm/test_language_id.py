@@ -57,3 +57,8 @@ def test_counts_are_exact(spark):
            for r in L.gram_counts(documents(spark, data)).collect()}
     want = Counter((r[2], int(g)) for r in data if L.has_letter(r[1]) for g in L.grams(r[1]))
     assert got == dict(want)
+
+
+def test_numerals_are_no_letters(spark):
+    from tidewater.llm import language_id as L
+    assert not any(map(L.has_letter, ("½ ²", "①", "12 _", "", None))) and L.has_letter("1 ß")

@@ -15,7 +15,6 @@ come from counts over all training texts. ``floor`` bounds a set to
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +28,12 @@ from .common import col, materialize
 HASHES = 4
 #: N-grams handled at a time.
 CHUNK = 1 << 21
-_LETTER = re.compile(r"[^\W\d_]")
 _TO_SPACE = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Letters only: numerals such as ½ or ① are none."""
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def grams(text: str) -> np.ndarray:
@@ -223,8 +222,9 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     0, and so is every text if there is nothing to learn from; a text none of
     whose n-grams is known gets the first language in order, score 0; ties go
     to the first language in order; a null id is not held out; repeated rows
-    count and are answered each; an empty table gives an empty result; only the
-    three named columns are read.
+    count and are answered each; a very long text is read whole, in chunks of
+    n-grams; an empty table gives an empty result; only the three named columns
+    are read.
     """
     rows = docs.select(col(id_col).alias("id"), col(text_col).alias("text"),
                        col(lang_col).cast("string").alias("lang"))
