@@ -157,3 +157,45 @@ def test_marks_do_not_take_the_article():
         f"<nav class=menu><article>x</article></nav>{text}": "some words of the text",
     }
     assert {k: H.main_text(k) for k in cases} == cases
+
+
+def test_a_quoted_bracket_does_not_end_a_tag():
+    cases = {
+        """<p><a title="a > b">link</a> text""": "link text",
+        """<p><a title='x>y' class = "u > v">link</a>""": "link",
+        """<p><a title=don't>link</a> it's""": "link it's",
+        """<p><a title="open>link</a> text""": "link text",
+        """<script data-x="</p>>">var a = "<p>";</script><p>text""": "text",
+        """<p a="1>2" b>x</p><p>y""": "x\ny",
+    }
+    assert {k: H.main_text(k) for k in cases} == cases
+
+
+def test_a_head_without_end_loses_no_text():
+    cases = {
+        "<html><head><title>T</title><meta x><p>story</p>": "story",
+        "<html><head><title>T</title>story <b>goes</b> on": "story goes on",
+        "<head><link a><style>x{}</style><div>one</div><p>two": "one\ntwo",
+        "<html><head><title>T</title></head><p>story": "story",
+        "<head><title>T<body><p>story": "story",
+    }
+    assert {k: H.main_text(k) for k in cases} == cases
+
+
+def test_a_teaser_is_no_article():
+    story = " ".join(f"word{i}" for i in range(100))
+    assert H.main_text(f"<article>teaser</article><p>{story}</p>") == f"teaser\n{story}"
+    assert H.main_text(f"<p>by someone</p><article>{story}</article><p>a caption") == story
+    half = " ".join(f"other{i}" for i in range(90))
+    assert H.main_text(f"<main>{story}</main><p>{half}") == story
+
+
+def test_deep_and_unclosed_markup():
+    import time
+    start = time.monotonic()
+    deep = "<b>" * 30_000 + "text"
+    assert H.main_text(deep) == "text"
+    assert sum(len(place) for place, *_ in H.events(deep)) < 17 * 30_002
+    assert H.main_text("<a b='" * 20_000 + "x") == ""
+    assert H.main_text("<p>" * 30_000 + "text") == "text"
+    assert time.monotonic() - start < 20

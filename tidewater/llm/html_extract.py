@@ -42,6 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,11 +60,13 @@ MIN_TOKENS = 3
 FLUSH = 200_000
 MASK = (1 << 64) - 1
 
+#: What follows a tag's name; a ">" inside a quoted value does not end the tag.
+_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+"""
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style)\b[^>]*>"
+    rf"|<(?P<raw>script|style)\b{_REST}>"
     r".*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>[^>]*)(?:>|\Z)"
+    rf"|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>{_REST})(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S | re.I)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
@@ -87,6 +90,10 @@ _MARKS = frozenset(
     "notices notification newsletter subscribe signup login popup modal overlay share sharing "
     "social toolbar search masthead".split())
 _MAIN = frozenset({"article", "main"})
+#: Elements that stand in a head; any other one, and any text, ends it.
+_IN_HEAD = frozenset("base link meta noscript script style template title".split())
+#: Words outside articles that a page may lose to its articles in any case.
+FEW_WORDS = 20
 
 
 class Element:
@@ -120,6 +127,9 @@ def events(page: str, elements: list[Element] | None = None
         text = m["text"]
         top = stack[-1]
         if text is not None:
+            if top.name == "head" and text.strip():
+                _close(stack, "head", until=())
+                top = stack[-1]
             top.chars += len(text.strip())
             yield top.place, text, block, top
             continue
@@ -135,7 +145,7 @@ def events(page: str, elements: list[Element] | None = None
                     del stack[i:]
                     break
             continue
-        if name == "body":
+        if name == "body" or (stack[-1].name == "head" and name not in _IN_HEAD):
             _close(stack, "head", until={"body"})
         if name in _BLOCK:
             _close(stack, "p", until=_BLOCK - {"p"})
@@ -151,7 +161,9 @@ def events(page: str, elements: list[Element] | None = None
         hard = (name in _FURNITURE or not _ROLES.isdisjoint(roles)
                 or (name == "header" and all(e.name not in _MAIN for e in stack)))
         soft = name == "form" or not _MARKS.isdisjoint(words)
-        place = f"{top.place}/{name}" + "".join(f".{w}" for w in sorted(words))
+        # a hash, or the place of a deep element would be as long as its path
+        path = f"{top.place}/{name}" + "".join(f".{w}" for w in sorted(words))
+        place = xxhash.xxh64_hexdigest(path.encode("utf-8", "surrogatepass"))
         element = Element(name, place, top, hard, soft)
         elements.append(element)
         yield place, "", block, element
@@ -484,7 +496,12 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
     elements: list[Element] = []
     runs = list(events(page, elements))
     settle(elements)
-    in_article = any(e.content and not e.furniture and t.strip() for _, t, _, e in runs)
+    words = {True: 0, False: 0}
+    for _, text, _, e in runs:
+        if text and not e.furniture:
+            words[e.content] += len(text.split())
+    # articles stand for the page if they hold most of it; a teaser does not
+    in_article = words[True] > 0 and (words[True] >= words[False] or words[False] < FEW_WORDS)
     fixed = template.fixed_words(runs) if template and template.has_words else {}
     need = tokens_needed(template.pages, min_tokens) if fixed else min_tokens
     blocks: dict[int, list[str]] = {}
@@ -493,7 +510,7 @@ def main_text(page: str, template: Template | None = None, min_tokens: int = MIN
         if element.furniture or (in_article and not element.content):
             continue
         if not text:
-            if place.endswith("/br"):  # a line break inside a block is white space
+            if element.name == "br":  # a line break inside a block is white space
                 blocks.setdefault(block, []).append(" ")
             continue
         shown = html.unescape(text)
@@ -542,7 +559,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     Defined cases: null html counts as empty and gives an empty text; a page
     without a host (null or odd url) belongs to the host ``""``; a host with
     fewer than ``min_pages`` distinct pages has no template, and its pages are
-    read by their elements alone; text without any markup is the main text;
+    read by their elements alone; a very long page, or one with very many
+    unclosed elements, is read whole, in time that grows with its length; text without any markup is the main text;
     equal pages of a host all give a text but count once for its template, which
     is applied to every page that has it; an empty table gives an empty result;
     only the three named columns are read.
