@@ -243,21 +243,28 @@ def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     fingerprint; among rows alike in both, the smallest row hash). Same defined
     cases as :func:`simhash_near_dedup`; all columns pass through.
     """
-    fp, turn = free_names(docs, "fp", "turn")
-    marked = materialize(
-        docs.withColumn(fp, simhash_udf(shingle, seed)(col(text_col))), "marked")
-    rows = marked.select(col(id_col).alias("id"), col(fp).alias("fp"))
+    fp, row_hash, w_fp, w_id, w_hash, copies = free_names(
+        docs, "fp", "row_hash", "w_fp", "w_id", "w_hash", "copies")
+    whole = F.xxhash64(*[col(c) for c in docs.columns if not _unhashable(docs, c)])
+    marked = materialize(docs.withColumns({fp: simhash_udf(shingle, seed)(col(text_col)),
+                                           row_hash: whole}), "marked")
+    rows = marked.select(col(id_col).alias("id"), col(fp).alias("fp"),
+                         col(row_hash).alias("row_hash"))
     named = _components(rows, max_bits, node_limit)
-    # one (fingerprint, id) per component: nulls sort last, ties by fingerprint
-    best = (rows.distinct().join(named.select("fp", "root"), "fp")
-            .groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp"))
-                                 .alias("w"))
-            .select(F.col("w.fp").alias("w_fp"), F.col("w.id").alias("w_id")))
-    hit = marked.join(best, (col(fp) == F.col("w_fp")) & col(id_col).eqNullSafe(F.col("w_id")))
-    order = Window.partitionBy("w_fp").orderBy(
-        F.xxhash64(*[col(c) for c in docs.columns if not _unhashable(docs, c)]))
-    return (hit.withColumn(turn, F.row_number().over(order)).where(col(turn) == 1)
-            .select(*[col(c) for c in docs.columns]))
+    # one (id, fingerprint, row hash) per component, chosen on narrow rows: null ids
+    # sort last; and how many rows have all three
+    distinct = rows.groupBy("id", "fp", "row_hash").agg(F.count(F.lit(1)).alias("copies"))
+    best = (distinct.join(named.select("fp", "root"), "fp").groupBy("root")
+            .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp", "row_hash",
+                                "copies")).alias("w"))
+            .select(F.col("w.fp").alias(w_fp), F.col("w.id").alias(w_id),
+                    F.col("w.row_hash").alias(w_hash), F.col("w.copies").alias(copies)))
+    best = materialize(best, "best")
+    hit = marked.join(best, (col(fp) == col(w_fp)) & (col(row_hash) == col(w_hash))
+                      & col(id_col).eqNullSafe(col(w_id)))
+    # whole rows move once; only those that are there several times move again
+    again = hit.where(col(copies) > 1).dropDuplicates([fp, row_hash])
+    return hit.where(col(copies) == 1).unionByName(again).select(*[col(c) for c in docs.columns])
 
 
 def _unhashable(df: DataFrame, name: str) -> bool:
