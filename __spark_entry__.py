@@ -359,6 +359,32 @@ def q_dedupe_orders_snapshots(spark, sf_dir):
     return dedupe_by_hash(_landed_snapshots(spark, sf_dir, "x1o"), hash_key("orders"))
 
 
+def _indexed_snapshots(spark, sf_dir, name, keys):
+    """Both snapshots of orders in a lake whose batches have digests and filters."""
+    from tidewater.sources.batch_index import index_batch
+    lake = scratch_dir(spark, name)
+    for batch, snap in zip((B1, B2), orders_snapshots(_read(spark, sf_dir, "orders")),
+                           strict=True):
+        write_lake(prepare(snap, hash_key("orders"), batch, CREATED_BY, SOURCE_SYSTEM,
+                           run_ts=RUN_TS, as_of=AS_OF, bits=256), lake, "incremental")
+        index_batch(spark, lake, batch, hash_key("orders"), keys)
+    return lake
+
+
+def q_digest_changes(spark, sf_dir):
+    """X2 by prefix digests: only rows of differing buckets are compared."""
+    from tidewater.sources.batch_index import changes_of_batches
+    lake = _indexed_snapshots(spark, sf_dir, "x2_digest", ["O_ORDERKEY"])
+    return changes_of_batches(spark, lake, B1, B2, hash_key("orders"), ["O_ORDERKEY"])
+
+
+def q_filtered_new_rows(spark, sf_dir):
+    """Incremental X1 behind the first batch's membership filter."""
+    from tidewater.sources.batch_index import new_rows_of_batch
+    lake = _indexed_snapshots(spark, sf_dir, "x1_filter", ["O_ORDERKEY"])
+    return new_rows_of_batch(spark, lake, B2, hash_key("orders"))
+
+
 def q_dedupe_orders_incremental(spark, sf_dir):
     """Incremental X1: the de-duplicated table holds the first snapshot; the
     second batch contributes only row versions not seen before."""
@@ -925,6 +951,10 @@ def _registry() -> dict[str, tuple[Callable, str | None]]:
         "x1_dedupe_orders_incremental": (
             q_dedupe_orders_incremental,
             f"SELECT * FROM ({o_dedupe_orders_snapshots()}) WHERE ETL_BATCH_ID = {_lit(B2)}"),
+        "x1_filtered_orders": (
+            q_filtered_new_rows,
+            f"SELECT * FROM ({o_dedupe_orders_snapshots()}) WHERE ETL_BATCH_ID = {_lit(B2)}"),
+        "x2_digest_orders": (q_digest_changes, o_changed_orders()),
         "stream_ingest_orders": (q_stream_orders, _prepare_sql(
             "orders", "S0000000000", AS_OF, clean_ts=False)),
     }

@@ -41,12 +41,14 @@ _COMMITS = threading.Lock()
 
 @dataclass(frozen=True)
 class Batch:
-    """``dir`` is relative to the lake; ``schema`` an index into the manifest's."""
+    """``dir`` is relative to the lake; ``schema`` an index into the manifest's;
+    ``index`` names the digests and filters kept beside it (``batch_index``)."""
 
     dir: str
     schema: int
     rows: int | None = None
     content: str | None = None
+    index: Mapping[str, dict] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
