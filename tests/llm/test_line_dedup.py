@@ -86,3 +86,60 @@ def test_words_are_cut_as_specified(spark):
 
 def test_empty_table(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_shapes_survive_packing():
+    import numpy as np
+    size = np.array([1, 2, 255, 256, 5000, (1 << 24) - 1])
+    pos = np.array([0, 1, 51, 52, 1000, 1 << 20])
+    sign = np.array([0, 1 << 63, (1 << 64) - 1, 5 << 60, 1, (1 << 64) - 1], np.uint64)
+    shape = line_dedup.packed(size, pos, sign)
+    assert (shape != 0).all()
+    got = line_dedup.unpacked(shape)
+    assert got[0].tolist() == size.tolist()
+    assert got[1].tolist() == [0, 1, 51, 52, 1000, 65535]
+    assert got[2].tolist() == [0, 1 << 48, (1 << 49) - 1, 5 << 19, 0, (1 << 23) - 1]
+
+
+def test_unlike_lines_that_agree_in_parities_and_24_bits_are_not_equal():
+    import numpy as np
+    one, rank = np.zeros(3, np.int64), np.arange(3)
+    sign = np.array([7 << 40, 7 << 40 | 1 << 20, 7 << 40], np.uint64)
+    shape = line_dedup.packed(one + 2, one, sign)
+    size, _, told = line_dedup.unpacked(shape)
+    first, copy = line_dedup.equal_lines(one, rank, size, told, np.zeros((3, 2), np.uint64))
+    assert first.tolist() == [True, True, False] and copy.tolist() == [False, False, True]
+
+
+def test_parities_never_outnumber_differing_words():
+    import numpy as np
+    rng = np.random.default_rng(3)
+    rarity = np.zeros(1 << 4, np.uint64)
+    sizes = [5, 31, 32, 33, 200]
+    sets, row = [], []
+    base = rng.integers(1, 1 << 63, 300).astype(np.uint64)
+    for i, n in enumerate([*sizes, *sizes]):
+        words = base[:n].copy()
+        words[:1 + i % 3] = rng.integers(1, 1 << 63, 1 + i % 3).astype(np.uint64)
+        sets.append(words)
+        row += [i] * n
+    ls = line_dedup.Lines(np.array(row), np.zeros(len(row), np.int64), np.concatenate(sets), rarity)
+    parity, n = ls.parity(), len(sets)
+    x, y = (v.ravel() for v in np.meshgrid(range(n), range(n)))
+    real = [len(set((sets[a] >> np.uint64(8)).tolist()) ^ set((sets[b] >> np.uint64(8)).tolist()))
+            for a, b in zip(x, y, strict=True)]
+    assert (line_dedup.differing(ls.size, parity, x, y) <= real).all()
+
+
+def test_only_texts_that_may_lose_lines_are_moved(spark):
+    from pyspark.sql import functions as F
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h"))
+    lines = spark.range(0, 3000, 100).select(
+        F.col("id").alias("k"), F.xxhash64("id").alias("k_h"),
+        F.array(F.lit(0), F.lit(2)).alias("gone"))
+    on = (F.col("doc_id") == F.col("k")) & (F.col("h") == F.col("k_h"))
+    got = line_dedup._joined(docs, lines, on, F.xxhash64("doc_id", "h"), F.xxhash64("k", "k_h"),
+                             "gone").collect()
+    assert len(got) == 3000 and {r["doc_id"] for r in got} == set(range(3000))
+    assert {r["doc_id"] for r in got if r["gone"] == [0, 2]} == set(range(0, 3000, 100))
+    assert sum(r["gone"] is None for r in got) == 2970

@@ -8,9 +8,11 @@ hash), null ids last. Lines without words stay.
 The join follows the prefix filter: with the words of a line in one global
 order, rare first, two matching lines share a word among the first
 ``size - ceil(threshold * size) + 1`` of each. Such prefix words, with the
-line's place and size, 128 parity bits and a 24-bit signature of its set, are
-all that is shuffled to find pairs. Lines with equal sets meet at their first
-word and need no more. Of the others, inside the group of one word a pair of lines must pass
+line's place and size, parity bits (64 of a short line, 128 of a long one) and a
+signature of its set, are all that is shuffled to find pairs. Lines with equal sets
+meet at their first word and need no more: they agree in size, parities and
+signature, in which two unlike sets below the threshold agree with a chance of
+2**-55 at most, about that of two words with the same hash. Of the others, inside the group of one word a pair of lines must pass
 
 * the length filter (sizes within the threshold of each other),
 * the positional filter (enough words left from this one on), and
@@ -49,6 +51,8 @@ CHUNK = 1 << 17
 #: Most likely partners that a line keeps per prefix word.
 KEPT = 3
 WEAK = 16
+#: Lines of fewer words keep 64 parity bits, which are plenty for them.
+FOLD = 32
 
 _LOWER = bytes(range(256)).lower()
 _WORD = bytes(c not in (0x20, *range(0x09, 0x0E)) for c in range(256))
@@ -160,11 +164,14 @@ class Lines:
                          for s in (0x5851F42D4C957F2D, 0x14057B7EF767814F)], axis=1)
 
     def parity(self) -> np.ndarray:
-        """128 parity bits per line, as two words."""
+        """128 parity bits per line, as two words; of short lines folded to one."""
         bit = np.uint64(1) << (self.key & np.uint64(63))
         upper = (self.key & np.uint64(64)) > 0
-        return np.stack([np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), self.first)
-                         for half in (~upper, upper)], axis=1)
+        low, high = (np.bitwise_xor.reduceat(np.where(half, bit, np.uint64(0)), self.first)
+                     for half in (~upper, upper))
+        short = self.size < FOLD
+        return np.stack([np.where(short, low ^ high, low),
+                         np.where(short, np.uint64(0), high)], axis=1)
 
     def prefix(self, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(line index, position, key) of every prefix word."""
@@ -205,13 +212,34 @@ def counters(docs: DataFrame, bits: int, keys_of) -> np.ndarray:
     return out.reshape(-1)
 
 
-#: place: line above 32 bits of text hash; shape: size above 16 bits of position
-#: (a larger one counts as the largest) above 24 bits of signature.
+#: place: line above 32 bits of text hash; shape: see ``packed``.
 POSTING = ("word long, cell int, id long, place long, shape long, parity_low long, "
            "parity_high long")
 _HALF = np.int64(0xFFFFFFFF)
 
 
+def packed(size: np.ndarray, pos: np.ndarray, sign: np.ndarray) -> np.ndarray:
+    """Size, position and signature of postings in one long, never 0.
+
+    Lines of fewer than 256 words: 49 bits of signature, 8 of size, 6 of position.
+    Longer ones, whose parities tell unlike sets apart: a sign bit, 24 bits of size, 16
+    of position, 23 of signature. A larger position counts as the largest.
+    """
+    sign = sign.view(np.uint64)
+    short = (sign >> np.uint64(15)).view(np.int64) << 14 | size << 6 | np.minimum(pos, 63)
+    long = (np.iinfo(np.int64).min | size << 39 | np.minimum(pos, 65535) << 23
+            | (sign >> np.uint64(41)).view(np.int64))
+    return np.where(size < 256, short, long)
+
+
+def unpacked(shape: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(size, position, signature) of ``packed`` ones."""
+    short = shape >= 0
+    return (np.where(short, shape >> 6 & 255, shape >> 39 & 0xFFFFFF),
+            np.where(short, shape & 63, shape >> 23 & 65535),
+            np.where(short, shape >> 14, shape & 0x7FFFFF))
+
+
 def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=None) -> DataFrame:
     """Prefix words of the lines of ``rows`` (``id``, ``text_hash``, ``text``).
 
@@ -257,8 +285,7 @@ def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=
                         "parity_high": pa.array(parity[of, 1])})
 
                 one = blocks <= 1
-                shape = (ls.size[of] << np.int64(40) | np.minimum(pos, 65535) << np.int64(24)
-                         | (sign[of, 0] >> np.uint64(40)).view(np.int64))
+                shape = packed(ls.size[of], pos, np.ascontiguousarray(sign[of, 0]))
                 yield batch(of[one], key[one], np.zeros(one.sum()), shape[one])
                 if not one.all():
                     of, key, shape, blocks = of[~one], key[~one], shape[~one], blocks[~one]
@@ -275,16 +302,23 @@ def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=
     return rows.mapInArrow(emit, POSTING)
 
 
-def differing(parity, x, y) -> np.ndarray:
-    return np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
+def differing(size, parity, x, y) -> np.ndarray:
+    """In how many parity bits index pairs differ; folded if one of them is."""
+    low, high = parity[x, 0] ^ parity[y, 0], parity[x, 1] ^ parity[y, 1]
+    folded = np.minimum(size[x], size[y]) < FOLD
+    low, high = np.where(folded, low ^ high, low), np.where(folded, np.uint64(0), high)
+    return np.bitwise_count(low).astype(np.int64) + np.bitwise_count(high)
 
 
 def passing(size, pos, parity, x, y, threshold: float) -> np.ndarray:
     """Which index pairs (x later, y earlier) of one word pass the three filters."""
     sx, sy = size[x], size[y]
     need = np.ceil(threshold / (1 + threshold) * (sx + sy) - 1e-9).astype(np.int64)
-    return ((np.minimum(sx - pos[x], sy - pos[y]) >= need) & (np.minimum(sx, sy) >= need)
-            & (differing(parity, x, y) <= sx + sy - 2 * need))
+    # enough words left includes a size that is large enough
+    ok = np.minimum(sx - pos[x], sy - pos[y]) >= need
+    at = np.flatnonzero(ok)
+    ok[at] = differing(size, parity, x[at], y[at]) <= (sx + sy - 2 * need)[at]
+    return ok
 
 
 def equal_lines(group, rank, size, sign, parity) -> tuple[np.ndarray, np.ndarray]:
@@ -342,7 +376,7 @@ def likely_pairs(group, rank, probe, size, pos, parity, threshold: float, kept:
                 ys.append(y[ok])
                 np.add.at(found, np.searchsorted(x_all, x[ok]), 1)
     x, y = np.concatenate(xs), np.concatenate(ys)
-    differ, both = differing(parity, x, y), size[x] + size[y]
+    differ, both = differing(size, parity, x, y), size[x] + size[y]
     spare = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9)
     order = np.lexsort((y, differ / both, x))
     x, y = x[order], y[order]
@@ -367,7 +401,7 @@ def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> D
     def scan(frames):
         for f in whole_groups(frames, ["word", "cell"]):
             shape, place = f["shape"].to_numpy(), f["place"].to_numpy()
-            size, pos, sign = shape >> 40, shape >> 24 & 65535, shape & 0xFFFFFF
+            size, pos, sign = unpacked(shape)
             word, cell = f["word"].to_numpy(), f["cell"].to_numpy()
             missing, ids = f["id"].isna().to_numpy(), f["id"].fillna(0).to_numpy(np.int64)
             new = (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])
@@ -399,33 +433,40 @@ def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> D
     return dealt.mapInPandas(scan, PAIR)
 
 
-BITS = 24
+#: A filter has 16 bits for each of its rows, and at most 2 ** MOST_BITS (64 MB).
+LEAST_BITS, MOST_BITS = 16, 29
 
 
 def line_marks(text_hash: np.ndarray, line: np.ndarray) -> np.ndarray:
-    return (_mixed(text_hash.view(np.uint64) + _mixed(line.astype(np.uint64)))
-            >> np.uint64(64 - BITS)).astype(np.int64)
+    return _mixed(text_hash.view(np.uint64) + _mixed(line.astype(np.uint64)))
 
 
 def word_marks(word: np.ndarray) -> np.ndarray:
-    return (_mixed(word.view(np.uint64)) >> np.uint64(64 - BITS)).astype(np.int64)
+    return _mixed(word.view(np.uint64))
+
 
+def _places(marks: np.ndarray, bits: int) -> np.ndarray:
+    return (marks >> np.uint64(64 - bits)).astype(np.int64)
 
-def marked(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+
+def marked(table: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    at = _places(marks, len(table).bit_length() + 2)
     return ((table[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def bit_table(df: DataFrame, marks) -> np.ndarray:
-    """Packed table of ``2 ** BITS`` bits with the bits ``marks(frame)`` set.
+    """Packed table of bits, those for the 64-bit ``marks(frame)`` set.
 
-    A filter of fixed size: a few others pass it too, and meet no partner later.
+    A few others pass it too, and meet no partner later. Sized by the rows of ``df``;
+    beyond some 10^8 of them more and more others pass, which costs their shuffle.
     """
+    bits = min(max((16 * df.count()).bit_length(), LEAST_BITS), MOST_BITS)
     slices = 64
-    width = (1 << BITS) // slices
+    width = (1 << bits) // slices
 
     def mark(frames):
         for f in frames:
-            at = np.unique(marks(f))
+            at = np.unique(_places(marks(f), bits))
             yield pd.DataFrame({"slice": (at // width).astype(np.int32), "at": at % width})
 
     def union(f: pd.DataFrame) -> pd.DataFrame:
@@ -525,7 +566,7 @@ def matching_lines(rows: DataFrame, threshold: float, sketch_bits: int, cell: in
         only = sc.broadcast(bit_table(words, lambda f: word_marks(f["word"].to_numpy())))
         f = failed.select(F.col("id").alias("f_id"), F.shiftleft(F.col("line").cast("long"), 32)
                           .bitwiseOR(F.col("text_hash")).alias("f_place"))
-        probes = postings(rows, threshold, rarity, crowds, cell, only).where("shape > 0").join(
+        probes = postings(rows, threshold, rarity, crowds, cell, only).where("shape != 0").join(
             f, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("place") == F.col("f_place")), "left")
         probes = probes.withColumn("probe", F.col("f_place").isNotNull()).drop("f_id", "f_place")
         rest = materialize(candidates(dealt(probes), threshold, 1 << 40, True), "line_pairs")
@@ -540,6 +581,40 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
 
 
+#: Blocks of 64 bits that tell documents that may lose lines, for the broadcast.
+MOST_BLOCKS = 1 << 20
+
+
+def _joined(docs: DataFrame, lines: DataFrame, on: Column, doc_key: Column, line_key: Column,
+            gone: str) -> DataFrame:
+    """``docs`` with ``gone`` of ``lines``, without moving texts that lose nothing.
+
+    One bit of a hash of every document in ``lines`` is set in blocks of 64, at most
+    ``MOST_BLOCKS`` of them, which are broadcast; a document without its bit is passed
+    on where it is. With more documents than a quarter of the bits that would spare
+    little, so all are joined.
+    """
+    n = lines.count()
+    if not 0 < n <= 16 * MOST_BLOCKS:
+        return docs.join(lines, on, "left")
+    blocks = min(1 << (n // 4).bit_length(), MOST_BLOCKS)
+    block, bits, bit, hit = free_names(docs.join(lines.limit(0), on, "left"),
+                                       "block", "bits", "bit", "hit")
+
+    def at(df: DataFrame, key: Column) -> DataFrame:
+        return (df.withColumn(block, F.shiftrightunsigned(key, 6).bitwiseAND(F.lit(blocks - 1)))
+                .withColumn(bit, F.call_function("shiftleft", F.lit(1).cast("long"),
+                                                 key.bitwiseAND(F.lit(63)).cast("int"))))
+
+    held = at(lines, line_key).groupBy(block).agg(F.bit_or(bit).alias(bits))
+    seen = at(docs, doc_key).join(F.broadcast(held), block, "left").withColumn(
+        hit, F.coalesce(col(bits).bitwiseAND(col(bit)) != 0, F.lit(False)))
+    moved = seen.where(col(hit)).select(*[col(c) for c in docs.columns]).join(lines, on, "left")
+    return moved.select(*[col(c) for c in docs.columns], col(gone)).unionByName(
+        seen.where(~col(hit)).select(*[col(c) for c in docs.columns], F.lit(None).cast(
+            "array<int>").alias(gone)))
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 threshold: float = 0.8, sketch_bits: int = 18, cell: int = 100_000) -> DataFrame:
     """``docs`` with matching later lines removed from the text.
@@ -552,7 +627,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Defined cases: a null text stays null with no lines; an empty or blank
     text stays as it is; a text all of whose lines go becomes empty; rows equal
     in id and text are one document and get equal results; null ids order last;
-    an empty table gives an empty result.
+    an empty table gives an empty result. A very long text is read in pieces of whole
+    rows, so a task holds its largest text and the word hashes of it; a line may have up
+    to 2**24 words.
     """
     text_hash, gone, key = free_names(docs, "text_hash", "gone", "gone_key")
     rows = docs.select(col(id_col).cast("long").alias("id"),
@@ -563,9 +640,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .groupBy("id", "text_hash").agg(F.collect_set("line").alias("gone")), "gone")
     lines = lines.select(F.col("id").alias(key), F.col("text_hash").alias(key + "_hash"),
                          F.col("gone").alias(gone))
-    joined = docs.withColumn(text_hash, _text_hash(col(text_col))).join(
-        lines, (col(text_hash) == col(key + "_hash"))
-        & col(id_col).cast("long").eqNullSafe(col(key)), "left")
+    joined = _joined(
+        docs.withColumn(text_hash, _text_hash(col(text_col))), lines,
+        (col(text_hash) == col(key + "_hash")) & col(id_col).cast("long").eqNullSafe(col(key)),
+        F.xxhash64(col(id_col).cast("long"), col(text_hash)),
+        F.xxhash64(col(key), col(key + "_hash")), gone)
     parts = F.split(col(text_col), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), col(gone))
     cleaned = F.when(col(gone).isNull(), col(text_col)).otherwise(F.array_join(
