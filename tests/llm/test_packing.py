@@ -120,3 +120,29 @@ def test_added_tokens_have_their_ids_as_loaded(spark):
     assert ids == {i: [*t.encode(x, add_special_tokens=False).ids, 0]
                    for i, x in enumerate(texts)}
     assert ids[len(TRICKY)] == [64, 220, 50256, 275, 0]
+
+
+def test_numbers_stay_apart_in_any_number_of_rounds(spark):
+    import numpy as np
+
+    from tidewater.llm.packing import pack_sizes
+    rng = np.random.default_rng(4)
+    items = [(i, int(s), int(w)) for i, (s, w) in enumerate(
+        zip(rng.integers(0, 60, 400), rng.integers(0, 3, 400), strict=True))]
+    df = spark.createDataFrame(items, "uid long, size long, whole long")
+    placed = {r["uid"]: r for r in pack_sizes(df, 100, 25, 6).collect()}
+    taken, used = {}, set()
+    for uid, size, whole in items:
+        r = placed[uid]
+        if size:
+            taken.setdefault(r["sequence"], []).append((r["offset"], size))
+        numbers = set(range(r["first_whole"], r["first_whole"] + whole))
+        assert not numbers & used
+        used |= numbers
+    assert not used & set(taken)
+    for parts in taken.values():
+        end = 0
+        for offset, size in sorted(parts):
+            assert offset == end
+            end += size
+        assert end <= 100

@@ -86,7 +86,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     source, last in order; a source of size 0 has target 0 and is not taken;
     repeated rows are separate documents; a null id is an id like any other; an
     empty table gives an empty result; input columns pass through, and an input
-    column with the name of an added one is replaced.
+    column with the name of an added one is replaced. A very long text is a row like
+    any other; one above a hundredth of its source's size is placed first.
     """
     added = ["size", "source_size", "target", "copies"]
     keep = [c for c in docs.columns if c.lower() not in added]

@@ -196,7 +196,8 @@ def pack_sizes(items: DataFrame, capacity: int, per_partition: int, rounds: int)
 
     ``items``: ``uid`` (unique), ``size`` (0: none), ``whole`` (whole sequences).
     Returns ``uid``, ``sequence``, ``offset``, ``first_whole`` (number of the
-    first whole sequence), ``certified``.
+    first whole sequence), ``certified``. Numbers are apart per partition, round and
+    whole sequences, however many rounds there are.
     """
     def pack(number: int):
         def one(f: pd.DataFrame) -> pd.DataFrame:
@@ -205,7 +206,7 @@ def pack_sizes(items: DataFrame, capacity: int, per_partition: int, rounds: int)
             size = f["size"].to_numpy()
             own = np.flatnonzero(size)
             bins, offsets, free = best_fit_decreasing(size[own], capacity)
-            base = (part * 4 + number) << 32
+            base = (part * (rounds + 2) + number) << 32
             out = pd.DataFrame({"uid": f["uid"], "size": size, "whole": f["whole"],
                                 "sequence": base, "offset": 0, "free": 0,
                                 "gap": len(free) - lower_bound(size[own], capacity),
@@ -214,7 +215,7 @@ def pack_sizes(items: DataFrame, capacity: int, per_partition: int, rounds: int)
             out.loc[own, "offset"] = offsets
             out.loc[own, "free"] = free[bins] if len(own) else 0
             if number == 0:
-                out["first_whole"] = ((part * 4 + 3) << 32) + np.cumsum(f["whole"]) - f["whole"]
+                out["first_whole"] = ((part * (rounds + 2) + rounds + 1) << 32) + np.cumsum(f["whole"]) - f["whole"]
             return out
         return one
 
@@ -263,7 +264,8 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Defined cases: a null or empty text is the closing id alone; repeated rows
     and null ids are documents like any other; ties go by row order; an empty
-    table gives an empty result; only the two named columns are read.
+    table gives an empty result; only the two named columns are read. A very long
+    text is a row like any other: one task encodes it and cuts it into pieces.
     """
     if ranks is None and vocabulary is None:
         vocabulary = default_vocabulary()

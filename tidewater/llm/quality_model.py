@@ -172,7 +172,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     several labels of one id count as the majority (1 on a tie); without both
     classes all scores are the share of class 1; a null id is not held out and
     has no label; repeated rows are scored each; an empty table gives an empty
-    result; only the named columns are read.
+    result; only the named columns are read. A very long text is a row like any
+    other: one task holds it while its statistics are taken.
     """
     stats = materialize(
         docs.select(col(id_col).alias("id"), statistics_udf()(col(text_col)).alias("x")),

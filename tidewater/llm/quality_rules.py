@@ -195,7 +195,8 @@ def quality_rules(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     Defined cases: a null, empty or blank text has no words and fails the base
     rule; null language or source is a group of its own; repeated rows get
     equal verdicts; an empty table gives an empty result; input columns named
-    like an added one are replaced.
+    like an added one are replaced. A very long text is a row like any other:
+    its words and windows are arrays of one row, in one task.
     """
     out = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
            "kept"]

@@ -211,7 +211,8 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     like any other; repeated rows get equal results; a null id takes part in
     linking, is never the smallest id unless its whole component has none, and
     then ``component_id`` is null; an empty table gives an empty result; only
-    the two named columns are read.
+    the two named columns are read. A very long text is a row like any other, whose
+    shingles one task hashes.
     """
     rows = materialize(
         docs.select(col(id_col).alias("id"), simhash_udf(shingle, seed)(col(text_col)).alias("fp")),
