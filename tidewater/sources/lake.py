@@ -6,14 +6,13 @@ import json
 import re
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.constants import BATCH_ID
 from tidewater.functions.naming import qcol
-from tidewater.sources.catalog import condition_of
+from tidewater.sources.files import list_names
 from tidewater.sources.manifest import Manifest, read_batches, read_manifest
 
 _PLAIN_VALUE = re.compile(r"^[A-Za-z0-9_.-]+$")
@@ -30,12 +29,10 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     found = read_manifest(spark, path)
     if found is not None:
         return T.StructType([T.StructField(f.name, f.dataType, True) for f in found.table.fields])
-    try:
-        rows = spark.read.text(f"{path.rstrip('/')}/{SCHEMA_DIR}", wholetext=True).collect()
-    except AnalysisException as exc:
-        if condition_of(exc) != "PATH_NOT_FOUND":
-            raise
+    kept = f"{path.rstrip('/')}/{SCHEMA_DIR}"
+    if not list_names(spark, kept):
         return None
+    rows = spark.read.text(kept, wholetext=True).collect()
     return T.StructType.fromJson(json.loads(rows[0][0])) if rows else None
 
 
