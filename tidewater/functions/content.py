@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 
 from tidewater.functions.naming import qcol
 
+#: A hash is summed in a high piece and two lower ones of so many bits.
+PIECE_BITS = 22
+
 
 def _holds(kind: T.DataType, *kinds: type) -> bool:
     if isinstance(kind, kinds):
@@ -70,12 +73,23 @@ def row_digests(schema: T.StructType, columns: Iterable[str] | None = None) -> l
     return [F.xxhash64(F.lit(seed), *parts) for seed in ("first", "second")]
 
 
+def digest_sums(digests: Iterable[Column]) -> list[Column]:
+    """Aggregates that sum each of the given 64-bit hashes, exactly: in pieces whose
+    long sums hold for 2**41 rows, many times faster than a sum of decimals."""
+    mask, out = F.lit(2**PIECE_BITS - 1).cast("long"), []
+    for i, h in enumerate(digests, 1):
+        pieces = [h.bitwiseAND(mask), F.shiftright(h, PIECE_BITS).bitwiseAND(mask),
+                  F.shiftright(h, 2 * PIECE_BITS)]
+        out += [F.sum(p).alias(f"content_{i}_{k}") for k, p in enumerate(pieces)]
+    return out
+
+
 def content_metrics(schema: T.StructType, columns: Iterable[str] | None = None) -> list[Column]:
-    """Aggregates ``content_1`` and ``content_2``."""
-    return [F.sum(h.cast("decimal(38,0)")).alias(f"content_{i}")
-            for i, h in enumerate(row_digests(schema, columns), 1)]
+    """Aggregates for :func:`content_text`: the sums of both row hashes."""
+    return digest_sums(row_digests(schema, columns))
 
 
 def content_text(row) -> str:
     """The checksum of an aggregated row as text; an empty table's is ``0:0``."""
-    return f"{int(row['content_1'] or 0)}:{int(row['content_2'] or 0)}"
+    return ":".join(str(sum((row[f"content_{i}_{k}"] or 0) << (k * PIECE_BITS) for k in range(3)))
+                    for i in (1, 2))

@@ -197,7 +197,7 @@ def _land(prepared: DataFrame, spec, config):
                            batch_id=config.batch_id) if rows else None
         return rows, landed, None
     staged = stage(prepared, spec.lake_path, config.mode, spec.lake_format, spec.lake_options,
-                   config.verify == "content", spec.renames)
+                   config.verify == "content", spec.renames, config.batch_id)
     if not staged.rows:
         discard(spark, staged)
         return 0, None, None
@@ -209,7 +209,7 @@ def _load(spark: SparkSession, landed: DataFrame, target, action, config, audit:
     """Load the landed batch; rows found in the target, and their content where Spark
     reads it back with the same types (None otherwise)."""
     if can_stage(target):
-        staged = stage_target(landed, target, action)
+        staged = stage_target(landed, target, action, config.batch_id)
         found = audit.of(read_staged_target(spark, staged))
         if found[0] == expected[0] and (found[1] is None or found[1] == expected[1]):
             publish_target(spark, staged, action)

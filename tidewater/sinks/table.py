@@ -59,7 +59,7 @@ def write_target(df: DataFrame, target, action: LoadAction,
     if kind == "path":
         if can_stage(target):
             spark = df.sparkSession
-            publish_target(spark, stage_target(df, target, action), action)
+            publish_target(spark, stage_target(df, target, action, batch_id), action)
             return
         w = (df.write.format(target.format)
              .options(**with_codec(target.format, target.options)).mode("overwrite"))
@@ -181,11 +181,12 @@ def can_stage(target) -> bool:
     return target.kind == "path" and versioned(target.format, tuple(target.partition_by or ()))
 
 
-def stage_target(df: DataFrame, target, action: LoadAction) -> StagedTarget:
-    """Write a load to a hidden directory of the target."""
+def stage_target(df: DataFrame, target, action: LoadAction,
+                 batch_id: str | None = None) -> StagedTarget:
+    """Write a load to a hidden directory of the target; ``batch_id`` as in ``stage``."""
     if target.versioned:
         held = stage(df, target.name, HISTORICAL if action.replace else INCREMENTAL,
-                     target.format, target.options)
+                     target.format, target.options, batch_id=batch_id)
         return StagedTarget(target, "", df.schema, held)
     if not action.creates:
         check_types(df, target)
