@@ -185,14 +185,14 @@ def q_gate(spark, sf_dir):
 def q_append_roundtrip(spark, sf_dir):
     lake = scratch_dir(spark, "k1_append")
     for batch in (B1, B2, B2):  # the re-run of B2 replaces itself
-        write_lake(_prepared(spark, sf_dir, "orders", batch), lake, "incremental")
+        write_lake(_prepared(spark, sf_dir, "orders", batch), lake, "incremental", batch_id=batch)
     return read_lake(spark, lake)
 
 
 def q_overwrite_roundtrip(spark, sf_dir):
     lake = scratch_dir(spark, "k1_overwrite")
     for batch in (B1, B2):
-        write_lake(_prepared(spark, sf_dir, "orders", batch), lake, "historical")
+        write_lake(_prepared(spark, sf_dir, "orders", batch), lake, "historical", batch_id=batch)
     return read_lake(spark, lake)
 
 
@@ -283,7 +283,7 @@ def q_dedupe_documents(spark, sf_dir):
     exclude = ("DOC_ID", "LANG", "SOURCE", "N_CHARS")
     for batch in (B1, B2):
         write_lake(_prepared(spark, sf_dir, "documents", batch, exclude=exclude), lake,
-                   "incremental")
+                   "incremental", batch_id=batch)
     return dedupe_by_hash(read_lake(spark, lake), hash_key("documents"))
 
 
@@ -310,7 +310,8 @@ def q_changed_orders(spark, sf_dir):
     before, after = orders_snapshots(_read(spark, sf_dir, "orders"))
     for batch, snap in ((B1, before), (B2, after)):
         write_lake(prepare(snap, hash_key("orders"), batch, CREATED_BY, SOURCE_SYSTEM,
-                           run_ts=RUN_TS, as_of=AS_OF, bits=256), lake, "incremental")
+                           run_ts=RUN_TS, as_of=AS_OF, bits=256), lake, "incremental",
+                   batch_id=batch)
     return changes_between_batches(read_lake(spark, lake), B1, B2, hash_key("orders"),
                                    ["O_ORDERKEY"])
 
@@ -319,7 +320,7 @@ def q_read_batch(spark, sf_dir):
     """S5: one batch of a two-batch lake, read from its own directory."""
     lake = scratch_dir(spark, "s5")
     for batch in (B1, B2):
-        write_lake(_prepared(spark, sf_dir, "orders", batch), lake, "incremental")
+        write_lake(_prepared(spark, sf_dir, "orders", batch), lake, "incremental", batch_id=batch)
     return read_lake(spark, lake, batch_id=B2)
 
 
@@ -343,7 +344,8 @@ def _landed_snapshots(spark, sf_dir, name):
     before, after = orders_snapshots(_read(spark, sf_dir, "orders"))
     for batch, snap in ((B1, before), (B2, after)):
         write_lake(prepare(snap, hash_key("orders"), batch, CREATED_BY, SOURCE_SYSTEM,
-                           run_ts=RUN_TS, as_of=AS_OF, bits=256), lake, "incremental")
+                           run_ts=RUN_TS, as_of=AS_OF, bits=256), lake, "incremental",
+                   batch_id=batch)
     return read_lake(spark, lake)
 
 
@@ -366,7 +368,8 @@ def _indexed_snapshots(spark, sf_dir, name, keys):
     for batch, snap in zip((B1, B2), orders_snapshots(_read(spark, sf_dir, "orders")),
                            strict=True):
         write_lake(prepare(snap, hash_key("orders"), batch, CREATED_BY, SOURCE_SYSTEM,
-                           run_ts=RUN_TS, as_of=AS_OF, bits=256), lake, "incremental")
+                           run_ts=RUN_TS, as_of=AS_OF, bits=256), lake, "incremental",
+                   batch_id=batch)
         index_batch(spark, lake, batch, hash_key("orders"), keys)
     return lake
 
@@ -432,16 +435,24 @@ CONTENT_TABLES = ["customer", "orders", "lineitem", "documents"]
 def q_content(spark, sf_dir):
     """V3: runs verified by content. Then one row of each target is changed, counts
     staying as they are, and the content is compared once more."""
-    from tidewater.operators.checks import content_matches
-    root, out = scratch_dir(spark, "v3_content"), []
-    for t in CONTENT_TABLES:
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tidewater.operators.checks import content_matches, content_of
+    root = scratch_dir(spark, "v3_content")
+
+    def checked(t: str) -> tuple:
         spec, row = _table_run(spark, sf_dir, t, root, "incremental", B1, verify="content")
         lake, target = read_lake(spark, spec.lake_path), read_lake(spark, spec.target.name)
         first = target.agg(F.min(hash_key(t))).first()[0]
         changed = target.withColumn("CREATED_BY", F.when(F.col(hash_key(t)) == first, F.lit("X"))
                                     .otherwise(F.col("CREATED_BY")))
-        out.append((t, row["status"], row["rows_in"], row["rows_loaded"],
-                    content_matches(lake, target), content_matches(lake, changed)))
+        landed = content_of(lake)  # summed once for both comparisons
+        return (t, row["status"], row["rows_in"], row["rows_loaded"],
+                content_matches(landed, target), content_matches(landed, changed))
+
+    # as in ingest_all: the jobs of small tables share the cluster with those of large ones
+    with ThreadPoolExecutor(len(CONTENT_TABLES)) as pool:
+        out = list(pool.map(checked, CONTENT_TABLES))
     return spark.createDataFrame(out, "table_name string, status string, rows_in long, "
                                       "rows_loaded long, same boolean, same_after_change boolean")
 
@@ -453,7 +464,7 @@ def q_publish(spark, sf_dir):
     spec, _ = _table_run(spark, sf_dir, "orders", root, "historical", B1)
     half = _prepared(spark, sf_dir, "orders", B2).where(F.col("O_ORDERKEY") % 2 == 0)
     for path in (spec.lake_path, spec.target.name):
-        stage(half, path, "historical")
+        stage(half, path, "historical", batch_id=B2)
     return read_lake(spark, spec.target.name)
 
 
@@ -465,7 +476,7 @@ def q_manifest(spark, sf_dir):
     steps = [("incremental", B1, "orders"), ("incremental", B2, "orders"),
              ("incremental", B2, "orders"), ("historical", B3, "orders")]
     for mode, batch, table in steps:
-        write_lake(_prepared(spark, sf_dir, table, batch), lake, mode)
+        write_lake(_prepared(spark, sf_dir, table, batch), lake, mode, batch_id=batch)
         version = read_manifest(spark, lake).version
         counted = (read_lake(spark, lake, version=version).groupBy(BATCH_ID)
                    .agg(F.count(F.lit(1)).alias("rows"))
@@ -488,7 +499,7 @@ def q_evolved_types(spark, sf_dir):
     new = new.toDF("o_orderkey", "o_custkey", "o_totalprice")
     for batch, df in ((B1, old), (B2, new)):
         write_lake(normalize_columns(df).withColumn(BATCH_ID, F.lit(batch)), lake, "incremental",
-                   renames={"O_CUSTOMER": "O_CUSTKEY"})
+                   renames={"O_CUSTOMER": "O_CUSTKEY"}, batch_id=batch)
     return read_lake(spark, lake).withColumn("O_TOTALPRICE", F.col("O_TOTALPRICE").cast("string"))
 
 
@@ -552,7 +563,8 @@ def q_read_evolved(spark, sf_dir):
     orders = _read(spark, sf_dir, "orders")
     for batch, src in ((B1, orders), (B2, _with_extra(orders))):
         write_lake(prepare(src, hash_key("orders"), batch, CREATED_BY, SOURCE_SYSTEM,
-                           run_ts=AS_OF, as_of=AS_OF, bits=256), lake, "incremental")
+                           run_ts=AS_OF, as_of=AS_OF, bits=256), lake, "incremental",
+                   batch_id=batch)
     return read_lake(spark, lake)
 
 

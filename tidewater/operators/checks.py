@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,16 +66,30 @@ def reconcile(*counts: int | None) -> bool | None:
     return all(n == known[0] for n in known)
 
 
-def content_matches(left: DataFrame, right: DataFrame, columns: Iterable[str] | None = None) -> bool:
+@dataclass(frozen=True)
+class Content:
+    """Row count and order-free checksum of ``columns``."""
+
+    columns: tuple[str, ...]
+    rows: int
+    checksum: str
+
+
+def content_of(df: DataFrame, columns: Iterable[str] | None = None) -> Content:
+    """The content of ``columns`` (default: all) by one aggregate over ``df``, of which
+    one row reaches the driver."""
+    names = tuple(sorted(df.columns if columns is None else columns))
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *content_metrics(df.schema, names)).first()
+    return Content(names, row["rows"], content_text(row))
+
+
+def content_matches(left: DataFrame | Content, right: DataFrame,
+                    columns: Iterable[str] | None = None) -> bool:
     """V3 by content: both hold the same rows the same number of times, in any order.
 
     Compares row counts and order-free checksums of ``columns`` (default: those of
-    ``left``); one aggregate over each side, one row of each reaches the driver.
+    ``left``). A side that is compared more than once is given as its :func:`content_of`.
     """
-    names = sorted(left.columns if columns is None else columns)
-
-    def summed(df: DataFrame) -> tuple[int, str]:
-        row = df.agg(F.count(F.lit(1)).alias("rows"), *content_metrics(df.schema, names)).first()
-        return row["rows"], content_text(row)
-
-    return summed(left) == summed(right)
+    if not isinstance(left, Content):
+        left = content_of(left, columns)
+    return left == content_of(right, left.columns if columns is None else columns)
