@@ -71,3 +71,16 @@ def test_reruns_agree_and_rows_come_as_often_as_taken(spark):
 
 def test_empty_table(spark):
     assert mixing.mix_sources(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_words_are_counted_once_in_every_pass(spark, monkeypatch):
+    plans, real = [], mixing.materialize
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(mixing, "materialize", watched)
+    mixed = mixing.mix_sources(documents(spark, data()))
+    plans.append(mixed._jdf.queryExecution().optimizedPlan().toString())
+    assert {p.count("regexp_extract_all") for p in plans} == {0, 1}

@@ -99,7 +99,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = (base
             .withColumn(key, F.coalesce(F.concat(F.lit("="), col(source_col).cast("string")),
                                         F.lit("")))
-            .withColumn(bucket, F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int"))
+            # never null, and seen to be: a test for it would count the words twice more
+            .withColumn(bucket, F.coalesce(
+                F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int"), F.lit(0)))
             .withColumn(draw, F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(
                 col(id_col).cast("string"), F.lit("")))))
             .withColumn(slice_, F.substring(col(draw), 1, 2)))
