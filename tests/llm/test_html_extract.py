@@ -199,3 +199,18 @@ def test_deep_and_unclosed_markup():
     assert H.main_text("<a b='" * 20_000 + "x") == ""
     assert H.main_text("<p>" * 30_000 + "text") == "text"
     assert time.monotonic() - start < 20
+
+
+def test_no_candidate_is_lost_with_the_telling_pages(spark):
+    # words lack the 20 of 400 pages with the lowest hashes, which tell the candidates first
+    low = -(1 << 63)
+    hashes = [low + i * ((1 << 64) // 400) for i in range(400)]
+    rows = [("h", h, "<p>" + "most " * (i >= 20) + "all fair " * (i >= 21) + f"all own{i}</p>")
+            for i, h in enumerate(hashes)]
+    rows += [("few", h, f"<p>all own{i}</p>") for i, h in enumerate(hashes[200:204])]
+    pages = spark.createDataFrame(rows * 2, "host string, page long, html string")
+    told = {r["host"]: (r["share"], r["needed"]) for r in H.telling_pages(pages).collect()}
+    assert told == {"h": (84 / 400, 64), "few": (1.0, 4)}
+    found = {r["host"]: {w for _, w in json.loads(r["tokens"]) if w}
+             for r in H.seed_tokens(pages).collect()}
+    assert found == {"h": {"most", "all"}, "few": {"all"}}

@@ -21,9 +21,10 @@ slots inside page furniture (by element, role or class name) go, slots of
 an article or main element stay where a page has one, and the remaining slots
 are the main text, block by block.
 
-Candidates are the tokens that occur in nearly all pages, counted over all pages
-of the host; only their vectors are kept, and pages are read as sequences of
-them. Equal pages of a host count once. Vectors are
+Candidates are all tokens that can occur in nearly all pages of the host: one that
+does is missing in few pages, so it occurs in most of any larger group of them,
+and one that does not is no candidate. Candidates are then counted over all pages; only
+their vectors are kept, and pages are read as sequences of them. Equal pages of a host count once. Vectors are
 never gathered: a vector is kept as the sum over pages of count
 times a hash of the page, so a token's vector comes from one aggregate with
 partial sums in each task, whatever the number of pages of a host.
@@ -214,15 +215,43 @@ def host_of(url: Column) -> Column:
                                                1)), F.lit(""))
 
 
+def telling_pages(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
+    """``host``, ``share`` and ``needed``: which pages of a host tell its candidates.
+
+    A token of the template may be missing in ``missed`` of the host's distinct pages,
+    so of any ``picked`` of them it occurs in ``picked - missed`` or more: a token that
+    does not is in no template. Those picked are the pages whose hash lies in the lowest
+    ``share`` of all hashes, about four times as many as may miss a token. A host that
+    has fewer than ``missed + 2`` there takes all of its pages.
+    """
+    keys = materialize(pages.select("host", "page").distinct(), "page_keys")
+    limits = (keys.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+              .withColumn("missed", F.col("all_pages") - F.ceil(support * F.col("all_pages")))
+              .withColumn("share", (4 * F.col("missed") + 4) / F.col("all_pages")))
+    few = F.col("picked") < F.col("missed") + 2
+    return (keys.join(limits, "host").groupBy("host", "all_pages", "missed", "share")
+            .agg(F.count_if(_picked()).alias("picked"))
+            .select("host", F.when(few, 1.0).otherwise(F.col("share")).alias("share"),
+                    (F.when(few, F.col("all_pages")).otherwise(F.col("picked"))
+                     - F.col("missed")).alias("needed")))
+
+
+def _picked() -> Column:
+    """Whether the page's hash lies in the lowest ``share`` of all."""
+    return (F.col("share") >= 1) | (F.col("page") / F.lit(2.0 ** 64) + 0.5 < F.col("share"))
+
+
 def seed_tokens(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``host`` and ``tokens``: what may belong to the host's template, as
     JSON pairs of place and word.
 
-    Counted over all pages: a token of the template, in whatever role, occurs
-    in at least ``support`` of them, and on average no more tokens than a page
-    has do. A task adds up its pages and lets go of its sums at a fixed number.
+    A token of the template, in whatever role, occurs in at least ``support`` of the
+    host's distinct pages; no such token is left out. Others may come with them, which
+    occur nearly as often in the :func:`telling_pages`, at most twice as many as a page
+    has; :func:`role_vectors` counts all of them over all pages. A task adds up its
+    pages and lets go of its sums at a fixed number.
     """
-    total = pages.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    telling = materialize(telling_pages(pages, support), "telling_pages")
 
     def frame(sums):
         keys = [(host, *t, n) for host, own in sums.items() for t, n in own.items()]
@@ -243,10 +272,11 @@ def seed_tokens(pages: DataFrame, support: float = SUPPORT) -> DataFrame:
                     sums, held = {}, 0
         yield from frame(sums)
 
-    return (pages.select("host", "html")
+    return (pages.join(telling, "host").where(_picked()).dropDuplicates(["host", "page"])
+            .select("host", "html")
             .mapInPandas(scan, "host string, place string, word string, n long")
             .groupBy("host", "place", "word").agg(F.sum("n").alias("n"))
-            .join(total, "host").where(F.col("n") >= support * F.col("all_pages"))
+            .join(telling.select("host", "needed"), "host").where(F.col("n") >= F.col("needed"))
             .groupBy("host").agg(F.sort_array(F.collect_list(F.array("place", "word"))).alias("t"))
             .select("host", F.to_json("t").alias("tokens")))
 
@@ -419,10 +449,9 @@ def templates(pages: DataFrame, min_pages: int, support: float, min_tokens: int)
     Equal pages of a host count once, so an article is not taken for a template
     because it stands in many copies.
     """
-    distinct = pages.dropDuplicates(["host", "page"])
-    hosts = materialize(distinct.groupBy("host").agg(F.count(F.lit(1)).alias("all_pages"))
+    hosts = materialize(pages.groupBy("host").agg(F.count_distinct("page").alias("all_pages"))
                         .where(F.col("all_pages") >= min_pages), "hosts")
-    large = distinct.join(hosts.select("host"), "host", "left_semi")
+    large = pages.join(hosts.select("host"), "host", "left_semi")
     state = materialize(
         seed_tokens(large, support).join(hosts, "host")
         .withColumns({"levels": F.array().cast("array<string>"),
