@@ -143,3 +143,24 @@ def test_only_texts_that_may_lose_lines_are_moved(spark):
     assert len(got) == 3000 and {r["doc_id"] for r in got} == set(range(3000))
     assert {r["doc_id"] for r in got if r["gone"] == [0, 2]} == set(range(0, 3000, 100))
     assert sum(r["gone"] is None for r in got) == 2970
+
+
+def test_blocks_keep_postings_and_their_groups():
+    import numpy as np
+    some = np.random.default_rng(1)
+    columns = some.integers(-1 << 62, 1 << 62, (len(line_dedup.POSTING), 3000))
+    columns[0], columns[1] = columns[0] % 90 - 45, columns[1] % 8
+    batch = line_dedup.blocks(columns, 7)
+    parts = [line_dedup.unblocked(b.as_py()) for b in batch.column(1)]
+    assert len(parts) == len(set(batch.column(0).to_pylist())) == 7
+    key = sorted(map(tuple, columns.T.tolist()))
+    assert sorted(tuple(x) for p in parts for x in p.T.tolist()) == key
+    groups = [{(w, m >> 2) for w, m in p[:2].T.tolist()} for p in parts]
+    assert sum(map(len, groups)) == len(set().union(*groups))
+
+
+def test_a_text_is_split_once(spark, capsys):
+    # within array_join it would be split again for each line that stays
+    line_dedup.dedup_lines(documents(spark, data())).explain()
+    joins = [x for x in capsys.readouterr().out.splitlines() if "array_join" in x]
+    assert joins and not any("split(" in x for x in joins)

@@ -35,6 +35,7 @@ bits of a 64-bit hash.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -44,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, free_names, materialize, whole_groups
+from .common import col, free_names, materialize
 
 #: Bytes of text handled at a time.
 CHUNK = 1 << 17
@@ -158,6 +159,14 @@ class Lines:
         self.size = np.diff(np.r_[self.first, len(self.key)])
         self.row, self.line = row[first], line[first]
 
+    def picked(self, hit: np.ndarray) -> Lines:
+        """Only the lines marked in ``hit``."""
+        out = object.__new__(Lines)
+        out.key, out.size = self.key[np.repeat(hit, self.size)], self.size[hit]
+        out.first = np.cumsum(out.size) - out.size
+        out.row, out.line = self.row[hit], self.line[hit]
+        return out
+
     def signatures(self) -> np.ndarray:
         """Two 64-bit sums per line: equal sets have equal ones."""
         return np.stack([np.add.reduceat(_mixed(self.key ^ np.uint64(s)), self.first)
@@ -191,10 +200,14 @@ def counters(docs: DataFrame, bits: int, keys_of) -> np.ndarray:
 
     def count(batches):
         total = np.zeros(1 << bits, np.int64)
-        for b in batches:
-            for values in keys_of(b):
-                total += np.bincount((values >> np.uint64(64 - bits)).astype(np.int64),
-                                     minlength=1 << bits)
+        held: list[np.ndarray] = []
+        for values in itertools.chain.from_iterable(map(keys_of, batches)):
+            held.append((values >> np.uint64(64 - bits)).astype(np.int64))
+            if sum(map(len, held)) >= 1 << bits:
+                total += np.bincount(np.concatenate(held), minlength=1 << bits)
+                held.clear()
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=1 << bits)
         parts = total.reshape(slices, -1)
         some = [i for i in range(slices) if parts[i].any()]
         yield pa.RecordBatch.from_pydict({
@@ -212,9 +225,13 @@ def counters(docs: DataFrame, bits: int, keys_of) -> np.ndarray:
     return out.reshape(-1)
 
 
-#: place: line above 32 bits of text hash; shape: see ``packed``.
-POSTING = ("word long, cell int, id long, place long, shape long, parity_low long, "
-           "parity_high long")
+#: Postings travel in blocks: long columns, byte by byte, so that equal bytes lie together.
+#: mark: cell above two bits, null id and probe; place: line above 32 bits of text
+#: hash; shape: see ``packed``.
+POSTING = ("word", "mark", "id", "place", "shape", "parity_low", "parity_high")
+BLOCK = "bucket int, postings binary"
+#: Postings that a task holds before it hands them on, and those of a bucket, about.
+HELD, BUCKET = 1 << 18, 200_000
 _HALF = np.int64(0xFFFFFFFF)
 
 
@@ -240,66 +257,114 @@ def unpacked(shape: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             np.where(short, shape >> 14, shape & 0x7FFFFF))
 
 
-def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=None) -> DataFrame:
-    """Prefix words of the lines of ``rows`` (``id``, ``text_hash``, ``text``).
+def blocks(columns: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Postings, a row of longs for each column, as one block for each of their buckets;
+    the same word and cell always go to one bucket."""
+    word, mark = columns[0].view(np.uint64), columns[1].view(np.uint64)
+    bucket = (_mixed(word + _mixed(mark >> np.uint64(2))) % np.uint64(buckets)).astype(np.int32)
+    order = np.lexsort((columns[0], bucket))
+    bucket, columns = bucket[order], columns[:, order]
+    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
+    return pa.RecordBatch.from_pydict({
+        "bucket": pa.array(bucket[edges[:-1]]),
+        "postings": pa.array([
+            np.ascontiguousarray(columns[:, i:j]).view(np.uint8).reshape(len(POSTING), j - i, 8)
+            .transpose(0, 2, 1).tobytes() for i, j in itertools.pairwise(edges.tolist())],
+            pa.binary())})
+
+
+def unblocked(block: bytes) -> np.ndarray:
+    """The columns of a block."""
+    planes = np.frombuffer(block, np.uint8).reshape(len(POSTING), 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.int64)[:, :, 0]
 
-    ``only``: a broadcast bit table; words without their bit are left out.
+
+def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=None,
+             probes=None) -> DataFrame:
+    """Prefix words of the lines of ``rows`` (``id``, ``text_hash``, ``text``), in blocks.
+
+    ``only``: a broadcast bit table; words without their bit are left out. ``probes``:
+    one of lines; those without their bit are no probes, without it all are.
     Lines of one batch with equal sets are represented by the earliest; the
-    others come out as rows of shape 0, spread over the words.
+    others come out as rows of shape 0, spread over the words, unless ``only`` is given.
     """
-    def emit(batches):
+    buckets = max(1, int(crowds.value.sum()) // BUCKET)
+
+    def columns_of(batch):
         bits = int(math.log2(len(crowds.value)))
-        for b in batches:
-            ids = b.column(b.schema.get_field_index("id"))
-            text_hash = b.column(b.schema.get_field_index("text_hash")).to_numpy(
-                zero_copy_only=False)
-            value = ids.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
-            for row, line, h in words_of(b, "text"):
-                ls = Lines(row, line, h, rarity.value)
-                sign = ls.signatures()
-                place = ls.line << np.int64(32) | text_hash[ls.row]
-                order = np.lexsort((place, value[ls.row], sign[:, 1], sign[:, 0]))
-                s = sign[order]
-                again = np.r_[False, (s[1:] == s[:-1]).all(axis=1)]
-                # a repeated row is the same document: its lines are not each other's copies
-                own = np.stack([value[ls.row], place], axis=1)[order]
-                group = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
-                again &= (own != own[group]).any(axis=1)
-                copy = np.zeros(len(order), bool)
-                copy[order] = again
+        ids = batch.column(batch.schema.get_field_index("id"))
+        missing = ids.is_null().to_numpy(zero_copy_only=False)
+        text_hash = batch.column(batch.schema.get_field_index("text_hash")).to_numpy(
+            zero_copy_only=False)
+        value = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        for row, line, h in words_of(batch, "text"):
+            ls = Lines(row, line, h, rarity.value)
+            of, pos, key = ls.prefix(threshold)
+            if only is not None:
+                hit = np.zeros(len(ls.row), bool)
+                hit[of[marked(only.value, word_marks(key))]] = True
+                if not hit.any():
+                    continue
+                ls = ls.picked(hit)
                 of, pos, key = ls.prefix(threshold)
-                stays = ~copy[of]
-                if only is not None:
-                    stays &= marked(only.value, word_marks(key))
-                of, pos, key = of[stays], pos[stays], key[stays]
-                blocks = -(-crowds.value[((key << np.uint64(8)) >> np.uint64(64 - bits))
-                                         .astype(np.int64)] // cell)
-                parity = ls.parity().view(np.int64)
-
-                def batch(of, key, cells, shape):
-                    return pa.RecordBatch.from_pydict({
-                        "word": pa.array(key.view(np.int64)),
-                        "cell": pa.array(cells.astype(np.int32)),
-                        "id": ids.take(pa.array(ls.row[of])), "place": pa.array(place[of]),
-                        "shape": pa.array(shape), "parity_low": pa.array(parity[of, 0]),
-                        "parity_high": pa.array(parity[of, 1])})
-
-                one = blocks <= 1
-                shape = packed(ls.size[of], pos, np.ascontiguousarray(sign[of, 0]))
-                yield batch(of[one], key[one], np.zeros(one.sum()), shape[one])
-                if not one.all():
-                    of, key, shape, blocks = of[~one], key[~one], shape[~one], blocks[~one]
-                    mine = (_mixed(place[of].view(np.uint64))
-                            % blocks.astype(np.uint64)).astype(np.int64)
-                    rep = np.repeat(np.arange(len(of)), blocks)
-                    other = np.arange(len(rep)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-                    lo, hi = np.minimum(mine[rep], other), np.maximum(mine[rep], other)
-                    yield batch(of[rep], key[rep], lo * blocks[rep] + hi + 1, shape[rep])
-                gone = np.flatnonzero(copy)
-                if len(gone):
-                    yield batch(gone, _mixed(place[gone].view(np.uint64)), gone * 0, gone * 0)
-
-    return rows.mapInArrow(emit, POSTING)
+            sign = ls.signatures()
+            place = ls.line << np.int64(32) | text_hash[ls.row]
+            null = missing[ls.row]
+            order = np.lexsort((place, value[ls.row], null, sign[:, 1], sign[:, 0]))
+            s = sign[order]
+            again = np.r_[False, (s[1:] == s[:-1]).all(axis=1)]
+            # a repeated row is the same document: its lines are not each other's copies
+            own = np.stack([value[ls.row], null, place], axis=1)[order]
+            group = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
+            again &= (own != own[group]).any(axis=1)
+            copy = np.zeros(len(order), bool)
+            copy[order] = again
+            stays = ~copy[of]
+            if only is not None:
+                stays &= marked(only.value, word_marks(key))
+            of, pos, key = of[stays], pos[stays], key[stays]
+            blocks = -(-crowds.value[((key << np.uint64(8)) >> np.uint64(64 - bits))
+                                     .astype(np.int64)] // cell)
+            parity = ls.parity().view(np.int64)
+            flags = null.astype(np.int64) << 1 | (
+                1 if probes is None else marked(probes.value, line_marks(
+                    text_hash[ls.row], ls.line)).astype(np.int64))
+
+            def columns(of, key, cells, shape, ls=ls, place=place, parity=parity, flags=flags):
+                return np.stack([key.view(np.int64), cells << 2 | flags[of], value[ls.row[of]],
+                                 place[of], shape, parity[of, 0], parity[of, 1]])
+
+            one = blocks <= 1
+            shape = packed(ls.size[of], pos, np.ascontiguousarray(sign[of, 0]))
+            yield columns(of[one], key[one], np.zeros(one.sum(), np.int64), shape[one])
+            if not one.all():
+                of, key, shape, blocks = of[~one], key[~one], shape[~one], blocks[~one]
+                mine = (_mixed(place[of].view(np.uint64))
+                        % blocks.astype(np.uint64)).astype(np.int64)
+                rep = np.repeat(np.arange(len(of)), blocks)
+                other = np.arange(len(rep)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                lo, hi = np.minimum(mine[rep], other), np.maximum(mine[rep], other)
+                yield columns(of[rep], key[rep], lo * blocks[rep] + hi + 1, shape[rep])
+            gone = np.flatnonzero(copy)
+            if len(gone) and only is None:
+                yield columns(gone, _mixed(place[gone].view(np.uint64)), gone * 0, gone * 0)
+
+    def emit(batches):
+        held, n = [], 0
+        for columns in itertools.chain.from_iterable(map(columns_of, batches)):
+            held.append(columns)
+            n += columns.shape[1]
+            if n >= HELD:
+                yield from parted(held, n)
+                held, n = [], 0
+        yield from parted(held, n)
+
+    def parted(held, n):
+        columns = np.concatenate(held, axis=1) if n else None
+        for i in range(0, n, HELD):
+            yield blocks(columns[:, i:i + HELD], buckets)
+
+    return rows.mapInArrow(emit, BLOCK)
 
 
 def differing(size, parity, x, y) -> np.ndarray:
@@ -391,46 +456,45 @@ PAIR = ("id long, text_hash long, line int, y_id long, y_hash long, y_line int,
         "more boolean")
 
 
-def candidates(dealt: DataFrame, threshold: float, kept: int, probes: bool) -> DataFrame:
-    """Pairs that pass the filters, from postings sorted by word, cell and place.
+def candidates(found: DataFrame, threshold: float, kept: int) -> DataFrame:
+    """Pairs that pass the filters, from blocks of postings.
 
     Lines with equal sets share all their prefix words, so only the first word
     reports them, and only the earliest of them meets other lines. Equal sets
     are told by size, parities and signature together.
     """
-    def scan(frames):
-        for f in whole_groups(frames, ["word", "cell"]):
-            shape, place = f["shape"].to_numpy(), f["place"].to_numpy()
-            size, pos, sign = unpacked(shape)
-            word, cell = f["word"].to_numpy(), f["cell"].to_numpy()
-            missing, ids = f["id"].isna().to_numpy(), f["id"].fillna(0).to_numpy(np.int64)
-            new = (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])
-            group = np.cumsum(np.r_[True, new])
-            rank = np.cumsum(np.r_[True, np.any(
-                [p[1:] != p[:-1] for p in (missing, ids, place)], axis=0)])
-            live = np.flatnonzero(size > 0)
-            parity = f[["parity_low", "parity_high"]].to_numpy().view(np.uint64)
-            first, copy = equal_lines(group[live], rank[live], size[live], sign[live],
-                                      parity[live])
-            gone = np.r_[np.flatnonzero(size == 0), live[copy & (pos[live] == 0)]]
-            keep = live[first]
-            probe = f["probe"].to_numpy(bool) if probes else np.ones(len(f), bool)
-            x, y, more = likely_pairs(
-                group[keep], rank[keep], probe[keep], size[keep], pos[keep],
-                parity[keep], threshold, kept)
-            x, y = np.r_[keep[x], gone], np.r_[keep[y], gone]
-
-            def known(at, missing=missing, ids=ids):
-                return pd.arrays.IntegerArray(ids[at], missing[at])
-
-            yield pd.DataFrame({
-                "id": known(x), "text_hash": place[x] & _HALF,
-                "line": (place[x] >> 32).astype(np.int32), "y_id": known(y),
-                "y_hash": place[y] & _HALF, "y_line": (place[y] >> 32).astype(np.int32),
-                "copy": np.arange(len(x)) >= len(x) - len(gone),
-                "more": np.r_[more, np.zeros(len(gone), bool)]})
-
-    return dealt.mapInPandas(scan, PAIR)
+    def scan(f: pd.DataFrame) -> pd.DataFrame:
+        columns = np.concatenate([unblocked(b) for b in f["postings"]], axis=1)
+        word, mark, ids, place = columns[:4]
+        columns = columns[:, np.lexsort((place, ids, mark >> 1 & 1, mark >> 2, word))]
+        word, mark, ids, place, shape = columns[:5]
+        parity = np.ascontiguousarray(columns[5:].T).view(np.uint64)
+        size, pos, sign = unpacked(shape)
+        cell, missing, probe = mark >> 2, (mark & 2) > 0, (mark & 1) > 0
+        new = (word[1:] != word[:-1]) | (cell[1:] != cell[:-1])
+        group = np.cumsum(np.r_[True, new])
+        rank = np.cumsum(np.r_[True, np.any(
+            [p[1:] != p[:-1] for p in (missing, ids, place)], axis=0)])
+        live = np.flatnonzero(size > 0)
+        first, copy = equal_lines(group[live], rank[live], size[live], sign[live], parity[live])
+        gone = np.r_[np.flatnonzero(size == 0), live[copy & (pos[live] == 0)]]
+        keep = live[first]
+        x, y, more = likely_pairs(
+            group[keep], rank[keep], probe[keep], size[keep], pos[keep],
+            parity[keep], threshold, kept)
+        x, y = np.r_[keep[x], gone], np.r_[keep[y], gone]
+
+        def known(at):
+            return pd.arrays.IntegerArray(ids[at], missing[at])
+
+        return pd.DataFrame({
+            "id": known(x), "text_hash": place[x] & _HALF,
+            "line": (place[x] >> 32).astype(np.int32), "y_id": known(y),
+            "y_hash": place[y] & _HALF, "y_line": (place[y] >> 32).astype(np.int32),
+            "copy": np.arange(len(x)) >= len(x) - len(gone),
+            "more": np.r_[more, np.zeros(len(gone), bool)]})
+
+    return found.groupBy("bucket").applyInPandas(scan, PAIR)
 
 
 #: A filter has 16 bits for each of its rows, and at most 2 ** MOST_BITS (64 MB).
@@ -510,13 +574,19 @@ def sets_of(rows: DataFrame, wanted: DataFrame, rarity) -> DataFrame:
             .dropDuplicates(["id", "text_hash", "line"]))
 
 
-def verified(rows: DataFrame, pairs: DataFrame, threshold: float, rarity) -> DataFrame:
-    """``pairs`` with ``match``: whether the two full sets are alike enough."""
+def sets_of_pairs(rows: DataFrame, pairs: DataFrame, rarity) -> DataFrame:
+    """Word keys of both lines of all ``pairs``."""
     at = ["id", "text_hash", "line"]
     other = ["y_id", "y_hash", "y_line"]
     wanted = pairs.select(*at).unionByName(pairs.select(
         *[F.col(o).alias(a) for o, a in zip(other, at, strict=True)])).distinct()
-    sets = materialize(sets_of(rows, wanted, rarity), "line_sets")
+    return materialize(sets_of(rows, wanted, rarity), "line_sets")
+
+
+def verified(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` with ``match``: whether the two full sets are alike enough."""
+    at = ["id", "text_hash", "line"]
+    other = ["y_id", "y_hash", "y_line"]
     x = sets.withColumnRenamed("words", "x_words")
     y = sets.select(*[F.col(a).alias(o) for a, o in zip(at, other, strict=True)],
                     F.col("words").alias("y_words"))
@@ -545,15 +615,11 @@ def matching_lines(rows: DataFrame, threshold: float, sketch_bits: int, cell: in
 
     crowds = sc.broadcast(counters(rows, sketch_bits, prefix_words))
     at = ["id", "text_hash", "line"]
-    found = postings(rows, threshold, rarity, crowds, cell)
-
-    def dealt(p: DataFrame) -> DataFrame:
-        return p.repartition("word", "cell").sortWithinPartitions(
-            "word", "cell", F.col("id").asc_nulls_last(), "place")
-
-    pairs = materialize(candidates(dealt(found), threshold, kept, False), "line_pairs")
-    judged = materialize(verified(
-        rows, pairs.where("not copy").drop("copy").distinct(), threshold, rarity), "judged")
+    pairs = materialize(candidates(
+        postings(rows, threshold, rarity, crowds, cell), threshold, kept), "line_pairs")
+    unsure = materialize(pairs.where("not copy").drop("copy").distinct(), "unsure_pairs")
+    sets = sets_of_pairs(rows, unsure, rarity)
+    judged = materialize(verified(sets, unsure, threshold), "judged")
     settled = judged.where("match").select(*at).unionByName(pairs.where("copy").select(*at))
     failed = materialize(
         judged.groupBy(*at).agg(F.max("match").alias("m"), F.max("more").alias("more"))
@@ -562,16 +628,20 @@ def matching_lines(rows: DataFrame, threshold: float, sketch_bits: int, cell: in
         # these lines meet every line that passes the filters, at their own prefix words
         n = F.size("words")
         own = F.slice("words", 1, n - F.ceil(threshold * n - 1e-9).cast("int") + 1)
-        words = sets_of(rows, failed, rarity).select(F.explode(own).alias("word"))
+        same = ((F.col("s.text_hash") == F.col("f.text_hash"))
+                & (F.col("s.line") == F.col("f.line")) & F.col("s.id").eqNullSafe(F.col("f.id")))
+        words = materialize(sets.alias("s").join(failed.alias("f"), same, "left_semi").select(
+            F.explode(own).alias("word")).distinct(), "failed_words")
         only = sc.broadcast(bit_table(words, lambda f: word_marks(f["word"].to_numpy())))
-        f = failed.select(F.col("id").alias("f_id"), F.shiftleft(F.col("line").cast("long"), 32)
-                          .bitwiseOR(F.col("text_hash")).alias("f_place"))
-        probes = postings(rows, threshold, rarity, crowds, cell, only).where("shape != 0").join(
-            f, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("place") == F.col("f_place")), "left")
-        probes = probes.withColumn("probe", F.col("f_place").isNotNull()).drop("f_id", "f_place")
-        rest = materialize(candidates(dealt(probes), threshold, 1 << 40, True), "line_pairs")
+        # a few other lines pass this table; what they match is a match as well
+        probes = sc.broadcast(bit_table(failed, lambda f: line_marks(
+            f["text_hash"].to_numpy(), f["line"].to_numpy())))
+        rest = materialize(candidates(
+            postings(rows, threshold, rarity, crowds, cell, only, probes), threshold, 1 << 40),
+            "line_pairs")
+        unsure = materialize(rest.where("not copy").drop("copy").distinct(), "unsure_pairs")
         settled = settled.unionByName(
-            verified(rows, rest.where("not copy").drop("copy").distinct(), threshold, rarity)
+            verified(sets_of_pairs(rows, unsure, rarity), unsure, threshold)
             .where("match").select(*at))
     return settled.distinct()
 
@@ -631,7 +701,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows, so a task holds its largest text and the word hashes of it; a line may have up
     to 2**24 words.
     """
-    text_hash, gone, key = free_names(docs, "text_hash", "gone", "gone_key")
+    text_hash, gone, key, parts = free_names(docs, "text_hash", "gone", "gone_key", "parts")
     rows = docs.select(col(id_col).cast("long").alias("id"),
                        _text_hash(col(text_col)).alias("text_hash"),
                        col(text_col).alias("text"))
@@ -645,10 +715,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (col(text_hash) == col(key + "_hash")) & col(id_col).cast("long").eqNullSafe(col(key)),
         F.xxhash64(col(id_col).cast("long"), col(text_hash)),
         F.xxhash64(col(key), col(key + "_hash")), gone)
-    parts = F.split(col(text_col), "\n")
+    # a column of its own, or a text would be split again for each of its lines
+    joined = joined.withColumn(parts, F.split(col(text_col), "\n"))
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), col(gone))
     cleaned = F.when(col(gone).isNull(), col(text_col)).otherwise(F.array_join(
-        F.transform(stay, lambda i: F.get(parts, i)), "\n"))
+        F.transform(stay, lambda i: F.get(col(parts), i)), "\n"))
     added = ("n_lines", "n_removed")
     return joined.select(
         *[cleaned.alias(c) if c == text_col else col(c) for c in docs.columns
