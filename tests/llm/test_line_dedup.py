@@ -164,3 +164,70 @@ def test_a_text_is_split_once(spark, capsys):
     line_dedup.dedup_lines(documents(spark, data())).explain()
     joins = [x for x in capsys.readouterr().out.splitlines() if "array_join" in x]
     assert joins and not any("split(" in x for x in joins)
+
+
+def test_only_lines_of_like_size_are_compared(monkeypatch):
+    import numpy as np
+    some = np.random.default_rng(5)
+    n = 1200
+    size = some.integers(5, 200, n)
+    pos = some.integers(0, 1 + size // 5)
+    group, rank, probe = np.repeat([0, 1, 2], [30, 170, n - 200]), np.arange(n), some.random(n) < 0.9
+    parity = np.zeros((n, 2), np.uint64)
+    x, y = np.tril_indices(n, -1)
+    keep = (group[x] == group[y]) & probe[x]
+    x, y = x[keep], y[keep]
+    all_pairs = len(x)
+    real = line_dedup.passing
+    ok = real(size, pos, parity, x, y, 0.8)
+    want = set(zip(x[ok].tolist(), y[ok].tolist(), strict=True))
+    compared = []
+
+    def counted(size, pos, parity, x, y, threshold):
+        compared.append(len(x))
+        return real(size, pos, parity, x, y, threshold)
+
+    monkeypatch.setattr(line_dedup, "passing", counted)
+    for large in (1 << 17, 10):  # all at once, and block by block
+        monkeypatch.setattr(line_dedup, "LARGE", large, raising=False)
+        compared.clear()
+        x, y, more = line_dedup.likely_pairs(group, rank, probe, size, pos, parity, 0.8, 1 << 40)
+        assert set(zip(x.tolist(), y.tolist(), strict=True)) == want and len(x) == len(want)
+        assert not more.any()
+        if large > 10:
+            assert sum(compared) < all_pairs / 2
+
+
+def test_only_wanted_lines_are_cut_into_words():
+    import pyarrow as pa
+    texts = ["a b\nc d\n\ne", None, "", "f\ng averylongwordindeed", "\n\nh"]
+    b = pa.RecordBatch.from_pydict({"text": pa.array(texts)})
+
+    def words(*more):
+        return [w for p in line_dedup.words_of(b, "text", *more)
+                for w in zip(*(v.tolist() for v in p), strict=True)]
+
+    got = words(lambda row, line: (row + line) % 2 == 0)
+    assert got == [w for w in words() if (w[0] + w[1]) % 2 == 0]
+    assert [w[:2] for w in got] == [(0, 0), (0, 0), (3, 1), (3, 1), (4, 2)]
+
+
+def test_sets_are_shuffled_once_for_both_lines_of_a_pair(spark):
+    pairs = spark.createDataFrame(
+        [(1, 5, 0, 2, 6, 1, True), (None, 7, 0, 1, 5, 0, True)],
+        "id long, text_hash long, line int, y_id long, y_hash long, y_line int, more boolean")
+    texts = spark.createDataFrame(
+        [(1, 5, "a b c d e"), (2, 6, "x\na b c d"), (None, 7, "a b")],
+        "id long, text_hash long, text string")
+    rarity = spark.sparkContext.broadcast(line_dedup.np.zeros(1 << 16, line_dedup.np.uint8))
+    judged = line_dedup.verified(line_dedup.sets_of_pairs(texts, pairs, rarity), pairs, 0.8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = judged.collect()
+        plan = judged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {(r["id"], r["match"], r["own"] and len(r["own"])) for r in got} == {
+        (1, True, None), (None, False, 1)}
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final

@@ -48,37 +48,18 @@ from pyspark.sql import functions as F
 from .common import col, free_names, materialize
 
 #: Bytes of text handled at a time.
-CHUNK = 1 << 17
+CHUNK = 1 << 18
 #: Most likely partners that a line keeps per prefix word.
 KEPT = 3
 WEAK = 16
 #: Lines of fewer words keep 64 parity bits, which are plenty for them.
 FOLD = 32
+#: Pairs of lines compared at a time, and those beyond which a group is a large one.
+PAIRS, LARGE = 1 << 18, 1 << 17
 
-_LOWER = bytes(range(256)).lower()
-_WORD = bytes(c not in (0x20, *range(0x09, 0x0E)) for c in range(256))
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
-        out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-class _Powers:
-    """Powers of the hash base and its inverse, grown as needed."""
-
-    up = down = _powers(1, 0)
-
-    @classmethod
-    def of(cls, n: int):
-        if len(cls.up) < n:
-            n = max(n, CHUNK)
-            cls.up, cls.down = _powers(_BASE, n), _powers(_INVERSE, n)
-        return cls.up, cls.down
+#: The least bytes of a little-endian number, by how many.
+_LEAST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -88,17 +69,41 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _counted(places: np.ndarray, marks: np.ndarray) -> np.ndarray:
-    """For every place, how many of the marks lie at or before it; both sorted."""
-    at = np.searchsorted(places, marks)
-    return np.repeat(np.arange(len(marks) + 1), np.diff(np.r_[0, at, len(places)]))
+def pieces(marks: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, size) of what lies between marks, from 0 to ``end``."""
+    start = np.r_[0, marks + 1]
+    return start, np.r_[marks, end] - start
+
 
+def cut(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with A-Z lower-cased, where white space lies, and which of it breaks lines."""
+    low = raw + ((raw - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
+    marks = np.flatnonzero((raw - np.uint8(9) < 5) | (raw == 32))
+    return low, marks, raw[marks] == 10
 
-def words_of(batch: pa.RecordBatch, name: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+
+def word_hashes(text: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at ``start``, taken in steps of eight bytes."""
+    eight = np.ndarray((len(text) + 1,), "<u8", text + bytes(9), strides=(1,))
+    h = _mixed((eight[start] & _LEAST[np.minimum(size, 8)]) ^ (size.astype(np.uint64) * _ODD))
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        steps = (size[long] - 1) >> 3
+        head = np.cumsum(steps) - steps
+        nth = 1 + np.arange(steps.sum()) - np.repeat(head, steps)
+        at = np.repeat(start[long], steps) + 8 * nth
+        left = np.repeat(size[long], steps) - 8 * nth
+        part = _mixed((eight[at] & _LEAST[np.minimum(left, 8)]) + nth.astype(np.uint64) * _ODD)
+        h[long] = _mixed(h[long] + np.add.reduceat(part, head))
+    return h
+
+
+def words_of(batch: pa.RecordBatch, name: str, wanted=None
+             ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, line, word hash) of every word, chunk by chunk, rows never split.
 
-    Works on the batch's text buffer: a word's hash is the sum of its bytes
-    times powers of an odd number, scaled back to the word's start.
+    Works on the batch's text buffer. With ``wanted``, a function of rows and line
+    numbers, only of lines for which it is true; the others are not cut into words.
     """
     text = batch.column(batch.schema.get_field_index(name)).cast(pa.large_string())
     offsets = np.frombuffer(text.buffers()[1], np.int64)[text.offset:text.offset + len(text) + 1]
@@ -108,29 +113,32 @@ def words_of(batch: pa.RecordBatch, name: str) -> Iterator[tuple[np.ndarray, np.
     while row < len(text):
         last = int(np.searchsorted(offsets, offsets[row] + CHUNK, "right")) - 1
         last = min(max(last, row + 1), len(text))
-        at = offsets[row:last + 1] - offsets[row]
-        raw = data[offsets[row]:offsets[last]].tobytes().translate(_LOWER)
-        n = len(raw)
-        inside = np.frombuffer(raw.translate(_WORD), bool)
-        first, final = inside.copy(), inside.copy()  # first and last byte of a word
-        first[1:] &= ~inside[:-1]
-        final[:-1] &= ~inside[1:]
-        cut = at[1:-1][(at[1:-1] > 0) & (at[1:-1] < n)]  # rows end where the next begins
-        first[cut] = inside[cut]
-        final[cut - 1] = inside[cut - 1]
-        start, end = np.flatnonzero(first), np.flatnonzero(final)
-        if len(start):
-            buf = np.frombuffer(raw, np.uint8)
-            up, down = _Powers.of(n)
-            sums = buf.astype(np.uint64)
-            sums *= up[:n]
-            np.cumsum(sums, out=sums)
-            before = np.where(start > 0, sums[start - 1], np.uint64(0))
-            h = _mixed((sums[end] - before) * down[start] + (end - start).astype(np.uint64))
-            r = _counted(start, at[1:-1])
-            breaks = np.flatnonzero(buf == 10)
-            yield r + row, _counted(start, breaks) - np.searchsorted(breaks, at)[r], h
+        at = offsets[row:last + 1]
+        # a line break between rows, so that all words and lines lie between marks
+        raw = np.frombuffer(b"\n".join(
+            [data[a:b] for a, b in itertools.pairwise(at.tolist())]), np.uint8)
+        at = at[:-1] - at[0] + np.arange(last - row)
+        if wanted is None:
+            low, marks, breaks = cut(raw)
+            start, size = pieces(marks[breaks], len(raw))
+        else:
+            start, size = pieces(np.flatnonzero(raw == 10), len(raw))
+        r = np.searchsorted(at, start, "right") - 1
+        line = np.arange(len(r)) - np.searchsorted(start, at)[r]
+        r += row
         row = last
+        if wanted is not None:
+            hit = np.flatnonzero((size > 0) & wanted(r, line))
+            r, line, start, size = r[hit], line[hit], start[hit], size[hit]
+            low, marks, breaks = cut(np.frombuffer(b"\n".join(
+                [raw[a:a + n] for a, n in zip(start.tolist(), size.tolist(), strict=True)]),
+                np.uint8))
+        of = np.r_[0, np.cumsum(breaks)]
+        start, size = pieces(marks, len(low))
+        full = np.flatnonzero(size)
+        if len(full):
+            of = of[full]
+            yield r[of], line[of], word_hashes(low.tobytes(), start[full], size[full])
 
 
 def line_edges(row: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -140,22 +148,24 @@ def line_edges(row: np.ndarray, line: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (line[1:] != line[:-1])])
 
 
-class Lines:
-    """Lines of a chunk as sorted sets of word keys, rare words first.
+def word_keys(h: np.ndarray, rarity: np.ndarray) -> np.ndarray:
+    """Eight bits of rarity on top of 56 bits of hash."""
+    rare = rarity[h >> np.uint64(64 - int(math.log2(len(rarity))))].astype(np.uint64)
+    return rare << np.uint64(56) | h >> np.uint64(8)
 
-    A key is eight bits of rarity on top of 56 bits of hash.
-    """
+
+class Lines:
+    """Lines of a chunk as sorted sets of word keys, rare words first."""
 
     def __init__(self, row, line, h, rarity: np.ndarray):
         first = line_edges(row, line)
-        key = rarity[h >> np.uint64(64 - int(math.log2(len(rarity))))] << np.uint64(56)
-        key |= h >> np.uint64(8)
+        key = word_keys(h, rarity)
         for a, b in zip(first.tolist(), [*first[1:].tolist(), len(key)], strict=True):
             key[a:b].sort()
         fresh = np.r_[True, key[1:] != key[:-1]] if len(key) else np.zeros(0, bool)
         fresh[first] = True
         self.key = key[fresh]
-        self.first = (np.cumsum(fresh) - 1)[first]
+        self.first = np.searchsorted(np.flatnonzero(fresh), first)
         self.size = np.diff(np.r_[self.first, len(self.key)])
         self.row, self.line = row[first], line[first]
 
@@ -298,6 +308,14 @@ def postings(rows: DataFrame, threshold: float, rarity, crowds, cell: int, only=
             zero_copy_only=False)
         value = ids.fill_null(0).to_numpy(zero_copy_only=False)
         for row, line, h in words_of(batch, "text"):
+            if only is not None:  # a line without such a word need not be sorted
+                first = line_edges(row, line)
+                some = np.logical_or.reduceat(
+                    marked(only.value, word_marks(word_keys(h, rarity.value))), first)
+                pick = np.repeat(some, np.diff(np.r_[first, len(h)]))
+                if not pick.any():
+                    continue
+                row, line, h = row[pick], line[pick], h[pick]
             ls = Lines(row, line, h, rarity.value)
             of, pos, key = ls.prefix(threshold)
             if only is not None:
@@ -392,7 +410,10 @@ def equal_lines(group, rank, size, sign, parity) -> tuple[np.ndarray, np.ndarray
     if not len(group):
         return np.zeros(0, bool), np.zeros(0, bool)
     keys = (group, size, sign, parity[:, 0], parity[:, 1])
-    order = np.lexsort((np.arange(len(group)), *keys[::-1]))
+    mix = np.zeros(len(group), np.uint64)
+    for v in keys:
+        mix = _mixed(mix + v.astype(np.uint64))
+    order = np.argsort(mix, kind="stable")  # equal rows lie together, by rank
     again = np.r_[False, np.all([v[order][1:] == v[order][:-1] for v in keys], axis=0)]
     head = np.maximum.accumulate(np.where(again, 0, np.arange(len(again))))
     first, copy = np.zeros(len(group), bool), np.zeros(len(group), bool)
@@ -407,39 +428,64 @@ def likely_pairs(group, rank, probe, size, pos, parity, threshold: float, kept:
     For every x at most ``kept`` pairs, those whose parities differ least for
     their size, and whether more pass or may; ``WEAK`` times as many if even the
     first uses up half of the bits it may differ in. Only rows marked in ``probe`` act
-    as x. Small groups are compared shifted against themselves, all at once;
-    large ones block by block, and a row that has enough pairs takes no part in
-    further blocks.
+    as x. Rows lie by size within their group, so the partners that the length and
+    positional filters leave a row are a range. Those of most groups are
+    compared all at once; large groups block by block, and a row that has
+    enough pairs takes no part in further blocks.
     """
     n = len(group)
-    start = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if n else np.zeros(0, np.int64)
+    key = group.astype(np.int64) << 24 | size
+    by = np.argsort(key, kind="stable")
+    key, s = key[by], size[by]
+    own = key - s
+    # of two rows the longer one, at i, meets the shorter one, at lo[i] or later
+    most = np.minimum(s, np.floor((s - pos[by]) * (1 + threshold) / threshold - s + 1e-6))
+    lo = np.searchsorted(key, own + np.ceil(threshold * s - 1e-6).astype(np.int64))
+    hi = np.searchsorted(key, own + np.maximum(most, 0).astype(np.int64), "right")
+    many = np.maximum(np.minimum(hi, np.arange(n)) - lo, 0)
+    start = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if n else np.zeros(0, np.int64)
     length = np.diff(np.r_[start, n])
-    first = np.repeat(start, length)
-    small = np.repeat(length <= 48, length)
+    large = np.add.reduceat(many, start) > LARGE if n else np.zeros(0, bool)
+    many[np.repeat(large, length)] = 0
     xs, ys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for d in range(1, int(length[length <= 48].max(initial=1))):
-        x = np.flatnonzero(small & probe & (np.arange(n) - d >= first))
-        y = x - d
-        ok = (rank[x] != rank[y]) & passing(size, pos, parity, x, y, threshold)
+    upto = np.cumsum(many)
+    cuts = np.searchsorted(upto, np.arange(0, upto[-1] if n else 0, PAIRS), "left")
+    for a, b in itertools.pairwise(np.unique(np.r_[0, cuts, n]).tolist()):
+        i = np.repeat(np.arange(a, b), many[a:b])
+        j = np.arange(len(i)) + np.repeat(lo[a:b] - (upto[a:b] - many[a:b] - (upto[a] - many[a])),
+                                          many[a:b])
+        i, j = by[i], by[j]
+        x, y = np.maximum(i, j), np.minimum(i, j)
+        ok = (rank[x] != rank[y]) & probe[x]
+        x, y = x[ok], y[ok]
+        ok = passing(size, pos, parity, x, y, threshold)
         xs.append(x[ok])
         ys.append(y[ok])
-    for a, m in zip(start[length > 48].tolist(), length[length > 48].tolist(), strict=True):
-        for lo in range(a, a + m, 1024):
-            x_all = np.arange(lo, min(lo + 1024, a + m))
-            x_all = x_all[probe[x_all]]
+    for a, m in zip(start[large].tolist(), length[large].tolist(), strict=True):
+        for at in range(a, a + m, 512):
+            till = min(at + 512, a + m)
+            x_all = np.sort(by[at:till][probe[by[at:till]]])
+            if not len(x_all):
+                continue
             found = np.zeros(len(x_all), np.int64)
-            for c in range(a, lo + 1024, 4096):
+            # sizes of these rows and what they allow
+            first, last = np.searchsorted(key, own[a] + np.r_[
+                math.ceil(threshold * s[at] - 1e-6),
+                math.floor(s[till - 1] / threshold + 1e-6) + 1])
+            y_of = np.sort(by[first:last])
+            y_of = y_of[y_of < x_all[-1]]
+            for c in range(0, len(y_of), 2048):
                 open_ = np.flatnonzero(found <= WEAK * kept)
                 if not len(open_):
                     break
-                y_all = np.arange(c, min(c + 4096, a + m, lo + 1024))
-                x, y = (v.ravel() for v in np.meshgrid(x_all[open_], y_all, indexing="ij"))
+                x, y = (v.ravel() for v in np.meshgrid(x_all[open_], y_of[c:c + 2048],
+                                                       indexing="ij"))
                 before = (y < x) & (rank[x] != rank[y])
                 x, y = x[before], y[before]
                 ok = passing(size, pos, parity, x, y, threshold)
                 xs.append(x[ok])
                 ys.append(y[ok])
-                np.add.at(found, np.searchsorted(x_all, x[ok]), 1)
+                found += np.bincount(np.searchsorted(x_all, x[ok]), minlength=len(found))
     x, y = np.concatenate(xs), np.concatenate(ys)
     differ, both = differing(size, parity, x, y), size[x] + size[y]
     spare = both - 2 * np.ceil(threshold / (1 + threshold) * both - 1e-9)
@@ -466,7 +512,7 @@ def candidates(found: DataFrame, threshold: float, kept: int) -> DataFrame:
     def scan(f: pd.DataFrame) -> pd.DataFrame:
         columns = np.concatenate([unblocked(b) for b in f["postings"]], axis=1)
         word, mark, ids, place = columns[:4]
-        columns = columns[:, np.lexsort((place, ids, mark >> 1 & 1, mark >> 2, word))]
+        columns = columns[:, np.lexsort((place, ids, mark >> 1, word))]
         word, mark, ids, place, shape = columns[:5]
         parity = np.ascontiguousarray(columns[5:].T).view(np.uint64)
         size, pos, sign = unpacked(shape)
@@ -557,21 +603,27 @@ def sets_of(rows: DataFrame, wanted: DataFrame, rarity) -> DataFrame:
             ids = b.column(b.schema.get_field_index("id"))
             text_hash = b.column(b.schema.get_field_index("text_hash")).to_numpy(
                 zero_copy_only=False)
-            for row, line, h in words_of(b, "text"):
-                first = line_edges(row, line)
-                hit = marked(held.value, line_marks(text_hash[row[first]], line[first]))
-                pick = np.repeat(hit, np.diff(np.r_[first, len(row)]))
-                if not pick.any():
-                    continue
-                ls = Lines(row[pick], line[pick], h[pick], rarity.value)
+
+            def wanted(row, line, text_hash=text_hash):
+                return marked(held.value, line_marks(text_hash[row], line))
+
+            for row, line, h in words_of(b, "text", wanted):
+                ls = Lines(row, line, h, rarity.value)
                 offsets = pa.array(np.r_[ls.first, len(ls.key)].astype(np.int32))
                 yield pa.RecordBatch.from_pydict({
                     "id": ids.take(pa.array(ls.row)), "text_hash": pa.array(text_hash[ls.row]),
                     "line": pa.array(ls.line.astype(np.int32)),
                     "words": pa.ListArray.from_arrays(offsets, pa.array(ls.key.view(np.int64)))})
 
+    # by one column, so that both sides of ``verified`` share this shuffle
     return (rows.mapInArrow(emit, "id long, text_hash long, line int, words array<long>")
-            .dropDuplicates(["id", "text_hash", "line"]))
+            .select(_mark("id", "text_hash", "line").alias("mark"), "words")
+            .dropDuplicates(["mark"]))
+
+
+def _mark(*line: str) -> Column:
+    """64 bits that stand for a line, told by id, text hash and number."""
+    return F.xxhash64(F.col(line[0]).isNull(), *line)
 
 
 def sets_of_pairs(rows: DataFrame, pairs: DataFrame, rarity) -> DataFrame:
@@ -580,58 +632,59 @@ def sets_of_pairs(rows: DataFrame, pairs: DataFrame, rarity) -> DataFrame:
     other = ["y_id", "y_hash", "y_line"]
     wanted = pairs.select(*at).unionByName(pairs.select(
         *[F.col(o).alias(a) for o, a in zip(other, at, strict=True)])).distinct()
-    return materialize(sets_of(rows, wanted, rarity), "line_sets")
+    return sets_of(rows, wanted, rarity)
 
 
 def verified(sets: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """``pairs`` with ``match``: whether the two full sets are alike enough."""
+    """``pairs`` with ``match``: whether the two full sets are alike enough, and the
+    prefix words (``own``) of lines of which more pairs may match."""
     at = ["id", "text_hash", "line"]
     other = ["y_id", "y_hash", "y_line"]
-    x = sets.withColumnRenamed("words", "x_words")
-    y = sets.select(*[F.col(a).alias(o) for a, o in zip(at, other, strict=True)],
-                    F.col("words").alias("y_words"))
-    on = (F.col("p.text_hash") == F.col("x.text_hash")) & (F.col("p.line") == F.col("x.line")) & (
-        F.col("p.id").eqNullSafe(F.col("x.id")))
-    both = pairs.alias("p").join(x.alias("x"), on).select("p.*", "x_words")
-    on = (F.col("p.y_hash") == F.col("y.y_hash")) & (F.col("p.y_line") == F.col("y.y_line")) & (
-        F.col("p.y_id").eqNullSafe(F.col("y.y_id")))
-    both = both.alias("p").join(y.alias("y"), on).select("p.*", "y_words")
+
+    x, y = (sets.select(F.col("mark").alias(m), F.col("words").alias(w))
+            for m, w in (("x_mark", "x_words"), ("y_mark", "y_words")))
+    both = (pairs.withColumn("x_mark", _mark(*at)).withColumn("y_mark", _mark(*other))
+            .join(x, "x_mark").join(y, "y_mark"))
     common = F.size(F.array_intersect("x_words", "y_words"))
-    either = F.size("x_words") + F.size("y_words") - common
-    return both.select(*at, "more", (common >= threshold * either - 1e-9).alias("match"))
+    n = F.size("x_words")
+    match = common >= threshold * (n + F.size("y_words") - common) - 1e-9
+    own = F.slice("x_words", 1, n - F.ceil(threshold * n - 1e-9).cast("int") + 1)
+    return both.select(*at, "more", match.alias("match"),
+                       F.when(F.col("more") & ~match, own).alias("own"))
 
 
 def matching_lines(rows: DataFrame, threshold: float, sketch_bits: int, cell: int,
                    kept: int = KEPT) -> DataFrame:
     """Lines that match an earlier one: ``id``, ``text_hash``, ``line``."""
     sc = rows.sparkSession.sparkContext
-    seen = counters(rows, sketch_bits, lambda b: (h for _, _, h in words_of(b, "text")))
+    texts = rows.select("text")
+    seen = counters(texts, sketch_bits, lambda b: (h for _, _, h in words_of(b, "text")))
     # four classes to a doubling of the count, 255 at most
-    rarity = sc.broadcast(np.minimum(4 * np.log2(seen + 1), 255).astype(np.uint64))
+    rarity = sc.broadcast(np.minimum(4 * np.log2(seen + 1), 255).astype(np.uint8))
 
     def prefix_words(b):
         for row, line, h in words_of(b, "text"):
             yield Lines(row, line, h, rarity.value).prefix(threshold)[2] << np.uint64(8)
 
-    crowds = sc.broadcast(counters(rows, sketch_bits, prefix_words))
+    crowds = sc.broadcast(counters(texts, sketch_bits, prefix_words))
     at = ["id", "text_hash", "line"]
     pairs = materialize(candidates(
         postings(rows, threshold, rarity, crowds, cell), threshold, kept), "line_pairs")
     unsure = materialize(pairs.where("not copy").drop("copy").distinct(), "unsure_pairs")
-    sets = sets_of_pairs(rows, unsure, rarity)
-    judged = materialize(verified(sets, unsure, threshold), "judged")
-    settled = judged.where("match").select(*at).unionByName(pairs.where("copy").select(*at))
-    failed = materialize(
-        judged.groupBy(*at).agg(F.max("match").alias("m"), F.max("more").alias("more"))
-        .where("more and not m").select(*at).exceptAll(pairs.where("copy").select(*at)), "failed")
+    judged = materialize(
+        verified(sets_of_pairs(rows, unsure, rarity), unsure, threshold), "judged")
+    copies = pairs.where("copy").select(*at)
+    settled = judged.where("match").select(*at).unionByName(copies)
+    open_ = (judged.groupBy(*at).agg(F.max("match").alias("m"), F.max("more").alias("more"),
+                                     F.max("own").alias("own"))
+             .where("more and not m").select(*at, "own"))
+    same = ((F.col("f.text_hash") == F.col("c.text_hash"))
+            & (F.col("f.line") == F.col("c.line")) & F.col("f.id").eqNullSafe(F.col("c.id")))
+    failed = materialize(open_.alias("f").join(copies.alias("c"), same, "left_anti"), "failed")
     if not failed.isEmpty():
         # these lines meet every line that passes the filters, at their own prefix words
-        n = F.size("words")
-        own = F.slice("words", 1, n - F.ceil(threshold * n - 1e-9).cast("int") + 1)
-        same = ((F.col("s.text_hash") == F.col("f.text_hash"))
-                & (F.col("s.line") == F.col("f.line")) & F.col("s.id").eqNullSafe(F.col("f.id")))
-        words = materialize(sets.alias("s").join(failed.alias("f"), same, "left_semi").select(
-            F.explode(own).alias("word")).distinct(), "failed_words")
+        words = materialize(failed.select(F.explode("own").alias("word")).distinct(),
+                            "failed_words")
         only = sc.broadcast(bit_table(words, lambda f: word_marks(f["word"].to_numpy())))
         # a few other lines pass this table; what they match is a match as well
         probes = sc.broadcast(bit_table(failed, lambda f: line_marks(
