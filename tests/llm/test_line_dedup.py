@@ -231,3 +231,16 @@ def test_sets_are_shuffled_once_for_both_lines_of_a_pair(spark):
         (1, True, None), (None, False, 1)}
     final = plan.split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
+
+
+def test_few_other_lines_pass_a_filter(spark):
+    import numpy as np
+    lines = spark.range(2000).selectExpr("id * 7919 as text_hash", "cast(id % 9 as int) as line")
+
+    def marks(f):
+        return line_dedup.line_marks(f["text_hash"].to_numpy(), f["line"].to_numpy())
+
+    table = line_dedup.bit_table(lines, marks)
+    assert line_dedup.marked(table, marks(lines.toPandas())).all()
+    others = line_dedup.line_marks(np.arange(1 << 40, (1 << 40) + 100_000), np.zeros(100_000, int))
+    assert line_dedup.marked(table, others).mean() < 0.02

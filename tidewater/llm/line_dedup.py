@@ -543,7 +543,7 @@ def candidates(found: DataFrame, threshold: float, kept: int) -> DataFrame:
     return found.groupBy("bucket").applyInPandas(scan, PAIR)
 
 
-#: A filter has 16 bits for each of its rows, and at most 2 ** MOST_BITS (64 MB).
+#: A filter has 64 bits for each of its rows, and at most 2 ** MOST_BITS (64 MB).
 LEAST_BITS, MOST_BITS = 16, 29
 
 
@@ -568,9 +568,9 @@ def bit_table(df: DataFrame, marks) -> np.ndarray:
     """Packed table of bits, those for the 64-bit ``marks(frame)`` set.
 
     A few others pass it too, and meet no partner later. Sized by the rows of ``df``;
-    beyond some 10^8 of them more and more others pass, which costs their shuffle.
+    beyond some 10^7 of them more and more others pass, which costs their shuffle.
     """
-    bits = min(max((16 * df.count()).bit_length(), LEAST_BITS), MOST_BITS)
+    bits = min(max((64 * df.count()).bit_length(), LEAST_BITS), MOST_BITS)
     slices = 64
     width = (1 << bits) // slices
 
